@@ -1,0 +1 @@
+"""Streaming: scoring a stream with a stored model (see ``score_stream``)."""
