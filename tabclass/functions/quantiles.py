@@ -1,16 +1,17 @@
 """Exact quantiles (linear interpolation) without one task holding every value.
 
-Spark's exact ``percentile`` merges every distinct value of the column into one
-final buffer. Here the work is split:
+Spark's exact ``percentile`` merges every distinct value of a group into one
+final buffer. Here the work is split, for any number of groups at once:
 
-1. one pass: row count + approximate bucket boundaries (a bounded sketch);
-2. one pass: rows per bucket (B numbers to the driver);
-3. only the buckets holding the needed order positions are kept, collapsed to
-   (value, count) — duplicates of a hot value merge map-side — and ranked with a
-   window per bucket (each bucket is ~1/B of the rows);
-4. the <= 2 * len(qs) values at those positions come back and are interpolated as
-   ``v[lo] + (h - lo) * (v[hi] - v[lo])`` with ``h = (n - 1) * q`` — the rule of
-   pandas ``quantile``, Spark ``percentile`` and DuckDB ``quantile_cont``.
+1. one aggregate: row count + approximate bucket boundaries per group (a
+   bounded sketch each);
+2. one aggregate: rows per (group, bucket) — groups x B numbers to the driver;
+3. only the (group, bucket) cells holding a needed order position are kept,
+   collapsed to (value, count) — duplicates of a hot value merge map-side — and
+   ranked with a window per cell (each cell is ~1/B of its group);
+4. the values at those positions come back (<= 2 per quantile per group) and
+   are interpolated as ``v[lo] + (h - lo) * (v[hi] - v[lo])``, ``h = (n - 1) q``
+   — the rule of Spark ``percentile`` and DuckDB ``quantile_cont``.
 """
 
 from __future__ import annotations
@@ -21,72 +22,79 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranking import with_range_bucket
+N_BUCKETS = 64
 
 
-def _auto_buckets(n: int) -> int:
-    # ~50k rows per bucket, between 16 and 4096 buckets.
-    return int(min(4096, max(16, n // 50000)))
+def grouped_exact_quantiles(df: DataFrame, group_col: str | None, value_col: str,
+                            qs: Sequence[float], n_buckets: int = N_BUCKETS) -> dict:
+    """{group: [quantile per q]} (None for empty groups). ``group_col`` None = one group."""
+    g = F.col(group_col) if group_col else F.lit(0)
+    v = df.select(g.alias("g"), F.col(value_col).cast("double").alias("v")).where(F.col("v").isNotNull())
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    heads = v.groupBy("g").agg(F.count(F.lit(1)).alias("n"),
+                               F.percentile_approx("v", probs, 100 * n_buckets).alias("b")).collect()
+    if not heads:
+        return {}
+    spark = df.sparkSession
+    bounds = {h["g"]: sorted({float(x) for x in (h["b"] or [])}) for h in heads}
+    ns = {h["g"]: int(h["n"]) for h in heads}
+    bdf = spark.createDataFrame([(k, b) for k, b in bounds.items()],
+                                f"g {v.schema['g'].dataType.simpleString()}, bounds array<double>")
+    # bucket = number of boundaries below the value (boundaries are few per group)
+    vb = (v.join(F.broadcast(bdf), "g")
+          .withColumn("bk", F.size(F.filter("bounds", lambda b: b < F.col("v")))).drop("bounds"))
+    counts: dict = {}
+    for r in vb.groupBy("g", "bk").agg(F.count(F.lit(1)).alias("c")).collect():
+        counts.setdefault(r["g"], {})[r["bk"]] = r["c"]
+    starts = {}
+    for key, cs in counts.items():
+        acc, st = 0, {}
+        for b in sorted(cs):
+            st[b] = acc
+            acc += cs[b]
+        starts[key] = st
 
+    def locate(key, pos):
+        for b in sorted(counts[key]):
+            if starts[key][b] <= pos < starts[key][b] + counts[key][b]:
+                return b, pos - starts[key][b]
+        raise AssertionError((key, pos))
 
-def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float],
-                    n_buckets: int | None = None) -> list[float | None]:
-    v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    probe_b = n_buckets or 64
-    probs = [i / probe_b for i in range(1, probe_b)]
-    head = v.agg(F.count(F.lit(1)).alias("n"),
-                 F.percentile_approx("v", probs, 10000).alias("b")).first()
-    n = int(head["n"])
-    if n == 0:
-        return [None for _ in qs]
-    bounds = sorted({float(b) for b in (head["b"] or [])})
-    if n_buckets is None and _auto_buckets(n) > probe_b:
-        nb = _auto_buckets(n)
-        probs = [i / nb for i in range(1, nb)]
-        bounds = sorted({float(b) for b in
-                         v.agg(F.percentile_approx("v", probs, 100 * nb).alias("b")).first()["b"]})
-    splits = [float("-inf")] + bounds + [float("inf")]
-    vb = with_range_bucket(v, "v", "bk", splits=splits)
-    counts = {r["bk"]: r["c"] for r in vb.groupBy("bk").agg(F.count(F.lit(1)).alias("c")).collect()}
-    starts, acc = {}, 0
-    for b in sorted(counts):
-        starts[b] = acc
-        acc += counts[b]
-
-    def locate(pos: int) -> tuple[int, int]:
-        for b in sorted(counts):
-            if starts[b] <= pos < starts[b] + counts[b]:
-                return b, pos - starts[b]
-        raise AssertionError(pos)
-
-    plan = []
-    need: dict[tuple[int, int], None] = {}
-    for q in qs:
-        h = (n - 1) * float(q)
-        lo, hi = math.floor(h), math.ceil(h)
-        plan.append((h, lo, hi))
-        need[locate(lo)] = None
-        need[locate(hi)] = None
-    buckets = sorted({b for b, _ in need})
-    w = Window.partitionBy("bk").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (vb.where(F.col("bk").isin(buckets))
-              .groupBy("bk", "v").agg(F.count(F.lit(1)).alias("c"))
+    plans, need = {}, {}
+    for key, n in ns.items():
+        plans[key] = []
+        for q in qs:
+            h = (n - 1) * float(q)
+            lo, hi = math.floor(h), math.ceil(h)
+            plans[key].append((h, lo, hi))
+            for p in (lo, hi):
+                b, r = locate(key, p)
+                need.setdefault((key, b), set()).add(r)
+    cells = spark.createDataFrame([(key, b) for key, b in need],
+                                  f"g {v.schema['g'].dataType.simpleString()}, bk int")
+    w = Window.partitionBy("g", "bk").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = (vb.join(F.broadcast(cells), ["g", "bk"])
+              .groupBy("g", "bk", "v").agg(F.count(F.lit(1)).alias("c"))
               .withColumn("hi_pos", F.sum("c").over(w))
               .withColumn("lo_pos", F.col("hi_pos") - F.col("c")))
-    cond = F.lit(False)
-    for b, r in need:
-        cond = cond | ((F.col("bk") == b) & (F.col("lo_pos") <= r) & (F.col("hi_pos") > r))
-    found = ranked.where(cond).select("bk", "v", "lo_pos", "hi_pos").collect()
+    wanted = spark.createDataFrame([(key, b, r) for (key, b), rs in need.items() for r in rs],
+                                   f"g {v.schema['g'].dataType.simpleString()}, bk int, r long")
+    found = (ranked.join(F.broadcast(wanted), ["g", "bk"])
+             .where((F.col("lo_pos") <= F.col("r")) & (F.col("hi_pos") > F.col("r")))
+             .select("g", "bk", "r", "v").collect())
+    at = {(row["g"], row["bk"], row["r"]): float(row["v"]) for row in found}
+    out = {}
+    for key, plan in plans.items():
+        vals = []
+        for h, lo, hi in plan:
+            a = at[(key, *locate(key, lo))]
+            c = at[(key, *locate(key, hi))]
+            vals.append(a + (h - lo) * (c - a))
+        out[key] = vals
+    return out
 
-    def value_at(pos: int) -> float:
-        b, r = locate(pos)
-        for row in found:
-            if row["bk"] == b and row["lo_pos"] <= r < row["hi_pos"]:
-                return float(row["v"])
-        raise AssertionError(pos)
 
-    out = []
-    for h, lo, hi in plan:
-        a, c = value_at(lo), value_at(hi)
-        out.append(a + (h - lo) * (c - a))
-    return out
+def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float],
+                    n_buckets: int = N_BUCKETS) -> list[float | None]:
+    res = grouped_exact_quantiles(df, None, col, qs, n_buckets)
+    return res.get(0, [None for _ in qs])
