@@ -285,5 +285,5 @@ SELECT min(c) AS min_count, max(c) AS max_count, count(*) AS n_classes,
 
 
 def all_sql() -> dict[str, str]:
-    from . import oracle_more  # noqa: F401  (adds the remaining keys)
+    from . import oracle_ml, oracle_more  # noqa: F401  (add the remaining keys)
     return dict(Q)

@@ -161,3 +161,21 @@ def metric_table(rows: dict[str, Column], df: DataFrame, digits: int = 3) -> Dat
     expr = "stack({}, {}) as (Metric, Value)".format(
         len(names), ", ".join(f"'{n}', m{i}" for i, n in enumerate(names)))
     return one.selectExpr(expr).withColumn("Value", F.round("Value", digits))
+
+
+def validation_table(preds_by_combo: dict, focus, beta: float):
+    """One row per combo with focus and overall metrics on validation."""
+    out = None
+    for combo, p in preds_by_combo.items():
+        cm = confusion_counts(p, actual="target", pred="pred")
+        a = summary(cm, beta=beta).withColumn("k", F.lit(1))
+        f = summary(cm, labels=focus, beta=beta).select(
+            F.lit(1).alias("k"), *[F.col(c).alias(f"f_{c}") for c in ("precision", "recall", "f1", "fbeta")])
+        row = a.join(f, "k").select(
+            F.lit(combo).alias("model_name"),
+            F.col("f_recall").alias("recall"), F.col("f_precision").alias("precision"),
+            F.col("f_f1").alias("f1"), F.col("f_fbeta").alias("f_beta"),
+            F.col("recall").alias("overall_recall"), F.col("precision").alias("overall_precision"),
+            F.col("f1").alias("overall_f1"), F.col("fbeta").alias("overall_fbeta"), "accuracy")
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -31,7 +31,7 @@ def register(name: str):
 
 
 def all_queries() -> dict[str, Query]:
-    from . import queries_more  # noqa: F401  (registers the remaining keys)
+    from . import queries_ml, queries_more  # noqa: F401  (register the remaining keys)
     return dict(_REGISTRY)
 
 
