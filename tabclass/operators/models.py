@@ -70,7 +70,7 @@ def build_classifier(model_name: str, params: dict | None, n_classes: int, seed:
         return DecisionTreeClassifier(seed=seed, **common, **kw)
     if model_name == "xg":
         gbt = GBTClassifier(seed=seed, **common, **kw)
-        return gbt if n_classes <= 2 else OneVsRest(classifier=gbt, **common)
+        return gbt if n_classes <= 2 else OneVsRest(classifier=gbt, parallelism=n_classes, **common)
     if model_name == "nb":
         return NaiveBayes(modelType="gaussian", **common)
     raise ValueError(f"no MLlib estimator for model family {model_name!r} (use 'ovr' via knn)")
@@ -109,21 +109,51 @@ def resample(train: DataFrame, sampling_type: str, features: Sequence[str], seed
     return train
 
 
-def fit_model(train: DataFrame, features: Sequence[str], model_name: str, sampling_type: str = "NA",
-              params: dict | None = None, seed: int = 1) -> FittedModel:
-    """T9 / ResampledClassifier: resample the train frame, then fit the pipeline."""
+@dataclass
+class Prepared:
+    """A resampled, imputed, assembled and label-indexed training frame (cached)
+    plus the fitted preparation stages; shared by every trial of one
+    (fold, sampling) so a search refits only the classifier."""
+    frame: DataFrame
+    stages: list
+    labels: list[str]
+    features: list[str]
+    sampling_type: str
+
+    def release(self) -> None:
+        self.frame.unpersist()
+
+
+def prepare(train: DataFrame, features: Sequence[str], sampling_type: str = "NA", seed: int = 1,
+            cache: bool = True) -> Prepared:
     feats = list(features)
     d = train.select("id", *[F.col(f"`{c}`").cast("double").alias(c) for c in feats], "target")
     d = resample(d, sampling_type, feats, seed)
-    labels = sorted(r[0] for r in d.select("target").distinct().collect())  # class list
+    pm = Pipeline(stages=_prep_stages(feats)).fit(d)
+    labels = list(pm.stages[2].labels)  # sorted class list from the indexer (bounded)
+    frame = pm.transform(d).select("id", "features", "label", "target")
+    if cache:
+        frame = frame.persist()
+    return Prepared(frame, list(pm.stages), labels, feats, sampling_type)
+
+
+def fit_prepared(prep_: Prepared, model_name: str, params: dict | None = None, seed: int = 1) -> FittedModel:
+    """Fit one classifier on a prepared frame; the model carries the shared stages."""
     if model_name == "ovr":
-        imp = Pipeline(stages=_prep_stages(feats)[:2]).fit(d)
-        ref = imp.transform(d).select("id", vector_to_array("features").alias("features"), "target")
-        return FittedModel(model_name, sampling_type, feats, labels, pipeline=imp,
-                           knn_train=ref, params=params or {})
-    clf = build_classifier(model_name, params, len(labels), seed)
-    pm = Pipeline(stages=_prep_stages(feats) + [clf]).fit(d)
-    return FittedModel(model_name, sampling_type, feats, labels, pipeline=pm, params=params or {})
+        ref = prep_.frame.select("id", vector_to_array("features").alias("features"), "target")
+        return FittedModel(model_name, prep_.sampling_type, prep_.features, prep_.labels,
+                           pipeline=PipelineModel(stages=prep_.stages[:2]), knn_train=ref,
+                           params=params or {})
+    clf = build_classifier(model_name, params, len(prep_.labels), seed).fit(prep_.frame)
+    return FittedModel(model_name, prep_.sampling_type, prep_.features, prep_.labels,
+                       pipeline=PipelineModel(stages=prep_.stages + [clf]), params=params or {})
+
+
+def fit_model(train: DataFrame, features: Sequence[str], model_name: str, sampling_type: str = "NA",
+              params: dict | None = None, seed: int = 1) -> FittedModel:
+    """T9 / ResampledClassifier: resample the train frame, then fit the pipeline."""
+    p = prepare(train, features, sampling_type, seed, cache=False)
+    return fit_prepared(p, model_name, params, seed)
 
 
 def _sigmoid(x):

@@ -116,27 +116,62 @@ def leaderboard(validation: DataFrame, accuracy_focus: str) -> DataFrame:
     return validation.orderBy(F.desc(key), "model_name")
 
 
-def with_fold_filter(train: DataFrame, fold: int, fold_col: str = "fold") -> tuple[DataFrame, DataFrame]:
-    return train.where(F.col(fold_col) != fold), train.where(F.col(fold_col) == fold)
-
-
-def cv_scores(train: DataFrame, trials: Sequence[dict], fit_score, k: int,
-              fold_col: str = "fold", parallelism: int = 4) -> list[tuple]:
-    """For each trial and fold, ``fit_score(trial, fit_part, held_out)`` ->
-    score. Fits run from a driver thread pool (each fit is a distributed Spark
-    ML job over the cached train frame); rows follow ``CV_SCHEMA``."""
+def cv_scores(train: DataFrame, trials: Sequence[dict], k: int, features: Sequence[str],
+              beta: float = 1.0, accuracy: bool = False, fold_col: str = "fold",
+              parallelism: int = 4, seed: int = 1) -> list[tuple]:
+    """K-fold CV of every trial; one row per (trial, fold) in ``CV_SCHEMA``.
+
+    Per fold, each sampling's training part is resampled, prepared and cached
+    once (:func:`models.prepare`) and the held-out fold is transformed once per
+    sampling; the trials of that sampling then fit only their classifier, from
+    a driver thread pool (each fit is a distributed Spark ML job). The sampler
+    never sees the held-out fold. Scores come from the collected confusion
+    counts (classes^2 rows).
+    """
     from concurrent.futures import ThreadPoolExecutor
 
-    jobs = [(t, f) for t in trials for f in range(k)]
+    from pyspark.ml import PipelineModel
 
-    def run(job):
-        t, f = job
-        fit_part, held = with_fold_filter(train, f, fold_col)
-        return (int(t["replication_id"]), t["model_name"], t["sampling_type"],
-                float(fit_score(t, fit_part, held)), t["hyper_parameters"])
+    from ..plans.metrics import score_from_counts
+    from . import models
 
+    feats = list(features)
+    by_sampling: dict[str, list[dict]] = {}
+    for t in trials:
+        by_sampling.setdefault(t["sampling_type"], []).append(t)
+    out: list[tuple] = []
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        return list(ex.map(run, jobs))
+        for f in range(k):
+            fit_part = train.where(F.col(fold_col) != f)
+            held = train.where(F.col(fold_col) == f).select(
+                "id", *[F.col(f"`{c}`").cast("double").alias(c) for c in feats], "target")
+            preps = dict(zip(by_sampling, ex.map(
+                lambda s: models.prepare(fit_part, feats, s, seed), by_sampling)))
+            helds = {s: PipelineModel(stages=p.stages).transform(held).select("features", "target").persist()
+                     for s, p in preps.items()}
+
+            def run(t, f=f, preps=preps, helds=helds):
+                p = preps[t["sampling_type"]]
+                fm = models.fit_prepared(p, t["model_name"], json.loads(t["hyper_parameters"]), seed)
+                if fm.model_name == "ovr":
+                    pr = models.predict(fm, train.where(F.col(fold_col) == f), keep=("id", "target"),
+                                        with_probability=False)
+                    rows = [(r[0], r[1], r[2]) for r in
+                            pr.groupBy("target", "pred").count().collect()]
+                else:
+                    clf = fm.pipeline.stages[-1]
+                    cm = (clf.transform(helds[t["sampling_type"]])
+                          .groupBy("target", "prediction").count().collect())
+                    lab = p.labels
+                    rows = [(r[0], lab[int(r[1])] if int(r[1]) < len(lab) else "<unknown>", r[2]) for r in cm]
+                return (int(t["replication_id"]), t["model_name"], t["sampling_type"],
+                        float(score_from_counts(rows, beta, accuracy)), t["hyper_parameters"])
+
+            out += list(ex.map(run, [t for ts in by_sampling.values() for t in ts]))
+            for s in preps:
+                preps[s].release()
+                helds[s].unpersist()
+    return out
 
 
 __all__ = ["hp_trials", "trial_grid", "cv_summary", "best_per_combo", "best_combo", "leaderboard",

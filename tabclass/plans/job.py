@@ -36,16 +36,11 @@ class JobResult:
     extra: dict = field(default_factory=dict)
 
 
-def _score_fn(cfg: JobConfig):
-    def score(cm):
-        s = metrics.summary(cm, beta=cfg.beta).first()
-        return s["accuracy"] if cfg.accuracy_focus == "accuracy" else s["fbeta"]
-    return score
-
-
 def train_job(spark: SparkSession, cfg: JobConfig, history: DataFrame, to_score: DataFrame,
               out_root: str, parallelism: int = 4) -> JobResult:
     """Entry A. ``out_root`` is a shared folder for result tables and models."""
+    import time
+    marks = [("start", time.time())]
     checkpoint_dir(spark)
     hist = prep.prep_columns(history, cfg.id_col, cfg.target)
     scored_in = prep.with_actual(to_score, cfg.target)
@@ -57,10 +52,11 @@ def train_job(spark: SparkSession, cfg: JobConfig, history: DataFrame, to_score:
     if focus is None:  # 'all': every class; the smallest cuts buckets (Q6)
         focus = tuple(sorted(r[0] for r in balance.class_list(hist).select("label").collect()))
 
-    parts = split.stratified_split(hist, seed=cfg.seed)
+    parts = split.stratified_split(hist, seed=cfg.seed).checkpoint()  # cut lineage after the split
     train = split.stratified_kfold(parts.where(F.col("split") == "train").drop("split"), cfg.cv_kfold)
     train = train.checkpoint()  # cut lineage: reused by every fold fit
     val = parts.where(F.col("split") == "validation").drop("split")
+    marks.append(("split_folds", time.time()))
 
     plan = sampling.sampling_plan(hist, train, preferred=cfg.preferred[1] if cfg.preferred else None)
     models_ = (cfg.preferred[0],) if cfg.preferred else cfg.models
@@ -77,15 +73,10 @@ def train_job(spark: SparkSession, cfg: JobConfig, history: DataFrame, to_score:
     trials_df = search.hp_trials(combos, cfg.is_gridsearch, cfg.seed, stored_params=stored,
                                  trials=cfg.max_trials)
     trials = [r.asDict() for r in trials_df.collect()]  # bounded: combos x draws
-    score = _score_fn(cfg)
-
-    def fit_score(t, fit_part, held):
-        fm = models.fit_model(fit_part, features, t["model_name"], t["sampling_type"],
-                              json.loads(t["hyper_parameters"]), cfg.seed)
-        p = models.predict(fm, held, keep=("id", "target"), with_probability=False)
-        return score(metrics.confusion_counts(p, actual="target", pred="pred"))
-
-    cv_rows = search.cv_scores(train, trials, fit_score, cfg.cv_kfold, parallelism=parallelism)
+    cv_rows = search.cv_scores(train, trials, cfg.cv_kfold, features, beta=cfg.beta,
+                               accuracy=cfg.accuracy_focus == "accuracy", parallelism=parallelism,
+                               seed=cfg.seed)
+    marks.append(("plan_trials_cv", time.time()))
     cv = spark.createDataFrame(cv_rows, search.CV_SCHEMA)
     best = search.best_per_combo(search.cv_summary(cv)).cache()
     if cfg.cv_score_table:
@@ -94,12 +85,16 @@ def train_job(spark: SparkSession, cfg: JobConfig, history: DataFrame, to_score:
     best_model = search.best_combo(best).first()["best_model"]
 
     fitted, preds = {}, {}
-    for r in best.collect():  # one refit per combo
-        combo = f"{r['model_name']}_{r['sampling_type']}"
-        fm = models.fit_model(train.drop("fold"), features, r["model_name"], r["sampling_type"],
-                              json.loads(r["hyper_parameters"]), cfg.seed)
-        fitted[combo] = fm
-        preds[combo] = models.predict(fm, val, keep=("id", "target"))
+    best_rows = best.collect()  # one row per combo
+    for s in sorted({r["sampling_type"] for r in best_rows}):  # one prepared frame per sampling
+        prepared = models.prepare(train.drop("fold"), features, s, cfg.seed)
+        for r in (x for x in best_rows if x["sampling_type"] == s):
+            combo = f"{r['model_name']}_{s}"
+            fm = models.fit_prepared(prepared, r["model_name"], json.loads(r["hyper_parameters"]), cfg.seed)
+            fitted[combo] = fm
+            preds[combo] = models.predict(fm, val, keep=("id", "target")).cache()
+        prepared.release()
+    marks.append(("best_refit", time.time()))
     validation = search.leaderboard(metrics.validation_table(preds, focus, cfg.beta), cfg.accuracy_focus)
 
     if cfg.is_update_model_param:
@@ -130,6 +125,7 @@ def train_job(spark: SparkSession, cfg: JobConfig, history: DataFrame, to_score:
                                .withColumn("model_id", F.lit(cfg.model_id)),
                                f"{out_root}/{cfg.precision_buckets_table}", ["model_id"])
 
+    marks.append(("registry_reports", time.time()))
     fm = fitted[best_model]
     scored = models.predict(fm, pred_in, keep=("id",), with_probability=cfg.show_probability)
     scored = scored.withColumnRenamed("pred", cfg.target).join(actuals, "id", "inner")
@@ -141,8 +137,10 @@ def train_job(spark: SparkSession, cfg: JobConfig, history: DataFrame, to_score:
                                       F.current_timestamp().alias("inserted_at")),
                            f"{out_root}/{cfg.top_vars_table}", ["model_id"])
     results = sinks.persist_data(out, f"{out_root}/{cfg.prediction_table}_gc_results", ["model_id", "id"])
+    marks.append(("score_persist", time.time()))
+    phases = {marks[i][0]: round(marks[i][1] - marks[i - 1][1], 3) for i in range(1, len(marks))}
     return JobResult(best_model, cv, best, validation, report, breakdown, pbuckets, results,
-                     extra={"fitted": fitted})
+                     extra={"fitted": fitted, "phase_sec": phases})
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

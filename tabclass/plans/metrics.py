@@ -164,18 +164,44 @@ def metric_table(rows: dict[str, Column], df: DataFrame, digits: int = 3) -> Dat
 
 
 def validation_table(preds_by_combo: dict, focus, beta: float):
-    """One row per combo with focus and overall metrics on validation."""
-    out = None
+    """One row per combo with focus and overall metrics on validation.
+
+    All combos' predictions are tagged and unioned, so the confusion counts of
+    every combo come from one keyed aggregate instead of one job per combo."""
+    tagged = None
     for combo, p in preds_by_combo.items():
-        cm = confusion_counts(p, actual="target", pred="pred")
-        a = summary(cm, beta=beta).withColumn("k", F.lit(1))
-        f = summary(cm, labels=focus, beta=beta).select(
-            F.lit(1).alias("k"), *[F.col(c).alias(f"f_{c}") for c in ("precision", "recall", "f1", "fbeta")])
-        row = a.join(f, "k").select(
-            F.lit(combo).alias("model_name"),
-            F.col("f_recall").alias("recall"), F.col("f_precision").alias("precision"),
-            F.col("f_f1").alias("f1"), F.col("f_fbeta").alias("f_beta"),
-            F.col("recall").alias("overall_recall"), F.col("precision").alias("overall_precision"),
-            F.col("f1").alias("overall_f1"), F.col("fbeta").alias("overall_fbeta"), "accuracy")
-        out = row if out is None else out.unionByName(row)
-    return out
+        t = p.select(F.lit(combo).alias("model_name"), F.col("target").cast("string").alias("actual"),
+                     F.col("pred").cast("string").alias("pred"))
+        tagged = t if tagged is None else tagged.unionByName(t)
+    cm = confusion_counts(tagged, keys=["model_name"]).cache()
+    a = summary(cm, keys=["model_name"], beta=beta)
+    f = summary(cm, keys=["model_name"], labels=focus, beta=beta).select(
+        "model_name", *[F.col(c).alias(f"f_{c}") for c in ("precision", "recall", "f1", "fbeta")])
+    return a.join(f, "model_name").select(
+        "model_name",
+        F.col("f_recall").alias("recall"), F.col("f_precision").alias("precision"),
+        F.col("f_f1").alias("f1"), F.col("f_fbeta").alias("f_beta"),
+        F.col("recall").alias("overall_recall"), F.col("precision").alias("overall_precision"),
+        F.col("f1").alias("overall_f1"), F.col("fbeta").alias("overall_fbeta"), "accuracy")
+
+
+def score_from_counts(rows, beta: float = 1.0, accuracy: bool = False) -> float:
+    """CV scorer on collected confusion counts ``(actual, pred, n)`` — a
+    classes^2-sized list: accuracy, or macro F-beta over the labels seen (the
+    T3 rule: precision focus -> F0.5, recall -> F2, otherwise F1)."""
+    tot = sum(n for _, _, n in rows)
+    if accuracy:
+        return sum(n for a, p, n in rows if a == p) / tot if tot else 0.0
+    labels = {a for a, _, _ in rows} | {p for _, p, _ in rows}
+    b2 = float(beta) ** 2
+    vals = []
+    for c in labels:
+        tp = sum(n for a, p, n in rows if a == c and p == c)
+        sup = sum(n for a, _, n in rows if a == c)
+        prd = sum(n for _, p, n in rows if p == c)
+        pr = tp / prd if prd else 0.0
+        rc = tp / sup if sup else 0.0
+        den = b2 * pr + rc
+        vals.append((1 + b2) * pr * rc / den if den > 0 else 0.0)
+    return sum(vals) / len(vals) if vals else 0.0
+

@@ -27,8 +27,10 @@ NB_SAMPLINGS = ("NA", "us", "os")
 
 
 def _sep(spark, sf_dir):
+    from .session import checkpoint_dir
+    checkpoint_dir(spark)
     d = prep.prep_columns(fx.f_sep(spark, sf_dir), "event_id", "band")
-    return split.stratified_split(d)
+    return split.stratified_split(d).checkpoint()  # reused by every fit: cut the lineage once
 
 
 def _sep_parts(spark, sf_dir):
@@ -49,14 +51,7 @@ def _nb_cv(spark, sf_dir):
     trials = [{"replication_id": i + 1, "model_name": "nb", "sampling_type": s, "hyper_parameters": "{}"}
               for i, s in enumerate(NB_SAMPLINGS)]
 
-    def fit_score(t, fit_part, held):
-        fm = models.fit_model(fit_part, SEP_FEATURES, "nb", t["sampling_type"])
-        p = models.predict(fm, held.select("id", *SEP_FEATURES, "target"), keep=("id", "target"),
-                           with_probability=False)
-        cm = metrics.confusion_counts(p, actual="target", pred="pred")
-        return metrics.summary(cm, beta=1.0).first()["fbeta"]
-
-    rows = search.cv_scores(train, trials, fit_score, CV_K, parallelism=3)
+    rows = search.cv_scores(train, trials, CV_K, SEP_FEATURES, beta=1.0, parallelism=3)
     train.unpersist()
     return spark.createDataFrame(rows, search.CV_SCHEMA)  # trials x folds rows
 
