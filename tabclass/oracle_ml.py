@@ -115,3 +115,5 @@ SELECT 'm-sep-01' AS "model_ID", l.model_name, '{{}}' AS hyper_parameters, 'even
        'events' AS prediction_table_name, false AS is_gridsearch, 'band' AS target_name,
        '["high", "low"]' AS target_focus, '' AS preferred_model, {', '.join(f'round(l.{c}, 4) AS {c}' for c in _MET)}
 FROM ({LEADER}) l JOIN ({BEST_COMBO}) b ON b.best_model = l.model_name"""
+Q["best_params"] = (f"SELECT hyper_parameters, round(cv_score_mean, 6) AS cv_score_mean FROM ({SUMMARY}) "
+                    f"WHERE model_name = 'nb' AND sampling_type = 'us'")

@@ -220,3 +220,12 @@ Q["describe_by_split"] = _describe_sql(ORD_SPLIT, "split")
 Q["distribution_compare"] = f"""
 SELECT split, target AS label, count(*) AS count, round(count(*) / sum(count(*)) OVER (PARTITION BY split), 6) AS share
 FROM ({ORD_SPLIT}) GROUP BY split, target"""
+
+# -------------------------------------------------------------------- sinks
+Q["keyed_upsert"] = (f"SELECT row_id, status, CASE WHEN status = 'P' THEN o_totalprice * 2 ELSE o_totalprice END "
+                     f"AS o_totalprice FROM ({F_ORD})")
+Q["replace_by_key"] = ("SELECT o_orderkey AS row_id, CASE WHEN o_orderpriority = '1-URGENT' THEN lower(o_orderstatus) "
+                       "ELSE o_orderstatus END AS status, o_orderpriority AS model_id FROM orders")
+Q["csv_roundtrip"] = Q["classification_report"]
+Q["run_log"] = (f"SELECT 'run-1' AS run_id, 'm-001' AS model_id, 'test' AS run_name, 'metric' AS kind, "
+                f"\"Metric\" AS name, \"Value\" AS value FROM ({Q['metrics_long']})")

@@ -199,3 +199,26 @@ def q_score_stored(spark, sf_dir):
     events = tables.read_table(spark, "events", sf_dir)
     pred_table = fx.f_sep(spark, sf_dir).join(events.select("event_id", "props"), "event_id")
     return score_with_stored_model(spark, pred_table, root, "m-sep-01", id_col="event_id", target="band")
+
+
+@register("best_params")
+def q_best_params(spark, sf_dir):
+    """F2: parameters and mean score of one (model, sampling) from the CV table."""
+    s = _summary(spark, sf_dir)
+    hit = s.where((F.col("model_name") == "nb") & (F.col("sampling_type") == "us"))
+    return hit.select("hyper_parameters", F.round("cv_score_mean", 6).alias("cv_score_mean"))
+
+
+@register("train_and_score")
+def q_train_and_score(spark, sf_dir):
+    """Entry A end to end on F_SEP: search (rf with 2 draws, dt; 3 folds),
+    refit, registry, reports, scoring of the whole events table, keyed write."""
+    from .config import JobConfig
+    from .plans.job import train_job
+    from .session import scratch_path
+    sep = fx.f_sep(spark, sf_dir)
+    cfg = JobConfig(historic_table="events", prediction_table="events_scored", target="band",
+                    id_col="event_id", model_id="m-sep-02", accuracy_focus="recall",
+                    target_focus=SEP_FOCUS, models=("rf", "dt"), cv_kfold=CV_K, max_trials={"rf": 2})
+    res = train_job(spark, cfg, sep, sep, scratch_path(spark, "job"))
+    return res.predictions

@@ -226,3 +226,57 @@ def q_describe_by_split(spark, sf_dir):
 def q_distribution_compare(spark, sf_dir):
     d = describe.distribution_compare(_ord_split(spark, sf_dir), "split", "target")
     return d.select("split", "label", "count", F.round("share", 6).alias("share"))
+
+
+# -------------------------------------------------------------------- sinks
+def _scratch(spark, name):
+    from .session import scratch_path
+    return scratch_path(spark, name)
+
+
+@register("keyed_upsert")
+def q_keyed_upsert(spark, sf_dir):
+    """Store F_ORD, then upsert the 'P' orders with doubled prices; read back."""
+    from .sources import sinks
+    path = _scratch(spark, "upsert")
+    base = fx.f_ord(spark, sf_dir).select("row_id", "status", "o_totalprice")
+    sinks.persist_data(base, path, ["row_id"])
+    new = base.where(F.col("status") == "P").withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    return sinks.persist_data(new, path, ["row_id"])
+
+
+@register("replace_by_key")
+def q_replace_by_key(spark, sf_dir):
+    """A table partitioned by model id (here the order priority); one
+    model's rows are replaced, the others stay."""
+    from .sources import sinks
+    path = _scratch(spark, "registry")
+    o = tables.read_table(spark, "orders", sf_dir)
+    first = o.select(F.col("o_orderkey").alias("row_id"), F.col("o_orderstatus").alias("status"),
+                     F.col("o_orderpriority").alias("model_id"))
+    sinks.replace_by_key(first, path, "model_id")
+    again = first.where(F.col("model_id") == "1-URGENT").withColumn("status", F.lower("status"))
+    return sinks.replace_by_key(again, path, "model_id").select("row_id", "status", "model_id")
+
+
+@register("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    """Classification report exported as CSV and read back with its schema."""
+    from .plans import metrics
+    from .sources import sinks
+    path = _scratch(spark, "csv")
+    rep = metrics.classification_report(metrics.confusion_counts(fx.f_scored(spark, sf_dir)))
+    sinks.export_csv(rep, path)
+    return sinks.read_csv(spark, path, "value string, precision double, recall double, "
+                                       "f1_score double, support double")
+
+
+@register("run_log")
+def q_run_log(spark, sf_dir):
+    """The long test-metric table appended to a run log and read back."""
+    from .queries import q_metrics_long
+    from .sources import sinks
+    path = _scratch(spark, "runs")
+    log = sinks.log_run(q_metrics_long(spark, sf_dir), path, run_id="run-1", model_id="m-001",
+                        run_name="test", kind="metric")
+    return log.select("run_id", "model_id", "run_name", "kind", "name", F.col("value").cast("double").alias("value"))

@@ -1 +1,12 @@
-"""Streaming: scoring a stream with a stored model (see ``score_stream``)."""
+"""Streaming: the reference has no streaming sources, windows or state.
+
+The one operator that applies unchanged to a stream is Entry B (score with a
+stored model): every stage of a stored model (mode imputer, assembler, label
+indexer, tree / Bayes model) is a row-wise transformer, so
+:func:`score_stream` runs the same plan on ``readStream`` data and writes
+each micro-batch with the keyed upsert, which is idempotent on replay.
+"""
+
+from .scoring import score_stream
+
+__all__ = ["score_stream"]

@@ -1,0 +1,34 @@
+"""Stored-model scoring of a streaming DataFrame (Entry B on ``readStream``)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators import models, prep
+from ..sources import sinks
+
+
+def score_stream(stream: DataFrame, model_root: str, model_id: str, id_col: str, target: str,
+                 out_path: str, checkpoint: str, trigger_once: bool = True):
+    """Score each micro-batch with the stored model and upsert the rows into
+    ``out_path`` keyed on (model_id, id). ``checkpoint`` must be a shared
+    folder (the query restarts from it after a failure; replayed batches
+    upsert the same keys)."""
+    spark = stream.sparkSession
+    fm = models.load_model(spark, model_root, model_id)
+
+    def write_batch(batch: DataFrame, _epoch: int) -> None:
+        d = prep.with_actual(batch, target)
+        x = prep.align_features(d.withColumnRenamed(id_col, "id") if id_col != "id" else d,
+                                fm.features, keep=("id",))
+        p = models.predict(fm, x, keep=("id",))
+        actual = d.select(F.col(f"`{id_col}`").alias("id"), f"{target}_actual")
+        out = prep.tag(prep.safe_names(p.withColumnRenamed("pred", target).join(actual, "id")),
+                       model_id=model_id)
+        sinks.persist_data(out, out_path, ["model_id", "id"])
+
+    w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    if trigger_once:
+        w = w.trigger(availableNow=True)
+    return w.start()

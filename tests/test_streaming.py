@@ -1,0 +1,25 @@
+"""Stored-model scoring on a file stream gives the batch result."""
+
+from pyspark.sql import functions as F
+
+from tabclass.operators import models, prep, split
+from tabclass.sources import fixtures as fx
+from tabclass.streaming import score_stream
+from tests.conftest import SF_TINY
+
+
+def test_score_stream_matches_batch(spark, tmp_path):
+    d = prep.prep_columns(fx.f_sep(spark, SF_TINY), "event_id", "band")
+    train = split.stratified_split(d).where("split = 'train'")
+    fm = models.fit_model(train, ["value", "hr", "user_id"], "dt", "NA", {"max_depth": 4})
+    models.save_model(fm, str(tmp_path / "m"), "s1")
+    src = str(tmp_path / "in")
+    fx.f_sep(spark, SF_TINY).write.parquet(src)
+    stream = spark.readStream.schema(fx.f_sep(spark, SF_TINY).schema).parquet(src)
+    q = score_stream(stream, str(tmp_path / "m"), "s1", "event_id", "band",
+                     str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    q.awaitTermination(300)
+    got = spark.read.parquet(str(tmp_path / "out")).select("id", F.col("band").alias("s"))
+    exp = models.predict(fm, d).select("id", F.col("pred").alias("b"))
+    j = got.join(exp, "id")
+    assert j.count() == d.count() and j.where("s <> b").count() == 0
