@@ -9,12 +9,13 @@ from ..config import IMBALANCE_LIMIT
 
 
 def _with_total(vc: DataFrame, keys: list[str], col: str, out: str) -> DataFrame:
-    """Join the per-key total of ``col`` (over the small count table) back."""
-    k = keys or ["__k"]
-    if not keys:
-        vc = vc.withColumn("__k", F.lit(0))
-    tot = vc.groupBy(*k).agg(F.sum(col).alias(out))
-    return vc.join(tot, k).drop("__k")
+    """Attach the per-key total of ``col`` (the count table is one row per
+    class): per key an equi-join of two small tables; without keys a scalar."""
+    if keys:
+        tot = vc.groupBy(*keys).agg(F.sum(col).alias(out))
+        return vc.join(tot, keys)
+    t = vc.agg(F.sum(col).alias(out)).first()[out]
+    return vc.withColumn(out, F.lit(int(t or 0)).cast("bigint"))
 
 
 def value_counts(df: DataFrame, col: str, dropna: bool = True, keys=()) -> DataFrame:

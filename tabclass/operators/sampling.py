@@ -26,13 +26,27 @@ def hash_rank(df: DataFrame, target: str, id_col: str, seed, out: str = "__rank"
                        bucket=hash_bucket(F.col("__h"))).drop("__h")
 
 
+MAX_LITERAL_CLASSES = 10000
+
+
 def _with_class_stats(df: DataFrame, target: str) -> DataFrame:
+    """Adds __n (class size), __min and __max (smallest / largest class).
+
+    The per-class counts are one aggregate whose size is the class count; they
+    come to the driver and go back as literals (a map lookup in codegen), so the
+    data is never joined. Beyond MAX_LITERAL_CLASSES the count table is joined
+    instead (AQE broadcasts it when it is small at run time)."""
     counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("__n"))
-    ext = counts.agg(F.min("__n").alias("__min"), F.max("__n").alias("__max"))
-    # both sides are per-class / one-row tables; joined on a constant key
-    stats = (counts.withColumn("__k", F.lit(0))
-             .join(ext.withColumn("__k", F.lit(0)), "__k").drop("__k"))
-    return df.join(stats, target)
+    rows = counts.limit(MAX_LITERAL_CLASSES + 1).collect()
+    if len(rows) <= MAX_LITERAL_CLASSES:
+        n = {r[target]: int(r["__n"]) for r in rows}
+        lo, hi = (min(n.values()), max(n.values())) if n else (0, 0)
+        m = F.create_map(*[x for k_, v in n.items() for x in (F.lit(k_), F.lit(v))])
+        return df.withColumns({"__n": F.element_at(m, F.col(target)).cast("bigint"),
+                               "__min": F.lit(lo).cast("bigint"), "__max": F.lit(hi).cast("bigint")})
+    ext = counts.agg(F.min("__n").alias("lo"), F.max("__n").alias("hi")).first()
+    return (df.join(counts, target).withColumn("__min", F.lit(int(ext["lo"])).cast("bigint"))
+            .withColumn("__max", F.lit(int(ext["hi"])).cast("bigint")))
 
 
 def under_sample(df: DataFrame, target: str = "target", id_col: str = "id", seed=1) -> DataFrame:
@@ -72,18 +86,13 @@ def sampling_plan(history: DataFrame, train: DataFrame, target: str = "target",
     spark = history.sparkSession
     if preferred:
         return spark.createDataFrame([(preferred, 0)], "sampling_type string, ord int")
-    h = history.groupBy(target).count().agg((F.min("count") / F.max("count")).alias("extent"))
-    t = train.groupBy(target).count().agg((F.count(F.lit(1)) * F.min("count")).alias("us_rows"))
-    flags = (h.withColumn("__k", F.lit(0)).join(t.withColumn("__k", F.lit(0)), "__k")
-             .select((F.round("extent", 4) < F.lit(limit)).alias("imb"), "us_rows"))
-    names = F.array(
-        F.struct(F.lit("NA").alias("sampling_type"), F.lit(0).alias("ord"), F.lit(True).alias("on")),
-        F.struct(F.lit("us").alias("sampling_type"), F.lit(1).alias("ord"),
-                 (F.col("imb") & (F.col("us_rows") > F.lit(floor))).alias("on")),
-        F.struct(F.lit("smote").alias("sampling_type"), F.lit(2).alias("ord"), F.col("imb").alias("on")),
-        F.struct(F.lit("os").alias("sampling_type"), F.lit(3).alias("ord"), F.col("imb").alias("on")))
-    return (flags.select(F.explode(names).alias("s")).where("s.on")
-            .select("s.sampling_type", "s.ord"))
+    h = history.groupBy(target).count().agg(F.min("count").alias("lo"), F.max("count").alias("hi")).first()
+    t = train.groupBy(target).count().agg(F.count(F.lit(1)).alias("k"), F.min("count").alias("lo")).first()
+    imb = round(h["lo"] / h["hi"], 4) < limit          # two scalars each: class-count aggregates
+    us_rows = int(t["k"]) * int(t["lo"])
+    rows = [("NA", 0)] + ([("us", 1)] if imb and us_rows > floor else []) + \
+        ([("smote", 2), ("os", 3)] if imb else [])
+    return spark.createDataFrame(rows, "sampling_type string, ord int")
 
 
 def model_combos(plan: DataFrame, models: Sequence[str] = DEFAULT_MODELS,

@@ -31,14 +31,15 @@ def score_counts(scored: DataFrame, positive: str, score_col: str, actual: str =
 
 
 def _curve(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Running counts from the highest score down, plus the totals P and N
+    (per key: a small per-key table joined on the key; no key: two scalars)."""
     k = list(keys)
     c = running_sum(counts, "score", ["pos", "neg"], part_cols=k, descending=True)
-    tot = counts.groupBy(*k).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    if not k:
-        c = c.withColumn("__all", F.lit(0))
-        tot = tot.withColumn("__all", F.lit(0))
-        k = ["__all"]
-    return c.join(tot, on=k).drop("__all")
+    if k:
+        tot = counts.groupBy(*k).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+        return c.join(tot, on=k)
+    t = counts.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
+    return c.withColumn("P", F.lit(int(t["P"] or 0))).withColumn("N", F.lit(int(t["N"] or 0)))
 
 
 def roc_curve(scored: DataFrame, positive: str, score_col: str, actual: str = "actual",
@@ -65,7 +66,7 @@ def _auc_from_counts(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     c = _curve(counts, k)
     # neg strictly below this score = N - (negatives at or above it)
     contrib = F.col("pos") * (F.col("N") - F.col("cum_neg") + F.col("neg") / 2.0)
-    return c.groupBy(*k).agg(_ratio(F.sum(contrib), F.first("P") * F.first("N")).alias("auc"))
+    return c.groupBy(*k).agg(_ratio(F.sum(contrib), F.max("P") * F.max("N")).alias("auc"))
 
 
 def roc_auc(scored: DataFrame, positive: str, score_col: str, actual: str = "actual") -> DataFrame:

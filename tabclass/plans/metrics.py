@@ -81,24 +81,27 @@ def per_class(cm: DataFrame, keys: Sequence[str] = (), labels: Sequence[str] | N
 def summary(cm: DataFrame, keys: Sequence[str] = (), labels: Sequence[str] | None = None,
             beta: float = 1.0) -> DataFrame:
     """One row per key: accuracy (over all rows), macro and support-weighted
-    precision / recall / F1 / F-beta over ``labels`` (None = all seen)."""
+    precision / recall / F1 / F-beta over ``labels`` (None = all seen).
+
+    One conditional aggregate over the per-class table (no joins): focus
+    labels that never occur contribute zeros through the fixed divisor."""
     k = _k(keys)
-    if not k:  # a constant key keeps the final join an equi-join of two one-row frames
-        k = ["__all"]
-        cm = cm.withColumn("__all", F.lit(0))
-    pc = per_class(cm, k, labels, beta)
-    sw = F.sum("support")
-    acc = cm.groupBy(*k).agg(_ratio(F.sum(F.when(F.col("actual") == F.col("pred"), F.col("n"))
-                                          .otherwise(0)), F.sum("n")).alias("accuracy"))
-    agg = pc.groupBy(*k).agg(
-        F.avg("precision").alias("precision"), F.avg("recall").alias("recall"),
-        F.avg("f1").alias("f1"), F.avg("fbeta").alias("fbeta"),
-        _ratio(F.sum(F.col("precision") * F.col("support")), sw).alias("weighted_precision"),
-        _ratio(F.sum(F.col("recall") * F.col("support")), sw).alias("weighted_recall"),
-        _ratio(F.sum(F.col("f1") * F.col("support")), sw).alias("weighted_f1"),
+    pc = per_class(cm, k, None, beta)
+    if labels is None:
+        sel, n_lab = F.lit(True), F.count(F.lit(1))
+    else:
+        sel, n_lab = F.col("label").isin(list(labels)), F.lit(float(len(set(labels))))
+    on = lambda c: F.sum(F.when(sel, F.col(c)).otherwise(F.lit(0.0)))
+    sw = F.sum(F.when(sel, F.col("support")).otherwise(F.lit(0)))
+    wsum = lambda c: F.sum(F.when(sel, F.col(c) * F.col("support")).otherwise(F.lit(0.0)))
+    return pc.groupBy(*k).agg(
+        _ratio(F.sum("tp"), F.sum("support")).alias("accuracy"),
+        (on("precision") / n_lab).alias("precision"), (on("recall") / n_lab).alias("recall"),
+        (on("f1") / n_lab).alias("f1"), (on("fbeta") / n_lab).alias("fbeta"),
+        _ratio(wsum("precision"), sw).alias("weighted_precision"),
+        _ratio(wsum("recall"), sw).alias("weighted_recall"),
+        _ratio(wsum("f1"), sw).alias("weighted_f1"),
         sw.alias("support"))
-    out = acc.join(agg, on=k, how="left")
-    return out.drop("__all")
 
 
 def classification_report(cm: DataFrame, keys: Sequence[str] = (), digits: int = 4) -> DataFrame:
