@@ -64,12 +64,13 @@ def build_classifier(model_name: str, params: dict | None, n_classes: int, seed:
     """An MLlib classifier for a model family and reference-named params."""
     kw, _ = map_params(model_name, params or {})
     common = dict(featuresCol="features", labelCol="label")
+    tree = dict(maxMemoryInMB=512)  # more nodes per pass over the data; same model definition
     if model_name == "rf":
-        return RandomForestClassifier(seed=seed, **common, **kw)
+        return RandomForestClassifier(seed=seed, **common, **tree, **kw)
     if model_name == "dt":
-        return DecisionTreeClassifier(seed=seed, **common, **kw)
+        return DecisionTreeClassifier(seed=seed, **common, **tree, **kw)
     if model_name == "xg":
-        gbt = GBTClassifier(seed=seed, **common, **kw)
+        gbt = GBTClassifier(seed=seed, **common, **tree, **kw)
         return gbt if n_classes <= 2 else OneVsRest(classifier=gbt, parallelism=n_classes, **common)
     if model_name == "nb":
         return NaiveBayes(modelType="gaussian", **common)

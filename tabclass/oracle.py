@@ -166,7 +166,7 @@ SELECT {_r('a.weighted_precision')} AS weighted_precision, {_r('a.weighted_recal
        {_r('f.weighted_recall')} AS focus_weighted_recall, {_r('f.weighted_f1')} AS focus_weighted_f1
 FROM ({summary_sql(F_SCORED)}) a, ({summary_sql(F_SCORED, FOCUS)}) f"""
 Q["fbeta_metrics"] = " UNION ALL ".join(
-    f"SELECT {b!r} AS beta, {_r('a.fbeta')} AS overall_fbeta, {_r('f.fbeta')} AS fbeta "
+    f"SELECT CAST({b!r} AS DOUBLE) AS beta, {_r('a.fbeta')} AS overall_fbeta, {_r('f.fbeta')} AS fbeta "
     f"FROM ({summary_sql(F_SCORED, None, b)}) a, ({summary_sql(F_SCORED, FOCUS, b)}) f"
     for b in (0.5, 1.0, 2.0))
 
@@ -264,7 +264,7 @@ Q["prep_columns"] = (f"SELECT row_id AS id, o_totalprice, o_custkey, m, coalesce
 Q["with_actual"] = (f"SELECT row_id, CAST(status AS VARCHAR) AS status_actual, 'ord' AS src FROM ({F_ORD}) "
                     f"UNION ALL SELECT row_id, 'NA' AS status_actual, 'extra' AS src FROM ({F_EXTRA})")
 Q["drop_columns"] = f"SELECT row_id, status, o_totalprice FROM ({F_ORD})"
-Q["align_features"] = f"SELECT row_id, o_totalprice, o_custkey, 0.0 AS gone FROM ({F_EXTRA})"
+Q["align_features"] = f"SELECT row_id, o_totalprice, o_custkey, CAST(0.0 AS DOUBLE) AS gone FROM ({F_EXTRA})"
 Q["tag_literals"] = (f"SELECT row_id, status, 'rf' AS model_name, 'smote' AS sampling_type, 'm-001' AS model_id "
                      f"FROM ({F_ORD})")
 Q["safe_names"] = f"SELECT row_id, o_totalprice, o_custkey, x, \"1\" AS pred_1 FROM ({F_EXTRA})"
