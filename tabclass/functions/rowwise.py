@@ -41,3 +41,23 @@ def ensemble_vote(df: DataFrame, id_col: str, pred_cols: Sequence[str],
         (-F.size(F.filter(arr, lambda x: x == v))).alias("neg"), v.alias("v")))
     best = F.array_min(counted)
     return df.withColumn(out, best.getField("v"))
+
+
+MAX_LITERAL_KEYS = 10000
+
+
+def lookup_small(df: DataFrame, small: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
+    """Attach ``values`` of a small keyed table (one row per class, group, ...)
+    to ``df`` by key without a join: the table is collected (it is bounded by
+    the key count) and applied as literal maps, so a key holding a third of
+    the rows never lands on one reducer. Past MAX_LITERAL_KEYS it falls back to
+    a broadcast join."""
+    rows = small.select(key, *values).limit(MAX_LITERAL_KEYS + 1).collect()
+    if len(rows) > MAX_LITERAL_KEYS:
+        return df.join(F.broadcast(small.select(key, *values)), key)
+    out = {}
+    types = {f.name: f.dataType for f in small.schema.fields}
+    for v in values:
+        m = F.create_map(*[x for r in rows for x in (F.lit(r[key]), F.lit(r[v]))]) if rows else None
+        out[v] = (F.element_at(m, F.col(key)) if m is not None else F.lit(None)).cast(types[v])
+    return df.withColumns(out)

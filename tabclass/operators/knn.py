@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash32
+from ..functions.rowwise import lookup_small
 
 DEFAULT_BLOCK_ROWS = 4096
 
@@ -50,8 +51,10 @@ def knn(queries: DataFrame, candidates: DataFrame, k: int, features: str = "feat
     c = candidates.select(*[F.col(p).alias(p) for p in part], F.col(id_col).alias("cid"),
                           F.col(features).alias("cf"))
     nb = _blocks(c, part, block_rows)
-    if part:
-        q, c = q.join(nb, part), c.join(nb, part)
+    if len(part) == 1:
+        q, c = lookup_small(q, nb, part[0], ["__nb"]), lookup_small(c, nb, part[0], ["__nb"])
+    elif part:
+        q, c = q.join(F.broadcast(nb), part), c.join(F.broadcast(nb), part)
     else:
         n_blocks = int(nb.first()["__nb"])
         q, c = q.withColumn("__nb", F.lit(n_blocks)), c.withColumn("__nb", F.lit(n_blocks))

@@ -34,10 +34,10 @@ def smote(df: DataFrame, features: Sequence[str], target: str = "target", id_col
     d = hash_rank(_with_class_stats(base, "target"), "target", "id", f"sm{seed}")
     e = F.col("__max") - F.col("__n")
     copies = F.when(F.col("__rank") <= e, F.floor((e - F.col("__rank")) / F.col("__n")) + 1).otherwise(0)
-    need = (d.withColumn("__c", copies.cast("int")).where(F.col("__c") > 0)
-            .select("id", "target", "fv", F.explode(F.sequence(F.lit(1), F.col("__c"))).alias("copy_no")))
-    # neighbours only for rows that make new rows, among all rows of their class
-    seeds = need.select("id", "target", "fv").distinct()
+    makers = d.withColumn("__c", copies.cast("int")).where(F.col("__c") > 0)
+    need = makers.select("id", "target", "fv", F.explode(F.sequence(F.lit(1), F.col("__c"))).alias("copy_no"))
+    # neighbours only for rows that make new rows (one row per id), among all rows of their class
+    seeds = makers.select("id", "target", "fv")
     nn = knn(seeds, base, k, features="fv", part_cols=["target"], exclude_self=True,
              block_rows=block_rows)
     pick = (hash32(f"{seed}:nb", F.col("id"), F.col("copy_no")) % F.lit(k) + 1).cast("int")

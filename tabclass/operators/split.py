@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..config import SPLIT_SEED, VALIDATION_SHARE
 from ..functions.hashing import hash32, hash_bucket
 from ..functions.ranking import rank_within
+from ..functions.rowwise import lookup_small
 
 
 def _class_counts(df: DataFrame, target: str) -> DataFrame:
@@ -29,7 +30,7 @@ def stratified_split(df: DataFrame, target: str = "target", id_col: str = "id",
     h = hash32(seed, F.col(id_col))
     d = df.withColumn("__h", h)
     d = rank_within(d, [target], ["__h", id_col], out="__r", bucket=hash_bucket(F.col("__h")))
-    d = d.join(_class_counts(df, target), target)
+    d = lookup_small(d, _class_counts(df, target), target, ["__n"])
     n_val = F.floor(F.col("__n") * F.lit(float(share)) + F.lit(0.5))
     return (d.withColumn(out, F.when(F.col("__r") <= n_val, "validation").otherwise("train"))
             .drop("__h", "__r", "__n"))
@@ -68,9 +69,7 @@ def stratified_kfold(df: DataFrame, k: int, target: str = "target", id_col: str
     spark = df.sparkSession
     qdf = spark.createDataFrame([(lab, *q) for lab, q in quotas.items()],
                                 ", ".join([f"`{target}` string"] + [f"cq{f} long" for f in range(k)]))
-    if len(quotas) <= 100000:
-        qdf = F.broadcast(qdf)  # size known on the driver: classes x k numbers
     d = rank_within(df, [target], [id_col], out="__r", n_buckets=n_buckets)
-    d = d.join(qdf, target)
+    d = lookup_small(d, qdf, target, [f"cq{f}" for f in range(k)])  # classes x k numbers
     fold = sum((F.col(f"cq{f}") < F.col("__r")).cast("int") for f in range(k))
     return d.withColumn(out, fold).drop("__r", *[f"cq{f}" for f in range(k)])
