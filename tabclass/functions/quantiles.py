@@ -29,20 +29,33 @@ def grouped_exact_quantiles(df: DataFrame, group_col: str | None, value_col: str
                             qs: Sequence[float], n_buckets: int = N_BUCKETS) -> dict:
     """{group: [quantile per q]} (None for empty groups). ``group_col`` None = one group."""
     g = F.col(group_col) if group_col else F.lit(0)
-    v = df.select(g.alias("g"), F.col(value_col).cast("double").alias("v")).where(F.col("v").isNotNull())
+    # one projected column, kept for the three passes (the input may be model output)
+    v = (df.select(g.alias("g"), F.col(value_col).cast("double").alias("v")).where(F.col("v").isNotNull())
+         .persist())
+    try:
+        return _grouped(v, group_col, qs, n_buckets)
+    finally:
+        v.unpersist()
+
+
+def _grouped(v: DataFrame, group_col, qs, n_buckets):
     probs = [i / n_buckets for i in range(1, n_buckets)]
     heads = v.groupBy("g").agg(F.count(F.lit(1)).alias("n"),
                                F.percentile_approx("v", probs, 100 * n_buckets).alias("b")).collect()
     if not heads:
         return {}
-    spark = df.sparkSession
+    spark = v.sparkSession
     bounds = {h["g"]: sorted({float(x) for x in (h["b"] or [])}) for h in heads}
     ns = {h["g"]: int(h["n"]) for h in heads}
-    bdf = spark.createDataFrame([(k, b) for k, b in bounds.items()],
-                                f"g {v.schema['g'].dataType.simpleString()}, bounds array<double>")
-    # bucket = number of boundaries below the value (boundaries are few per group)
-    vb = (v.join(F.broadcast(bdf), "g")
-          .withColumn("bk", F.size(F.filter("bounds", lambda b: b < F.col("v")))).drop("bounds"))
+    if group_col is None:  # one group: binary search in the JVM (Bucketizer)
+        from .ranking import with_range_bucket
+        vb = with_range_bucket(v, "v", "bk", splits=[float("-inf")] + bounds[0] + [float("inf")])
+    else:
+        bdf = spark.createDataFrame([(k, b) for k, b in bounds.items()],
+                                    f"g {v.schema['g'].dataType.simpleString()}, bounds array<double>")
+        # bucket = number of boundaries below the value (<= 63 per group)
+        vb = (v.join(F.broadcast(bdf), "g")
+              .withColumn("bk", F.size(F.filter("bounds", lambda b: b < F.col("v")))).drop("bounds"))
     counts: dict = {}
     for r in vb.groupBy("g", "bk").agg(F.count(F.lit(1)).alias("c")).collect():
         counts.setdefault(r["g"], {})[r["bk"]] = r["c"]
