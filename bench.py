@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -18,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tabclass.config import JobConfig  # noqa: E402
 from tabclass.plans.job import train_job  # noqa: E402
 from tabclass.queries import all_queries  # noqa: E402
-from tabclass.session import get_spark  # noqa: E402
+from tabclass.session import get_spark, scratch_path  # noqa: E402
 from tabclass.sources import fixtures as fx  # noqa: E402
 
 HEADLINE = ("classification_report", "percentile_breakdown", "precision_buckets", "roc_auc_macro",
@@ -42,7 +41,7 @@ def main() -> None:
         run(qs[name](spark, sf_dir))
         times[name] = round(time.time() - t0, 3)
     # full job: F_SEP, models rf + dt, rf with 2 random draws, 3 folds
-    out_root = tempfile.mkdtemp(prefix="tabclass-bench-")
+    out_root = scratch_path(spark, "bench")  # the shared checkpoint folder
     sep = fx.f_sep(spark, sf_dir)
     cfg = JobConfig(historic_table="events", prediction_table="events_scored", target="band",
                     id_col="event_id", model_id="bench-01", accuracy_focus="recall",

@@ -45,9 +45,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if d:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
+    if not d:  # unset (tests, ad-hoc local runs): a private folder
         d = tempfile.mkdtemp(prefix="tabclass-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
