@@ -106,7 +106,9 @@ Q["sampling_plan"] = PLAN
 COMBOS = f"""SELECT m.model_name, p.sampling_type, m.mi * 100 + p.ord AS ord, m.model_name || '_' || p.sampling_type AS combo
 FROM ({PLAN}) p CROSS JOIN (VALUES ('rf', 0), ('xg', 1)) m(model_name, mi)"""
 Q["model_combos"] = COMBOS
-Q["split_combo"] = f"SELECT combo, split_part(combo, '_', 1) AS model, split_part(combo, '_', 2) AS sampling FROM ({COMBOS})"
+Q["split_combo"] = (f"SELECT combo, split_part(combo, '_', 1) AS model, split_part(combo, '_', 2) AS sampling, "
+                    f"[lower(trim(split_part(combo, '_', 1))), lower(trim(split_part(combo, '_', 2)))] AS parts "
+                    f"FROM ({COMBOS})")
 
 
 def _draw(h: str, values) -> str:

@@ -47,6 +47,7 @@ def train_job(spark: SparkSession, cfg: JobConfig, history: DataFrame, to_score:
     actuals = scored_in.select(F.col(f"`{cfg.id_col}`").alias("id"), f"{cfg.target}_actual")
     pred_in = prep.prep_columns(scored_in.drop(f"{cfg.target}_actual"), cfg.id_col,
                                 cfg.target if cfg.target in to_score.columns else None, like=hist)
+    pred_in = prep.cast_like(pred_in, hist.drop("target").schema)  # P10: history's types
     features = prep.feature_columns(hist)
     focus = cfg.focus_labels()
     if focus is None:  # 'all': every class; the smallest cuts buckets (Q6)

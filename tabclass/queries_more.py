@@ -101,7 +101,8 @@ def q_trial_grid(spark, sf_dir):
 def q_split_combo(spark, sf_dir):
     c = sampling.model_combos(_plan(spark, sf_dir)).select("combo")
     return c.select("combo", lists.combo_model(F.col("combo")).alias("model"),
-                    lists.combo_sampling(F.col("combo")).alias("sampling"))
+                    lists.combo_sampling(F.col("combo")).alias("sampling"),
+                    lists.split_list(F.regexp_replace("combo", "_", " , ")).alias("parts"))
 
 
 # --------------------------------------------------------------- neighbours

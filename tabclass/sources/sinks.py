@@ -10,7 +10,6 @@ errors, Q12).
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,10 +19,18 @@ from ..session import scratch_path
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """A readable parquet table at ``path`` (dynamic partition overwrites
+    leave no _SUCCESS marker at the root, so the footer read decides)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p) and fs.exists(jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS"))
+    if not fs.exists(p):
+        return False
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except Exception:  # noqa: BLE001  (empty or partial folder)
+        return False
 
 
 def write_results(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -96,9 +103,5 @@ def log_run(metrics: DataFrame, path: str, run_id: str, model_id: str, run_name:
     return metrics.sparkSession.read.parquet(path)
 
 
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 __all__ = ["write_results", "persist_data", "replace_by_key", "export_csv", "read_csv", "log_run",
-           "RUN_SCHEMA", "os"]
+           "RUN_SCHEMA"]
