@@ -38,26 +38,21 @@ def grouped_exact_quantiles(df: DataFrame, group_col: str | None, value_col: str
         v.unpersist()
 
 
-def _grouped(v: DataFrame, group_col, qs, n_buckets):
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    heads = v.groupBy("g").agg(F.count(F.lit(1)).alias("n"),
-                               F.percentile_approx("v", probs, 100 * n_buckets).alias("b")).collect()
-    if not heads:
-        return {}
-    spark = v.sparkSession
-    bounds = {h["g"]: sorted({float(x) for x in (h["b"] or [])}) for h in heads}
-    ns = {h["g"]: int(h["n"]) for h in heads}
-    if group_col is None:  # one group: binary search in the JVM (Bucketizer)
-        from .ranking import with_range_bucket
-        vb = with_range_bucket(v, "v", "bk", splits=[float("-inf")] + bounds[0] + [float("inf")])
-    else:
-        bdf = spark.createDataFrame([(k, b) for k, b in bounds.items()],
-                                    f"g {v.schema['g'].dataType.simpleString()}, bounds array<double>")
-        # bucket = number of boundaries below the value (<= 63 per group)
-        vb = (v.join(F.broadcast(bdf), "g")
-              .withColumn("bk", F.size(F.filter("bounds", lambda b: b < F.col("v")))).drop("bounds"))
+def _positions(n: int, qs) -> list[tuple[float, int, int]]:
+    out = []
+    for q in qs:
+        h = (n - 1) * float(q)
+        out.append((h, math.floor(h), math.ceil(h)))
+    return out
+
+
+def _values_at(vb: DataFrame, ns: dict, qs) -> dict:
+    """``vb`` (g, v, bk) with buckets non-decreasing in v per group: the
+    interpolated quantiles of every group in ``ns`` ({group: row count})."""
+    spark = vb.sparkSession
+    gtype = vb.schema["g"].dataType.simpleString()
     counts: dict = {}
-    for r in vb.groupBy("g", "bk").agg(F.count(F.lit(1)).alias("c")).collect():
+    for r in vb.groupBy("g", "bk").agg(F.count(F.lit(1)).alias("c")).collect():  # groups x buckets
         counts.setdefault(r["g"], {})[r["bk"]] = r["c"]
     starts = {}
     for key, cs in counts.items():
@@ -73,25 +68,21 @@ def _grouped(v: DataFrame, group_col, qs, n_buckets):
                 return b, pos - starts[key][b]
         raise AssertionError((key, pos))
 
-    plans, need = {}, {}
-    for key, n in ns.items():
-        plans[key] = []
-        for q in qs:
-            h = (n - 1) * float(q)
-            lo, hi = math.floor(h), math.ceil(h)
-            plans[key].append((h, lo, hi))
+    plans = {key: _positions(n, qs) for key, n in ns.items()}
+    need: dict = {}
+    for key, plan in plans.items():
+        for _, lo, hi in plan:
             for p in (lo, hi):
                 b, r = locate(key, p)
                 need.setdefault((key, b), set()).add(r)
-    cells = spark.createDataFrame([(key, b) for key, b in need],
-                                  f"g {v.schema['g'].dataType.simpleString()}, bk int")
+    cells = spark.createDataFrame([(key, b) for key, b in need], f"g {gtype}, bk int")
     w = Window.partitionBy("g", "bk").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = (vb.join(F.broadcast(cells), ["g", "bk"])
               .groupBy("g", "bk", "v").agg(F.count(F.lit(1)).alias("c"))
               .withColumn("hi_pos", F.sum("c").over(w))
               .withColumn("lo_pos", F.col("hi_pos") - F.col("c")))
     wanted = spark.createDataFrame([(key, b, r) for (key, b), rs in need.items() for r in rs],
-                                   f"g {v.schema['g'].dataType.simpleString()}, bk int, r long")
+                                   f"g {gtype}, bk int, r long")
     found = (ranked.join(F.broadcast(wanted), ["g", "bk"])
              .where((F.col("lo_pos") <= F.col("r")) & (F.col("hi_pos") > F.col("r")))
              .select("g", "bk", "r", "v").collect())
@@ -107,6 +98,41 @@ def _grouped(v: DataFrame, group_col, qs, n_buckets):
     return out
 
 
+def _grouped(v: DataFrame, group_col, qs, n_buckets):
+    from .ranking import ROWS_PER_BUCKET, buckets_for, with_range_bucket
+
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    heads = v.groupBy("g").agg(F.count(F.lit(1)).alias("n"),
+                               F.percentile_approx("v", probs, 100 * n_buckets).alias("b")).collect()
+    if not heads:
+        return {}
+    spark = v.sparkSession
+    ns = {h["g"]: int(h["n"]) for h in heads}
+    bounds = {h["g"]: sorted({float(x) for x in (h["b"] or [])}) for h in heads}
+    out = {}
+    # a group too large for n_buckets cells of ~ROWS_PER_BUCKET rows: its own pass with
+    # more buckets, found by binary search (Bucketizer)
+    large = [k for k, n in ns.items() if n > n_buckets * ROWS_PER_BUCKET or group_col is None]
+    for key in large:
+        nb = buckets_for(ns[key], floor=n_buckets)
+        gv = v.where(F.col("g") == F.lit(key)) if group_col is not None else v
+        b = bounds[key]
+        if nb > n_buckets:
+            b = sorted({float(x) for x in gv.agg(F.percentile_approx(
+                "v", [i / nb for i in range(1, nb)], 4 * nb).alias("b")).first()["b"]})
+        vb = with_range_bucket(gv, "v", "bk", splits=[float("-inf")] + b + [float("inf")])
+        out.update(_values_at(vb, {key: ns[key]}, qs))
+    small = {k: n for k, n in ns.items() if k not in large}
+    if small:
+        bdf = spark.createDataFrame([(k, bounds[k]) for k in small],
+                                    f"g {v.schema['g'].dataType.simpleString()}, bounds array<double>")
+        # bucket = number of boundaries below the value (< n_buckets per group)
+        vb = (v.join(F.broadcast(bdf), "g")
+              .withColumn("bk", F.size(F.filter("bounds", lambda x: x < F.col("v")))).drop("bounds"))
+        out.update(_values_at(vb, small, qs))
+    return out
+
+
 def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float],
                     n_buckets: int = N_BUCKETS) -> list[float | None]:
     res = grouped_exact_quantiles(df, None, col, qs, n_buckets)

@@ -24,6 +24,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 64
+ROWS_PER_BUCKET = 2_000_000   # target rows per window partition
+MAX_BUCKETS = 65536
+
+
+def buckets_for(max_group_rows: int, rows_per_bucket: int | None = None,
+                floor: int = DEFAULT_BUCKETS) -> int:
+    """Bucket count so the largest group's window partitions hold about
+    ``rows_per_bucket`` rows (between ``floor`` and MAX_BUCKETS)."""
+    need = -(-int(max_group_rows) // (rows_per_bucket or ROWS_PER_BUCKET))
+    return int(min(MAX_BUCKETS, max(floor, need)))
+
+
+def hash_bits_for(max_group_rows: int) -> int:
+    """Hash-prefix bits giving ~ROWS_PER_BUCKET rows per (group, bucket); >= 8."""
+    return max(8, (buckets_for(max_group_rows, floor=256) - 1).bit_length())
 
 
 def _cols(xs) -> list:
@@ -34,23 +49,30 @@ def _cols(xs) -> list:
     return list(xs)
 
 
-def range_splits(df: DataFrame, col: str, n_buckets: int = DEFAULT_BUCKETS,
+def range_splits(df: DataFrame, col: str, n_buckets: int | None = DEFAULT_BUCKETS,
                  accuracy: int = 10000) -> list[float]:
-    """Bucketizer splits from approximate quantiles of ``col`` (one small job).
+    """Bucketizer splits from approximate quantiles of ``col``.
 
-    The split list is bounded by ``n_buckets`` whatever the data size; only the
-    balance of the buckets depends on the sketch, never the exactness of the
-    ranks built on them.
+    ``n_buckets`` None sizes the buckets from the row count (one extra pass
+    only when more than DEFAULT_BUCKETS are needed). The split list is bounded
+    by MAX_BUCKETS whatever the data size; only the balance of the buckets
+    depends on the sketch, never the exactness of what is built on them.
     """
-    if n_buckets <= 1:
+    nb = n_buckets or DEFAULT_BUCKETS
+    if nb <= 1:
         return [float("-inf"), float("inf")]
-    qs = [i / n_buckets for i in range(1, n_buckets)]
-    row = df.agg(F.percentile_approx(F.col(col).cast("double"), qs, accuracy).alias("b")).first()
+    x = F.col(col).cast("double")
+    row = df.agg(F.count(x).alias("n"),
+                 F.percentile_approx(x, [i / nb for i in range(1, nb)], accuracy).alias("b")).first()
+    if n_buckets is None and buckets_for(row["n"] or 0) > nb:
+        nb = buckets_for(row["n"])
+        row = df.agg(F.percentile_approx(x, [i / nb for i in range(1, nb)], max(accuracy, 4 * nb))
+                     .alias("b")).first()
     bounds = sorted({float(b) for b in (row["b"] or []) if b is not None})
     return [float("-inf")] + bounds + [float("inf")]
 
 
-def with_range_bucket(df: DataFrame, col: str, out: str, n_buckets: int = DEFAULT_BUCKETS,
+def with_range_bucket(df: DataFrame, col: str, out: str, n_buckets: int | None = DEFAULT_BUCKETS,
                       splits: Sequence[float] | None = None) -> DataFrame:
     splits = list(splits) if splits is not None else range_splits(df, col, n_buckets)
     tmp = f"__{out}_d"
@@ -82,7 +104,7 @@ def _bucket_offsets(df: DataFrame, part: list, bucket: str, value_cols: dict[str
 
 
 def rank_within(df: DataFrame, part_cols, order_cols, out: str = "rank",
-                bucket: Column | None = None, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                bucket: Column | None = None, n_buckets: int | None = None) -> DataFrame:
     """Add ``out`` = 1-based row_number within ``part_cols`` in ``order_cols`` order.
 
     ``order_cols`` must be a total order (end with a unique column). ``bucket``
@@ -110,7 +132,7 @@ def rank_within(df: DataFrame, part_cols, order_cols, out: str = "rank",
 
 
 def running_sum(df: DataFrame, order_col: str, sum_cols: Sequence[str], part_cols=None,
-                descending: bool = False, n_buckets: int = DEFAULT_BUCKETS,
+                descending: bool = False, n_buckets: int | None = None,
                 prefix: str = "cum_") -> DataFrame:
     """Add inclusive running sums ``cum_<c>`` of ``sum_cols`` in ``order_col`` order
     within ``part_cols``. Order values must be unique within a part (aggregate by

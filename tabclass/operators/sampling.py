@@ -16,14 +16,16 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT_MODELS, IMBALANCE_LIMIT, UNDER_SAMPLING_FLOOR
 from ..functions.hashing import hash32, hash_bucket
-from ..functions.ranking import rank_within
+from ..functions.ranking import hash_bits_for, rank_within
 
 
-def hash_rank(df: DataFrame, target: str, id_col: str, seed, out: str = "__rank") -> DataFrame:
-    """1-based rank of each row inside its class in md5('<seed>:<id>') order."""
+def hash_rank(df: DataFrame, target: str, id_col: str, seed, out: str = "__rank",
+              max_class_rows: int = 0) -> DataFrame:
+    """1-based rank of each row inside its class in md5('<seed>:<id>') order;
+    hash buckets sized from the largest class."""
     d = df.withColumn("__h", hash32(seed, F.col(id_col)))
     return rank_within(d, [target], ["__h", id_col], out=out,
-                       bucket=hash_bucket(F.col("__h"))).drop("__h")
+                       bucket=hash_bucket(F.col("__h"), hash_bits_for(max_class_rows))).drop("__h")
 
 
 MAX_LITERAL_CLASSES = 10000
@@ -49,9 +51,16 @@ def _with_class_stats(df: DataFrame, target: str) -> DataFrame:
             .withColumn("__max", F.lit(int(ext["hi"])).cast("bigint")))
 
 
+def _max_class(df: DataFrame) -> int:
+    """Largest class size: __max is a literal (or a join-free constant), so this
+    reads one row of the plan, not the data."""
+    return int(df.select("__max").limit(1).first()[0] or 0)
+
+
 def under_sample(df: DataFrame, target: str = "target", id_col: str = "id", seed=1) -> DataFrame:
     """M3: every class cut to the minority count (rows with the smallest draws)."""
-    d = hash_rank(_with_class_stats(df, target), target, id_col, f"us{seed}")
+    s = _with_class_stats(df, target)
+    d = hash_rank(s, target, id_col, f"us{seed}", max_class_rows=_max_class(s))
     return d.where(F.col("__rank") <= F.col("__min")).drop("__rank", "__n", "__min", "__max")
 
 
@@ -65,7 +74,8 @@ def over_sample(df: DataFrame, target: str = "target", id_col: str = "id", seed=
     (at most ceil(e / n)), so no task has to produce a whole class's extras.
     Originals carry ``copy_no`` 0, extras 1, 2, ...
     """
-    d = hash_rank(_with_class_stats(df, target), target, id_col, f"os{seed}")
+    s = _with_class_stats(df, target)
+    d = hash_rank(s, target, id_col, f"os{seed}", max_class_rows=_max_class(s))
     e = F.col("__max") - F.col("__n")
     copies = F.when(F.col("__rank") <= e, F.floor((e - F.col("__rank")) / F.col("__n")) + 1).otherwise(0)
     d = d.withColumn("__c", copies.cast("int"))

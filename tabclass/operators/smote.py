@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import hash32, hash_unit
 from .knn import DEFAULT_BLOCK_ROWS, knn
-from .sampling import _with_class_stats, hash_rank
+from .sampling import _max_class, _with_class_stats, hash_rank
 
 
 def smote(df: DataFrame, features: Sequence[str], target: str = "target", id_col: str = "id",
@@ -31,7 +31,8 @@ def smote(df: DataFrame, features: Sequence[str], target: str = "target", id_col
     too_small = counts.where(F.col("n") <= k).count()
     if too_small:
         raise ValueError(f"SMOTE needs more than k={k} rows in every class; {too_small} class(es) have fewer")
-    d = hash_rank(_with_class_stats(base, "target"), "target", "id", f"sm{seed}")
+    st = _with_class_stats(base, "target")
+    d = hash_rank(st, "target", "id", f"sm{seed}", max_class_rows=_max_class(st))
     e = F.col("__max") - F.col("__n")
     copies = F.when(F.col("__rank") <= e, F.floor((e - F.col("__rank")) / F.col("__n")) + 1).otherwise(0)
     makers = d.withColumn("__c", copies.cast("int")).where(F.col("__c") > 0)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import SPLIT_SEED, VALIDATION_SHARE
 from ..functions.hashing import hash32, hash_bucket
-from ..functions.ranking import rank_within
+from ..functions.ranking import hash_bits_for, rank_within
 from ..functions.rowwise import lookup_small
 
 
@@ -27,10 +27,14 @@ def stratified_split(df: DataFrame, target: str = "target", id_col: str = "id",
     """Per class, the ``floor(share * n_c + 0.5)`` rows with the smallest
     ``md5('<seed>:<id>')`` draw are 'validation', the rest 'train'. Class
     shares are kept within one row; a class with >= 2 rows is on both sides."""
+    counts = _class_counts(df, target).persist()
+    top = counts.agg(F.max("__n")).first()[0] or 0
     h = hash32(seed, F.col(id_col))
     d = df.withColumn("__h", h)
-    d = rank_within(d, [target], ["__h", id_col], out="__r", bucket=hash_bucket(F.col("__h")))
-    d = lookup_small(d, _class_counts(df, target), target, ["__n"])
+    d = rank_within(d, [target], ["__h", id_col], out="__r",
+                    bucket=hash_bucket(F.col("__h"), hash_bits_for(top)))
+    d = lookup_small(d, counts, target, ["__n"])
+    counts.unpersist()
     n_val = F.floor(F.col("__n") * F.lit(float(share)) + F.lit(0.5))
     return (d.withColumn(out, F.when(F.col("__r") <= n_val, "validation").otherwise("train"))
             .drop("__h", "__r", "__n"))
@@ -61,7 +65,7 @@ def fold_quotas(class_rows: list[tuple[str, int, object]], k: int) -> dict[str,
 
 
 def stratified_kfold(df: DataFrame, k: int, target: str = "target", id_col: str = "id",
-                     out: str = "fold", n_buckets: int = 64) -> DataFrame:
+                     out: str = "fold", n_buckets: int | None = None) -> DataFrame:
     """M8: fold 0..k-1 per row; within a class rows are taken in id order."""
     stats = df.groupBy(target).agg(F.count(F.lit(1)).alias("n"), F.min(id_col).alias("first"))
     rows = [(r[target], int(r["n"]), r["first"]) for r in stats.collect()]  # one row per class

@@ -114,3 +114,23 @@ def test_smote_small_class_raises(spark):
     d = full.where("target = 'no'").unionByName(full.where("target = 'yes'").orderBy("id").limit(3))
     with pytest.raises(ValueError):
         smote.smote(d, ["o_totalprice"], k=5)
+
+
+def test_adaptive_buckets_give_same_results(spark, monkeypatch):
+    """Force the large-data paths (thousands of buckets) on small data."""
+    from tabclass.functions import ranking
+
+    d = _ord(spark, SF_SMALL)
+    base_split = sorted((r["id"], r["split"]) for r in split.stratified_split(d).collect())
+    s = fx.f_scored(spark, SF_SMALL)
+    qs = [0.0, 0.3, 0.5, 0.99, 1.0]
+    base_q = exact_quantiles(s, "purchase", qs)
+    train = split.stratified_split(d).where("split = 'train'").drop("split")
+    base_fold = sorted((r["id"], r["fold"]) for r in split.stratified_kfold(train, 5).collect())
+    monkeypatch.setattr(ranking, "ROWS_PER_BUCKET", 3)
+    assert ranking.hash_bits_for(5000) > 8 and ranking.buckets_for(10000) > 64
+    assert sorted((r["id"], r["split"]) for r in split.stratified_split(d).collect()) == base_split
+    assert exact_quantiles(s, "purchase", qs) == pytest.approx(base_q)
+    assert sorted((r["id"], r["fold"]) for r in split.stratified_kfold(train, 5).collect()) == base_fold
+    vals = np.array([r[0] for r in s.select("purchase").collect()])
+    assert base_q == pytest.approx(list(np.quantile(vals, qs)))
