@@ -82,7 +82,8 @@ def train_job(spark: SparkSession, cfg: JobConfig, history: DataFrame, to_score:
     best = search.best_per_combo(search.cv_summary(cv)).cache()
     if cfg.cv_score_table:
         sinks.persist_data(best.withColumn("model_id", F.lit(cfg.model_id)),
-                           f"{out_root}/{cfg.cv_score_table}", ["model_id", "model_name", "sampling_type"])
+                           f"{out_root}/{cfg.cv_score_table}", ["model_id", "model_name", "sampling_type"],
+                           partition_by="model_id")
     best_model = search.best_combo(best).first()["best_model"]
 
     fitted, preds = {}, {}
@@ -117,14 +118,16 @@ def train_job(spark: SparkSession, cfg: JobConfig, history: DataFrame, to_score:
     report = metrics.classification_report(metrics.confusion_counts(vbest))
     breakdown = buckets.percentile_breakdown(vbest, focus).withColumn("model_id", F.lit(cfg.model_id))
     if cfg.cl_report_table:
-        sinks.persist_data(breakdown, f"{out_root}/{cfg.cl_report_table}", ["model_id", "value"])
+        sinks.persist_data(breakdown, f"{out_root}/{cfg.cl_report_table}", ["model_id", "value"],
+                           partition_by="model_id")
     pbuckets = None
     if cfg.focus_labels() is not None:
         pbuckets = buckets.precision_buckets(vbest, focus)
         if cfg.precision_buckets_table:
             sinks.persist_data(pbuckets.select("percentile", "precision", "percentile_value", "users")
                                .withColumn("model_id", F.lit(cfg.model_id)),
-                               f"{out_root}/{cfg.precision_buckets_table}", ["model_id"])
+                               f"{out_root}/{cfg.precision_buckets_table}", ["model_id"],
+                               partition_by="model_id")
 
     marks.append(("registry_reports", time.time()))
     fm = fitted[best_model]
@@ -136,8 +139,9 @@ def train_job(spark: SparkSession, cfg: JobConfig, history: DataFrame, to_score:
         top = spark.createDataFrame([(cfg.model_id, features)], "model_id string, features array<string>")
         sinks.persist_data(top.select("model_id", format_feature_list(F.col("features")).alias("list"),
                                       F.current_timestamp().alias("inserted_at")),
-                           f"{out_root}/{cfg.top_vars_table}", ["model_id"])
-    results = sinks.persist_data(out, f"{out_root}/{cfg.prediction_table}_gc_results", ["model_id", "id"])
+                           f"{out_root}/{cfg.top_vars_table}", ["model_id"], partition_by="model_id")
+    results = sinks.persist_data(out, f"{out_root}/{cfg.prediction_table}_gc_results", ["model_id", "id"],
+                                 partition_by="model_id")
     marks.append(("score_persist", time.time()))
     phases = {marks[i][0]: round(marks[i][1] - marks[i - 1][1], 3) for i in range(1, len(marks))}
     return JobResult(best_model, cv, best, validation, report, breakdown, pbuckets, results,

@@ -51,21 +51,39 @@ def write_results(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     return spark.read.parquet(path)
 
 
-def persist_data(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
+def persist_data(df: DataFrame, path: str, keys: Sequence[str],
+                 partition_by: str | None = None) -> DataFrame:
     """Keyed upsert — rows of ``df`` replace stored rows with the same key.
 
     ``old LEFT ANTI JOIN new_keys`` keeps untouched rows (a shuffle join on the
     keys; AQE broadcasts the key side when it is small), ``unionByName`` adds
-    the new rows; the merge goes through :func:`write_results`.
+    the new rows; the merge goes through the staging area.
+
+    With ``partition_by`` (a key column such as ``model_id``) the table is
+    partitioned by it: only the partitions present in ``df`` are read (pruned
+    scan) and replaced (dynamic partition overwrite); other models' rows are
+    neither read nor rewritten.
     """
     spark = df.sparkSession
     keys = list(keys)
+    parts = [partition_by] if partition_by else []
     if not _exists(spark, path):
-        return write_results(df, path)
+        return write_results(df, path, parts)
     old = spark.read.parquet(path)
+    if partition_by:
+        touched = [r[0] for r in df.select(partition_by).distinct().collect()]  # a few model ids
+        old = old.where(F.col(partition_by).isin(touched))
     merged = (old.join(df.select(*keys).distinct(), keys, "left_anti")
               .unionByName(df, allowMissingColumns=True))
-    return write_results(merged, path)
+    if not partition_by:
+        return write_results(merged, path)
+    stage = scratch_path(spark, "stage")
+    merged.write.mode("overwrite").partitionBy(partition_by).parquet(stage)
+    staged = spark.read.parquet(stage)
+    staged.count()  # the stage is complete and readable before the target is touched
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_by).parquet(path))
+    return spark.read.parquet(path)
 
 
 def replace_by_key(df: DataFrame, path: str, key: str = "model_id") -> DataFrame:

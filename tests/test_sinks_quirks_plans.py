@@ -75,3 +75,15 @@ def test_no_single_partition_window(spark, key):
     for i in windows:  # the exchange feeding each window must be keyed, not SinglePartition
         below = next((ln for ln in lines[i + 1:] if "Exchange" in ln), "")
         assert "SinglePartition" not in below, lines[i]
+
+
+def test_partitioned_upsert_touches_one_model(spark, tmp_path):
+    path = str(tmp_path / "res")
+    a = spark.createDataFrame([("m1", 1, 1.0), ("m1", 2, 2.0), ("m2", 1, 5.0)], "model_id string, id int, v double")
+    sinks.persist_data(a, path, ["model_id", "id"], partition_by="model_id")
+    new = spark.createDataFrame([("m1", 2, 9.0), ("m1", 3, 3.0)], "model_id string, id int, v double")
+    out = sinks.persist_data(new, path, ["model_id", "id"], partition_by="model_id")
+    got = sorted((r["model_id"], r["id"], r["v"]) for r in out.collect())
+    assert got == [("m1", 1, 1.0), ("m1", 2, 9.0), ("m1", 3, 3.0), ("m2", 1, 5.0)]
+    again = sinks.persist_data(new, path, ["model_id", "id"], partition_by="model_id")
+    assert sorted((r["model_id"], r["id"], r["v"]) for r in again.collect()) == got
