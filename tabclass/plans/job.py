@@ -53,10 +53,13 @@ def train_job(spark: SparkSession, cfg: JobConfig, history: DataFrame, to_score:
     if focus is None:  # 'all': every class; the smallest cuts buckets (Q6)
         focus = tuple(sorted(r[0] for r in balance.class_list(hist).select("label").collect()))
 
-    parts = split.stratified_split(hist, seed=cfg.seed).checkpoint()  # cut lineage after the split
-    train = split.stratified_kfold(parts.where(F.col("split") == "train").drop("split"), cfg.cv_kfold)
-    train = train.checkpoint()  # cut lineage: reused by every fold fit
-    val = parts.where(F.col("split") == "validation").drop("split")
+    parts = split.stratified_split(hist, seed=cfg.seed)
+    folded = split.stratified_kfold(parts.where(F.col("split") == "train"), cfg.cv_kfold)
+    labelled = folded.unionByName(parts.where(F.col("split") == "validation")
+                                  .withColumn("fold", F.lit(None).cast("int")))
+    labelled = labelled.checkpoint()  # one lineage cut: split + folds, reused by every fit
+    train = labelled.where(F.col("split") == "train").drop("split")
+    val = labelled.where(F.col("split") == "validation").drop("split", "fold")
     marks.append(("split_folds", time.time()))
 
     plan = sampling.sampling_plan(hist, train, preferred=cfg.preferred[1] if cfg.preferred else None)
