@@ -79,29 +79,36 @@ def per_class(cm: DataFrame, keys: Sequence[str] = (), labels: Sequence[str] | N
 
 
 def summary(cm: DataFrame, keys: Sequence[str] = (), labels: Sequence[str] | None = None,
-            beta: float = 1.0) -> DataFrame:
+            beta: float = 1.0, focus: Sequence[str] | None = None) -> DataFrame:
     """One row per key: accuracy (over all rows), macro and support-weighted
-    precision / recall / F1 / F-beta over ``labels`` (None = all seen).
+    precision / recall / F1 / F-beta over ``labels`` (None = all seen); with
+    ``focus`` also the same metrics over the focus labels as ``focus_*``.
 
     One conditional aggregate over the per-class table (no joins): focus
     labels that never occur contribute zeros through the fixed divisor."""
     k = _k(keys)
     pc = per_class(cm, k, None, beta)
-    if labels is None:
-        sel, n_lab = F.lit(True), F.count(F.lit(1))
-    else:
-        sel, n_lab = F.col("label").isin(list(labels)), F.lit(float(len(set(labels))))
-    on = lambda c: F.sum(F.when(sel, F.col(c)).otherwise(F.lit(0.0)))
-    sw = F.sum(F.when(sel, F.col("support")).otherwise(F.lit(0)))
-    wsum = lambda c: F.sum(F.when(sel, F.col(c) * F.col("support")).otherwise(F.lit(0.0)))
-    return pc.groupBy(*k).agg(
-        _ratio(F.sum("tp"), F.sum("support")).alias("accuracy"),
-        (on("precision") / n_lab).alias("precision"), (on("recall") / n_lab).alias("recall"),
-        (on("f1") / n_lab).alias("f1"), (on("fbeta") / n_lab).alias("fbeta"),
-        _ratio(wsum("precision"), sw).alias("weighted_precision"),
-        _ratio(wsum("recall"), sw).alias("weighted_recall"),
-        _ratio(wsum("f1"), sw).alias("weighted_f1"),
-        sw.alias("support"))
+
+    def block(lab, prefix):
+        if lab is None:
+            sel, n_lab = F.lit(True), F.count(F.lit(1))
+        else:
+            sel, n_lab = F.col("label").isin(list(lab)), F.lit(float(len(set(lab))))
+        on = lambda c: F.sum(F.when(sel, F.col(c)).otherwise(F.lit(0.0)))
+        sw = F.sum(F.when(sel, F.col("support")).otherwise(F.lit(0)))
+        wsum = lambda c: F.sum(F.when(sel, F.col(c) * F.col("support")).otherwise(F.lit(0.0)))
+        return [(on("precision") / n_lab).alias(f"{prefix}precision"),
+                (on("recall") / n_lab).alias(f"{prefix}recall"),
+                (on("f1") / n_lab).alias(f"{prefix}f1"), (on("fbeta") / n_lab).alias(f"{prefix}fbeta"),
+                _ratio(wsum("precision"), sw).alias(f"{prefix}weighted_precision"),
+                _ratio(wsum("recall"), sw).alias(f"{prefix}weighted_recall"),
+                _ratio(wsum("f1"), sw).alias(f"{prefix}weighted_f1"),
+                sw.alias(f"{prefix}support")]
+
+    cols = [_ratio(F.sum("tp"), F.sum("support")).alias("accuracy")] + block(labels, "")
+    if focus is not None:
+        cols += block(focus, "focus_")
+    return pc.groupBy(*k).agg(*cols)
 
 
 def classification_report(cm: DataFrame, keys: Sequence[str] = (), digits: int = 4) -> DataFrame:
@@ -169,21 +176,18 @@ def metric_table(rows: dict[str, Column], df: DataFrame, digits: int = 3) -> Dat
 def validation_table(preds_by_combo: dict, focus, beta: float):
     """One row per combo with focus and overall metrics on validation.
 
-    All combos' predictions are tagged and unioned, so the confusion counts of
-    every combo come from one keyed aggregate instead of one job per combo."""
+    All combos' predictions are tagged and unioned, so every combo's metrics
+    come from one keyed aggregate (no job per combo, no join)."""
     tagged = None
     for combo, p in preds_by_combo.items():
         t = p.select(F.lit(combo).alias("model_name"), F.col("target").cast("string").alias("actual"),
                      F.col("pred").cast("string").alias("pred"))
         tagged = t if tagged is None else tagged.unionByName(t)
-    cm = confusion_counts(tagged, keys=["model_name"]).cache()
-    a = summary(cm, keys=["model_name"], beta=beta)
-    f = summary(cm, keys=["model_name"], labels=focus, beta=beta).select(
-        "model_name", *[F.col(c).alias(f"f_{c}") for c in ("precision", "recall", "f1", "fbeta")])
-    return a.join(f, "model_name").select(
+    s = summary(confusion_counts(tagged, keys=["model_name"]), keys=["model_name"], beta=beta, focus=focus)
+    return s.select(
         "model_name",
-        F.col("f_recall").alias("recall"), F.col("f_precision").alias("precision"),
-        F.col("f_f1").alias("f1"), F.col("f_fbeta").alias("f_beta"),
+        F.col("focus_recall").alias("recall"), F.col("focus_precision").alias("precision"),
+        F.col("focus_f1").alias("f1"), F.col("focus_fbeta").alias("f_beta"),
         F.col("recall").alias("overall_recall"), F.col("precision").alias("overall_precision"),
         F.col("f1").alias("overall_f1"), F.col("fbeta").alias("overall_fbeta"), "accuracy")
 

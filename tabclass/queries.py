@@ -74,13 +74,10 @@ def q_focus(spark, sf_dir):
 
 @register("weighted_metrics")
 def q_weighted(spark, sf_dir):
-    cm = _cm(spark, sf_dir)
-    a = metrics.summary(cm)
-    f = metrics.summary(cm, labels=FOCUS)
+    s = metrics.summary(_cm(spark, sf_dir), focus=FOCUS)
     cols = ("weighted_precision", "weighted_recall", "weighted_f1")
-    return (a.select(F.lit(1).alias("k"), *[F.round(c, 4).alias(c) for c in cols])
-            .join(f.select(F.lit(1).alias("k"), *[F.round(c, 4).alias(f"focus_{c}") for c in cols]), "k")
-            .drop("k"))
+    return s.select(*[F.round(c, 4).alias(c) for c in cols],
+                    *[F.round(f"focus_{c}", 4).alias(f"focus_{c}") for c in cols])
 
 
 @register("fbeta_metrics")
@@ -88,9 +85,9 @@ def q_fbeta(spark, sf_dir):
     cm = _cm(spark, sf_dir)
     out = None
     for b in (0.5, 1.0, 2.0):
-        a = metrics.summary(cm, beta=b).select(F.lit(b).alias("beta"), F.round("fbeta", 4).alias("overall_fbeta"))
-        f = metrics.summary(cm, labels=FOCUS, beta=b).select(F.lit(b).alias("beta"), F.round("fbeta", 4).alias("fbeta"))
-        one = a.join(f, "beta")
+        one = metrics.summary(cm, beta=b, focus=FOCUS).select(
+            F.lit(b).alias("beta"), F.round("fbeta", 4).alias("overall_fbeta"),
+            F.round("focus_fbeta", 4).alias("fbeta"))
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -98,19 +95,15 @@ def q_fbeta(spark, sf_dir):
 @register("metrics_long")
 def q_metrics_long(spark, sf_dir):
     scored = fx.f_scored(spark, sf_dir)
-    cm = metrics.confusion_counts(scored)
-    a = metrics.summary(cm, beta=BETA).withColumn("k", F.lit(1))
-    f = metrics.summary(cm, labels=FOCUS, beta=BETA).select(
-        F.lit(1).alias("k"), *[F.col(c).alias(f"f_{c}") for c in ("precision", "recall", "f1", "fbeta")])
-    auc = curves.roc_auc_macro(scored, fx.SCORE_CLASSES).withColumn("k", F.lit(1))
-    one = a.join(f, "k").join(auc, "k")
+    s = metrics.summary(metrics.confusion_counts(scored), beta=BETA, focus=FOCUS)
+    auc = curves.roc_auc_macro(scored, fx.SCORE_CLASSES).first()["auc_macro"]  # one number
     return metrics.metric_table({
-        "test_recall": F.col("f_recall"), "test_precision": F.col("f_precision"),
-        "test_f1": F.col("f_f1"), "test_f_beta": F.col("f_fbeta"),
-        "test_auc": F.round("auc_macro", 2),
+        "test_recall": F.col("focus_recall"), "test_precision": F.col("focus_precision"),
+        "test_f1": F.col("focus_f1"), "test_f_beta": F.col("focus_fbeta"),
+        "test_auc": F.round(F.lit(float(auc)), 2),
         "test_overall_recall": F.col("recall"), "test_overall_precision": F.col("precision"),
         "test_overall_f1": F.col("f1"), "test_overall_fbeta": F.col("fbeta"),
-        "test_accuracy": F.col("accuracy")}, one, digits=3)
+        "test_accuracy": F.col("accuracy")}, s, digits=3)
 
 
 @register("score_percentiles")
