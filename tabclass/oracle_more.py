@@ -231,3 +231,4 @@ Q["replace_by_key"] = ("SELECT o_orderkey AS row_id, CASE WHEN o_orderpriority =
 Q["csv_roundtrip"] = Q["classification_report"]
 Q["run_log"] = (f"SELECT 'run-1' AS run_id, 'm-001' AS model_id, 'test' AS run_name, 'metric' AS kind, "
                 f"\"Metric\" AS name, \"Value\" AS value FROM ({Q['metrics_long']})")
+Q["write_results"] = f"SELECT row_id, status FROM ({F_RARE})"

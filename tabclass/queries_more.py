@@ -281,3 +281,15 @@ def q_run_log(spark, sf_dir):
     log = sinks.log_run(q_metrics_long(spark, sf_dir), path, run_id="run-1", model_id="m-001",
                         run_name="test", kind="metric")
     return log.select("run_id", "model_id", "run_name", "kind", "name", F.col("value").cast("double").alias("value"))
+
+
+@register("write_results")
+def q_write_results(spark, sf_dir):
+    """A result table replaced through the staging area (twice: the second
+    write replaces the first) and read back."""
+    from .sources import sinks
+    path = _scratch(spark, "results")
+    first = fx.f_ord(spark, sf_dir).select("row_id", "status")
+    sinks.write_results(first, path)
+    second = fx.f_rare(spark, sf_dir).select("row_id", "status")
+    return sinks.write_results(second, path)
