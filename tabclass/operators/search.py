@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import TRIALS_GRID
@@ -175,4 +175,4 @@ def cv_scores(train: DataFrame, trials: Sequence[dict], k: int, features: Sequen
 
 
 __all__ = ["hp_trials", "trial_grid", "cv_summary", "best_per_combo", "best_combo", "leaderboard",
-           "cv_scores", "CV_SCHEMA", "Window"]
+           "cv_scores", "CV_SCHEMA"]

@@ -8,6 +8,8 @@ rows is still ranked by many tasks.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,6 +71,11 @@ def stratified_kfold(df: DataFrame, k: int, target: str = "target", id_col: str
     """M8: fold 0..k-1 per row; within a class rows are taken in id order."""
     stats = df.groupBy(target).agg(F.count(F.lit(1)).alias("n"), F.min(id_col).alias("first"))
     rows = [(r[target], int(r["n"]), r["first"]) for r in stats.collect()]  # one row per class
+    if rows and all(n < k for _, n, _ in rows):
+        raise ValueError(f"k={k} folds cannot be greater than the number of rows in each class")
+    small = [lab for lab, n, _ in rows if n < k]
+    if small:
+        logging.getLogger(__name__).warning("classes with fewer than k=%d rows: %s", k, small[:10])
     quotas = fold_quotas(rows, k)
     spark = df.sparkSession
     qdf = spark.createDataFrame([(lab, *q) for lab, q in quotas.items()],

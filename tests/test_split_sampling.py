@@ -134,3 +134,9 @@ def test_adaptive_buckets_give_same_results(spark, monkeypatch):
     assert sorted((r["id"], r["fold"]) for r in split.stratified_kfold(train, 5).collect()) == base_fold
     vals = np.array([r[0] for r in s.select("purchase").collect()])
     assert base_q == pytest.approx(list(np.quantile(vals, qs)))
+
+
+def test_kfold_needs_rows(spark):
+    d = _ord(spark).groupBy("target").agg(F.min("id").alias("id"))  # one row per class
+    with pytest.raises(ValueError):
+        split.stratified_kfold(d, 3)
