@@ -117,3 +117,24 @@ SELECT 'm-sep-01' AS "model_ID", l.model_name, '{{}}' AS hyper_parameters, 'even
 FROM ({LEADER}) l JOIN ({BEST_COMBO}) b ON b.best_model = l.model_name"""
 Q["best_params"] = (f"SELECT hyper_parameters, round(cv_score_mean, 6) AS cv_score_mean FROM ({SUMMARY}) "
                     f"WHERE model_name = 'nb' AND sampling_type = 'us'")
+
+
+def _probs(rows_sql: str) -> str:
+    """nbl -> (id, pred, high, low, mid): softmax of the class log-likelihoods."""
+    return f"""WITH {nb_ctes(TRAIN, rows_sql)},
+    mx AS (SELECT id, max(ll) AS m FROM nbl GROUP BY id),
+    ex AS (SELECT nbl.id, nbl.target, exp(nbl.ll - mx.m) AS e FROM nbl JOIN mx USING (id)),
+    pr AS (SELECT id, target, e / sum(e) OVER (PARTITION BY id) AS p FROM ex)
+    SELECT nbp.id, nbp.pred,
+           round(max(CASE WHEN pr.target = 'high' THEN p END), 6) AS high,
+           round(max(CASE WHEN pr.target = 'low' THEN p END), 6) AS low,
+           round(max(CASE WHEN pr.target = 'mid' THEN p END), 6) AS mid
+    FROM nbp JOIN pr USING (id) GROUP BY nbp.id, nbp.pred"""
+
+
+Q["score"] = _probs(VAL)
+_ALL = (f"SELECT event_id AS id, CAST(value AS DOUBLE) AS value, CAST(hr AS DOUBLE) AS hr, "
+        f"CAST(user_id AS DOUBLE) AS user_id FROM ({F_SEP})")
+Q["score_stored"] = f"""
+SELECT s.id, s.pred AS band, s.high, s.low, s.mid, CAST(f.band AS VARCHAR) AS band_actual, 'm-sep-01' AS model_id
+FROM ({_probs(_ALL)}) s JOIN ({F_SEP}) f ON f.event_id = s.id"""

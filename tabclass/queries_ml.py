@@ -143,7 +143,9 @@ def q_fit_gbt(spark, sf_dir):
 
 @register("score")
 def q_score(spark, sf_dir):
-    return _fit_and_score(spark, sf_dir, "nb")
+    """T12 with Gaussian NB: prediction and one probability column per class."""
+    p = _fit_and_score(spark, sf_dir, "nb")
+    return p.select("id", "pred", *[F.round(c, 6).alias(c) for c in ("high", "low", "mid")])
 
 
 @register("feature_importance")
@@ -198,7 +200,9 @@ def q_score_stored(spark, sf_dir):
     models.save_model(fm, root, "m-sep-01")
     events = tables.read_table(spark, "events", sf_dir)
     pred_table = fx.f_sep(spark, sf_dir).join(events.select("event_id", "props"), "event_id")
-    return score_with_stored_model(spark, pred_table, root, "m-sep-01", id_col="event_id", target="band")
+    out = score_with_stored_model(spark, pred_table, root, "m-sep-01", id_col="event_id", target="band")
+    return out.select("id", "band", *[F.round(c, 6).alias(c) for c in ("high", "low", "mid")],
+                      "band_actual", "model_id")
 
 
 @register("best_params")

@@ -18,7 +18,7 @@ FAST_KEYS = [
     "parse_feature_list", "parse_params", "format_ts", "ensemble_max", "ensemble_vote", "union_all",
     "join_actuals", "attach_scores", "history_fallback", "registry_lookup", "mode_values", "impute_mode",
     "describe_features", "describe_by_split", "distribution_compare", "fit_nb",
-    "keyed_upsert", "replace_by_key", "csv_roundtrip", "run_log", "write_results",
+    "keyed_upsert", "replace_by_key", "csv_roundtrip", "run_log", "write_results", "score", "score_stored",
 ]
 
 
