@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -36,17 +35,17 @@ def get_spark(app: str = "tabclass", cpus: int | str | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (tests, local runs) a private
-    folder is created and set, so lineage cuts and staged writes always land in
-    the folder the cluster names.
+    Read from the session. Only when it is unset (tests, ad-hoc runs) a folder
+    below the SQL warehouse, on the session's own filesystem, is taken instead,
+    so lineage cuts and staged writes never land in one machine's temp folder.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if d:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:  # unset (tests, ad-hoc local runs): a private folder
-        d = tempfile.mkdtemp(prefix="tabclass-ckpt-")
+    if not d:
+        d = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
