@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import mixing, quality_rules, radix
+from . import kneser_ney, mixing, quality_rules, radix, secrets, simhash
 from .common import read
 
 
@@ -20,6 +20,10 @@ def rule_ablations(spark, sf_dir):
     return quality_rules.ablations(quality_rules.ledger(read(spark, sf_dir, "documents")))
 
 
+def op6_secret_ownership(spark, sf_dir):
+    return secrets.report(read(spark, sf_dir, "documents"))
+
+
 def op7_radix_dedup(spark, sf_dir):
     groups = radix.with_kept(radix.radix_groups(read(spark, sf_dir, "documents")))
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -29,11 +33,25 @@ def op8_source_mix(spark, sf_dir):
     return mixing.plan_mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_kneser_ney(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    out, log_ppl, limit, kept = kneser_ney.classify(docs, read(spark, sf_dir, "labels"), F.col("quality") == 1,
+                                                    carry=["doc_id", "lang"])
+    return out.select("doc_id", "lang", "n_symbols", F.pow(F.lit(10.0), log_ppl).alias("perplexity"),
+                      F.pow(F.lit(10.0), limit).alias("threshold"), F.col(kept).alias("kept"))
+
+
+def op10_simhash_vp(spark, sf_dir):
+    g = simhash.near_groups(read(spark, sf_dir, "documents"))
+    return g.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def llm_queries():
     return {"op4_rule_ledger": op4_rule_ledger, "rule_ablations": rule_ablations,
-            "op7_radix_dedup": op7_radix_dedup, "op8_source_mix": op8_source_mix}
+            "op6_secret_ownership": op6_secret_ownership, "op7_radix_dedup": op7_radix_dedup,
+            "op8_source_mix": op8_source_mix, "op9_kneser_ney": op9_kneser_ney, "op10_simhash_vp": op10_simhash_vp}
 
 
 def llm_sql():
     return {"op4_rule_ledger": quality_rules.SQL, "rule_ablations": quality_rules.SQL_ABLATIONS,
-            "op7_radix_dedup": radix.SQL, "op8_source_mix": mixing.SQL}
+            "op6_secret_ownership": secrets.SQL, "op7_radix_dedup": radix.SQL, "op8_source_mix": mixing.SQL}
