@@ -21,7 +21,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: its lineage is cut, and
     a lost executor never makes an earlier step run again."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

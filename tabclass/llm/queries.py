@@ -4,10 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import kneser_ney, mixing, quality_rules, radix, secrets, simhash
+from . import kneser_ney, lattice, mixing, packing, quality_rules, radix, secret_scan, simhash
 from .common import read
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_subword_lattice(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2
+    s = lattice.score(docs, ~held_out, vocabulary("piece_bpe_32k.model"))
+    return s.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                    "base_score", "score")
+
+
+def op2_hilbert_packing(spark, sf_dir):
+    return packing.pack_documents(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), with_ids=False)
+
+
 def op4_rule_ledger(spark, sf_dir):
     led = quality_rules.ledger(read(spark, sf_dir, "documents"))
     led = quality_rules.apply_policy(led, quality_rules.POLICIES[quality_rules.CURRENT])
@@ -21,7 +40,7 @@ def rule_ablations(spark, sf_dir):
 
 
 def op6_secret_ownership(spark, sf_dir):
-    return secrets.report(read(spark, sf_dir, "documents"))
+    return secret_scan.report(read(spark, sf_dir, "documents"))
 
 
 def op7_radix_dedup(spark, sf_dir):
@@ -47,11 +66,12 @@ def op10_simhash_vp(spark, sf_dir):
 
 
 def llm_queries():
-    return {"op4_rule_ledger": op4_rule_ledger, "rule_ablations": rule_ablations,
+    return {"op1_subword_lattice": op1_subword_lattice, "op2_hilbert_packing": op2_hilbert_packing,
+            "op4_rule_ledger": op4_rule_ledger, "rule_ablations": rule_ablations,
             "op6_secret_ownership": op6_secret_ownership, "op7_radix_dedup": op7_radix_dedup,
             "op8_source_mix": op8_source_mix, "op9_kneser_ney": op9_kneser_ney, "op10_simhash_vp": op10_simhash_vp}
 
 
 def llm_sql():
     return {"op4_rule_ledger": quality_rules.SQL, "rule_ablations": quality_rules.SQL_ABLATIONS,
-            "op6_secret_ownership": secrets.SQL, "op7_radix_dedup": radix.SQL, "op8_source_mix": mixing.SQL}
+            "op6_secret_ownership": secret_scan.SQL, "op7_radix_dedup": radix.SQL, "op8_source_mix": mixing.SQL}
