@@ -6,8 +6,8 @@ texts have ended. Documents that end in the same group have gone through the
 same bytes and are equal; no digest takes part in that decision.
 
 A round counts its groups with map-side partial sums (one key may hold a third
-of all rows), numbers the groups of two and more, and joins the numbers back;
-the join is a plain left join that adaptive execution splits where a key is
+of all rows), numbers the groups of two and more, and joins the numbers back by
+a sort-merge join at every size, which adaptive execution splits where a key is
 hot. Only documents still undecided carry their remaining bytes on, and every
 round is written to the shared folder.
 
@@ -46,7 +46,7 @@ def radix_groups(docs: DataFrame, id_col="doc_id", text_col="text", first: int =
         groups = staged(groups, f"radix-groups-{depth}")
         key = [cut.gid == groups.gid, cut.chunk == groups.chunk, cut.ended == groups.ended]
         goes_on = groups.n.isNotNull() & ~cut.ended
-        step = cut.join(groups, key, "left").select(
+        step = cut.join(groups.hint("merge"), key, "left").select(
             cut.doc_id, cut.sha, groups.next_gid.alias("gid"), goes_on.alias("open"),
             F.coalesce(groups.n, F.lit(1)).alias("n"),
             F.when(groups.n.isNull(), cut.doc_id).otherwise(groups.keep_id).alias("keep_id"),
