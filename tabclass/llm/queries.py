@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import kneser_ney, lattice, mixing, packing, quality_rules, radix, secret_scan, simhash
+from . import (html_paths, kneser_ney, lattice, mixing, packing, quality_rules, quotes, radix, secret_scan,
+               simhash)
 from .common import read
 
 
@@ -27,6 +28,10 @@ def op2_hilbert_packing(spark, sf_dir):
     return packing.pack_documents(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), with_ids=False)
 
 
+def op3_quote_threads(spark, sf_dir):
+    return quotes.reply_threads(read(spark, sf_dir, "conversations"))
+
+
 def op4_rule_ledger(spark, sf_dir):
     led = quality_rules.ledger(read(spark, sf_dir, "documents"))
     led = quality_rules.apply_policy(led, quality_rules.POLICIES[quality_rules.CURRENT])
@@ -39,6 +44,10 @@ def rule_ablations(spark, sf_dir):
     return quality_rules.ablations(quality_rules.ledger(read(spark, sf_dir, "documents")))
 
 
+def op5_host_paths(spark, sf_dir):
+    return html_paths.extract(read(spark, sf_dir, "pages"))
+
+
 def op6_secret_ownership(spark, sf_dir):
     return secret_scan.report(read(spark, sf_dir, "documents"))
 
@@ -65,11 +74,16 @@ def op10_simhash_vp(spark, sf_dir):
     return g.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def llm_queries():
-    return {"op1_subword_lattice": op1_subword_lattice, "op2_hilbert_packing": op2_hilbert_packing,
-            "op4_rule_ledger": op4_rule_ledger, "rule_ablations": rule_ablations,
-            "op6_secret_ownership": op6_secret_ownership, "op7_radix_dedup": op7_radix_dedup,
-            "op8_source_mix": op8_source_mix, "op9_kneser_ney": op9_kneser_ney, "op10_simhash_vp": op10_simhash_vp}
+    ops = (op1_subword_lattice, op2_hilbert_packing, op3_quote_threads, op4_rule_ledger, op5_host_paths,
+           op6_secret_ownership, op7_radix_dedup, op8_source_mix, op9_kneser_ney, op10_simhash_vp, rule_ablations, pipeline)
+    return {f.__name__: f for f in ops}
 
 
 def llm_sql():
