@@ -43,7 +43,7 @@ class JobConfig:
     cv_score_table: str | None = None
     cl_report_table: str | None = None
     precision_buckets_table: str | None = None
-    registry_table: str = "gc_hyper_parameters"
+    registry_table: str = "hyper_parameters"
     top_vars_table: str = "top_vars"
     seed: int = SPLIT_SEED
     max_trials: dict = field(default_factory=lambda: dict(TRIALS_GRID))

@@ -22,18 +22,17 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 DEFAULT_BUCKETS = 64
 ROWS_PER_BUCKET = 2_000_000   # target rows per window partition
-MAX_BUCKETS = 65536
 
 
 def buckets_for(max_group_rows: int, rows_per_bucket: int | None = None,
                 floor: int = DEFAULT_BUCKETS) -> int:
     """Bucket count so the largest group's window partitions hold about
-    ``rows_per_bucket`` rows (between ``floor`` and MAX_BUCKETS)."""
-    need = -(-int(max_group_rows) // (rows_per_bucket or ROWS_PER_BUCKET))
-    return int(min(MAX_BUCKETS, max(floor, need)))
+    ``rows_per_bucket`` rows, ``floor`` at least; it grows with the data."""
+    return int(max(floor, -(-int(max_group_rows) // (rows_per_bucket or ROWS_PER_BUCKET))))
 
 
 def hash_bits_for(max_group_rows: int) -> int:
@@ -54,9 +53,9 @@ def range_splits(df: DataFrame, col: str, n_buckets: int | None = DEFAULT_BUCKET
     """Bucketizer splits from approximate quantiles of ``col``.
 
     ``n_buckets`` None sizes the buckets from the row count (one extra pass
-    only when more than DEFAULT_BUCKETS are needed). The split list is bounded
-    by MAX_BUCKETS whatever the data size; only the balance of the buckets
-    depends on the sketch, never the exactness of what is built on them.
+    only when more than DEFAULT_BUCKETS are needed), one per ROWS_PER_BUCKET
+    rows; only the balance of the buckets depends on the sketch, never the
+    exactness of what is built on them.
     """
     nb = n_buckets or DEFAULT_BUCKETS
     if nb <= 1:
@@ -72,6 +71,15 @@ def range_splits(df: DataFrame, col: str, n_buckets: int | None = DEFAULT_BUCKET
     return [float("-inf")] + bounds + [float("inf")]
 
 
+def sampled_bounds(df: DataFrame, col: str, n_buckets: int | None = DEFAULT_BUCKETS) -> list:
+    """At most ``n_buckets`` - 1 values of ``col`` that cut it into ranges, from
+    a bounded set of rows picked by hash (they only balance the ranges)."""
+    nb = n_buckets or DEFAULT_BUCKETS
+    v = df.select(F.col(f"`{col}`").alias("v")).where("v is not null")
+    got = sorted(r[0] for r in v.orderBy(F.xxhash64("v")).limit(32 * nb).collect())
+    return sorted(set(got[len(got) * i // nb] for i in range(1, nb))) if got else []
+
+
 def with_range_bucket(df: DataFrame, col: str, out: str, n_buckets: int | None = DEFAULT_BUCKETS,
                       splits: Sequence[float] | None = None) -> DataFrame:
     splits = list(splits) if splits is not None else range_splits(df, col, n_buckets)
@@ -119,7 +127,13 @@ def rank_within(df: DataFrame, part_cols, order_cols, out: str = "rank",
         name = first if isinstance(first, str) else None
         if name is None:
             raise ValueError("bucket is required when the leading order key is an expression")
-        d = with_range_bucket(df, name, bcol, n_buckets)
+        kind = df.schema[name].dataType
+        if isinstance(kind, NumericType):
+            d = with_range_bucket(df, name, bcol, n_buckets)
+        else:  # any other type: ranges between sampled values of that type
+            bounds = sampled_bounds(df, name, n_buckets)
+            b = F.array(*[F.lit(x) for x in bounds]) if bounds else F.array().cast(f"array<{kind.simpleString()}>")
+            d = df.withColumn(bcol, F.size(F.filter(b, lambda x: x < F.col(f"`{name}`"))))
     else:
         d = df.withColumn(bcol, bucket)
     w = Window.partitionBy(*part, bcol).orderBy(*order)

@@ -43,21 +43,21 @@ def ensemble_vote(df: DataFrame, id_col: str, pred_cols: Sequence[str],
     return df.withColumn(out, best.getField("v"))
 
 
-MAX_LITERAL_KEYS = 10000
-
-
-def lookup_small(df: DataFrame, small: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
-    """Attach ``values`` of a small keyed table (one row per class, group, ...)
-    to ``df`` by key without a join: the table is collected (it is bounded by
-    the key count) and applied as literal maps, so a key holding a third of
-    the rows never lands on one reducer. Past MAX_LITERAL_KEYS it falls back to
-    a broadcast join."""
-    rows = small.select(key, *values).limit(MAX_LITERAL_KEYS + 1).collect()
-    if len(rows) > MAX_LITERAL_KEYS:
-        return df.join(F.broadcast(small.select(key, *values)), key)
-    out = {}
-    types = {f.name: f.dataType for f in small.schema.fields}
-    for v in values:
-        m = F.create_map(*[x for r in rows for x in (F.lit(r[key]), F.lit(r[v]))]) if rows else None
-        out[v] = (F.element_at(m, F.col(key)) if m is not None else F.lit(None)).cast(types[v])
-    return df.withColumns(out)
+def lookup_small(df: DataFrame, small: DataFrame, keys: str | Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Attach ``values`` of a keyed table (one row per class, group, ...) to
+    ``df``; rows whose key is missing get nulls.
+
+    The table is written to the shared folder first, so the planner knows its
+    size: a plain left join that it broadcasts below the session's threshold
+    and shuffles above, where adaptive execution may split a hot key. The same
+    join, and the same rows, at every size."""
+    from ..session import scratch_path
+
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    own = [f"__lookup_{i}" for i in range(len(keys))]
+    s = small.select(*[qcol(k).alias(o) for k, o in zip(keys, own)], *[qcol(v) for v in values])
+    path = scratch_path(df.sparkSession, "lookup")
+    s.write.parquet(path)
+    t = df.sparkSession.read.schema(s.schema).parquet(path)
+    on = [qcol(k) == F.col(o) for k, o in zip(keys, own)]
+    return df.join(t, on, "left").drop(*own)

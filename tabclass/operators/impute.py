@@ -15,9 +15,9 @@ def mode_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     feature is a ``max_by`` over (count, -value) — no collect of a column's
     values into one buffer, however many distinct values there are.
     """
-    stack = "stack({}, {}) as (feature, v)".format(
-        len(cols), ", ".join(f"'{c}', cast(`{c}` as double)" for c in cols))
-    counts = (df.select(F.expr(stack)).where(F.col("v").isNotNull())
+    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("double").alias("v"))
+                               for c in cols]))
+    counts = (df.select(pairs).where(F.col("v").isNotNull())
               .groupBy("feature", "v").agg(F.count(F.lit(1)).alias("c")))
     best = counts.groupBy("feature").agg(
         F.max_by(F.struct("v", "c"), F.struct(F.col("c"), (-F.col("v")).alias("nv"))).alias("b"))

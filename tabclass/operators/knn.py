@@ -1,14 +1,16 @@
 """Exact k-nearest neighbours by blocks (used by T8 and SMOTE, M5).
 
 No pair table is ever emitted. Inside each group (optionally a class),
-queries are cut into Q blocks and candidates into C blocks with
-Q = C = ceil(sqrt(n_group / block_rows)); query rows are repeated once per
+queries are cut into ceil(sqrt(n_queries / block_rows)) blocks and candidates
+into ceil(sqrt(n_candidates / block_rows)); query rows are repeated once per
 candidate block and candidate rows once per query block, so a block pair meets
-in exactly one ``cogroup`` task. That task holds at most ~2 x block_rows rows,
-computes the distances in NumPy chunks and emits only its k best candidates per
-query. A last, small step keeps the k best of the <= C x k partial answers per
-query. Rows moved grow as n x sqrt(n / block_rows); distance work is the
-inherent n^2 of exact search, spread over Q x C tasks per group.
+in exactly one ``cogroup`` task. That task computes the distances in NumPy
+chunks (matrix product, then exact distances of what may be among the k best)
+and emits only its k best candidates per query. A last, small step keeps the k
+best of the partial answers per query. Rows moved grow as n x sqrt(n /
+block_rows); distance work is the inherent n^2 of exact search. Candidate
+columns that the caller needs (label, vector) travel with the candidate, so
+nothing is joined back and candidates may repeat an id.
 
 Ties are broken by candidate id, so results are deterministic.
 """
@@ -28,73 +30,94 @@ from ..functions.rowwise import lookup_small
 DEFAULT_BLOCK_ROWS = 4096
 
 
-def _blocks(df: DataFrame, part: list[str], block_rows: int) -> DataFrame:
-    """(part..., nb): number of blocks per group, from group sizes (small table)."""
+def _blocks(df: DataFrame, part: list[str], block_rows: int, out: str) -> DataFrame:
+    """(part..., out): number of blocks per group, from group sizes (small table)."""
     return (df.groupBy(*part).agg(F.count(F.lit(1)).alias("__gn"))
             .select(*part, F.greatest(F.lit(1), F.ceil(F.sqrt(F.col("__gn") / F.lit(float(block_rows)))))
-                    .cast("int").alias("__nb")))
+                    .cast("int").alias(out)))
+
+
+def _codes(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both id lists as ranks in their common order (ids of any sortable type)."""
+    codes = pd.factorize(np.concatenate([a, b]), sort=True)[0]
+    return codes[:len(a)], codes[len(a):]
+
+
+def _top(X, Y, qcode, ccode, kk: int, exclude_self: bool):
+    """(query row, candidate row, distance) of each query's ``kk`` nearest,
+    nearest first, ties by candidate id. NaN distances are left out."""
+    found = []
+    ok = np.flatnonzero(np.isfinite(Y).all(axis=1))
+    yy = np.einsum("ij,ij->i", Y[ok], Y[ok])
+    step = max(1, 4_000_000 // max(1, len(ok)))
+    for s in range(0, len(X) if len(ok) else 0, step):
+        x = X[s:s + step]
+        xx = np.einsum("ij,ij->i", x, x)
+        near = xx[:, None] + yy[None, :] - 2.0 * (x @ Y[ok].T)
+        if exclude_self:
+            near[qcode[s:s + step, None] == ccode[None, ok]] = np.inf
+        k_th = min(kk, len(ok)) - 1
+        edge = np.partition(near, k_th, axis=1)[:, k_th]
+        slack = 1e-9 * (xx + yy.max()) + 1e-12  # above the rounding error of the product
+        qi, ci = np.nonzero((near <= (edge + slack)[:, None]) & np.isfinite(near))
+        diff = x[qi] - Y[ok][ci]
+        d2 = np.einsum("ij,ij->i", diff, diff)
+        order = np.lexsort((ccode[ok][ci], d2, qi))
+        qi, ci, d2 = qi[order], ci[order], d2[order]
+        first = np.searchsorted(qi, qi)
+        take = np.arange(len(qi)) - first < kk
+        found.append((qi[take] + s, ok[ci[take]], np.sqrt(d2[take])))
+    if not found:
+        return np.empty(0, dtype=int), np.empty(0, dtype=int), np.empty(0)
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def knn(queries: DataFrame, candidates: DataFrame, k: int, features: str = "features",
         id_col: str = "id", part_cols: Sequence[str] = (), exclude_self: bool = False,
-        block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+        block_rows: int = DEFAULT_BLOCK_ROWS, carry: Sequence[str] = ()) -> DataFrame:
     """k nearest candidates (Euclidean) of every query row.
 
     ``features`` is an array<double> column in both frames; ``part_cols`` limit
-    neighbours to the same group (e.g. the class for SMOTE). Returns
-    (part..., qid, cid, dist, nn_rank) with nn_rank 1..k.
+    neighbours to the same group (e.g. the class for SMOTE); ``carry`` are
+    candidate columns returned with the neighbour. Ids may be of any sortable
+    type. Returns (part..., qid, cid, dist, carry..., nn_rank) with nn_rank 1..k.
     """
-    part = list(part_cols)
+    part, carry = list(part_cols), list(carry)
     # fresh aliases: queries and candidates may share lineage (SMOTE: both from one frame)
     q = queries.select(*[F.col(p).alias(p) for p in part], F.col(id_col).alias("qid"),
                        F.col(features).alias("qf"))
     c = candidates.select(*[F.col(p).alias(p) for p in part], F.col(id_col).alias("cid"),
-                          F.col(features).alias("cf"))
-    nb = _blocks(c, part, block_rows)
-    if len(part) == 1:
-        q, c = lookup_small(q, nb, part[0], ["__nb"]), lookup_small(c, nb, part[0], ["__nb"])
-    elif part:
-        q, c = q.join(F.broadcast(nb), part), c.join(F.broadcast(nb), part)
+                          F.col(features).alias("cf"), *[F.col(x).alias(f"__c_{x}") for x in carry])
+    nq, nc = _blocks(q, part, block_rows, "__nq"), _blocks(c, part, block_rows, "__nc")
+    if part:
+        q, c = (lookup_small(lookup_small(x, nq, part, ["__nq"]), nc, part, ["__nc"]) for x in (q, c))
     else:
-        n_blocks = int(nb.first()["__nb"])
-        q, c = q.withColumn("__nb", F.lit(n_blocks)), c.withColumn("__nb", F.lit(n_blocks))
-    q = (q.withColumn("qb", (hash32("qb", F.col("qid")) % F.col("__nb")).cast("int"))
-         .withColumn("cb", F.explode(F.sequence(F.lit(0), F.col("__nb") - 1))).drop("__nb"))
-    c = (c.withColumn("cb", (hash32("cb", F.col("cid")) % F.col("__nb")).cast("int"))
-         .withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("__nb") - 1))).drop("__nb"))
+        blocks = {"__nq": F.lit(int(nq.first()["__nq"])), "__nc": F.lit(int(nc.first()["__nc"]))}
+        q, c = q.withColumns(blocks), c.withColumns(blocks)
+    one = F.lit(1)
+    q = (q.withColumn("qb", (hash32("qb", F.col("qid")) % F.coalesce("__nq", one)).cast("int"))
+         .withColumn("cb", F.explode(F.sequence(F.lit(0), F.coalesce("__nc", one) - 1))).drop("__nq", "__nc"))
+    c = (c.withColumn("cb", (hash32("cb", F.col("cid")) % F.coalesce("__nc", one)).cast("int"))
+         .withColumn("qb", F.explode(F.sequence(F.lit(0), F.coalesce("__nq", one) - 1))).drop("__nq", "__nc"))
     keys = part + ["qb", "cb"]
-    part_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in queries.select(*part).schema.fields)
-    schema = (part_schema + ", " if part else "") + "qid long, cid long, dist double"
+    fields = [*queries.select(*part).schema.fields]
+    kinds = {f.name: f.dataType.simpleString() for f in (*q.schema.fields, *c.schema.fields)}
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields),
+                        f"qid {kinds['qid']}, cid {kinds['cid']}, dist double",
+                        *(f"`{x}` {kinds[f'__c_{x}']}" for x in carry)])
+    kk = k
 
     def block_topk(key, qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
-        if len(qpdf) == 0 or len(cpdf) == 0:
-            empty = {p: pd.Series([key[j]] * 0) for j, p in enumerate(part)}
-            empty.update(qid=pd.Series([], dtype="int64"), cid=pd.Series([], dtype="int64"),
-                         dist=pd.Series([], dtype="float64"))
-            return pd.DataFrame(empty)
-        X = np.stack(qpdf["qf"].map(lambda a: np.asarray(a, dtype=np.float64)).to_numpy())
-        Y = np.stack(cpdf["cf"].map(lambda a: np.asarray(a, dtype=np.float64)).to_numpy())
-        qids = qpdf["qid"].to_numpy(dtype=np.int64)
-        cids = cpdf["cid"].to_numpy(dtype=np.int64)
-        kk = min(k + (1 if exclude_self else 0), len(cids))
-        out_q, out_c, out_d = [], [], []
-        step = max(1, int(2_000_000 // max(1, Y.shape[0] * max(1, Y.shape[1]))))
-        for s in range(0, X.shape[0], step):
-            diff = X[s:s + step, None, :] - Y[None, :, :]
-            d2 = np.einsum("ijk,ijk->ij", diff, diff)
-            if exclude_self:
-                d2 = np.where(qids[s:s + step, None] == cids[None, :], np.inf, d2)
-            for i in range(d2.shape[0]):
-                row = d2[i]
-                order = np.lexsort((cids, row))[:kk]
-                order = order[np.isfinite(row[order])]
-                out_q.extend([qids[s + i]] * len(order))
-                out_c.extend(cids[order].tolist())
-                out_d.extend(np.sqrt(row[order]).tolist())
-        res = pd.DataFrame({"qid": out_q, "cid": out_c, "dist": out_d})
-        for j, p in enumerate(part):
-            res.insert(j, p, key[j])
-        return res
+        out = {p: [] for p in part} | {"qid": [], "cid": [], "dist": []} | {x: [] for x in carry}
+        if len(qpdf) and len(cpdf):
+            X = np.stack(qpdf["qf"].map(lambda a: np.asarray(a, dtype=np.float64)).to_numpy())
+            Y = np.stack(cpdf["cf"].map(lambda a: np.asarray(a, dtype=np.float64)).to_numpy())
+            qcode, ccode = _codes(qpdf["qid"].to_numpy(), cpdf["cid"].to_numpy())
+            qi, ci, dist = _top(X, Y, qcode, ccode, kk, exclude_self)
+            out = {p: [key[j]] * len(qi) for j, p in enumerate(part)}
+            out |= {"qid": qpdf["qid"].to_numpy()[qi], "cid": cpdf["cid"].to_numpy()[ci], "dist": dist}
+            out |= {x: cpdf[f"__c_{x}"].to_numpy()[ci] for x in carry}
+        return pd.DataFrame(out)
 
     partial = (q.groupBy(*keys).cogroup(c.groupBy(*keys))
                .applyInPandas(block_topk, schema=schema))
@@ -108,9 +131,8 @@ def knn_classify(train: DataFrame, test: DataFrame, k: int = 3, features: str =
                  block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Label of each test row by vote of its k nearest train rows; ties go
     to the smallest label (one-vs-rest over kNN reduces to this vote)."""
-    nn = knn(test, train, k, features, id_col, block_rows=block_rows)
-    lab = train.select(F.col(id_col).alias("cid"), F.col(label).alias("nl"))
-    votes = nn.join(lab, "cid").groupBy("qid", "nl").agg(F.count(F.lit(1)).alias("v"))
+    nn = knn(test, train, k, features, id_col, block_rows=block_rows, carry=[label])
+    votes = nn.groupBy("qid", F.col(label).alias("nl")).agg(F.count(F.lit(1)).alias("v"))
     best = votes.groupBy("qid").agg(F.min(F.struct((-F.col("v")).alias("nv"), F.col("nl").alias("l")))
                                     .alias("b"))
     return best.select(F.col("qid").alias(id_col), F.col("b.l").alias("pred"))

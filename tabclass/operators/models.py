@@ -13,10 +13,10 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, NaiveBayes,
                                        OneVsRest, RandomForestClassifier)
-from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,13 +34,15 @@ DT_PARAMS = {"max_depth": "maxDepth", "criterion": "impurity", "min_samples_leaf
 XG_PARAMS = {"learning_rate": "stepSize", "n_estimators": "maxIter", "max_depth": "maxDepth",
              "gamma": "minInfoGain", "subsample": "subsamplingRate", "colsample_bytree": "featureSubsetStrategy",
              "min_child_weight": "minInstancesPerNode", "reg_alpha": None, "reg_lambda": None}
-MAX_DEPTH_CAP = 30  # MLlib tree depth limit
+MAX_DEPTH = 30  # limit of Spark ML trees
 
 
 def _convert(mllib: str, value):
     if mllib in ("numTrees", "maxIter", "maxDepth", "minInstancesPerNode"):
         v = int(value)
-        return min(v, MAX_DEPTH_CAP) if mllib == "maxDepth" else v
+        if mllib == "maxDepth" and v > MAX_DEPTH:
+            raise ValueError(f"max_depth {v} is above the {MAX_DEPTH} levels that Spark ML trees may have")
+        return v
     if mllib == "featureSubsetStrategy":
         return str(value) if isinstance(value, str) else repr(float(value))
     if mllib in ("stepSize", "minInfoGain", "subsamplingRate"):
@@ -89,13 +91,16 @@ class FittedModel:
     params: dict = field(default_factory=dict)
 
 
-def _prep_stages(features: Sequence[str], labels_from: str = "target"):
-    imp_out = [f"__imp_{c}" for c in features]
-    imp = Imputer(inputCols=list(features), outputCols=imp_out, strategy="mode")
-    asm = VectorAssembler(inputCols=imp_out, outputCol="features", handleInvalid="keep")
-    idx = StringIndexer(inputCol=labels_from, outputCol="label", stringOrderType="alphabetAsc",
-                        handleInvalid="keep")
-    return [imp, asm, idx]
+def _raw(features: Sequence[str]) -> list:
+    """The features as doubles under internal names (any name is allowed)."""
+    return [F.col(f"`{c}`").cast("double").alias(f"__f{i}") for i, c in enumerate(features)]
+
+
+def _prep_stages(n: int):
+    imp = Imputer(inputCols=[f"__f{i}" for i in range(n)], outputCols=[f"__imp{i}" for i in range(n)], strategy="mode")
+    asm = VectorAssembler(inputCols=imp.getOutputCols(), outputCol="features", handleInvalid="keep")
+    idx = StringIndexer(inputCol="target", outputCol="label", stringOrderType="alphabetAsc", handleInvalid="keep")
+    return imp, asm, idx
 
 
 def resample(train: DataFrame, sampling_type: str, features: Sequence[str], seed: int = 1) -> DataFrame:
@@ -127,15 +132,20 @@ class Prepared:
 
 def prepare(train: DataFrame, features: Sequence[str], sampling_type: str = "NA", seed: int = 1,
             cache: bool = True) -> Prepared:
+    """Imputes with the modes of the train rows, then re-samples, assembles and
+    indexes (a sampler never sees a null, and copies do not shift the modes)."""
     feats = list(features)
-    d = train.select("id", *[F.col(f"`{c}`").cast("double").alias(c) for c in feats], "target")
-    d = resample(d, sampling_type, feats, seed)
-    pm = Pipeline(stages=_prep_stages(feats)).fit(d)
-    labels = list(pm.stages[2].labels)  # sorted class list from the indexer (bounded)
-    frame = pm.transform(d).select("id", "features", "label", "target")
+    d = train.select("id", *_raw(feats), "target")
+    imp, asm, idx = _prep_stages(len(feats))
+    imp = imp.fit(d)
+    d = imp.transform(d).select("id", *imp.getOutputCols(), "target")
+    d = resample(d, sampling_type, imp.getOutputCols(), seed)
+    idx = idx.fit(d)
+    labels = list(idx.labels)  # sorted class list from the indexer (bounded)
+    frame = idx.transform(asm.transform(d)).select("id", "features", "label", "target")
     if cache:
         frame = frame.persist()
-    return Prepared(frame, list(pm.stages), labels, feats, sampling_type)
+    return Prepared(frame, [imp, asm, idx], labels, feats, sampling_type)
 
 
 def fit_prepared(prep_: Prepared, model_name: str, params: dict | None = None, seed: int = 1) -> FittedModel:
@@ -167,21 +177,18 @@ def predict(fm: FittedModel, df: DataFrame, keep: Sequence[str] = ("id",),
     labels = fm.labels
     keep = [c for c in keep if c in df.columns]
     if fm.model_name == "ovr":
-        d = df.select(*keep, *[F.col(f"`{c}`").cast("double").alias(c) for c in fm.features])
+        d = df.select("id", *_raw(fm.features))
         q = fm.pipeline.transform(d).select("id", vector_to_array("features").alias("features"))
-        nn = knn(q, fm.knn_train, k)
-        lab = fm.knn_train.select(F.col("id").alias("cid"), F.col("target").alias("nl"))
-        votes = nn.join(lab, "cid").groupBy("qid").pivot("nl", labels).count().na.fill(0)
+        nn = knn(q, fm.knn_train, k, carry=["target"])  # the label comes with the neighbour: ids may repeat
+        votes = nn.groupBy("qid").pivot("target", labels).count().na.fill(0)
         arr = F.array(*[F.col(f"`{c}`") for c in labels])
         pred = F.element_at(F.array(*[F.lit(c) for c in labels]),
                             F.array_position(arr, F.array_max(arr)).cast("int"))
         probs = [(F.col(f"`{c}`") / F.lit(float(k))).alias(c) for c in labels] if with_probability else []
         out = votes.select(F.col("qid").alias("id"), pred.alias("pred"), *probs)
-        return df.select(*keep).join(out, "id")
-    d = df if "target" in df.columns else df.withColumn("target", F.lit(None).cast("string"))
-    d = d.select(*keep, *[F.col(f"`{c}`").cast("double").alias(c) for c in fm.features if c not in keep],
-                 *([] if "target" in keep else ["target"]))
-    t = fm.pipeline.transform(d)
+        return df.select(*[F.col(f"`{c}`") for c in keep]).join(out, "id")
+    d = df.select(*[F.col(f"`{c}`") for c in keep], *_raw(fm.features))
+    t = PipelineModel([s for s in fm.pipeline.stages if not isinstance(s, StringIndexerModel)]).transform(d)
     if "probability" in t.columns:
         p = vector_to_array("probability")
         probs = [p[i].alias(c) for i, c in enumerate(labels)]
@@ -194,7 +201,7 @@ def predict(fm: FittedModel, df: DataFrame, keep: Sequence[str] = ("id",),
         probs = [(x / tot).alias(c) for x, c in zip(s, labels)]
     lab_arr = F.array(*[F.lit(c) for c in labels])
     pred = F.element_at(lab_arr, (F.col("prediction").cast("int") + 1))
-    cols = [*keep, F.coalesce(pred, F.lit("<unknown>")).alias("pred")]
+    cols = [*[F.col(f"`{c}`") for c in keep], F.coalesce(pred, F.lit("<unknown>")).alias("pred")]
     if with_probability:
         cols += probs
     return t.select(*cols)
@@ -213,6 +220,24 @@ def feature_importance(fm: FittedModel) -> list[tuple[str, float]]:
     return sorted(zip(fm.features, map(float, imp)), key=lambda t: -t[1])
 
 
+def loss_curve(fm: FittedModel, sets: dict[str, DataFrame]) -> list[tuple]:
+    """(n_trees, log-loss on each set) of a boosted model; with three or
+    more classes the mean over its one-vs-rest parts. One row per tree."""
+    last = fm.pipeline.stages[-1]
+    parts = last.models if hasattr(last, "models") else [last]
+    head = PipelineModel([s for s in fm.pipeline.stages[:-1]])
+    curves = []
+    for d in sets.values():
+        x = head.transform(d.select("id", *_raw(fm.features), "target")).select("features", "label").persist()
+        each = []
+        for i, m in enumerate(parts):  # one per class
+            y = x if len(parts) == 1 else x.withColumn("label", (F.col("label") == float(i)).cast("double"))
+            each.append(m.evaluateEachIteration(y))
+        x.unpersist()
+        curves.append([sum(v) / len(v) for v in zip(*each)])
+    return [(i + 1, *map(float, row)) for i, row in enumerate(zip(*curves))]
+
+
 def save_model(fm: FittedModel, root: str, model_id: str) -> str:
     """Pipeline + metadata under ``<root>/<model_id>``."""
     path = f"{root.rstrip('/')}/{model_id.strip()}"

@@ -45,12 +45,6 @@ def prep_columns(df: DataFrame, id_col: str, target: str | None,
     return d.select(*[qcol(c) for c in cols])
 
 
-def order_columns(df: DataFrame, first: Sequence[str], last: Sequence[str] = ()) -> DataFrame:
-    """``first``, then the rest in table order, then ``last``."""
-    mid = [c for c in df.columns if c not in first and c not in last]
-    return df.select(*[qcol(c) for c in [*first, *mid, *last]])
-
-
 def drop_if_present(df: DataFrame, *cols: str) -> DataFrame:
     """P5: drop the named columns that exist (absent names are ignored)."""
     return df.drop(*[c for c in cols if c in df.columns])

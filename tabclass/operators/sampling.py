@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT_MODELS, IMBALANCE_LIMIT, UNDER_SAMPLING_FLOOR
 from ..functions.hashing import hash32, hash_bucket
 from ..functions.ranking import hash_bits_for, rank_within
+from ..functions.rowwise import lookup_small
 
 
 def hash_rank(df: DataFrame, target: str, id_col: str, seed, out: str = "__rank",
@@ -28,39 +29,41 @@ def hash_rank(df: DataFrame, target: str, id_col: str, seed, out: str = "__rank"
                        bucket=hash_bucket(F.col("__h"), hash_bits_for(max_class_rows))).drop("__h")
 
 
-MAX_LITERAL_CLASSES = 10000
+CHUNK = 1000  # copies one row makes in one go
 
 
-def _with_class_stats(df: DataFrame, target: str) -> DataFrame:
-    """Adds __n (class size), __min and __max (smallest / largest class).
-
-    The per-class counts are one aggregate whose size is the class count; they
-    come to the driver and go back as literals (a map lookup in codegen), so the
-    data is never joined. Beyond MAX_LITERAL_CLASSES the count table is joined
-    instead (AQE broadcasts it when it is small at run time)."""
+def with_class_stats(df: DataFrame, target: str) -> tuple[DataFrame, int]:
+    """Adds __n (class size), __min and __max (smallest / largest class); also
+    returns the largest size. One aggregate, attached by :func:`lookup_small`."""
     counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("__n"))
-    rows = counts.limit(MAX_LITERAL_CLASSES + 1).collect()
-    if len(rows) <= MAX_LITERAL_CLASSES:
-        n = {r[target]: int(r["__n"]) for r in rows}
-        lo, hi = (min(n.values()), max(n.values())) if n else (0, 0)
-        m = F.create_map(*[x for k_, v in n.items() for x in (F.lit(k_), F.lit(v))])
-        return df.withColumns({"__n": F.element_at(m, F.col(target)).cast("bigint"),
-                               "__min": F.lit(lo).cast("bigint"), "__max": F.lit(hi).cast("bigint")})
     ext = counts.agg(F.min("__n").alias("lo"), F.max("__n").alias("hi")).first()
-    return (df.join(counts, target).withColumn("__min", F.lit(int(ext["lo"])).cast("bigint"))
-            .withColumn("__max", F.lit(int(ext["hi"])).cast("bigint")))
-
-
-def _max_class(df: DataFrame) -> int:
-    """Largest class size: __max is a literal (or a join-free constant), so this
-    reads one row of the plan, not the data."""
-    return int(df.select("__max").limit(1).first()[0] or 0)
+    lo, hi = int(ext["lo"] or 0), int(ext["hi"] or 0)
+    d = lookup_small(df, counts, target, ["__n"])
+    return d.withColumns({"__min": F.lit(lo).cast("bigint"), "__max": F.lit(hi).cast("bigint")}), hi
+
+
+def emit_copies(df: DataFrame, id_col: str, count: str, out: str, first: int) -> DataFrame:
+    """Repeats each row with ``out`` = first .. ``count``. A row with more than
+    CHUNK copies is first cut into runs that are dealt out by (id, run), so that
+    a handful of rows can make a whole class without one task making it."""
+    few = df.where(F.col(count) <= CHUNK).withColumn(
+        out, F.explode(F.sequence(F.lit(first).cast("long"), F.col(count))) if first == 0 else
+        F.explode(F.when(F.col(count) >= first, F.sequence(F.lit(first).cast("long"), F.col(count)))))
+    many = df.where(F.col(count) > CHUNK).withColumn(
+        "__run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col(count) / CHUNK))))
+    lo = F.greatest(F.lit(first).cast("long"), F.col("__run") * CHUNK)
+    hi = F.least(F.col(count), F.col("__run") * CHUNK + CHUNK - 1)
+    # a fixed number of partitions: runs are few bytes before and many rows after
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = many.repartition(parts, F.col(id_col), F.col("__run")).withColumn(
+        out, F.explode(F.when(lo <= hi, F.sequence(lo, hi)))).drop("__run")
+    return few.unionByName(many)
 
 
 def under_sample(df: DataFrame, target: str = "target", id_col: str = "id", seed=1) -> DataFrame:
     """M3: every class cut to the minority count (rows with the smallest draws)."""
-    s = _with_class_stats(df, target)
-    d = hash_rank(s, target, id_col, f"us{seed}", max_class_rows=_max_class(s))
+    s, top = with_class_stats(df, target)
+    d = hash_rank(s, target, id_col, f"us{seed}", max_class_rows=top)
     return d.where(F.col("__rank") <= F.col("__min")).drop("__rank", "__n", "__min", "__max")
 
 
@@ -70,17 +73,16 @@ def over_sample(df: DataFrame, target: str = "target", id_col: str = "id", seed=
 
     A class with n rows needing e = max - n extra rows deals the extras
     round-robin over its rows in random (hash) order: the row of rank r makes
-    ``floor((e - r) / n) + 1`` copies when r <= e. Each row emits its own copies
-    (at most ceil(e / n)), so no task has to produce a whole class's extras.
+    ``floor((e - r) / n) + 1`` copies when r <= e, in runs that are dealt out
+    (:func:`emit_copies`).
     Originals carry ``copy_no`` 0, extras 1, 2, ...
     """
-    s = _with_class_stats(df, target)
-    d = hash_rank(s, target, id_col, f"os{seed}", max_class_rows=_max_class(s))
+    s, top = with_class_stats(df, target)
+    d = hash_rank(s, target, id_col, f"os{seed}", max_class_rows=top)
     e = F.col("__max") - F.col("__n")
     copies = F.when(F.col("__rank") <= e, F.floor((e - F.col("__rank")) / F.col("__n")) + 1).otherwise(0)
-    d = d.withColumn("__c", copies.cast("int"))
-    return (d.withColumn(copy_col, F.explode(F.sequence(F.lit(0), F.col("__c"))))
-            .drop("__rank", "__n", "__min", "__max", "__c"))
+    d = d.withColumn("__c", copies.cast("long")).drop("__rank", "__n", "__min", "__max")
+    return emit_copies(d, id_col, "__c", copy_col, 0).drop("__c")
 
 
 def sampling_plan(history: DataFrame, train: DataFrame, target: str = "target",

@@ -60,12 +60,12 @@ def hp_trials(combos: DataFrame, is_gridsearch: bool = True, seed=1,
     """Trial rows for each combo, replication ids running over the combos
     in their ``ord`` order. With grid search: 40 draws for 'xg', 20 for 'rf',
     1 otherwise; without: one trial with the stored parameters (or ``{}``).
-    Stored parameters win over new draws (Q17)."""
+    Stored parameters, also an empty set, win over new draws (Q17)."""
     trials = dict(TRIALS_GRID if trials is None else trials)
     rows = combos.select("model_name", "sampling_type", "ord").orderBy("ord").collect()  # a few combos
     plan, start = [], 1
     for r in rows:
-        n = trials.get(r["model_name"], 1) if (is_gridsearch and not stored_params) else 1
+        n = trials.get(r["model_name"], 1) if (is_gridsearch and stored_params is None) else 1
         plan.append((r["model_name"], r["sampling_type"], start, n))
         start += n
     spark = combos.sparkSession
@@ -74,7 +74,7 @@ def hp_trials(combos: DataFrame, is_gridsearch: bool = True, seed=1,
                  F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("replication_id"))
     fixed = F.lit(json.dumps(stored_params or {}))
     hp = fixed
-    if is_gridsearch and not stored_params:
+    if is_gridsearch and stored_params is None:
         hp = F.when(F.col("model_name") == "xg", _draw_json("xg", seed, F.col("replication_id"))) \
               .when(F.col("model_name") == "rf", _draw_json("rf", seed, F.col("replication_id"))) \
               .otherwise(fixed)
@@ -143,8 +143,7 @@ def cv_scores(train: DataFrame, trials: Sequence[dict], k: int, features: Sequen
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
         for f in range(k):
             fit_part = train.where(F.col(fold_col) != f)
-            held = train.where(F.col(fold_col) == f).select(
-                "id", *[F.col(f"`{c}`").cast("double").alias(c) for c in feats], "target")
+            held = train.where(F.col(fold_col) == f).select("id", *models._raw(feats), "target")
             preps = dict(zip(by_sampling, ex.map(
                 lambda s: models.prepare(fit_part, feats, s, seed), by_sampling)))
             helds = {s: PipelineModel(stages=p.stages).transform(held).select("features", "target").persist()

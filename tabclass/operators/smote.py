@@ -5,7 +5,9 @@ its rows in hash order (as :func:`over_sample`); for its j-th new row a base row
 ``a`` takes one of its ``k`` nearest same-class neighbours ``b`` (picked by
 ``md5('<seed>:nb:<id>:<j>') mod k``) and a step ``u`` in [0, 1) (from
 ``md5('<seed>:u:<id>:<j>')``) and emits ``a + u * (b - a)`` component-wise
-(``zip_with``). Neighbours come from the exact blocked kNN, never a pair table.
+(``zip_with``). Neighbours come from the exact blocked kNN, never a pair table, and
+travel with the seed row in one array; the copies are then made row by row.
+Features must not be null: impute first.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import hash32, hash_unit
 from .knn import DEFAULT_BLOCK_ROWS, knn
-from .sampling import _max_class, _with_class_stats, hash_rank
+from .sampling import emit_copies, hash_rank, with_class_stats
 
 
 def smote(df: DataFrame, features: Sequence[str], target: str = "target", id_col: str = "id",
@@ -31,26 +33,28 @@ def smote(df: DataFrame, features: Sequence[str], target: str = "target", id_col
     too_small = counts.where(F.col("n") <= k).count()
     if too_small:
         raise ValueError(f"SMOTE needs more than k={k} rows in every class; {too_small} class(es) have fewer")
-    st = _with_class_stats(base, "target")
-    d = hash_rank(st, "target", "id", f"sm{seed}", max_class_rows=_max_class(st))
+    if not base.where(F.exists("fv", lambda x: x.isNull() | F.isnan(x))).isEmpty():
+        raise ValueError("SMOTE needs features without nulls: impute them first")
+    st, top = with_class_stats(base, "target")
+    growing = st.where(F.col("__n") < F.col("__max"))  # the other classes make no rows and are no neighbours
+    d = hash_rank(growing, "target", "id", f"sm{seed}", max_class_rows=top)
     e = F.col("__max") - F.col("__n")
     copies = F.when(F.col("__rank") <= e, F.floor((e - F.col("__rank")) / F.col("__n")) + 1).otherwise(0)
-    makers = d.withColumn("__c", copies.cast("int")).where(F.col("__c") > 0)
-    need = makers.select("id", "target", "fv", F.explode(F.sequence(F.lit(1), F.col("__c"))).alias("copy_no"))
-    # neighbours only for rows that make new rows (one row per id), among all rows of their class
-    seeds = makers.select("id", "target", "fv")
-    nn = knn(seeds, base, k, features="fv", part_cols=["target"], exclude_self=True,
-             block_rows=block_rows)
-    pick = (hash32(f"{seed}:nb", F.col("id"), F.col("copy_no")) % F.lit(k) + 1).cast("int")
+    makers = d.withColumn("__c", copies.cast("long")).where(F.col("__c") > 0).select("id", "target", "fv", "__c")
+    # neighbours only for rows that make new rows, each with its vector; k per row
+    nn = knn(makers, growing, k, features="fv", part_cols=["target"], exclude_self=True,
+             block_rows=block_rows, carry=["fv"])
+    near = nn.groupBy(F.col("qid").alias("id")).agg(F.array_sort(F.collect_list(
+        F.struct("nn_rank", F.col("cid").alias("nb_id"), F.col("fv").alias("bv")))).alias("near"))
+    need = emit_copies(makers.join(near, "id"), "id", "__c", "copy_no", 1)
+    pick = (hash32(f"{seed}:nb", F.col("id"), F.col("copy_no")) % F.size("near") + 1).cast("int")
     u = hash_unit(f"{seed}:u", F.col("id"), F.col("copy_no"))
-    syn = (need.withColumn("nn_rank", pick).withColumn("u", u)
-           .join(nn.select(F.col("qid").alias("id"), "nn_rank", F.col("cid").alias("nb_id")),
-                 ["id", "nn_rank"])
-           .join(base.select(F.col("id").alias("nb_id"), F.col("fv").alias("bv")), "nb_id")
-           .withColumn("nv", F.zip_with("fv", "bv", lambda a, b: a + F.col("u") * (b - a))))
+    syn = (need.withColumn("nb", F.element_at("near", pick)).withColumn("u", u)
+           .withColumn("nb_id", F.col("nb.nb_id"))
+           .withColumn("nv", F.zip_with("fv", F.col("nb.bv"), lambda a, b: a + F.col("u") * (b - a))))
     out_syn = syn.select("id", *[F.col("nv")[i].alias(c) for i, c in enumerate(feats)], "target",
                          F.lit(True).alias("synthetic"), "copy_no", "nb_id", "u")
     out_orig = base.select("id", *[F.col("fv")[i].alias(c) for i, c in enumerate(feats)], "target",
-                           F.lit(False).alias("synthetic"), F.lit(0).alias("copy_no"),
-                           F.lit(None).cast("long").alias("nb_id"), F.lit(None).cast("double").alias("u"))
+                           F.lit(False).alias("synthetic"), F.lit(0).cast("long").alias("copy_no"),
+                           F.lit(None).cast(base.schema["id"].dataType).alias("nb_id"), F.lit(None).cast("double").alias("u"))
     return out_orig.unionByName(out_syn)

@@ -190,6 +190,23 @@ SELECT "Metric", round(CAST("Value" AS DOUBLE), 3) AS "Value" FROM (
   SELECT 'test_overall_fbeta', a.fbeta FROM a UNION ALL
   SELECT 'test_accuracy', a.accuracy FROM a)"""
 
+def _metrics_of(src: str, name: str) -> str:
+    long = " UNION ALL ".join(f"SELECT '{c}' AS cls, {c} AS score, CASE WHEN actual = '{c}' THEN 1 ELSE 0 END AS y "
+                              f"FROM ({src})" for c in SCORE_CLASSES)
+    rows = (("recall", "f.recall"), ("precision", "f.precision"), ("f1", "f.f1"), ("f_beta", "f.fbeta"),
+            ("auc", "round(m.auc, 2)"), ("overall_recall", "a.recall"), ("overall_precision", "a.precision"),
+            ("overall_f1", "a.f1"), ("overall_fbeta", "a.fbeta"), ("accuracy", "a.accuracy"))
+    body = " UNION ALL ".join(f"SELECT '{name}_{n}' AS \"Metric\", round(CAST({e} AS DOUBLE), 3) AS \"Value\" FROM a, f, m"
+                              for n, e in rows)
+    return f"""SELECT * FROM (WITH a AS ({summary_sql(src, None, BETA)}), f AS ({summary_sql(src, FOCUS, BETA)}),
+{auc_sql(long, ('cls',))}, m AS (SELECT avg(auc) AS auc FROM au) {body})"""
+
+
+Q["metrics_long_train_val"] = (_metrics_of(f"SELECT * FROM ({F_SCORED}) WHERE id % 3 = 0", "validation") + " UNION ALL "
+                               + _metrics_of(f"SELECT * FROM ({F_SCORED}) WHERE id % 3 <> 0", "train"))
+Q["odd_names"] = f"""SELECT auc_macro, (SELECT round(quantile_cont(view, 0.5), 6) FROM ({F_SCORED})) AS median
+FROM ({Q['roc_auc_macro']})"""
+
 Q["score_percentiles"] = " UNION ALL ".join(
     f"SELECT CAST({q!r} AS DOUBLE) AS q, round(quantile_cont(purchase, {q!r}), 6) AS value FROM ({F_SCORED})"
     for q in BREAKDOWN_CUTS)
@@ -202,6 +219,10 @@ def _pct_tag(q):
 Q["percentile_breakdown"] = report_sql(
     _cut_union("purchase", BREAKDOWN_CUTS, _pct_tag, F_SCORED), ("cut",),
     extra_select="EXCLUDE (cut), cut AS percentile")
+Q["percentile_breakdown_by_model"] = " UNION ALL ".join(
+    f"SELECT 'm{i}' AS model_id, * FROM (" + report_sql(
+        _cut_union("purchase", BREAKDOWN_CUTS, _pct_tag, f"SELECT * FROM ({F_SCORED}) WHERE id % 2 = {i}"), ("cut",),
+        extra_select="EXCLUDE (cut), cut AS percentile") + ")" for i in (0, 1))
 Q["percentile_breakdown_allpos"] = report_sql(
     _cut_union("purchase", BREAKDOWN_CUTS, _pct_tag, F_SCORED, all_pos="purchase"), ("cut",),
     extra_select="EXCLUDE (cut), cut AS percentile")

@@ -5,7 +5,7 @@ leaderboard, registry row)."""
 from __future__ import annotations
 
 from .functions.hashing import sql_hash32
-from .oracle import F_SEP, Q, per_class_sql
+from .oracle import F_NULL, F_SEP, Q, per_class_sql, report_sql, summary_sql
 from .oracle_more import kfold_sql, split_sql
 
 X = ("value", "hr", "user_id")
@@ -135,6 +135,52 @@ def _probs(rows_sql: str) -> str:
 Q["score"] = _probs(VAL)
 _ALL = (f"SELECT event_id AS id, CAST(value AS DOUBLE) AS value, CAST(hr AS DOUBLE) AS hr, "
         f"CAST(user_id AS DOUBLE) AS user_id FROM ({F_SEP})")
-Q["score_stored"] = f"""
-SELECT s.id, s.pred AS band, s.high, s.low, s.mid, CAST(f.band AS VARCHAR) AS band_actual, 'm-sep-01' AS model_id
-FROM ({_probs(_ALL)}) s JOIN ({F_SEP}) f ON f.event_id = s.id"""
+def _stored(model: str) -> str:
+    return f"""
+SELECT s.id, f.value, f.hr, f.user_id, s.pred AS band, s.high, s.low, s.mid, CAST(f.band AS VARCHAR) AS band_actual,
+  '{model}' AS model_id FROM ({_probs(_ALL)}) s JOIN ({F_SEP}) f ON f.event_id = s.id"""
+
+
+Q["score_stored"] = _stored("m-sep-01")
+Q["rescore_replaces"] = f"SELECT id, value, band, band_actual, model_id FROM ({_stored('m-sep-03')}) WHERE id % 2 = 0"
+
+_VAL_PRED = f"SELECT v.target AS actual, p.pred FROM nbp p JOIN ({VAL}) v USING (id)"
+_ALL_PRED = f"SELECT CAST(f.band AS VARCHAR) AS actual, p.pred FROM nbp p JOIN ({F_SEP}) f ON f.event_id = p.id"
+_VAL_REP = report_sql(f"WITH {nb_ctes(TRAIN, VAL)} {_VAL_PRED}")
+_ALL_REP = report_sql(f"WITH {nb_ctes(TRAIN, _ALL)} {_ALL_PRED}")
+Q["job_report"] = f"SELECT 'validation' AS \"set\", * FROM ({_VAL_REP}) UNION ALL SELECT 'test', * FROM ({_ALL_REP})"
+
+
+def _best(rows: str, pred: str) -> str:
+    """max of overall recall and accuracy, rounded as in the metric table"""
+    return f"SELECT greatest(round(recall, 3), round(accuracy, 3)) FROM ({summary_sql(f'WITH {nb_ctes(TRAIN, rows)} {pred}')})"
+
+
+Q["job_run_log"] = f"""SELECT 'train' AS "set", CAST(10 AS BIGINT) AS n, CAST(NULL AS DOUBLE) AS best UNION ALL
+SELECT 'validation', 10, NULL UNION ALL SELECT 'test', 10, ({_best(_ALL, _ALL_PRED)})"""
+
+# ---------------------------------------------------- step function, re-sampling
+F_STEP = ("SELECT event_id, CAST(hour(ts) AS INTEGER) AS hr, event_id % 5 AS noise, CASE WHEN hour(ts) < 8 THEN 'night' "
+          "WHEN hour(ts) < 16 THEN 'day' ELSE 'eve' END AS part FROM events")
+_STEP_VAL = ("SELECT id, target FROM (" + split_sql(f"SELECT event_id AS id, part AS target FROM ({F_STEP})")
+             + ") WHERE split = 'validation'")
+for _k in ("fit_rf", "fit_dt", "fit_gbt"):
+    Q[_k] = f"SELECT id, target AS pred, CAST(1.0 AS DOUBLE) AS prob_sum FROM ({_STEP_VAL})"
+Q["feature_importance"] = """SELECT * FROM (VALUES ('hr', 1, true), ('noise', 2, false))
+t(variable_name, importance_rank, leads)"""
+Q["model_roundtrip"] = f"SELECT id, target AS pred_fitted, target AS pred_loaded, true AS same FROM ({_STEP_VAL})"
+Q["train_and_score"] = (f"SELECT event_id AS id, hr, noise, part, part AS part_actual, 'm-step-01' AS model_id "
+                        f"FROM ({F_STEP})")
+
+_OS = f"SELECT * FROM ({sampled_sql(TRAIN)}) WHERE s = 'os'"
+Q["ovr_os"] = f"""
+WITH tr AS ({_OS}), te AS ({VAL}),
+nn AS (SELECT * FROM (SELECT te.id, tr.target AS nl, row_number() OVER (PARTITION BY te.id ORDER BY
+    (te.hr - tr.hr) ^ 2 + (te.user_id - tr.user_id) ^ 2, tr.id) AS r FROM te, tr) WHERE r <= 3),
+v AS (SELECT id, nl, count(*) AS n FROM nn GROUP BY id, nl),
+b AS (SELECT id, nl AS pred FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY n DESC, nl) AS r FROM v) WHERE r = 1)
+SELECT b.id, b.pred, {', '.join(f"round(coalesce(max(CASE WHEN nl = '{c}' THEN n END), 0) / 3.0, 6) AS {c}" for c in ('high', 'low', 'mid'))}
+FROM b JOIN v USING (id) GROUP BY b.id, b.pred"""
+Q["smote_nulls"] = f"""
+WITH c AS (SELECT status AS target, count(*) AS n FROM ({F_NULL}) WHERE status IS NOT NULL GROUP BY status)
+SELECT target, (SELECT max(n) FROM c) AS n FROM c"""

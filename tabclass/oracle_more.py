@@ -61,7 +61,7 @@ SELECT d.id, d.target, coalesce(lab.code, n.n) AS label FROM d LEFT JOIN lab ON
 Q["under_sample"] = f"SELECT id, target FROM ({hash_rank_sql(RARE, 'us1')}) WHERE __rank <= __min"
 _OS = f"""SELECT id, target, CAST(CASE WHEN __rank <= __max - __n THEN floor((__max - __n - __rank) / __n) + 1 ELSE 0 END AS INTEGER) AS c
 FROM ({hash_rank_sql(RARE, 'os1')})"""
-Q["over_sample"] = (f"SELECT id, target, CAST(x AS INTEGER) AS copy_no FROM "
+Q["over_sample"] = (f"SELECT id, target, CAST(x AS BIGINT) AS copy_no FROM "
                     f"(SELECT id, target, unnest(generate_series(0, c)) AS x FROM ({_OS}))")
 
 
@@ -73,7 +73,7 @@ def _smote_sql() -> str:
 WITH base AS ({RARE}),
 rk AS (SELECT *, CAST(CASE WHEN __rank <= __max - __n THEN floor((__max - __n - __rank) / __n) + 1 ELSE 0 END AS INTEGER) AS c
        FROM ({rank})),
-need AS (SELECT id, target, CAST(x AS INTEGER) AS copy_no FROM (SELECT id, target, unnest(generate_series(1, c)) AS x FROM rk WHERE c > 0)),
+need AS (SELECT id, target, CAST(x AS BIGINT) AS copy_no FROM (SELECT id, target, unnest(generate_series(1, c)) AS x FROM rk WHERE c > 0)),
 seeds AS (SELECT DISTINCT id, target FROM need),
 nn AS (SELECT qid, cid, nn_rank FROM (
         SELECT a.id AS qid, b.id AS cid,
@@ -148,6 +148,10 @@ SELECT replication_id, model_name, sampling_type,
        CASE model_name WHEN 'xg' THEN {_json_sql('xg')} WHEN 'rf' THEN {_json_sql('rf')} ELSE '{{}}' END AS hyper_parameters
 FROM t"""
 Q["hp_trials"] = TRIALS
+_ONE = (f"SELECT CAST(row_number() OVER (ORDER BY min(replication_id)) AS INTEGER) AS replication_id, model_name, "
+        f"sampling_type FROM ({TRIALS}) GROUP BY model_name, sampling_type")
+Q["hp_trials_stored"] = (f"SELECT *, '{{}}' AS hyper_parameters, 'empty' AS stored FROM ({_ONE}) UNION ALL "
+                         f"SELECT *, '{{\"max_depth\": 4}}', 'depth' FROM ({_ONE})")
 Q["trial_grid"] = (f"SELECT replication_id, model_name, sampling_type, CAST(unnest(generate_series(0, {K - 1})) AS INTEGER) AS fold "
                    f"FROM ({TRIALS})")
 
@@ -232,3 +236,6 @@ Q["csv_roundtrip"] = Q["classification_report"]
 Q["run_log"] = (f"SELECT 'run-1' AS run_id, 'm-001' AS model_id, 'test' AS run_name, 'metric' AS kind, "
                 f"\"Metric\" AS name, \"Value\" AS value FROM ({Q['metrics_long']})")
 Q["write_results"] = f"SELECT row_id, status FROM ({F_RARE})"
+
+Q["registry_lookup_key"] = """SELECT o_custkey, o_orderkey, o_totalprice FROM orders WHERE o_custkey = 7
+ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1"""

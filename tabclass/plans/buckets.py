@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import BREAKDOWN_CUTS, PRECISION_BUCKET_CUTS
-from ..functions.quantiles import exact_quantiles
-from ..functions.rowwise import qcol
+from ..functions.quantiles import exact_quantiles, grouped_exact_quantiles
+from ..functions.rowwise import lookup_small, qcol
 from .metrics import _ratio, classification_report, per_class
 
 
@@ -59,6 +59,27 @@ def percentile_breakdown(scored: DataFrame, focus: Sequence[str], actual: str =
     return rep.withColumn("percentile", F.element_at(tag, F.col("cut_i"))).drop("cut_i")
 
 
+def percentile_breakdown_by(scored: DataFrame, key: str, focus: Sequence[str], actual: str = "actual",
+                            pred: str = "pred", cuts: Sequence[float] = BREAKDOWN_CUTS) -> DataFrame:
+    """:func:`percentile_breakdown` per value of ``key`` (a model id), each
+    with its own thresholds; one pass for all of them."""
+    cuts = list(cuts)
+    thr = grouped_exact_quantiles(scored, key, focus[0], cuts)  # groups x cuts numbers
+    kind = scored.schema[key].dataType.simpleString()
+    table = scored.sparkSession.createDataFrame([(g, [float(x) for x in t]) for g, t in thr.items()],
+                                                f"`{key}` {kind}, __thr array<double>")
+    s = qcol(focus[0]).cast("double")
+    hit = F.filter(F.transform("__thr", lambda t, i: F.when(s >= t, i)), lambda i: i.isNotNull())
+    rows = lookup_small(scored, table, key, ["__thr"]).select(
+        qcol(key), F.col(actual).cast("string").alias("actual"), F.col(pred).cast("string").alias("pred"),
+        hit.alias("__hit"))
+    n = rows.groupBy(key, "__hit", "actual", "pred").agg(F.count(F.lit(1)).alias("n"))  # a level per cut at most
+    cm = (n.select(key, F.explode("__hit").alias("cut_i"), "actual", "pred", "n")
+          .groupBy(key, "cut_i", "actual", "pred").agg(F.sum("n").alias("n")))
+    tag = F.element_at(F.array(*[F.lit(int(round((1 - q) * 100))) for q in cuts]), F.col("cut_i") + 1)
+    return classification_report(cm, keys=[key, "cut_i"]).withColumn("percentile", tag).drop("cut_i")
+
+
 def precision_buckets(scored: DataFrame, focus: Sequence[str], actual: str = "actual",
                       pred: str = "pred", cuts: Sequence[float] = PRECISION_BUCKET_CUTS) -> DataFrame:
     """Per cut q: percentile round((1-q)*100, 1), threshold, accuracy and the

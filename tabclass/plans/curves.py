@@ -74,20 +74,22 @@ def roc_auc(scored: DataFrame, positive: str, score_col: str, actual: str = "act
     return _auc_from_counts(score_counts(scored, positive, score_col, actual))
 
 
-def roc_auc_macro(scored: DataFrame, classes: Sequence[str], actual: str = "actual") -> DataFrame:
-    """Mean over classes of the one-vs-rest AUC of each class's own score.
+def roc_auc_macro(scored: DataFrame, classes: Sequence[str], actual: str = "actual",
+                  keys: Sequence[str] = ()) -> DataFrame:
+    """E12 (per ``keys``): mean over classes of the one-vs-rest AUC of each class's own score.
 
-    Scores are unpivoted to (class, score, is_positive) with ``stack`` and all
+    Scores are unpivoted to (class, score, is_positive) and all
     classes are done in one grouped pass.
     """
-    expr = "stack({}, {}) as (cls, score)".format(
-        len(classes), ", ".join(f"'{c}', cast(`{c}` as double)" for c in classes))
-    long = scored.select(F.col(actual).cast("string").alias("actual"), F.expr(expr))
-    counts = (long.groupBy("cls", "score").agg(
+    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("cls"), qcol(c).cast("double").alias("score"))
+                               for c in classes]))
+    k = list(keys)
+    long = scored.select(*k, F.col(actual).cast("string").alias("actual"), pairs)
+    counts = (long.groupBy(*k, "cls", "score").agg(
         F.sum((F.col("actual") == F.col("cls")).cast("bigint")).alias("pos"),
         F.sum((F.col("actual") != F.col("cls")).cast("bigint")).alias("neg")))
-    per = _auc_from_counts(counts, keys=["cls"])
-    return per.agg(F.avg("auc").alias("auc_macro"))
+    per = _auc_from_counts(counts, keys=[*k, "cls"])
+    return per.groupBy(*k).agg(F.avg("auc").alias("auc_macro"))
 
 
 def roc_auc_hard(cm: DataFrame, positive: str) -> DataFrame:

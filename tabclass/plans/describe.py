@@ -27,9 +27,8 @@ def describe(df: DataFrame, cols: Sequence[str], by: str | None = None) -> DataF
         F.stddev_samp(F.col(f"`{c}`")).alias(f"std|{c}"),
         F.min(F.col(f"`{c}`")).cast("double").alias(f"min|{c}"),
         F.max(F.col(f"`{c}`")).cast("double").alias(f"max|{c}"))]).collect()  # one row per group
-    stack = "stack({}, {}) as (feature, v)".format(
-        len(cols), ", ".join(f"'{c}', cast(`{c}` as double)" for c in cols))
-    long = df.select(*g, F.expr(stack))
+    long = df.select(*g, F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("double").alias("v"))
+                                            for c in cols])))
     if by:
         long = long.withColumn("__g", F.concat_ws("\u0001", F.col(by).cast("string"), "feature"))
     else:

@@ -10,6 +10,7 @@ class lists, trial rows, CV scores, metric rows, bucket tables.
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +19,9 @@ from pyspark.sql import functions as F
 from ..config import JobConfig
 from ..functions.lists import format_feature_list, parse_feature_list
 from ..operators import balance, models, prep, sampling, search, split
-from ..session import checkpoint_dir
-from ..sources import sinks
-from . import buckets, metrics
+from ..session import checkpoint_dir, scratch_path
+from ..sources import sinks, tables
+from . import buckets, describe, evaluate, metrics
 
 
 @dataclass
@@ -43,30 +44,33 @@ def train_job(spark: SparkSession, cfg: JobConfig, history: DataFrame, to_score:
     marks = [("start", time.time())]
     checkpoint_dir(spark)
     hist = prep.prep_columns(history, cfg.id_col, cfg.target)
-    scored_in = prep.with_actual(to_score, cfg.target)
-    actuals = scored_in.select(F.col(f"`{cfg.id_col}`").alias("id"), f"{cfg.target}_actual")
-    pred_in = prep.prep_columns(scored_in.drop(f"{cfg.target}_actual"), cfg.id_col,
-                                cfg.target if cfg.target in to_score.columns else None, like=hist)
-    pred_in = prep.cast_like(pred_in, hist.drop("target").schema)  # P10: history's types
     features = prep.feature_columns(hist)
+    actual = f"{cfg.target}_actual"
+    pred_in = prep.with_actual(to_score, cfg.target)  # the true label stays in the row: no join back
+    if cfg.id_col != "id":
+        pred_in = pred_in.drop("id").withColumnRenamed(cfg.id_col, "id")
+    pred_in = prep.cast_like(prep.align_features(pred_in, features, keep=("id", actual)),
+                             hist.drop("target").schema)  # P10: history's types
     focus = cfg.focus_labels()
     if focus is None:  # 'all': every class; the smallest cuts buckets (Q6)
         focus = tuple(sorted(r[0] for r in balance.class_list(hist).select("label").collect()))
 
-    parts = split.stratified_split(hist, seed=cfg.seed)
-    folded = split.stratified_kfold(parts.where(F.col("split") == "train"), cfg.cv_kfold)
-    labelled = folded.unionByName(parts.where(F.col("split") == "validation")
-                                  .withColumn("fold", F.lit(None).cast("int")))
-    labelled = labelled.checkpoint()  # one lineage cut: split + folds, reused by every fit
-    train = labelled.where(F.col("split") == "train").drop("split")
-    val = labelled.where(F.col("split") == "validation").drop("split", "fold")
+    # written once, by split: the folds are ranked from it, and later reads are pruned
+    path = scratch_path(spark, "split")
+    split.stratified_split(hist, seed=cfg.seed).write.partitionBy("split").parquet(path)
+    parts = spark.read.parquet(path)
+    val = parts.where(F.col("split") == "validation").drop("split")
+    folds = scratch_path(spark, "folds")
+    (split.stratified_kfold(parts.where(F.col("split") == "train").drop("split"), cfg.cv_kfold)
+     .write.partitionBy("fold").parquet(folds))
+    train = spark.read.parquet(folds)
     marks.append(("split_folds", time.time()))
 
     plan = sampling.sampling_plan(hist, train, preferred=cfg.preferred[1] if cfg.preferred else None)
     models_ = (cfg.preferred[0],) if cfg.preferred else cfg.models
     combos = sampling.model_combos(plan, models_)
     stored = None
-    if not cfg.is_update_model_param and _exists(spark, f"{out_root}/{cfg.registry_table}"):
+    if not cfg.is_update_model_param and sinks.table_at(spark, f"{out_root}/{cfg.registry_table}"):
         reg = spark.read.parquet(f"{out_root}/{cfg.registry_table}").where(F.col("model_ID") == cfg.model_id)
         row = reg.select("model_name", "hyper_parameters").first()
         if row is not None:
@@ -132,36 +136,53 @@ def train_job(spark: SparkSession, cfg: JobConfig, history: DataFrame, to_score:
                                f"{out_root}/{cfg.precision_buckets_table}", ["model_id"],
                                partition_by="model_id")
 
-    marks.append(("registry_reports", time.time()))
     fm = fitted[best_model]
-    scored = models.predict(fm, pred_in, keep=("id",), with_probability=cfg.show_probability)
-    scored = scored.withColumnRenamed("pred", cfg.target).join(actuals, "id", "inner")
-    out = prep.tag(prep.safe_names(scored), model_id=cfg.model_id)
+    sets = {"train": models.predict(fm, train, keep=("id", "target")).withColumnRenamed("target", "actual"),
+            "validation": vbest}
+    if cfg.target in to_score.columns:
+        sets["test"] = models.predict(fm, pred_in, keep=("id", actual)).withColumnRenamed(actual, "actual")
+    frames = {"train": train, "validation": val, "test": pred_in}
+    tables_ = evaluate.evaluate(sets, fm.labels, focus, cfg.beta)
+    tables_["describe"] = describe.describe(evaluate.tagged({k: v.select(*[F.col(f"`{c}`") for c in features])
+                                                             for k, v in frames.items()}), features, by="set")
+    importance = models.feature_importance(fm)  # one number per feature
+    if importance:
+        tables_["importance"] = spark.createDataFrame(importance, "variable_name string, importance double")
+    evaluation = {name: sinks.replace_by_key(t.withColumn("model_id", F.lit(cfg.model_id)),
+                                             f"{out_root}/evaluation_{name}", "model_id")
+                  .where(F.col("model_id") == cfg.model_id) for name, t in tables_.items()}
+    for name in ("report", "describe"):  # S8
+        sinks.export_csv(evaluation[name], f"{out_root}/export/{cfg.model_id}_{name}")
+    sinks.log_run(evaluation["metrics"], f"{out_root}/run_log", run_id=uuid.uuid4().hex, model_id=cfg.model_id,
+                  run_name=best_model, kind="metric")  # S9
+    marks.append(("registry_reports", time.time()))
+    scored = models.predict(fm, pred_in, keep=("id", *features, actual), with_probability=cfg.show_probability)
+    out = prep.tag(prep.safe_names(scored.withColumnRenamed("pred", cfg.target)), model_id=cfg.model_id)
     if cfg.persist_model:
         models.save_model(fm, cfg.model_location or f"{out_root}/models", cfg.model_id)
         top = spark.createDataFrame([(cfg.model_id, features)], "model_id string, features array<string>")
         sinks.persist_data(top.select("model_id", format_feature_list(F.col("features")).alias("list"),
                                       F.current_timestamp().alias("inserted_at")),
                            f"{out_root}/{cfg.top_vars_table}", ["model_id"], partition_by="model_id")
-    results = sinks.persist_data(out, f"{out_root}/{cfg.prediction_table}_gc_results", ["model_id", "id"],
-                                 partition_by="model_id")
+    # the model's predictions are replaced as a whole: no rows of an earlier table stay
+    results = sinks.replace_by_key(out, f"{out_root}/{cfg.prediction_table}_results", "model_id")
+    results = results.where(F.col("model_id") == cfg.model_id)
+    for p in preds.values():
+        p.unpersist()
+    best.unpersist()
     marks.append(("score_persist", time.time()))
     phases = {marks[i][0]: round(marks[i][1] - marks[i - 1][1], 3) for i in range(1, len(marks))}
     return JobResult(best_model, cv, best, validation, report, breakdown, pbuckets, results,
-                     extra={"fitted": fitted, "phase_sec": phases})
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    return sinks._exists(spark, path)
+                     extra={"fitted": fitted, "phase_sec": phases, "evaluation": evaluation})
 
 
 def score_with_stored_model(spark: SparkSession, to_score: DataFrame, model_root: str, model_id: str,
                             id_col: str, target: str, top_vars: DataFrame | None = None,
                             show_probability: bool = True) -> DataFrame:
     """Entry B (T15): stored model + stored feature list -> aligned features
-    (absent ones 0, Q11) -> prediction and class probabilities -> actual label
-    joined on id -> digit-leading names prefixed -> tagged with the model id.
-    A narrow plan over the prediction table plus one join on id."""
+    (absent ones 0, Q11) -> id, features, prediction, class probabilities, actual
+    label, model id. Features and label travel through the prediction: a narrow
+    plan over the prediction table, without a join."""
     fm = models.load_model(spark, model_root, model_id)
     feats = fm.features
     if top_vars is not None:
@@ -169,9 +190,26 @@ def score_with_stored_model(spark: SparkSession, to_score: DataFrame, model_root
         if row is not None:
             feats = list(row["l"])
     d = prep.with_actual(to_score, target)
-    actual = d.select(F.col(f"`{id_col}`").alias("id"), f"{target}_actual")
-    x = prep.align_features(d.withColumnRenamed(id_col, "id") if id_col != "id" else d, feats, keep=("id",))
+    actual = f"{target}_actual"
+    x = d.drop("id").withColumnRenamed(id_col, "id") if id_col != "id" else d
+    x = prep.align_features(x, feats, keep=("id", actual))
     fm.features = feats
-    p = models.predict(fm, x, keep=("id",), with_probability=show_probability)
-    p = p.withColumnRenamed("pred", target).join(actual, "id", "inner")
-    return prep.tag(prep.safe_names(p), model_id=model_id)
+    p = models.predict(fm, x, keep=("id", *feats, actual), with_probability=show_probability)
+    return prep.tag(prep.safe_names(p.withColumnRenamed("pred", target)), model_id=model_id)
+
+
+def run(spark: SparkSession, cfg: JobConfig, out_root: str, sf_dir: str | None = None):
+    """The job a configuration describes: reads its tables and trains, evaluates
+    and scores (Entry A), or scores with the stored model (Entry B) when
+    ``read_model`` is set. Returns the predictions of its model id."""
+    to_score = tables.read_table(spark, cfg.prediction_table, sf_dir)
+    if not cfg.read_model:
+        history = tables.read_table(spark, cfg.historic_table, sf_dir)
+        return train_job(spark, cfg, history, to_score, out_root).predictions
+    top = None
+    if sinks.table_at(spark, f"{out_root}/{cfg.top_vars_table}"):
+        top = spark.read.parquet(f"{out_root}/{cfg.top_vars_table}")
+    out = score_with_stored_model(spark, to_score, cfg.model_location or f"{out_root}/models", cfg.model_id,
+                                  cfg.id_col, cfg.target, top, cfg.show_probability)
+    res = sinks.replace_by_key(out, f"{out_root}/{cfg.prediction_table}_results", "model_id")
+    return res.where(F.col("model_id") == cfg.model_id)

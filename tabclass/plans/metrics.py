@@ -165,12 +165,12 @@ def normalized_confusion(cm: DataFrame, keys: Sequence[str] = (), digits: int =
 
 
 def metric_table(rows: dict[str, Column], df: DataFrame, digits: int = 3) -> DataFrame:
-    """Long (Metric, Value) table from one-row metric columns (``stack``)."""
+    """Long (Metric, Value) table from one-row metric columns."""
     names = list(rows)
     one = df.select(*[rows[n].cast("double").alias(f"m{i}") for i, n in enumerate(names)])
-    expr = "stack({}, {}) as (Metric, Value)".format(
-        len(names), ", ".join(f"'{n}', m{i}" for i, n in enumerate(names)))
-    return one.selectExpr(expr).withColumn("Value", F.round("Value", digits))
+    long = F.inline(F.array(*[F.struct(F.lit(n).alias("Metric"), F.col(f"m{i}").alias("Value"))
+                              for i, n in enumerate(names)]))
+    return one.select(long).withColumn("Value", F.round("Value", digits))
 
 
 def validation_table(preds_by_combo: dict, focus, beta: float):

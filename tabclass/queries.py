@@ -106,6 +106,38 @@ def q_metrics_long(spark, sf_dir):
         "test_accuracy": F.col("accuracy")}, s, digits=3)
 
 
+@register("metrics_long_train_val")
+def q_metrics_long_train_val(spark, sf_dir):
+    """The 20 rows of train and validation, one confusion aggregate for both."""
+    from .plans import evaluate
+    scored = fx.f_scored(spark, sf_dir).withColumn(
+        "set", F.when(F.col("id") % 3 == 0, "validation").otherwise("train"))
+    auc = curves.roc_auc_macro(scored, fx.SCORE_CLASSES, keys=["set"]).withColumnRenamed("auc_macro", "auc")
+    return evaluate.metrics_long(metrics.confusion_counts(scored, keys=["set"]), auc, FOCUS, BETA)
+
+
+@register("percentile_breakdown_by_model")
+def q_percentile_breakdown_by_model(spark, sf_dir):
+    """The breakdown of E7 for every model id, each with its own thresholds."""
+    scored = fx.f_scored(spark, sf_dir).withColumn("model_id", F.concat(F.lit("m"), (F.col("id") % 2).cast("string")))
+    return buckets.percentile_breakdown_by(scored, "model_id", FOCUS)
+
+
+@register("odd_names")
+def q_odd_names(spark, sf_dir):
+    """Class names with a quote and a dot: macro AUC, a score quantile and a
+    described column of such names."""
+    from .functions.quantiles import exact_quantiles
+    s = fx.f_scored(spark, sf_dir)
+    s = s.withColumnRenamed("click", "it's").withColumnRenamed("view", "yes.1")
+    s = s.withColumn("actual", F.when(F.col("actual") == "click", "it's").when(F.col("actual") == "view", "yes.1")
+                     .otherwise(F.col("actual")))
+    names = ["it's" if c == "click" else "yes.1" if c == "view" else c for c in fx.SCORE_CLASSES]
+    median = exact_quantiles(s, "yes.1", [0.5])[0]
+    return curves.roc_auc_macro(s, names).select(F.round("auc_macro", 6).alias("auc_macro"),
+                                                 F.round(F.lit(median), 6).alias("median"))
+
+
 @register("score_percentiles")
 def q_score_percentiles(spark, sf_dir):
     from .config import BREAKDOWN_CUTS

@@ -118,27 +118,46 @@ def q_registry_row(spark, sf_dir):
                                             "overall_precision", "overall_f1", "overall_fbeta", "accuracy")])
 
 
-# ----------------------------------------------------- rows-only learners
+# ------------------------------------------------------------------ learners
+STEP_FEATURES = ("hr", "noise")
+
+
+def _step_parts(spark, sf_dir):
+    from .session import scratch_path
+    path = scratch_path(spark, "step")
+    split.stratified_split(prep.prep_columns(fx.f_step(spark, sf_dir), "event_id", "part")).write.parquet(path)
+    s = spark.read.parquet(path)
+    return s.where(F.col("split") == "train").drop("split"), s.where(F.col("split") == "validation").drop("split")
+
+
 def _fit_and_score(spark, sf_dir, model_name, params=None):
     train, val = _sep_parts(spark, sf_dir)
     fm = models.fit_model(train, SEP_FEATURES, model_name, "NA", params)
     return models.predict(fm, val, keep=("id",))
 
 
+def _fit_step(spark, sf_dir, model_name, params):
+    """id, prediction and the sum of the class probabilities on F_STEP."""
+    train, val = _step_parts(spark, sf_dir)
+    fm = models.fit_model(train, STEP_FEATURES, model_name, "NA", params)
+    p = models.predict(fm, val, keep=("id",))
+    return p.select("id", "pred", F.round(sum(F.col(f"`{c}`") for c in fm.labels), 6).alias("prob_sum"))
+
+
 @register("fit_rf")
 def q_fit_rf(spark, sf_dir):
-    return _fit_and_score(spark, sf_dir, "rf", {"n_estimators": 20, "max_depth": 5, "max_features": "sqrt",
-                                                "criterion": "gini", "min_samples_leaf": 5})
+    return _fit_step(spark, sf_dir, "rf", {"n_estimators": 100, "max_depth": 8, "max_features": "sqrt",
+                                           "criterion": "gini", "min_samples_leaf": 5})
 
 
 @register("fit_dt")
 def q_fit_dt(spark, sf_dir):
-    return _fit_and_score(spark, sf_dir, "dt", {"max_depth": 5})
+    return _fit_step(spark, sf_dir, "dt", {"max_depth": 5})
 
 
 @register("fit_gbt")
 def q_fit_gbt(spark, sf_dir):
-    return _fit_and_score(spark, sf_dir, "xg", {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.1})
+    return _fit_step(spark, sf_dir, "xg", {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.1})
 
 
 @register("score")
@@ -150,35 +169,36 @@ def q_score(spark, sf_dir):
 
 @register("feature_importance")
 def q_feature_importance(spark, sf_dir):
-    train, _ = _sep_parts(spark, sf_dir)
-    fm = models.fit_model(train, SEP_FEATURES, "rf", "NA", {"n_estimators": 20, "max_depth": 5})
-    imp = models.feature_importance(fm)  # one number per feature
-    return spark.createDataFrame(imp, "variable_name string, importance double").orderBy(F.desc("importance"))
+    """T10 on F_STEP: rank of each feature (the label depends on ``hr`` alone)."""
+    train, _ = _step_parts(spark, sf_dir)
+    fm = models.fit_model(train, STEP_FEATURES, "rf", "NA", {"n_estimators": 100, "max_depth": 5})
+    imp = models.feature_importance(fm)  # one number per feature, largest first
+    rows = [(name, i + 1, share > 0.5) for i, (name, share) in enumerate(imp)]
+    return spark.createDataFrame(rows, "variable_name string, importance_rank int, leads boolean")
 
 
 @register("loss_curve")
 def q_loss_curve(spark, sf_dir):
-    """Log-loss by number of trees on train and validation (binary GBT, F_RARE)."""
-    from pyspark.ml.classification import GBTClassificationModel
+    """Log-loss by number of trees on train and validation (binary GBT on
+    F_RARE, three classes on F_STEP)."""
+    out = None
     d = split.stratified_split(prep.prep_columns(fx.f_rare(spark, sf_dir), "row_id", "status"))
-    train, val = d.where(F.col("split") == "train"), d.where(F.col("split") == "validation")
-    feats = ("o_totalprice", "o_custkey", "m")
-    fm = models.fit_model(train, feats, "xg", "NA", {"n_estimators": 5, "max_depth": 3})
-    gbt: GBTClassificationModel = fm.pipeline.stages[-1]
-    prep_pm = fm.pipeline.stages[:-1]
-    from pyspark.ml import PipelineModel
-    pp = PipelineModel(prep_pm)
-    tr = gbt.evaluateEachIteration(pp.transform(train.select("id", *feats, "target")))
-    va = gbt.evaluateEachIteration(pp.transform(val.select("id", *feats, "target")))
-    rows = [(i + 1, float(a), float(b)) for i, (a, b) in enumerate(zip(tr, va))]  # one per tree
-    return spark.createDataFrame(rows, "n_trees int, train_loss double, validation_loss double")
+    rare = tuple(d.where(F.col("split") == s).drop("split") for s in ("train", "validation"))
+    for name, (train, val), feats in (("rare", rare, ("o_totalprice", "o_custkey", "m")),
+                                      ("step", _step_parts(spark, sf_dir), STEP_FEATURES)):
+        fm = models.fit_model(train, feats, "xg", "NA", {"n_estimators": 5, "max_depth": 3})
+        rows = models.loss_curve(fm, {"train": train, "validation": val})  # one per tree
+        t = spark.createDataFrame(rows, "n_trees int, train_loss double, validation_loss double").withColumn(
+            "fixture", F.lit(name))
+        out = t if out is None else out.unionByName(t)
+    return out
 
 
 @register("model_roundtrip")
 def q_model_roundtrip(spark, sf_dir):
     from .session import scratch_path
-    train, val = _sep_parts(spark, sf_dir)
-    fm = models.fit_model(train, SEP_FEATURES, "dt", "NA", {"max_depth": 4})
+    train, val = _step_parts(spark, sf_dir)
+    fm = models.fit_model(train, STEP_FEATURES, "dt", "NA", {"max_depth": 4})
     root = scratch_path(spark, "models")
     models.save_model(fm, root, "m-rt")
     back = models.load_model(spark, root, "m-rt")
@@ -201,7 +221,7 @@ def q_score_stored(spark, sf_dir):
     events = tables.read_table(spark, "events", sf_dir)
     pred_table = fx.f_sep(spark, sf_dir).join(events.select("event_id", "props"), "event_id")
     out = score_with_stored_model(spark, pred_table, root, "m-sep-01", id_col="event_id", target="band")
-    return out.select("id", "band", *[F.round(c, 6).alias(c) for c in ("high", "low", "mid")],
+    return out.select("id", *SEP_FEATURES, "band", *[F.round(c, 6).alias(c) for c in ("high", "low", "mid")],
                       "band_actual", "model_id")
 
 
@@ -215,14 +235,80 @@ def q_best_params(spark, sf_dir):
 
 @register("train_and_score")
 def q_train_and_score(spark, sf_dir):
-    """Entry A end to end on F_SEP: search (rf with 2 draws, dt; 3 folds),
-    refit, registry, reports, scoring of the whole events table, keyed write."""
+    """Entry A end to end on F_STEP: search (dt, and rf with 2 of its 20 draws;
+    3 folds), refit, registry, reports, scoring of the whole table, keyed write."""
+    from .config import JobConfig
+    from .plans.job import train_job
+    from .session import scratch_path
+    step = fx.f_step(spark, sf_dir)
+    cfg = JobConfig(historic_table="events", prediction_table="events_scored", target="part",
+                    id_col="event_id", model_id="m-step-01", accuracy_focus="recall",
+                    target_focus=("night", "day"), models=("dt", "rf"), cv_kfold=CV_K, max_trials={"rf": 2})
+    res = train_job(spark, cfg, step, step, scratch_path(spark, "job"))
+    return res.predictions.select("id", "hr", "noise", "part", "part_actual", "model_id")
+
+
+def _nb_job(spark, sf_dir):
+    """Entry A with one combo (NB without re-sampling) on F_SEP; (result, folder)."""
     from .config import JobConfig
     from .plans.job import train_job
     from .session import scratch_path
-    sep = fx.f_sep(spark, sf_dir)
-    cfg = JobConfig(historic_table="events", prediction_table="events_scored", target="band",
-                    id_col="event_id", model_id="m-sep-02", accuracy_focus="recall",
-                    target_focus=SEP_FOCUS, models=("rf", "dt"), cv_kfold=CV_K, max_trials={"rf": 2})
-    res = train_job(spark, cfg, sep, sep, scratch_path(spark, "job"))
-    return res.predictions
+    sep, root = fx.f_sep(spark, sf_dir), scratch_path(spark, "job")
+    cfg = JobConfig(historic_table="events", prediction_table="events_scored", target="band", id_col="event_id",
+                    model_id="m-sep-02", accuracy_focus="recall", target_focus=SEP_FOCUS, preferred_model="nb_NA",
+                    cv_kfold=CV_K)
+    return train_job(spark, cfg, sep, sep, root), root
+
+
+@register("job_report")
+def q_job_report(spark, sf_dir):
+    """E6 from the job's own evaluation table: validation and test reports."""
+    res, _ = _nb_job(spark, sf_dir)
+    r = res.extra["evaluation"]["report"].where(F.col("set") != "train")
+    return r.select("set", "value", "precision", "recall", "f1_score", "support")
+
+
+@register("job_run_log")
+def q_job_run_log(spark, sf_dir):
+    """S9 as the job writes it: the test metrics, and how many rows per set."""
+    _, root = _nb_job(spark, sf_dir)
+    log = spark.read.parquet(f"{root}/run_log")
+    v = F.when(F.col("name").isin("test_overall_recall", "test_accuracy"), F.col("value").cast("double"))
+    return log.groupBy(F.split("name", "_")[0].alias("set")).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.max(v), 3).alias("best"))
+
+
+@register("rescore_replaces")
+def q_rescore_replaces(spark, sf_dir):
+    """The whole table is scored with the stored model, then only its
+    even ids; none of the first rows may stay."""
+    from .config import JobConfig
+    from .plans import job
+    from .session import scratch_path
+    train, _ = _sep_parts(spark, sf_dir)
+    root = scratch_path(spark, "rescore")
+    models.save_model(models.fit_model(train, SEP_FEATURES, "nb", "NA"), f"{root}/models", "m-sep-03")
+    cfg = JobConfig(historic_table="", prediction_table="sep", target="band", id_col="event_id", model_id="m-sep-03",
+                    read_model=True)
+    data = scratch_path(spark, "rescore-in")
+    for n, d in enumerate((fx.f_sep(spark, sf_dir), fx.f_sep(spark, sf_dir).where(F.col("event_id") % 2 == 0))):
+        d.write.parquet(f"{data}/{n}/sep.parquet")
+        out = job.run(spark, cfg, root, f"{data}/{n}")
+    return out.select("id", "value", "band", "band_actual", "model_id")
+
+
+@register("ovr_os")
+def q_ovr_os(spark, sf_dir):
+    """T8 with over-sampling: 3-NN votes on re-sampled rows (ids repeat)."""
+    train, val = _sep_parts(spark, sf_dir)
+    fm = models.fit_model(train, ("hr", "user_id"), "ovr", "os")
+    p = models.predict(fm, val, keep=("id",))
+    return p.select("id", "pred", *[F.round(c, 6).alias(c) for c in ("high", "low", "mid")])
+
+
+@register("smote_nulls")
+def q_smote_nulls(spark, sf_dir):
+    """M5 after M9: classes are level although the features had nulls."""
+    d = prep.prep_columns(fx.f_null(spark, sf_dir).where("status is not null"), "row_id", "status")
+    p = models.prepare(d, ("o_totalprice", "o_custkey", "m"), "smote", cache=False)
+    return p.frame.groupBy("target").agg(F.count(F.lit(1)).alias("n"))

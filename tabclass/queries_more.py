@@ -91,6 +91,14 @@ def q_hp_trials(spark, sf_dir):
     return search.hp_trials(sampling.model_combos(_plan(spark, sf_dir)))
 
 
+@register("hp_trials_stored")
+def q_hp_trials_stored(spark, sf_dir):
+    """Stored parameters win over draws, also when they are empty."""
+    combos = sampling.model_combos(_plan(spark, sf_dir))
+    empty = search.hp_trials(combos, stored_params={}).withColumn("stored", F.lit("empty"))
+    return empty.unionByName(search.hp_trials(combos, stored_params={"max_depth": 4}).withColumn("stored", F.lit("depth")))
+
+
 @register("trial_grid")
 def q_trial_grid(spark, sf_dir):
     t = search.hp_trials(sampling.model_combos(_plan(spark, sf_dir)))
@@ -174,8 +182,9 @@ def q_join_actuals(spark, sf_dir):
 
 @register("attach_scores")
 def q_attach_scores(spark, sf_dir):
-    s = fx.f_scored(spark, sf_dir)
-    return s.select("id", "pred").join(s.select("id", *fx.SCORE_CLASSES), "id", "inner")
+    """Prediction and class scores in one row; both are columns of the
+    scored frame, so they are projected, not joined."""
+    return fx.f_scored(spark, sf_dir).select("id", "pred", *fx.SCORE_CLASSES)
 
 
 @register("history_fallback")
@@ -194,6 +203,13 @@ def q_registry_lookup(spark, sf_dir):
     return tables.latest_per_key(o, ["o_custkey"], ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
 
 
+@register("registry_lookup_key")
+def q_registry_lookup_key(spark, sf_dir):
+    """S4 / F1 by key: newest row of one key, the equality filter in the scan."""
+    o = tables.read_table(spark, "orders", sf_dir).select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    return tables.lookup(o, "o_custkey", 7, ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
+
+
 # ------------------------------------------------------- modes and describe
 @register("mode_values")
 def q_mode_values(spark, sf_dir):

@@ -43,10 +43,13 @@ def f_vec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.col("vec_id").alias("id"), "embedding", F.col("label").cast("string").alias("label"))
 
 
-def f_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lab = read_table(spark, "labels", sf_dir)
-    doc = read_table(spark, "documents", sf_dir).select("doc_id", "n_chars")
-    return lab.join(doc, "doc_id", "inner").select("doc_id", "n_chars", "toxic")
+def f_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The label is a step function of one whole-number feature with few values,
+    which every tree learner must reproduce exactly."""
+    e = read_table(spark, "events", sf_dir)
+    hr = F.hour("ts")
+    return e.select("event_id", hr.alias("hr"), (F.col("event_id") % 5).alias("noise"),
+                    F.when(hr < 8, "night").when(hr < 16, "day").otherwise("eve").alias("part"))
 
 
 def f_null(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,14 +2,14 @@
 run log. Tables are parquet folders (a catalog name works the same way through
 ``saveAsTable`` where a metastore exists).
 
-Never read and overwrite one path in the same plan: merged results are written
-to a staging folder in the shared checkpoint area first, checked, then copied
-over the target (the reference dropped the table first and only printed write
-errors, Q12).
+Never read and overwrite one path in the same plan: new rows are written to a
+staging folder first and then swapped in (S7) or put in place of whole
+partitions (S5, S6). Stages are removed when they have been used.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,46 +18,62 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """A readable parquet table at ``path`` (dynamic partition overwrites
-    leave no _SUCCESS marker at the root, so the footer read decides)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def _fs(spark: SparkSession, path: str):
+    """(filesystem, path) through Hadoop, so that any store works."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def table_at(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` holds data files. Only a missing or empty folder counts
+    as no table; one that can't be read raises when it is read."""
+    fs, p = _fs(spark, path)
     if not fs.exists(p):
         return False
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:  # noqa: BLE001  (empty or partial folder)
-        return False
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        if not files.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
 
 
 def write_results(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Replace a result table. Staged: the new rows are written and counted
-    in the shared staging area, then copied over ``path``."""
+    """Replace a result table. The new rows are written beside the target
+    and swapped in by renaming; the old table stays until they are complete."""
     spark = df.sparkSession
-    stage = scratch_path(spark, "stage")
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
+    path = path.rstrip("/")
+    mark = uuid.uuid4().hex[:12]
+    stage, old = f"{path}__stage_{mark}", f"{path}__old_{mark}"
+    w = df.write.partitionBy(*partition_by) if partition_by else df.write
     w.parquet(stage)
-    staged = spark.read.parquet(stage)
-    staged.count()  # fails here, before the target is touched, if the stage is unreadable
-    w2 = staged.write.mode("overwrite")
-    if partition_by:
-        w2 = w2.partitionBy(*partition_by)
-    w2.parquet(path)
+    fs, target = _fs(spark, path)
+    _, new_p = _fs(spark, stage)
+    _, old_p = _fs(spark, old)
+    had = fs.exists(target)
+    if had and not fs.rename(target, old_p):
+        raise OSError(f"{path} could not be moved aside; the new rows are in {stage}")
+    if not fs.rename(new_p, target):
+        if had:
+            fs.rename(old_p, target)
+        raise OSError(f"the new rows could not be moved to {path}; they are in {stage}")
+    if had:
+        fs.delete(old_p, True)
+    spark.catalog.refreshByPath(path)
     return spark.read.parquet(path)
 
 
 def persist_data(df: DataFrame, path: str, keys: Sequence[str],
                  partition_by: str | None = None) -> DataFrame:
-    """Keyed upsert — rows of ``df`` replace stored rows with the same key.
+    """Keyed upsert: rows of ``df`` replace stored rows with the same key.
 
-    ``old LEFT ANTI JOIN new_keys`` keeps untouched rows (a shuffle join on the
-    keys; AQE broadcasts the key side when it is small), ``unionByName`` adds
-    the new rows; the merge goes through the staging area.
+    ``df`` is evaluated once, into the staging area; its keys, its partitions
+    and its rows are read from there. ``old LEFT ANTI JOIN new_keys`` keeps
+    untouched rows, ``unionByName`` adds the new ones.
 
     With ``partition_by`` (a key column such as ``model_id``) the table is
     partitioned by it: only the partitions present in ``df`` are read (pruned
@@ -67,31 +83,34 @@ def persist_data(df: DataFrame, path: str, keys: Sequence[str],
     spark = df.sparkSession
     keys = list(keys)
     parts = [partition_by] if partition_by else []
-    if not _exists(spark, path):
+    if not table_at(spark, path):
         return write_results(df, path, parts)
+    stage = scratch_path(spark, "stage")
+    df.write.parquet(stage)
+    new = spark.read.schema(df.schema).parquet(stage)
     old = spark.read.parquet(path)
     if partition_by:
-        touched = [r[0] for r in df.select(partition_by).distinct().collect()]  # a few model ids
+        touched = [r[0] for r in new.select(partition_by).distinct().collect()]  # a few model ids
         old = old.where(F.col(partition_by).isin(touched))
-    merged = (old.join(df.select(*keys).distinct(), keys, "left_anti")
-              .unionByName(df, allowMissingColumns=True))
-    if not partition_by:
-        return write_results(merged, path)
-    stage = scratch_path(spark, "stage")
-    merged.write.mode("overwrite").partitionBy(partition_by).parquet(stage)
-    staged = spark.read.parquet(stage)
-    staged.count()  # the stage is complete and readable before the target is touched
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_by).parquet(path))
-    return spark.read.parquet(path)
+    merged = (old.join(new.select(*keys).distinct(), keys, "left_anti")
+              .unionByName(new, allowMissingColumns=True))
+    out = replace_by_key(merged, path, partition_by) if partition_by else write_results(merged, path)
+    _drop(spark, stage)
+    return out
 
 
 def replace_by_key(df: DataFrame, path: str, key: str = "model_id") -> DataFrame:
-    """Delete-then-insert by key as a dynamic partition overwrite: only the
-    ``key`` partitions present in ``df`` are replaced; other models stay."""
+    """Delete-then-insert by key as a dynamic partition overwrite: the
+    ``key`` partitions present in ``df`` are replaced as a whole, others stay.
+    Staged first, so that ``df`` may read ``path`` and a failing ``df`` leaves
+    the table as it was."""
     spark = df.sparkSession
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(key).parquet(path))
+    stage = scratch_path(spark, "stage")
+    df.write.parquet(stage)
+    (spark.read.schema(df.schema).parquet(stage).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path))
+    _drop(spark, stage)
+    spark.catalog.refreshByPath(path)
     return spark.read.parquet(path)
 
 

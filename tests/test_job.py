@@ -25,7 +25,7 @@ def test_train_job_then_stored_registry(spark, tmp_path):
     preds = res.predictions
     assert preds.count() == sep.count()
     assert {"id", "band", "band_actual", "model_id", "high", "low", "mid"} <= set(preds.columns)
-    reg = spark.read.parquet(f"{root}/gc_hyper_parameters")
+    reg = spark.read.parquet(f"{root}/hyper_parameters")
     assert reg.count() == 1 and reg.first()["model_name"] == res.best_model
     assert spark.read.parquet(f"{root}/pb").count() == 24
     assert spark.read.parquet(f"{root}/clrep").where("percentile = 100").count() > 0
@@ -35,7 +35,7 @@ def test_train_job_then_stored_registry(spark, tmp_path):
     assert res2.cv.select("model_name", "sampling_type").distinct().count() == 1
     assert res2.best_model == res.best_model
     # results are keyed on (model_id, id): a rerun does not duplicate rows
-    assert spark.read.parquet(f"{root}/events_scored_gc_results").count() == sep.count()
+    assert spark.read.parquet(f"{root}/events_scored_results").count() == sep.count()
 
 
 def test_score_with_stored_model(spark, tmp_path):

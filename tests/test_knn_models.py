@@ -66,5 +66,5 @@ def test_model_roundtrip(spark, tmp_path):
 
 
 def test_param_mapping_records_ignored():
-    kw, ignored = models.map_params("xg", {"learning_rate": 0.01, "reg_alpha": 0.1, "max_depth": 40})
+    kw, ignored = models.map_params("xg", {"learning_rate": 0.01, "reg_alpha": 0.1, "max_depth": 30})
     assert kw == {"stepSize": 0.01, "maxDepth": 30} and ignored == ["reg_alpha"]

@@ -18,6 +18,9 @@ FAST_KEYS = [
     "parse_feature_list", "parse_params", "format_ts", "ensemble_max", "ensemble_vote", "union_all",
     "join_actuals", "attach_scores", "history_fallback", "registry_lookup", "mode_values", "impute_mode",
     "describe_features", "describe_by_split", "distribution_compare", "fit_nb",
+    "percentile_breakdown_by_model", "metrics_long_train_val", "odd_names", "registry_lookup_key",
+    "hp_trials_stored", "rescore_replaces", "ovr_os", "smote_nulls", "fit_rf", "fit_dt", "fit_gbt",
+    "feature_importance", "model_roundtrip", "job_report",
     "keyed_upsert", "replace_by_key", "csv_roundtrip", "run_log", "write_results", "score", "score_stored",
 ]
 
