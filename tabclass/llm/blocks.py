@@ -1,20 +1,27 @@
 """Documents in compressed blocks, so that corpus-wide tables (n-gram scores,
 word counts) meet them by a join on the block instead of one row per token.
 
-A blob holds about a megabyte of neighbouring rows as a zstd Arrow stream. Its
-block comes from a checksum of the blob, so a task that runs again deals the
-same rows to the same block. A block holds about ``BLOCK`` bytes of text; its
-distinct items are far fewer than its tokens, and only those are joined.
+One pass over the documents writes a table bucketed by block: blobs of about a
+megabyte of rows (zstd Arrow streams), and for each block, a run of about
+``BLOCK`` bytes of text inside a task, its distinct items. The items are far
+fewer than the tokens; only they are shuffled, joined, and brought back to
+their block. The table's buckets are already where that last join needs them,
+so the documents themselves are never shuffled, and a lost executor or another
+number of executors changes nothing: blocks are fixed once written.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
+
+from .common import text_bytes
 
 BLOB = 1 << 20
 BLOCK = 32 << 20
@@ -46,26 +53,42 @@ def cut(batch: pa.RecordBatch, text: int, size: int = BLOB):
         yield batch.slice(start)
 
 
-def pack(docs: DataFrame, text_col: str, n_blocks: int) -> DataFrame:
-    """``block, blob`` rows that hold all of ``docs``."""
-    at = docs.columns.index(text_col)
+def write_blocks(docs: DataFrame, text_col: str, collect, item_type: str, name: str) -> DataFrame:
+    """The table ``block, blob, items``. ``collect()`` makes an object that is
+    given each batch of a block (``add``) and tells its distinct items (``get``,
+    a pyarrow array of ``item_type``); they are the items of the block's last
+    row. All columns of ``docs`` are in the blobs."""
+    spark, at = docs.sparkSession, docs.columns.index(text_col)
+    n = text_bytes(docs, text_col) // BLOCK + 1
+    schema = StructType.fromDDL(f"block bigint, blob binary, items array<{item_type}>")
+    item = to_arrow_schema(schema).field("items").type
 
     def run(batches):
-        for b in batches:
-            blobs = [to_blob(x) for x in cut(b, at)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([zlib.crc32(x) % n_blocks for x in blobs], pa.int64()), pa.array(blobs, pa.binary())],
-                ["block", "blob"])
-
-    return docs.mapInArrow(run, "block long, blob binary")
+        held, blobs, seen = 0, [], collect()
 
+        def close():
+            block = zlib.crc32(blobs[0]) << 16 | len(blobs)
+            lists = pa.concat_arrays([pa.nulls(len(blobs) - 1, item), one_list(seen.get(), item)])
+            return pa.RecordBatch.from_arrays(
+                [pa.array([block] * len(blobs), pa.int64()), pa.array(blobs, pa.binary()), lists],
+                ["block", "blob", "items"])
 
-def by_block(blobs: DataFrame, n_blocks: int) -> DataFrame:
-    """The blobs dealt out by block. Used on both sides of one join it is one
-    exchange, written once."""
-    parts = int(blobs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return blobs.repartition(max(parts, n_blocks), F.col("block"))
-
-
-def blocks_for(n_bytes: int, size: int = BLOCK) -> int:
-    return n_bytes // size + 1
+        for b in batches:
+            for part in cut(b, at):
+                blobs.append(to_blob(part))
+                seen.add(part)
+                held += pc.sum(pc.binary_length(part.column(at))).as_py() or 0
+                if held >= BLOCK:
+                    yield close()
+                    held, blobs, seen = 0, [], collect()
+        if blobs:
+            yield close()
+
+    table = f"{name}_{uuid.uuid4().hex}"
+    (docs.mapInArrow(run, schema).write.format("parquet").option("compression", "zstd")
+     .bucketBy(3 * n, "block").saveAsTable(table))  # three buckets a block: hardly two blocks in one
+    return spark.table(table)
+
+
+def one_list(items: pa.Array, kind: pa.DataType) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array([0, len(items)], pa.int32()), items.cast(kind.value_type))

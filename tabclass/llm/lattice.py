@@ -38,8 +38,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .blocks import blocks_for, by_block, from_blob, pack
-from .common import staged, text_bytes
+from .blocks import from_blob, write_blocks
+from .common import staged
 
 MARK = "▁"
 ROUNDS = 3
@@ -182,26 +182,23 @@ def estimate(words: DataFrame, vocab, log_p: np.ndarray, rounds: int = ROUNDS) -
     return log_p
 
 
-def word_counts(blobs: DataFrame, n_blocks: int, flag: str, text: str) -> DataFrame:
-    """``block, word, c``: the block's words with their training count."""
-    def run(batches):
-        held: dict = {}
-        for b in batches:
-            for block, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                count = held.setdefault(block, {})
-                rows = from_blob(blob)
-                texts = rows.column(text).cast(pa.binary()).to_pylist()
-                for t, train in zip(texts, rows.column(flag).to_pylist(), strict=True):
-                    for w in (t or b"").lower().split():
-                        count[w] = count.get(w, 0) + train
-        for block, count in held.items():
-            for k in range(0, len(count), 100_000):
-                w = list(count)[k:k + 100_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * len(w), pa.int64()), pa.array(w, pa.binary()),
-                     pa.array([count[x] for x in w], pa.int64())], ["block", "word", "c"])
-
-    return by_block(blobs, n_blocks).mapInArrow(run, "block long, word binary, c long")
+class Words:
+    """Distinct words of a block with their count in training texts."""
+
+    def __init__(self, flag: str, text: str):
+        self.flag, self.text, self.count = flag, text, {}
+
+    def add(self, batch) -> None:
+        count = self.count
+        texts = batch.column(batch.schema.get_field_index(self.text)).cast(pa.binary()).to_pylist()
+        flags = batch.column(batch.schema.get_field_index(self.flag)).to_pylist()
+        for t, train in zip(texts, flags, strict=True):
+            for w in (t or b"").lower().split():
+                count[w] = count.get(w, 0) + train
+
+    def get(self) -> pa.Array:
+        return pa.StructArray.from_arrays([pa.array(list(self.count), pa.binary()),
+                                           pa.array(list(self.count.values()), pa.int64())], ["word", "c"])
 
 
 def score(docs: DataFrame, train: Column, vocabulary: str, id_col="doc_id", text_col="text",
@@ -213,9 +210,8 @@ def score(docs: DataFrame, train: Column, vocabulary: str, id_col="doc_id", text
     vocab, prior = read_vocabulary(vocabulary)
     d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(train, F.lit(True)).cast("int").alias("train"),
                     F.col(text_col).cast("string").alias("text"))
-    n_blocks = blocks_for(text_bytes(d, "text"))
-    blobs = staged(pack(d, "text", n_blocks), "lattice-blobs")
-    pairs = staged(word_counts(blobs, n_blocks, "train", "text"), "lattice-pairs")
+    blocks = write_blocks(d, "text", lambda: Words("train", "text"), "struct<word:binary,c:bigint>", "lattice_blocks")
+    pairs = blocks.where("items is not null").select("block", F.inline("items"))
     counts = staged(pairs.groupBy("word").agg(F.sum("c").alias("c")), "lattice-counts")
     seen = F.col("c") > 0
     s = counts.agg(F.sum("c"), F.count(F.when(seen, 1)), F.count(F.when(F.col("c") == 1, 1)),
@@ -241,11 +237,11 @@ def score(docs: DataFrame, train: Column, vocabulary: str, id_col="doc_id", text
             yield pa.RecordBatch.from_arrays([words, b.column(1), pa.array(lp)], ["word", "c", "lp"])
 
     weighed = staged(counts.select("word", "c").mapInArrow(weigh, "word binary, c long, lp double"), "lattice-words")
-    back = pairs.select("block", "word").join(weighed, "word").select("block", "word", "c", "lp")
+    back = pairs.select("block", "word").join(weighed.hint("merge"), "word").select(F.col("block").alias("of_block"), "word", "c", "lp")
     floor = n_all + v_all + 1
     end_base = math.log10((ends + 1) / floor)
 
-    def score_block(key, left, right):
+    def score_block(left, right):
         words = right.column("word").to_pylist()
         c = right.column("c").to_numpy()
         lp = right.column("lp").to_numpy()
@@ -269,7 +265,6 @@ def score(docs: DataFrame, train: Column, vocabulary: str, id_col="doc_id", text
     out = pa.schema([("doc_id", to_arrow_type(id_type)), ("train", pa.int32()), ("n_tokens", pa.int64()),
                      ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
     ddl = (f"doc_id {id_type.simpleString()}, train int, n_tokens long, n_known long, base_score double, score double")
-    scored = (by_block(blobs, n_blocks).groupBy("block").cogroup(back.groupBy("block"))
-              .applyInArrow(score_block, ddl))
+    scored = blocks.select("block", "blob").groupBy("block").cogroup(back.groupBy("of_block")).applyInArrow(score_block, ddl)
     return scored.select("doc_id", (F.col("train") == 1).alias("train"), "n_tokens", "n_known",
                          F.lit(n_all).cast("long").alias("train_tokens"), "base_score", "score")
