@@ -23,6 +23,8 @@ import re
 import sys
 import types
 import zlib
+from array import array
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -39,7 +41,7 @@ END_ID = 0
 HASHED = 256       # dimensions of the hashed vectors
 DIMS, BITS = 4, 10  # of the curve
 PART_BYTES = 64 << 20
-KNOWN = 400_000    # words whose ids a worker remembers
+KNOWN = 400_000    # words whose ids a worker remembers, in each of two generations
 
 
 # -------------------------------------------------------------- tokenizing
@@ -62,6 +64,14 @@ def worker_cache(name: str) -> dict:
     return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
 
 
+def byte_alphabet() -> dict[int, str]:
+    """The character by which byte-level BPE writes each byte: printable ones as
+    themselves, the others as U+0100 onwards in order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class Encoder:
     """Ids as little-endian unsigned 16-bit bytes, remembered by segment."""
 
@@ -75,23 +85,33 @@ class Encoder:
         if "tokenizer" not in held:
             held["tokenizer"] = Tokenizer.from_str(json)
             held["tokenizer"].encode_special_tokens = True  # their strings in a text are ordinary text
-            held["known"] = {"": b""}
-        self.tokenizer, self.known = held["tokenizer"], held["known"]
+            held["known"], held["before"] = {"": b""}, {}
+        self.tokenizer, self.held = held["tokenizer"], held
+        self.merge, self.alphabet = self.tokenizer.model.tokenize, byte_alphabet()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [segments(t) for t in texts]
-        known = self.known
-        if len(known) > KNOWN:
-            known.clear()
-            known[""] = b""
-        new = {s for segs in cut for s in segs if s not in known}
+        if len(self.held["known"]) > KNOWN:  # two generations: what is still in use moves on
+            self.held["before"], self.held["known"] = self.held["known"], {"": b""}
+        known, before = self.held["known"], self.held["before"]
+        new = set(chain.from_iterable(cut)).difference(known)
+        moved = new.intersection(before)
+        known.update((s, before[s]) for s in moved)
+        new -= moved
         # "word," is its word and its comma: the word alone is more often known
         stems = {s: (s[:-1], s[-1]) for s in new if len(s) > 2 and s[-1] in ",.!?" and s[-2].isalpha()}
-        ask = list({x for s in new for x in stems.get(s, (s,)) if x not in known})
+        ask = []
+        for s in {x for s in new for x in stems.get(s, (s,)) if x not in known}:
+            bare = s[1:] if s[0] == " " else s
+            if bare.isalpha() and max(bare) < "ɐ":  # Latin letters alone: one run of letters, merged as it is
+                chars = s.encode().decode("latin-1").translate(self.alphabet)
+                known[s] = array("H", [t.id for t in self.merge(chars)]).tobytes()
+            else:
+                ask.append(s)
         for k in range(0, len(ask), 4096):
             some = ask[k:k + 4096]
             for s, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                known[s] = np.array(e.ids, dtype="<u2").tobytes()
+                known[s] = array("H", e.ids).tobytes()
         for s, (a, b) in stems.items():
             known[s] = known[a] + known[b]
         return [b"".join(map(known.__getitem__, segs)) for segs in cut]
