@@ -51,13 +51,10 @@ def lookup_small(df: DataFrame, small: DataFrame, keys: str | Sequence[str], val
     size: a plain left join that it broadcasts below the session's threshold
     and shuffles above, where adaptive execution may split a hot key. The same
     join, and the same rows, at every size."""
-    from ..session import scratch_path
+    from ..session import staged
 
     keys = [keys] if isinstance(keys, str) else list(keys)
     own = [f"__lookup_{i}" for i in range(len(keys))]
-    s = small.select(*[qcol(k).alias(o) for k, o in zip(keys, own)], *[qcol(v) for v in values])
-    path = scratch_path(df.sparkSession, "lookup")
-    s.write.parquet(path)
-    t = df.sparkSession.read.schema(s.schema).parquet(path)
+    t = staged(small.select(*[qcol(k).alias(o) for k, o in zip(keys, own)], *[qcol(v) for v in values]), "lookup")
     on = [qcol(k) == F.col(o) for k, o in zip(keys, own)]
     return df.join(t, on, "left").drop(*own)

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash32, hash_unit
+from ..session import staged
 from .knn import DEFAULT_BLOCK_ROWS, knn
 from .sampling import emit_copies, hash_rank, with_class_stats
 
@@ -41,6 +42,7 @@ def smote(df: DataFrame, features: Sequence[str], target: str = "target", id_col
     e = F.col("__max") - F.col("__n")
     copies = F.when(F.col("__rank") <= e, F.floor((e - F.col("__rank")) / F.col("__n")) + 1).otherwise(0)
     makers = d.withColumn("__c", copies.cast("long")).where(F.col("__c") > 0).select("id", "target", "fv", "__c")
+    makers = staged(makers, "smote-makers")  # read by the search, its block counts and the copies
     # neighbours only for rows that make new rows, each with its vector; k per row
     nn = knn(makers, growing, k, features="fv", part_cols=["target"], exclude_self=True,
              block_rows=block_rows, carry=["fv"])
