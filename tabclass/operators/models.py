@@ -231,7 +231,7 @@ def loss_curve(fm: FittedModel, sets: dict[str, DataFrame]) -> list[tuple]:
         x = head.transform(d.select("id", *_raw(fm.features), "target")).select("features", "label").persist()
         each = []
         for i, m in enumerate(parts):  # one per class
-            y = x if len(parts) == 1 else x.withColumn("label", (F.col("label") == float(i)).cast("double"))
+            y = x if len(parts) == 1 else x.withColumn(m.getLabelCol(), (F.col("label") == float(i)).cast("double"))
             each.append(m.evaluateEachIteration(y))
         x.unpersist()
         curves.append([sum(v) / len(v) for v in zip(*each)])
