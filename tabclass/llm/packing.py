@@ -24,7 +24,6 @@ import sys
 import types
 import zlib
 from array import array
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -72,8 +71,33 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class Known(dict):
+    """Ids by segment, as little-endian unsigned 16-bit bytes; what is missing is
+    taken from the generation ``before`` or tokenized."""
+
+    def __init__(self, tokenizer, before: dict):
+        super().__init__()
+        self.tokenizer, self.before = tokenizer, before
+        self.merge, self.alphabet = tokenizer.model.tokenize, byte_alphabet()
+
+    def __missing__(self, s: str) -> bytes:
+        ids = dict.get(self.before, s)
+        if ids is None:
+            bare = s[1:] if s[:1] == " " else s
+            if bare.isalpha() and max(bare) < "ɐ":  # Latin letters alone: one run of letters, merged as it is
+                chars = s.encode().decode("latin-1").translate(self.alphabet)
+                ids = array("H", [t.id for t in self.merge(chars)]).tobytes()
+            elif len(s) > 2 and s[-1] in ",.!?" and s[-2].isalpha():
+                ids = self[s[:-1]] + self[s[-1]]  # "word," is its word and its comma
+            else:
+                ids = np.array(self.tokenizer.encode(s, add_special_tokens=False).ids, dtype="<u2").tobytes()
+        self[s] = ids
+        return ids
+
+
 class Encoder:
-    """Ids as little-endian unsigned 16-bit bytes, remembered by segment."""
+    """Ids of whole texts; the worker remembers those of segments, in two
+    generations, so that what is still in use stays."""
 
     def __init__(self, json: str):
         import os
@@ -81,40 +105,19 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        held = worker_cache(f"tabclass_ids_{zlib.crc32(json.encode())}")
-        if "tokenizer" not in held:
-            held["tokenizer"] = Tokenizer.from_str(json)
-            held["tokenizer"].encode_special_tokens = True  # their strings in a text are ordinary text
-            held["known"], held["before"] = {"": b""}, {}
-        self.tokenizer, self.held = held["tokenizer"], held
-        self.merge, self.alphabet = self.tokenizer.model.tokenize, byte_alphabet()
+        self.held = worker_cache(f"tabclass_ids_{zlib.crc32(json.encode())}")
+        if "known" not in self.held:
+            tokenizer = Tokenizer.from_str(json)
+            tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+            self.held["known"] = Known(tokenizer, {})
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [segments(t) for t in texts]
-        if len(self.held["known"]) > KNOWN:  # two generations: what is still in use moves on
-            self.held["before"], self.held["known"] = self.held["known"], {"": b""}
-        known, before = self.held["known"], self.held["before"]
-        new = set(chain.from_iterable(cut)).difference(known)
-        moved = new.intersection(before)
-        known.update((s, before[s]) for s in moved)
-        new -= moved
-        # "word," is its word and its comma: the word alone is more often known
-        stems = {s: (s[:-1], s[-1]) for s in new if len(s) > 2 and s[-1] in ",.!?" and s[-2].isalpha()}
-        ask = []
-        for s in {x for s in new for x in stems.get(s, (s,)) if x not in known}:
-            bare = s[1:] if s[0] == " " else s
-            if bare.isalpha() and max(bare) < "ɐ":  # Latin letters alone: one run of letters, merged as it is
-                chars = s.encode().decode("latin-1").translate(self.alphabet)
-                known[s] = array("H", [t.id for t in self.merge(chars)]).tobytes()
-            else:
-                ask.append(s)
-        for k in range(0, len(ask), 4096):
-            some = ask[k:k + 4096]
-            for s, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                known[s] = array("H", e.ids).tobytes()
-        for s, (a, b) in stems.items():
-            known[s] = known[a] + known[b]
-        return [b"".join(map(known.__getitem__, segs)) for segs in cut]
+        known = self.held["known"]
+        if len(known) > KNOWN:
+            known.before = {}
+            known = self.held["known"] = Known(known.tokenizer, known)
+        ids = known.__getitem__
+        return [b"".join(map(ids, segments(t))) for t in texts]
 
 
 # ------------------------------------------------------------ vectors, curve
