@@ -53,8 +53,9 @@ def cut(batch: pa.RecordBatch, text: int, size: int = BLOB):
         yield batch.slice(start)
 
 
-def write_blocks(docs: DataFrame, text_col: str, collect, item_type: str, name: str) -> DataFrame:
-    """The table ``block, blob, items``. ``collect()`` makes an object that is
+def write_blocks(docs: DataFrame, text_col: str, collect, item_type: str, name: str) -> str:
+    """Writes the table ``block, blob, items`` and tells its name; whoever asked
+    for it drops it when the results are written. ``collect()`` makes an object that is
     given each batch of a block (``add``) and tells its distinct items (``get``,
     a pyarrow array of ``item_type``); they are the items of the block's last
     row. All columns of ``docs`` are in the blobs."""
@@ -87,7 +88,7 @@ def write_blocks(docs: DataFrame, text_col: str, collect, item_type: str, name:
     table = f"{name}_{uuid.uuid4().hex}"
     (docs.mapInArrow(run, schema).write.format("parquet").option("compression", "zstd")
      .bucketBy(3 * n, "block").saveAsTable(table))  # three buckets a block: hardly two blocks in one
-    return spark.table(table)
+    return table
 
 
 def one_list(items: pa.Array, kind: pa.DataType) -> pa.Array:

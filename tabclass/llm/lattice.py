@@ -210,7 +210,8 @@ def score(docs: DataFrame, train: Column, vocabulary: str, id_col="doc_id", text
     vocab, prior = read_vocabulary(vocabulary)
     d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(train, F.lit(True)).cast("int").alias("train"),
                     F.col(text_col).cast("string").alias("text"))
-    blocks = write_blocks(d, "text", lambda: Words("train", "text"), "struct<word:binary,c:bigint>", "lattice_blocks")
+    table = write_blocks(d, "text", lambda: Words("train", "text"), "struct<word:binary,c:bigint>", "lattice_blocks")
+    blocks = spark.table(table)
     pairs = blocks.where("items is not null").select("block", F.inline("items"))
     counts = staged(pairs.groupBy("word").agg(F.sum("c").alias("c")), "lattice-counts")
     seen = F.col("c") > 0
@@ -266,5 +267,7 @@ def score(docs: DataFrame, train: Column, vocabulary: str, id_col="doc_id", text
                      ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
     ddl = (f"doc_id {id_type.simpleString()}, train int, n_tokens long, n_known long, base_score double, score double")
     scored = blocks.select("block", "blob").groupBy("block").cogroup(back.groupBy("of_block")).applyInArrow(score_block, ddl)
+    scored = staged(scored, "lattice-scores")
+    spark.sql(f"DROP TABLE {table}")
     return scored.select("doc_id", (F.col("train") == 1).alias("train"), "n_tokens", "n_known",
                          F.lit(n_all).cast("long").alias("train_tokens"), "base_score", "score")
