@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import html as _html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,6 +38,9 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
                    "span strike strong sub sup time tt u var wbr".split())
 ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 "
                    "h5 h6 header hr main menu nav ol p pre section table ul".split())
+#: an element of a list or table ends its open neighbour, up to the list or table
+LISTED = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "option": ("select",), "tr": ("table",),
+          "td": ("table",), "th": ("table",)}
 SCOPE = frozenset("article aside body div footer form header html main nav section table td th".split())
 # What is not the article
 SKIP_TAGS = frozenset("nav footer aside form button dialog menu noscript".split())
@@ -44,125 +48,146 @@ SKIP_WORDS = frozenset("ad ads adsense advert adverts advertisement advertising
                        "menu nav navbar navigation breadcrumb breadcrumbs sidebar footer cookie cookies consent gdpr "
                        "notice notices alert popup modal overlay newsletter subscribe share sharing social related "
                        "recommended comment comments disqus reply replies respond login signup form".split())
+SKIP_ROLES = frozenset("navigation banner contentinfo search complementary".split())
 HEADERS = frozenset("header masthead topbar".split())
 CONTAINERS = frozenset("article main section div body td center blockquote".split())
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<[!?/][^>]*>"""
+#: a tag with its quoted values, or (too many, too long or unclosed quotes) up to the next ">"
+TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]{0,8192}"|'[^']{0,8192}'){0,100}+)>|<[!?/][^>]*>"""
                  r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+OPEN_COMMENT = re.compile("<!--.*", re.S)
 ATTR = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 PART = re.compile(r"[a-z]+")
 
 
 class Page:
-    """Elements (tag, parent, path, skipped) and texts in page order: (element,
+    """Elements (tag, label, parent, skipped) and texts in page order: (element,
     number of the block, text). A new block begins wherever a tag that is not
-    inline opens or closes."""
+    inline opens or closes. Linear in the page, whatever its nesting."""
 
     def __init__(self, html: str):
-        self.tags, self.parents, self.paths, self.skips = ["#root"], [-1], [""], [False]
+        self.tags, self.labels, self.parents = ["#root"], [""], [-1]
+        self.skips, self.in_article = [False], [False]
         self.texts: list = []
-        stack, at, n, block = [0], 0, len(html), 0
+        self.stack, self.open = [0], Counter()
+        at, n, block, last = 0, len(html), 0, html.rfind(">")
         while at < n:
-            m = TAG.search(html, at)
+            m = TAG.search(html, at) if at <= last else OPEN_COMMENT.search(html, at)
             start = m.start() if m else n
             if start > at:
-                self.texts.append((stack[-1], block, _html.unescape(html[at:start])))
+                self.texts.append((self.stack[-1], block, _html.unescape(html[at:start])))
             if not m:
                 break
             at = m.end()
-            name = m[2] or m[5]
+            name = m.re is TAG and (m[2] or m[5])
             if name:
                 name = name.lower()
                 block += name not in INLINE
                 if m[1] or m[4]:
-                    self._close(stack, name)
+                    self._close(name)
                 else:
                     attrs = m[3] if m[2] else m[6]
-                    self._open(stack, name, attrs)
+                    self._open(name, attrs)
                     if name in RAW and not attrs.endswith("/"):
                         end = re.compile(rf"</{re.escape(name)}\s*[^>]*>", re.I).search(html, at)
                         at = end.end() if end else n
-                        self._close(stack, name)
+                        self._close(name)
 
-    def _open(self, stack, name, attrs):
-        if name in ENDS_P and self.tags[stack[-1]] != "#root":
+    def _pop(self, k: int) -> None:
+        """Closes the open elements from place ``k`` on."""
+        for e in self.stack[k:]:
+            self.open[self.tags[e]] -= 1
+        del self.stack[k:]
+
+    def _open(self, name, attrs):
+        stack, tags = self.stack, self.tags
+        if name in ENDS_P and self.open["p"]:
             for k in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph
-                if self.tags[stack[k]] == "p":
-                    del stack[k:]
+                if tags[stack[k]] == "p":
+                    self._pop(k)
                     break
-                if self.tags[stack[k]] in SCOPE:
+                if tags[stack[k]] in SCOPE:
                     break
-        if name in ("li", "td", "th", "tr", "dt", "dd", "option"):
-            near = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",)}.get(name, ("table",))
+        ended = ("dt", "dd") if name in ("dt", "dd") else (name,)
+        if name in LISTED and any(self.open[t] for t in ended):
             for k in range(len(stack) - 1, 0, -1):
-                t = self.tags[stack[k]]
-                if t == name or (name in ("dt", "dd") and t in ("dt", "dd")):
-                    del stack[k:]
+                t = tags[stack[k]]
+                if t in ended:
+                    self._pop(k)
                     break
-                if t in near:
+                if t in LISTED[name]:
                     break
-        words, label, in_article = set(), [], any(self.tags[s] in ("article", "main") for s in stack)
-        hidden = False
-        if attrs:
-            for a in ATTR.finditer(attrs):
-                key, value = a[1].lower(), (a[2] or a[3] or a[4] or "").lower()
-                hidden |= key == "hidden"
-                if key in ("class", "id"):
-                    words.update(PART.findall(value))
-                if key == "class":
-                    label = sorted({re.sub(r"\d+", "", c) for c in value.split()} - {""})
-                if key == "role" and value in ("navigation", "banner", "contentinfo", "search", "complementary"):
-                    hidden = True
+        words, label, hidden = set(), [], False
+        for a in ATTR.finditer(attrs) if attrs else ():
+            key, value = a[1].lower(), (a[2] or a[3] or a[4] or "").lower()
+            hidden |= key == "hidden" or (key == "role" and value in SKIP_ROLES)
+            if key in ("class", "id"):
+                words.update(PART.findall(value))
+            if key == "class":
+                label = sorted({re.sub(r"\d+", "", c) for c in value.split()} - {""})
+        parent = stack[-1]
         skip = (name in SKIP_TAGS or name in RAW or hidden or bool(words & SKIP_WORDS)
-                or ((name == "header" or bool(words & HEADERS)) and not in_article))
+                or ((name == "header" or bool(words & HEADERS)) and not self.in_article[parent]))
         if name in ("html", "body", "article", "main"):
             skip = False  # a class of the whole page or article says nothing about its text
-        parent = stack[-1]
-        self.tags.append(name)
+        tags.append(name)
         self.parents.append(parent)
-        self.paths.append(f"{self.paths[parent]}/{'.'.join([name, *label])}")
+        self.labels.append(".".join([name, *label]))
         self.skips.append(skip or self.skips[parent])
+        self.in_article.append(self.in_article[parent] or name in ("article", "main"))
         if name not in VOID:
-            stack.append(len(self.tags) - 1)
-
-    def _close(self, stack, name):
-        for k in range(len(stack) - 1, 0, -1):
-            t = self.tags[stack[k]]
-            if t == name:
-                del stack[k:]
-                return
-            if t in SCOPE and name not in SCOPE:
-                return  # an end tag does not reach out of its block
+            stack.append(len(tags) - 1)
+            self.open[name] += 1
+
+    def _close(self, name):
+        if self.open[name]:
+            for k in range(len(self.stack) - 1, 0, -1):
+                t = self.tags[self.stack[k]]
+                if t == name:
+                    return self._pop(k)
+                if t in SCOPE and name not in SCOPE:
+                    return None  # an end tag does not reach out of its block
+        return None
+
+    def path(self, e: int) -> str:
+        """Tags and classes from the root down."""
+        labels = []
+        while e > 0:
+            labels.append(self.labels[e])
+            e = self.parents[e]
+        return "/".join(reversed(labels))
 
     def best(self) -> tuple[str | None, float]:
         """Path and score of the best container. A paragraph's text counts for
         its container and, halved at each step, for the containers above; the
         text of links counts against it."""
         score: dict = {}
-        linked = [False] * len(self.tags)
+        linked, box = [False], [0]  # inside a link; nearest container
         for i in range(1, len(self.tags)):
-            linked[i] = self.tags[i] == "a" or linked[self.parents[i]]
+            linked.append(self.tags[i] == "a" or linked[self.parents[i]])
+            box.append(i if self.tags[i] in CONTAINERS else box[self.parents[i]])
         for e, _, text in self.texts:
             if self.skips[e] or not (size := len(text.strip())):
                 continue
-            weight, up = (-1.0 if linked[e] else 1.0) * size, e
-            while up > 0:
-                if self.tags[up] in CONTAINERS:
-                    bonus = 2.0 if self.tags[up] in ("article", "main") else 1.0
-                    score[up] = score.get(up, 0.0) + weight * bonus
-                    weight *= 0.5
-                up = self.parents[up]
+            weight, up = (-1.0 if linked[e] else 1.0) * size, box[e]
+            while up > 0 and abs(weight) > 1e-6:
+                bonus = 2.0 if self.tags[up] in ("article", "main") else 1.0
+                score[up] = score.get(up, 0.0) + weight * bonus
+                weight, up = weight * 0.5, box[self.parents[up]]
         if not score:
             return None, 0.0
         top = max(score, key=lambda k: (score[k], -k))
-        return (self.paths[top], score[top]) if score[top] > 0 else (None, 0.0)
+        return (self.path(top), score[top]) if score[top] > 0 else (None, 0.0)
 
     def text(self, path: str) -> str:
         """Text of all elements at ``path``: white space inside a block is one
         space, blocks are joined by one."""
-        inside = [False] * len(self.tags)
+        want = path.split("/")
+        depth, inside = [0], [False]  # labels of the path that lead here, -1 off it
         for i in range(1, len(self.tags)):
-            inside[i] = inside[self.parents[i]] or self.paths[i] == path
+            d = depth[self.parents[i]]
+            depth.append(d + 1 if 0 <= d < len(want) and self.labels[i] == want[d] else -1)
+            inside.append(inside[self.parents[i]] or depth[i] == len(want))
         out, last = [], None
         for e, block, text in self.texts:
             if inside[e] and not self.skips[e]:
