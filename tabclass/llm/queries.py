@@ -87,5 +87,5 @@ def llm_queries():
 
 
 def llm_sql():
-    return {"op4_rule_ledger": quality_rules.SQL, "rule_ablations": quality_rules.SQL_ABLATIONS,
+    return {"op3_quote_threads": quotes.SQL, "op4_rule_ledger": quality_rules.SQL, "rule_ablations": quality_rules.SQL_ABLATIONS,
             "op6_secret_ownership": secret_scan.SQL, "op7_radix_dedup": radix.SQL, "op8_source_mix": mixing.SQL}

@@ -128,3 +128,51 @@ def reply_threads(conv: DataFrame, conv_col="conv_id", turn_col="turn", role_col
     return out.select(F.coalesce("root", "conv_id").alias("thread_id"), F.coalesce("depth", F.lit(0)).alias("depth"),
                       "conv_id", "turn", "role", F.col("p_conv").alias("parent_conv"), F.col("p_turn").alias("parent_turn"),
                       "body", "n_quoted", "n_linked")
+
+
+#: the same by recursion over replies and linked conversations
+SQL = r"""
+WITH RECURSIVE
+m AS (SELECT conv_id, turn, min(struct_pack(text := coalesce(text, ''), role := role)) AS m
+      FROM conversations GROUP BY conv_id, turn),
+l0 AS (SELECT conv_id, turn, unnest(range(1, length(p) + 1)) AS i, unnest(p) AS line
+       FROM (SELECT conv_id, turn, string_split(m.text, chr(10)) AS p FROM m)),
+l1 AS (SELECT *, length(regexp_extract(line, '^[ \t]*(?:>[ \t]?)+'))
+         - length(replace(regexp_extract(line, '^[ \t]*(?:>[ \t]?)+'), '>', '')) AS level,
+         trim(lower(regexp_replace(regexp_replace(line, '^[ \t]*(?:>[ \t]?)+', ''), '[\x20\x09-\x0D]+', ' ', 'g'))) AS norm
+       FROM l0),
+l AS (SELECT *, lead(level) OVER (PARTITION BY conv_id, turn ORDER BY i) AS after FROM l1),
+own AS (SELECT * FROM l WHERE level = 0
+        AND NOT (coalesce(after, 0) > 0 AND regexp_matches(line, '(?i)^.*\bwrote:[ \t]*$'))),
+body AS (SELECT conv_id, turn, trim(string_agg(line, chr(10) ORDER BY i), ' ' || chr(9) || chr(10) || chr(11) || chr(12)
+         || chr(13)) AS body FROM own GROUP BY conv_id, turn),
+q AS (SELECT conv_id, turn, level, norm FROM l WHERE level > 0 AND norm <> ''),
+w AS (SELECT DISTINCT norm, conv_id, turn FROM own WHERE norm <> '' AND conv_id IS NOT NULL AND turn IS NOT NULL),
+here AS (SELECT norm, conv_id, min(turn) AS h FROM w GROUP BY norm, conv_id),
+first AS (SELECT norm, min(struct_pack(c := conv_id, t := turn)) AS f FROM w GROUP BY norm),
+hit AS (SELECT q.conv_id, q.turn, q.level, CASE WHEN here.h < q.turn THEN struct_pack(c := q.conv_id, t := here.h)
+          WHEN first.f.c <> q.conv_id THEN first.f END AS go
+        FROM q LEFT JOIN here ON here.norm = q.norm AND here.conv_id = q.conv_id LEFT JOIN first ON first.norm = q.norm
+        WHERE q.conv_id IS NOT NULL AND q.turn IS NOT NULL),
+vote AS (SELECT conv_id, turn, level, go, count(*) AS n FROM hit WHERE go IS NOT NULL GROUP BY ALL),
+link AS (SELECT conv_id, turn, min(struct_pack(l := level, n := -n, go := go)).go AS go, sum(n) AS n_linked
+         FROM vote GROUP BY conv_id, turn),
+x AS (SELECT m.conv_id, m.turn, m.m.role AS role, coalesce(link.go.c, b.conv_id) AS parent_conv,
+        coalesce(link.go.t, b.turn) AS parent_turn, CAST(coalesce(n_linked, 0) AS BIGINT) AS n_linked
+      FROM m LEFT JOIN link ON link.conv_id = m.conv_id AND link.turn = m.turn
+      LEFT JOIN m b ON b.conv_id = m.conv_id AND b.turn = m.turn - 1),
+edge AS (SELECT DISTINCT conv_id AS a, parent_conv AS b FROM x WHERE parent_conv <> conv_id
+         UNION SELECT DISTINCT parent_conv, conv_id FROM x WHERE parent_conv <> conv_id),
+reach(a, b) AS (SELECT a, b FROM edge UNION SELECT reach.a, edge.b FROM reach JOIN edge ON edge.a = reach.b),
+thread AS (SELECT a, least(a, min(b)) AS root FROM reach GROUP BY a),
+depth(conv_id, turn, depth) AS (SELECT conv_id, turn, CAST(0 AS BIGINT) FROM x WHERE parent_conv IS NULL
+  UNION ALL SELECT x.conv_id, x.turn, depth.depth + 1 FROM x JOIN depth
+  ON x.parent_conv = depth.conv_id AND x.parent_turn = depth.turn)
+SELECT coalesce(thread.root, x.conv_id) AS thread_id, coalesce(depth.depth, 0) AS depth, x.conv_id, x.turn, x.role,
+  x.parent_conv, x.parent_turn, coalesce(body.body, '') AS body,
+  (SELECT count(*) FROM q WHERE q.conv_id IS NOT DISTINCT FROM x.conv_id AND q.turn IS NOT DISTINCT FROM x.turn) AS n_quoted,
+  x.n_linked
+FROM x LEFT JOIN thread ON thread.a = x.conv_id LEFT JOIN depth ON depth.conv_id IS NOT DISTINCT FROM x.conv_id
+  AND depth.turn IS NOT DISTINCT FROM x.turn
+LEFT JOIN body ON body.conv_id IS NOT DISTINCT FROM x.conv_id AND body.turn IS NOT DISTINCT FROM x.turn
+"""

@@ -175,6 +175,14 @@ def test_quotes_are_linked(spark):
     assert got[(2, 1)].depth == 3 and got[(3, 7)].depth == 3 and got[(3, 5)].depth == 0
     assert got[(1, 1)].body == "Use the curve." and got[(1, 1)].n_quoted == 2 and got[(1, 1)].n_linked == 2
     assert got[(3, 5)].body == "" and got[(None, 1)].depth == 0 and got[(4, None)].body == ""
+    import duckdb
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn INTEGER, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", CONV)
+    cur = con.execute(quotes.SQL)
+    names = [c[0] for c in cur.description]
+    want = {tuple(r[names.index(c)] for c in ("conv_id", "turn")): dict(zip(names, r, strict=True)) for r in cur.fetchall()}
+    assert want == {k: r.asDict() for k, r in got.items()}
     for r in got.values():  # reply order: parents first
         if r.parent_conv is not None:
             assert got[(r.parent_conv, r.parent_turn)].depth == r.depth - 1
