@@ -40,7 +40,7 @@ END_ID = 0
 HASHED = 256       # dimensions of the hashed vectors
 DIMS, BITS = 4, 10  # of the curve
 PART_BYTES = 64 << 20
-KNOWN = 400_000    # words whose ids a worker remembers, in each of two generations
+KNOWN = 150_000    # words whose ids a worker remembers, in each of two generations
 
 
 # -------------------------------------------------------------- tokenizing

@@ -72,9 +72,11 @@ def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", shingle: int
     """``doc_id, fp`` (the 64 bits as a signed long)."""
     def run(batches):
         for b in batches:
-            texts = b.column(1).cast(pa.binary()).to_pylist()
-            fps = np.array([fingerprint(t or b"", shingle) for t in texts], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            for k in range(0, b.num_rows, 512):
+                part = b.slice(k, 512)
+                texts = part.column(1).cast(pa.binary()).to_pylist()
+                fps = np.array([fingerprint(t or b"", shingle) for t in texts], dtype=np.uint64)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return d.mapInArrow(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, fp long")
@@ -94,7 +96,7 @@ def split(x: np.ndarray, radius: int):
         worst = max(int((d <= mu).sum()), int((d > mu - radius).sum()))
         if best is None or worst < best[0]:
             best = (worst, v, mu)
-    return (best[1], best[2]) if best[0] <= 0.85 * len(x) else None
+    return (best[1], best[2]) if best[0] <= 0.75 * len(x) else None
 
 
 def upper_tree(sample: np.ndarray, depth: int, radius: int) -> list:
@@ -160,7 +162,7 @@ def shard_links(x: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
         heads.append(i)
         tails.append(j)
         held += len(i)
-        if held > 4_000_000:
+        if held > 1_000_000:
             shrink()
 
     while todo:
