@@ -99,12 +99,13 @@ class Encoder:
     """Ids of whole texts; the worker remembers those of segments, in two
     generations, so that what is still in use stays."""
 
-    def __init__(self, json: str):
+    def __init__(self, json: str, remember: int = KNOWN):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        self.remember = remember
         self.held = worker_cache(f"tabclass_ids_{zlib.crc32(json.encode())}")
         if "known" not in self.held:
             tokenizer = Tokenizer.from_str(json)
@@ -113,7 +114,7 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         known = self.held["known"]
-        if len(known) > KNOWN:
+        if len(known) > self.remember:
             known.before = {}
             known = self.held["known"] = Known(known.tokenizer, known)
         ids = known.__getitem__
@@ -159,14 +160,14 @@ def hilbert_key(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-def tokenized(docs: DataFrame, tokenizer: str, id_col: str, text_col: str) -> DataFrame:
+def tokenized(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, remember: int) -> DataFrame:
     """``doc_id, ids`` (with the end id) and the projected coordinates."""
     json = open(tokenizer, encoding="utf-8").read()  # on the driver; tasks get its text
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     end = np.array([END_ID], dtype="<u2").tobytes()
 
     def run(batches):
-        encode, (bucket, sign, matrix) = Encoder(json), projection()
+        encode, (bucket, sign, matrix) = Encoder(json, remember), projection()
         for b in batches:
             for k in range(0, b.num_rows, 256):
                 part = b.slice(k, 256)
@@ -197,10 +198,12 @@ def _keyed(t: DataFrame) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, id_col="doc_id", text_col="text", length: int = LENGTH,
-                   with_ids: bool = True) -> DataFrame:
+                   with_ids: bool = True, remember: int = KNOWN) -> DataFrame:
     """One row per piece of a document: ``doc_id, start, length, ids_crc32,
-    doc_tokens, sequence_id, offset`` and, if asked for, the piece's ``ids``."""
-    t = staged(tokenized(docs, tokenizer, id_col, text_col), "pack-tokens")
+    doc_tokens, sequence_id, offset`` and, if asked for, the piece's ``ids``. A
+    worker remembers the ids of up to twice ``remember`` words (about 200 bytes
+    each): more memory, less tokenizing."""
+    t = staged(tokenized(docs, tokenizer, id_col, text_col, remember), "pack-tokens")
     size = int(t.agg(F.sum(F.length("ids"))).first()[0] or 0)
     parts = parts_for(docs.sparkSession, size, PART_BYTES)
     ordered = (_keyed(t).repartitionByRange(parts, F.col("key"), F.col("doc_id"))

@@ -25,7 +25,8 @@ def op1_subword_lattice(spark, sf_dir):
 
 
 def op2_hilbert_packing(spark, sf_dir):
-    return packing.pack_documents(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), with_ids=False)
+    return packing.pack_documents(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), with_ids=False,
+                                  remember=400_000)
 
 
 def op3_quote_threads(spark, sf_dir):
