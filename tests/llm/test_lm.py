@@ -177,6 +177,19 @@ def test_classifier_edge_rows(spark, edge, empty):
     assert kn.keep_good(empty, labels, F.col("quality") == 1).count() == 0
 
 
+def test_wide_characters_are_told_apart(spark):
+    texts = ["日本語の文章です", "日本語を書く", "あいうえお", "한국어 문장", "नमस्ते", "ok 😀"]
+    d = spark.createDataFrame([(t,) for t in texts], "text string")
+    model = kn.Model(kn.count_grams(d))
+    other = "".join(chr(ord(c) ^ 1) for c in texts[0])  # every character its neighbour
+    ask = spark.createDataFrame([(0, texts[0]), (1, other)], "doc_id long, text string")
+    got = {r.doc_id: r.log_ppl for r in kn.perplexity(ask, model).collect()}
+    assert got[0] < got[1] - 0.1
+    every = [chr(c) for c in range(2, 0x110000, 7)]
+    assert len({tuple(kn.symbols([c])[kn.ORDER - 1:]) for c in every}) == len(every)
+    assert kn.symbols(["".join(every)]).max() < kn.SYMBOLS
+
+
 def test_thresholds_by_language(spark):
     scored = spark.createDataFrame([(i, "en" if i < 200 else "xx", i / 1000) for i in range(210)],
                                    "doc_id long, lang string, log_ppl double")
