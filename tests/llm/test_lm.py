@@ -200,6 +200,20 @@ def test_thresholds_by_language(spark):
     assert got[("en", False)] == pytest.approx(0.0991, abs=1e-3)
 
 
+def test_thresholds_use_all_trusted_documents(spark):
+    labels = spark.createDataFrame([(i % 1000, 1) for i in range(1200)] + [(None, 1), (2000, 0)], "doc_id long, quality int")
+    t = kn.trusted_ids(labels, "doc_id", labels.quality == 1, rows=50).collect()
+    assert sorted(r.trusted_id for r in t) == list(range(1000))
+    train = sum(not r.held_out for r in t)
+    assert 0 < train <= 50 and len(t) - train >= 950
+    scored = spark.createDataFrame([(i, "xx" if i % 10 == 0 else "en", i / 1000) for i in range(1000)],
+                                   "doc_id long, lang string, log_ppl double")
+    trusted = kn.trusted_ids(labels, "doc_id", labels.quality == 1, rows=50)
+    lim = kn.thresholds(scored, trusted, "doc_id", "lang", "log_ppl", slack=1.0).collect()
+    assert {r.lang for r in lim} == {"en", "xx", None}  # the sample has about five of "xx"
+    assert kn.trusted_ids(labels.where("false"), "doc_id", labels.quality == 1).count() == 0
+
+
 def test_trusted_and_junk_are_told_apart(spark):
     import __spark_entry__ as E
     from tests.conftest import SF_SMALL
