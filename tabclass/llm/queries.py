@@ -67,7 +67,9 @@ def op9_kneser_ney(spark, sf_dir):
     out, log_ppl, limit, kept = kneser_ney.classify(docs, read(spark, sf_dir, "labels"), F.col("quality") == 1,
                                                     carry=["doc_id", "lang"])
     return out.select("doc_id", "lang", "n_symbols", F.pow(F.lit(10.0), log_ppl).alias("perplexity"),
-                      F.pow(F.lit(10.0), limit).alias("threshold"), F.col(kept).alias("kept"))
+                      F.pow(F.lit(10.0), limit).alias("threshold"),
+                      F.pow(F.lit(10.0), "log_passage").alias("passage_perplexity"),
+                      F.pow(F.lit(10.0), "passage_limit").alias("passage_threshold"), F.col(kept).alias("kept"))
 
 
 def op10_simhash_vp(spark, sf_dir):

@@ -223,3 +223,31 @@ def test_trusted_and_junk_are_told_apart(spark):
     good = [got[r.doc_id] for r in labels if r.quality == 1]
     bad = [got[r.doc_id] for r in labels if r.quality == 0]
     assert len(got) == 1000 and sum(good) / len(good) > 0.97 and sum(bad) / len(bad) < 0.2
+
+
+def longest_run(text):
+    best = n = 0
+    last = None
+    for w in text.split():
+        n = n + 1 if w == last else 1
+        best, last = max(best, n), w
+    return best
+
+
+def test_worst_passage():
+    cost = np.array([1.0] * 1000 + [3.0] * 300 + [1.0] * 1000)
+    assert kn.worst_passage(cost) == pytest.approx(3.0)
+    assert kn.worst_passage(cost[950:1050]) == pytest.approx(2.0)  # shorter than a passage
+    assert kn.worst_passage(np.array([0.5])) == 0.5
+
+
+def test_runs_of_one_word_are_rejected(spark):
+    import __spark_entry__ as E
+    from tests.conftest import SF_SMALL
+
+    got = {r.doc_id: r for r in E.queries()["op9_kneser_ney"](spark, SF_SMALL).collect()}
+    bad = {r.doc_id for r in spark.read.parquet(f"{SF_SMALL}/labels.parquet").collect() if r.quality == 0}
+    runs = [r.doc_id for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()
+            if r.doc_id in bad and longest_run(r.text or "") >= 10]
+    assert len(runs) >= 5 and sum(got[i].kept for i in runs) / len(runs) < 0.25
+    assert sum(got[i].perplexity <= got[i].threshold for i in runs) / len(runs) > 0.25  # the whole text hides them
