@@ -52,11 +52,13 @@ SKIP_ROLES = frozenset("navigation banner contentinfo search complementary".spli
 HEADERS = frozenset("header masthead topbar".split())
 CONTAINERS = frozenset("article main section div body td center blockquote".split())
 
-#: a tag with its quoted values, or (too many, too long or unclosed quotes) up to the next ">"
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]{0,8192}"|'[^']{0,8192}'){0,100}+)>|<[!?/][^>]*>"""
-                 r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+#: a tag with its quoted values (a quote opens one after "="), or, with many, long or unclosed ones, its name: see ``_end``
+TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:"[^"]{0,8192}"|'[^']{0,8192}'|(?!["']))){0,100}+)>"""
+                 r"""|<[!?/][^>]*>|<(/?)([a-zA-Z][^\s/>]*)""", re.S)
+STOP = re.compile(r""">|=\s*+["']""")
 OPEN_COMMENT = re.compile("<!--.*", re.S)
-ATTR = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+ATTR = re.compile(r"""([^\s"'/>=][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?""")
+KEYS = frozenset("class id role hidden".split())
 PART = re.compile(r"[a-z]+")
 
 
@@ -71,8 +73,11 @@ class Page:
         self.texts: list = []
         self.stack, self.open = [0], Counter()
         at, n, block, last = 0, len(html), 0, html.rfind(">")
+        self.dead, self.closing = set(), {q: html.rfind(q) for q in "\"'"}
         while at < n:
             m = TAG.search(html, at) if at <= last else OPEN_COMMENT.search(html, at)
+            if m and m.re is TAG and m[5] and m.end() > last:
+                m = OPEN_COMMENT.search(html, m.start())  # no ">" follows
             start = m.start() if m else n
             if start > at:
                 self.texts.append((self.stack[-1], block, _html.unescape(html[at:start])))
@@ -83,16 +88,39 @@ class Page:
             if name:
                 name = name.lower()
                 block += name not in INLINE
+                attrs = m[3]
+                if m[5]:
+                    at = self._end(html, m.end()) + 1
+                    attrs = html[m.end():at - 1]
                 if m[1] or m[4]:
                     self._close(name)
                 else:
-                    attrs = m[3] if m[2] else m[6]
                     self._open(name, attrs)
                     if name in RAW and not attrs.endswith("/"):
                         end = re.compile(rf"</{re.escape(name)}\s*[^>]*>", re.I).search(html, at)
                         at = end.end() if end else n
                         self._close(name)
 
+    def _end(self, html: str, at: int) -> int:
+        """Place of the ">" that ends the tag whose name ends at ``at``: the first
+        one outside quoted values; where the closing quote or that ">" is
+        missing, the next one. ``dead`` are the ends of values from which no
+        such ">" follows, so no part of the page is read twice for nothing."""
+        first, seen = at, []
+        while at not in self.dead and (m := STOP.search(html, at)):
+            if m[0] == ">":
+                return m.start()
+            quote = m[0][-1]
+            if m.end() > self.closing[quote]:
+                end = html.find(">", m.end())
+                if end >= 0:
+                    return end
+                break
+            at = html.find(quote, m.end()) + 1
+            seen.append(at)
+        self.dead.update(seen)
+        return html.find(">", first)
+
     def _pop(self, k: int) -> None:
         """Closes the open elements from place ``k`` on."""
         for e in self.stack[k:]:
@@ -119,7 +147,10 @@ class Page:
                     break
         words, label, hidden = set(), [], False
         for a in ATTR.finditer(attrs) if attrs else ():
-            key, value = a[1].lower(), (a[2] or a[3] or a[4] or "").lower()
+            key = a[1].lower()
+            if key not in KEYS:
+                continue
+            value = (a[2] or a[3] or a[4] or "").lower()
             hidden |= key == "hidden" or (key == "role" and value in SKIP_ROLES)
             if key in ("class", "id"):
                 words.update(PART.findall(value))

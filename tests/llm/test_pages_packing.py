@@ -147,6 +147,27 @@ def test_host_paths_edges(spark):
     assert html_paths.extract(d.where("false")).count() == 0
 
 
+def test_quoted_values_of_any_length_and_number():
+    long = "x<b>y</b> a>b " * 700
+    many = " ".join(f'data-a{i}="a>b{i}"' for i in range(300))
+    for attrs in (f'data-state="{long}"', many, f"data-state='{long}'"):
+        page = html_paths.Page(f'<body><div {attrs} class="ad">buy this</div><article><p>the text</p></article></body>')
+        assert page.tags[1:] == ["body", "div", "article", "p"] and page.labels[2] == "div.ad"
+        assert page.text("body") == "the text"
+    page = html_paths.Page("""<body><div data-x="<p class='ad'>" class="main">it's "so"</div></body>""")
+    assert page.labels[2] == "div.main" and page.text("body") == 'it\'s "so"'
+    page = html_paths.Page("<body><p title='open>one</p><p>two</p></body>")  # no closing quote
+    assert page.text("body") == "one two"
+
+
+def test_reading_tags_is_linear():
+    import time
+    for bad in ('<a b=">" ', '<a b="', "<a b='> <c d=\"> ", "<a x='", "<a b='\">\" "):
+        start = time.process_time()
+        html_paths.Page("<body>" + bad * 40000 + " >")
+        assert time.process_time() - start < 20
+
+
 # ------------------------------------------------------------------- quotes
 CONV = [
     (1, 0, "user", "Hello there\nHow do I pack?"),
