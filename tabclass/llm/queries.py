@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import (html_paths, kneser_ney, lattice, mixing, packing, quality_rules, quotes, radix, secret_scan,
-               simhash)
+from . import (html_paths, kneser_ney, lattice, line_dedup, mixing, packing, quality_rules, quotes, radix,
+               secret_scan, simhash)
 from .common import read
 
 
@@ -77,6 +77,11 @@ def op10_simhash_vp(spark, sf_dir):
     return g.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_line_dedup(spark, sf_dir):
+    docs, n_lines, n_dropped = line_dedup.drop_common_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", n_lines, n_dropped, F.sha2("text", 256).alias("kept_sha256"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -85,10 +90,12 @@ def pipeline(spark, sf_dir):
 
 def llm_queries():
     ops = (op1_subword_lattice, op2_hilbert_packing, op3_quote_threads, op4_rule_ledger, op5_host_paths,
-           op6_secret_ownership, op7_radix_dedup, op8_source_mix, op9_kneser_ney, op10_simhash_vp, rule_ablations, pipeline)
+           op6_secret_ownership, op7_radix_dedup, op8_source_mix, op9_kneser_ney, op10_simhash_vp, op11_line_dedup,
+           rule_ablations, pipeline)
     return {f.__name__: f for f in ops}
 
 
 def llm_sql():
     return {"op3_quote_threads": quotes.SQL, "op4_rule_ledger": quality_rules.SQL, "rule_ablations": quality_rules.SQL_ABLATIONS,
-            "op6_secret_ownership": secret_scan.SQL, "op7_radix_dedup": radix.SQL, "op8_source_mix": mixing.SQL}
+            "op6_secret_ownership": secret_scan.SQL, "op7_radix_dedup": radix.SQL, "op8_source_mix": mixing.SQL,
+            "op11_line_dedup": line_dedup.SQL}
