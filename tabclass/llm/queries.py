@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import (html_paths, kneser_ney, lattice, line_dedup, mixing, packing, prefix_trie, quality_rules, quotes,
-               radix, secret_scan, simhash)
+from . import (alignment, html_paths, kneser_ney, lattice, line_dedup, mixing, packing, prefix_trie, quality_rules,
+               quotes, radix, secret_scan, simhash)
 from .common import read
 
 
@@ -82,6 +82,11 @@ def op11_line_dedup(spark, sf_dir):
     return docs.select("doc_id", n_lines, n_dropped, F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op12_token_alignment(spark, sf_dir):
+    return alignment.align(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"),
+                           vocabulary("piece_bpe_32k.model"))
+
+
 def op13_prefix_trie(spark, sf_dir):
     turns = prefix_trie.ordered_turns(read(spark, sf_dir, "conversations"))
     return prefix_trie.trie(prefix_trie.with_shared_heads(turns, prefix_trie.heads_by_crc()))
@@ -96,7 +101,7 @@ def pipeline(spark, sf_dir):
 def llm_queries():
     ops = (op1_subword_lattice, op2_hilbert_packing, op3_quote_threads, op4_rule_ledger, op5_host_paths,
            op6_secret_ownership, op7_radix_dedup, op8_source_mix, op9_kneser_ney, op10_simhash_vp, op11_line_dedup,
-           op13_prefix_trie, rule_ablations, pipeline)
+           op12_token_alignment, op13_prefix_trie, rule_ablations, pipeline)
     return {f.__name__: f for f in ops}
 
 
