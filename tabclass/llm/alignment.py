@@ -30,6 +30,7 @@ import re
 import zlib
 from array import array
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -116,31 +117,30 @@ class Pieces(Side):
         return self.model.encode(texts, num_threads=1)
 
 
-def align_window(a: list[int], b: list[int], long_a, long_b) -> list[tuple[list[int], list[int]]]:
-    """Groups of a window: its A and B ids between two shared ends. Both sides spell
-    the same bytes."""
-    groups, i, j = [], 0, 0
-    while i < len(a):
-        i0, j0 = i, j
-        x, y = long_a[a[i]], long_b[b[j]]
-        i, j = i + 1, j + 1
-        while x != y:
-            if x < y:
-                x += long_a[a[i]]
-                i += 1
-            else:
-                y += long_b[b[j]]
-                j += 1
-        groups.append((a[i0:i], b[j0:j]))
-    return groups
+def flat(lists: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(lists), np.int32, sum(map(len, lists)))
 
 
-def flat(lists: list[list[int]]) -> np.ndarray:
-    return np.fromiter((x for ids in lists for x in ids), np.int32, sum(map(len, lists)))
+class Runs:
+    """Lists of numbers, one after the other."""
+
+    def __init__(self):
+        self.first, self.items = array("q", [0]), array("q")
+
+    def add(self, items):
+        self.items.extend(items)
+        self.first.append(len(self.items))
+
+    def of(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``items`` of the lists ``which``, and the length of each list."""
+        first = np.array(self.first)
+        n = first[which + 1] - first[which]
+        return np.arange(n.sum()) + np.repeat(first[which] - np.cumsum(n) + n, n), n
 
 
 class Aligner:
-    """Windows that were aligned before, by their ids; and their linked pairs by number."""
+    """Windows that were aligned before, by their ids, as lists of groups; and the groups'
+    linked pairs, both by number."""
 
     def __init__(self, a: ByteLevel, b: Pieces):
         self.a, self.b = a, b
@@ -150,32 +150,55 @@ class Aligner:
     def clear(self):
         self.number: dict[bytes, int] = {}   # a window's ids -> its number
         self.text: list[bytes] = []          # its groups as text
-        self.first, self.n_groups = array("q", [0]), array("q")
-        self.pairs, self.times = array("q"), array("q")  # pair numbers of all windows, and how often linked
+        self.groups = Runs()                 # its groups
+        self.group_no: dict[int | tuple, int] = {}  # a group's A ids, -1, B ids (or one pair of ids) -> its number
+        self.group_text: list[str] = []
+        self.pairs, self.times = Runs(), array("q")  # a group's distinct pairs, and how often each is linked
         self.pair_no: dict[int, int] = {}
         self.codes = array("q")
 
+    def group(self, key, a: list[int], b: list[int]) -> int:
+        pairs, of_b = [], Counter(b).items()
+        for x, n in Counter(a).items():
+            for y, m in of_b:
+                code = x << 32 | y
+                no = self.pair_no.setdefault(code, len(self.codes))
+                if no == len(self.codes):
+                    self.codes.append(code)
+                pairs.append(no)
+                self.times.append(n * m)
+        self.pairs.add(pairs)
+        self.group_text.append(f"{','.join(map(str, a))}|{','.join(map(str, b))}")
+        no = self.group_no[key] = len(self.group_text) - 1
+        return no
+
     def learn(self, key: bytes) -> int:
+        """Aligns a new window: both sides spell the same bytes, and a group ends
+        where tokens of both end."""
         ids = array("i", key).tolist()
-        at = ids.index(-1)
-        groups = align_window(ids[:at], ids[at + 1:], self.long_a, self.long_b)
-        links: dict[int, int] = {}
-        for some_a, some_b in groups:
-            of_b = Counter(some_b).items()
-            for x, n in Counter(some_a).items():
-                for y, m in of_b:
-                    code = x << 32 | y
-                    links[code] = links.get(code, 0) + n * m
-        for code, n in links.items():
-            no = self.pair_no.setdefault(code, len(self.codes))
-            if no == len(self.codes):
-                self.codes.append(code)
-            self.pairs.append(no)
-            self.times.append(n)
+        long_a, long_b, known = self.long_a, self.long_b, self.group_no.get
+        i, end = 0, ids.index(-1)
+        j, groups = end + 1, []
+        while i < end:
+            i0, j0, a, b = i, j, ids[i], ids[j]
+            x = long_a[a] - long_b[b]
+            i, j = i + 1, j + 1
+            if x:
+                while x:
+                    if x < 0:
+                        x += long_a[ids[i]]
+                        i += 1
+                    else:
+                        x -= long_b[ids[j]]
+                        j += 1
+                some: int | tuple = (*ids[i0:i], -1, *ids[j0:j])
+            else:
+                some = a << 32 | b
+            no = known(some)
+            groups.append(self.group(some, ids[i0:i], ids[j0:j]) if no is None else no)
         w = self.number[key] = len(self.text)
-        self.first.append(len(self.pairs))
-        self.n_groups.append(len(groups))
-        self.text.append(";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups).encode())
+        self.groups.add(groups)
+        self.text.append(";".join(map(self.group_text.__getitem__, groups)).encode())
         return w
 
     def windows(self, ids_a: list[list[int]], ids_b: list[list[int]]) -> tuple[list[int], np.ndarray]:
@@ -218,18 +241,17 @@ class Aligner:
             return rows, none, none, none
         w, per_doc = self.windows([ids_a[i] for i in good], [ids_b[i] for i in good])
         w_no, ends = np.array(w), np.cumsum(per_doc)
-        first, pairs = np.array(self.first), np.array(self.pairs)
-        times, n_groups = np.array(self.times), np.array(self.n_groups)
-        n = first[w_no + 1] - first[w_no]
-        at = np.arange(n.sum()) + np.repeat(first[w_no] - np.cumsum(n) + n, n)
-        doc = np.repeat(np.repeat(np.array(good), per_doc), n)
-        key, inverse = np.unique(doc * len(self.codes) + pairs[at], return_inverse=True)
-        linked = np.bincount(inverse, weights=times[at]).astype(np.int64)
+        at, n_groups = self.groups.of(w_no)
+        group_at, n_pairs = self.pairs.of(np.array(self.groups.items)[at])
+        pairs, times = np.array(self.pairs.items)[group_at], np.array(self.times)[group_at]
+        doc = np.repeat(np.repeat(np.repeat(np.array(good), per_doc), n_groups), n_pairs)
+        key, inverse = np.unique(doc * len(self.codes) + pairs, return_inverse=True)
+        linked = np.bincount(inverse, weights=times).astype(np.int64)
         doc, pair = key // len(self.codes), key % len(self.codes)
         n_links = np.bincount(doc, weights=linked, minlength=len(texts)).astype(np.int64)
         for i, s, e in zip(good, ends - per_doc, ends, strict=True):
             text = b";".join([self.text[x] for x in w[s:e]])
-            rows[i] = (len(ids_a[i]), len(ids_b[i]), int(n_groups[w_no[s:e]].sum()), int(n_links[i]), text)
+            rows[i] = (len(ids_a[i]), len(ids_b[i]), int(n_groups[s:e].sum()), int(n_links[i]), text)
         return rows, doc, pair, linked
 
 
