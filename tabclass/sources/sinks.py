@@ -37,7 +37,8 @@ def table_at(spark: SparkSession, path: str) -> bool:
     return False
 
 
-def _drop(spark: SparkSession, path: str) -> None:
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared store; nothing happens when it is not there."""
     fs, p = _fs(spark, path)
     fs.delete(p, True)
 
@@ -95,7 +96,7 @@ def persist_data(df: DataFrame, path: str, keys: Sequence[str],
     merged = (old.join(new.select(*keys).distinct(), keys, "left_anti")
               .unionByName(new, allowMissingColumns=True))
     out = replace_by_key(merged, path, partition_by) if partition_by else write_results(merged, path)
-    _drop(spark, stage)
+    drop_folder(spark, stage)
     return out
 
 
@@ -109,7 +110,7 @@ def replace_by_key(df: DataFrame, path: str, key: str = "model_id") -> DataFrame
     df.write.parquet(stage)
     (spark.read.schema(df.schema).parquet(stage).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path))
-    _drop(spark, stage)
+    drop_folder(spark, stage)
     spark.catalog.refreshByPath(path)
     return spark.read.parquet(path)
 
