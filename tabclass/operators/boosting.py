@@ -39,7 +39,7 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasWeightCol
 from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter,
                              MLReadable, MLReader, MLWritable, MLWriter)
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -291,28 +291,25 @@ def best_splits(histograms: DataFrame, params: list[BoostParams], parts: int) ->
     """``tree, place, all_g, all_h, best`` (struct gain, nf, nb, g, h: the left sums): for each open node the split of
     the largest gain; ties go to the first feature, then the lowest bin."""
     def per_tree(name):
-        return F.element_at(F.array(*[F.lit(float(getattr(p, name))) for p in params]), F.col("tree") + 1)
+        return f"element_at(array({', '.join(f'{float(getattr(p, name))!r}D' for p in params)}), tree + 1)"
 
+    def score(g, h):
+        return f"pow(greatest(abs({g}) - alpha, 0D), 2) / ({h} + lam)"
+
+    # as SQL text: one call to the JVM a step, for this runs once a level
     h = (histograms.repartition(parts, "tree", "place", "feature").groupBy("tree", "place", "feature", "bin")
-         .agg(F.sum("g").alias("g"), F.sum("h").alias("h")))
-    w = Window.partitionBy("tree", "place", "feature")
-    up_to = w.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    h = h.select("tree", "place", "feature", "bin", *[(f("g").over(x) / UNIT).alias(n) for f, x, n in
-                                                        ((F.sum, up_to, "lg"), (F.sum, w, "ag"))],
-                 (F.sum("h").over(up_to) / UNIT).alias("lh"), (F.sum("h").over(w) / UNIT).alias("ah"))
-    h = h.withColumns({"rg": F.col("ag") - F.col("lg"), "rh": F.col("ah") - F.col("lh"), "alpha": per_tree("reg_alpha"),
-                       "lam": per_tree("reg_lambda"), "least": per_tree("min_child_weight")})
-
-    def score(g, s):
-        t = F.greatest(F.abs(F.col(g)) - F.col("alpha"), F.lit(0.0))
-        return t * t / (F.col(s) + F.col("lam"))
-
-    fits = (F.col("lh") > 0) & (F.col("rh") > 0) & (F.col("lh") >= F.col("least")) & (F.col("rh") >= F.col("least"))
-    gain = F.when(fits, score("lg", "lh") + score("rg", "rh") - score("ag", "ah")).otherwise(F.lit(float("-inf")))
-    best = F.struct(gain.alias("gain"), (-F.col("feature")).alias("nf"), (-F.col("bin")).alias("nb"),
-                    F.col("lg").alias("g"), F.col("lh").alias("h"))
-    return (h.select("tree", "place", "ag", "ah", best.alias("best")).groupBy("tree", "place")
-            .agg(F.first("ag").alias("all_g"), F.first("ah").alias("all_h"), F.max("best").alias("best")))
+         .agg(F.expr("sum(g) AS g"), F.expr("sum(h) AS h")))
+    over = "OVER (PARTITION BY tree, place, feature"
+    up_to = f"{over} ORDER BY bin ROWS UNBOUNDED PRECEDING)"
+    h = h.selectExpr("tree", "place", "feature", "bin", f"sum(g) {up_to} / {UNIT!r}D AS lg", f"sum(h) {up_to} / {UNIT!r}D AS lh",
+                     f"sum(g) {over}) / {UNIT!r}D AS ag", f"sum(h) {over}) / {UNIT!r}D AS ah")
+    h = h.selectExpr("*", "ag - lg AS rg", "ah - lh AS rh", f"{per_tree('reg_alpha')} AS alpha",
+                     f"{per_tree('reg_lambda')} AS lam", f"{per_tree('min_child_weight')} AS least")
+    h = h.selectExpr("tree", "place", "ag", "ah", f"""struct(
+        CASE WHEN lh > 0 AND rh > 0 AND lh >= least AND rh >= least
+             THEN {score('lg', 'lh')} + {score('rg', 'rh')} - {score('ag', 'ah')} ELSE double('-infinity') END AS gain,
+        -feature AS nf, -bin AS nb, lg AS g, lh AS h) AS best""")
+    return h.groupBy("tree", "place").agg(F.expr("first(ag) AS all_g"), F.expr("first(ah) AS all_h"), F.expr("max(best) AS best"))
 
 
 def grow_round(data: DataFrame, specs: list[Spec], live: list[int], rnd: int, n_classes: int, n_features: int,

@@ -3,8 +3,9 @@
 Every fit is a Spark ML job over a distributed DataFrame. A model is a
 ``PipelineModel``: mode imputer (fitted on train, Q9) -> VectorAssembler ->
 StringIndexer (labels sorted, unseen -> n) -> classifier. Re-sampling is done
-on the training frame just before ``fit`` (:class:`ResampledClassifier`), so it
-never touches validation folds or scoring.
+on the training frame just before ``fit`` (:mod:`.estimators` has it as an ML
+Estimator), so it never touches validation folds or scoring. Over-sampling is a
+weight per row: no row is copied, but for nearest neighbours.
 """
 
 from __future__ import annotations
@@ -14,15 +15,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, NaiveBayes,
-                                       OneVsRest, RandomForestClassifier)
+from pyspark.ml.classification import DecisionTreeClassifier, NaiveBayes, RandomForestClassifier
 from pyspark.ml.feature import Imputer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .boosting import HistBoostClassifier
 from .knn import knn
-from .sampling import over_sample, under_sample
+from .sampling import emit_copies, over_sample, over_sample_weights, under_sample
 from .smote import smote
 
 # Reference parameter name -> MLlib parameter (None = no MLlib
@@ -31,27 +32,22 @@ RF_PARAMS = {"n_estimators": "numTrees", "max_depth": "maxDepth", "max_features"
              "criterion": "impurity", "min_samples_leaf": "minInstancesPerNode", "min_samples_split": None}
 DT_PARAMS = {"max_depth": "maxDepth", "criterion": "impurity", "min_samples_leaf": "minInstancesPerNode",
              "max_features": None, "min_samples_split": None}
-XG_PARAMS = {"learning_rate": "stepSize", "n_estimators": "maxIter", "max_depth": "maxDepth",
-             "gamma": "minInfoGain", "subsample": "subsamplingRate", "colsample_bytree": "featureSubsetStrategy",
-             "min_child_weight": "minInstancesPerNode", "reg_alpha": None, "reg_lambda": None}
 MAX_DEPTH = 30  # limit of Spark ML trees
 
 
 def _convert(mllib: str, value):
-    if mllib in ("numTrees", "maxIter", "maxDepth", "minInstancesPerNode"):
+    if mllib in ("numTrees", "maxDepth", "minInstancesPerNode"):
         v = int(value)
         if mllib == "maxDepth" and v > MAX_DEPTH:
             raise ValueError(f"max_depth {v} is above the {MAX_DEPTH} levels that Spark ML trees may have")
         return v
     if mllib == "featureSubsetStrategy":
         return str(value) if isinstance(value, str) else repr(float(value))
-    if mllib in ("stepSize", "minInfoGain", "subsamplingRate"):
-        return float(value)
     return value
 
 
 def map_params(model_name: str, params: dict) -> tuple[dict, list[str]]:
-    table = {"rf": RF_PARAMS, "dt": DT_PARAMS, "xg": XG_PARAMS}.get(model_name, {})
+    table = {"rf": RF_PARAMS, "dt": DT_PARAMS}.get(model_name, {})
     out, ignored = {}, []
     for k, v in params.items():
         m = table.get(k)
@@ -62,21 +58,27 @@ def map_params(model_name: str, params: dict) -> tuple[dict, list[str]]:
     return out, ignored
 
 
-def build_classifier(model_name: str, params: dict | None, n_classes: int, seed: int = 1):
-    """An MLlib classifier for a model family and reference-named params."""
+def build_classifier(model_name: str, params: dict | None, n_classes: int, seed: int = 1,
+                     weight_col: str | None = None, total_weight: float | None = None):
+    """A classifier for a model family and reference-named params. With weights the
+    least rows of a leaf count copies, so they become a share of ``total_weight``."""
     kw, _ = map_params(model_name, params or {})
     common = dict(featuresCol="features", labelCol="label")
+    if weight_col:
+        common["weightCol"] = weight_col
+        least = kw.pop("minInstancesPerNode", 1)
+        if least > 1 and total_weight:
+            kw["minWeightFractionPerNode"] = min((least - 0.5) / total_weight, 0.49)
     tree = dict(maxMemoryInMB=512)  # more nodes per pass over the data; same model definition
     if model_name == "rf":
         return RandomForestClassifier(seed=seed, **common, **tree, **kw)
     if model_name == "dt":
         return DecisionTreeClassifier(seed=seed, **common, **tree, **kw)
     if model_name == "xg":
-        gbt = GBTClassifier(seed=seed, **common, **tree, **kw)
-        return gbt if n_classes <= 2 else OneVsRest(classifier=gbt, parallelism=n_classes, **common)
+        return HistBoostClassifier(boostParams=json.dumps(params or {}), numClasses=n_classes, seed=seed, idCol="id", **common)
     if model_name == "nb":
         return NaiveBayes(modelType="gaussian", **common)
-    raise ValueError(f"no MLlib estimator for model family {model_name!r} (use 'ovr' via knn)")
+    raise ValueError(f"no estimator for model family {model_name!r} (use 'ovr' via knn)")
 
 
 @dataclass
@@ -125,10 +127,14 @@ class Prepared:
     labels: list[str]
     features: list[str]
     sampling_type: str
+    weight: str | None = None  # column of copy counts
 
     def release(self) -> None:
         self.frame.unpersist()
 
+    def total_weight(self) -> float | None:
+        return self.frame.agg(F.sum(self.weight)).first()[0] if self.weight else None
+
 
 def prepare(train: DataFrame, features: Sequence[str], sampling_type: str = "NA", seed: int = 1,
             cache: bool = True) -> Prepared:
@@ -139,25 +145,40 @@ def prepare(train: DataFrame, features: Sequence[str], sampling_type: str = "NA"
     imp, asm, idx = _prep_stages(len(feats))
     imp = imp.fit(d)
     d = imp.transform(d).select("id", *imp.getOutputCols(), "target")
-    d = resample(d, sampling_type, imp.getOutputCols(), seed)
+    weight = "weight" if sampling_type == "os" else None
+    d = over_sample_weights(d, seed=seed, weight_col=weight) if weight else resample(d, sampling_type, imp.getOutputCols(), seed)
     idx = idx.fit(d)
     labels = list(idx.labels)  # sorted class list from the indexer (bounded)
-    frame = idx.transform(asm.transform(d)).select("id", "features", "label", "target")
+    frame = idx.transform(asm.transform(d)).select("id", "features", "label", "target", *([weight] if weight else []))
     if cache:
         frame = frame.persist()
-    return Prepared(frame, [imp, asm, idx], labels, feats, sampling_type)
+    return Prepared(frame, [imp, asm, idx], labels, feats, sampling_type, weight)
 
 
 def fit_prepared(prep_: Prepared, model_name: str, params: dict | None = None, seed: int = 1) -> FittedModel:
     """Fit one classifier on a prepared frame; the model carries the shared stages."""
+    return fit_many(prep_, model_name, [params or {}], seed)[0]
+
+
+def fit_many(prep_: Prepared, model_name: str, params: Sequence[dict], seed: int = 1) -> list[FittedModel]:
+    """A model of one family for each parameter set; boosted ones are grown together,
+    so that one pass over the rows serves them all."""
     if model_name == "ovr":
-        ref = prep_.frame.select("id", vector_to_array("features").alias("features"), "target")
-        return FittedModel(model_name, prep_.sampling_type, prep_.features, prep_.labels,
-                           pipeline=PipelineModel(stages=prep_.stages[:2]), knn_train=ref,
-                           params=params or {})
-    clf = build_classifier(model_name, params, len(prep_.labels), seed).fit(prep_.frame)
-    return FittedModel(model_name, prep_.sampling_type, prep_.features, prep_.labels,
-                       pipeline=PipelineModel(stages=prep_.stages + [clf]), params=params or {})
+        ref = prep_.frame
+        if prep_.weight:  # neighbours are rows: here the copies are needed
+            ref = emit_copies(ref.withColumn("__c", (F.col(prep_.weight) - 1).cast("long")), "id", "__c", "copy_no", 0)
+        ref = ref.select("id", vector_to_array("features").alias("features"), "target")
+        return [FittedModel(model_name, prep_.sampling_type, prep_.features, prep_.labels,
+                            pipeline=PipelineModel(stages=prep_.stages[:2]), knn_train=ref, params=p) for p in params]
+    if model_name == "xg":
+        clf = build_classifier("xg", {}, len(prep_.labels), seed, prep_.weight)
+        fitted = clf.fit_many(prep_.frame, params)
+    else:
+        total = prep_.total_weight()
+        fitted = [build_classifier(model_name, p, len(prep_.labels), seed, prep_.weight, total).fit(prep_.frame) for p in params]
+    return [FittedModel(model_name, prep_.sampling_type, prep_.features, prep_.labels,
+                        pipeline=PipelineModel(stages=prep_.stages + [m]), params=p)
+            for m, p in zip(fitted, params, strict=True)]
 
 
 def fit_model(train: DataFrame, features: Sequence[str], model_name: str, sampling_type: str = "NA",
@@ -167,10 +188,6 @@ def fit_model(train: DataFrame, features: Sequence[str], model_name: str, sampli
     return fit_prepared(p, model_name, params, seed)
 
 
-def _sigmoid(x):
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
-
-
 def predict(fm: FittedModel, df: DataFrame, keep: Sequence[str] = ("id",),
             with_probability: bool = True, k: int = 3) -> DataFrame:
     """(keep..., pred, one probability column per class)."""
@@ -189,16 +206,8 @@ def predict(fm: FittedModel, df: DataFrame, keep: Sequence[str] = ("id",),
         return df.select(*[F.col(f"`{c}`") for c in keep]).join(out, "id")
     d = df.select(*[F.col(f"`{c}`") for c in keep], *_raw(fm.features))
     t = PipelineModel([s for s in fm.pipeline.stages if not isinstance(s, StringIndexerModel)]).transform(d)
-    if "probability" in t.columns:
-        p = vector_to_array("probability")
-        probs = [p[i].alias(c) for i, c in enumerate(labels)]
-    else:  # one-vs-rest GBT: margins -> logistic -> normalised
-        raw = vector_to_array("rawPrediction")
-        s = [_sigmoid(F.lit(2.0) * raw[i]) for i in range(len(labels))]
-        tot = s[0]
-        for x in s[1:]:
-            tot = tot + x
-        probs = [(x / tot).alias(c) for x, c in zip(s, labels)]
+    p = vector_to_array("probability")
+    probs = [p[i].alias(c) for i, c in enumerate(labels)]
     lab_arr = F.array(*[F.lit(c) for c in labels])
     pred = F.element_at(lab_arr, (F.col("prediction").cast("int") + 1))
     cols = [*[F.col(f"`{c}`") for c in keep], F.coalesce(pred, F.lit("<unknown>")).alias("pred")]
@@ -208,34 +217,22 @@ def predict(fm: FittedModel, df: DataFrame, keep: Sequence[str] = ("id",),
 
 
 def feature_importance(fm: FittedModel) -> list[tuple[str, float]]:
-    """(feature, importance) from trees (mean over one-vs-rest parts)."""
+    """(feature, importance) from trees."""
     m = fm.pipeline.stages[-1]
-    if hasattr(m, "featureImportances"):
-        imp = m.featureImportances.toArray()
-    elif hasattr(m, "models"):
-        import numpy as np
-        imp = np.mean([x.featureImportances.toArray() for x in m.models], axis=0)
-    else:
+    if not hasattr(m, "featureImportances"):
         return []
-    return sorted(zip(fm.features, map(float, imp)), key=lambda t: -t[1])
-
-
-def loss_curve(fm: FittedModel, sets: dict[str, DataFrame]) -> list[tuple]:
-    """(n_trees, log-loss on each set) of a boosted model; with three or
-    more classes the mean over its one-vs-rest parts. One row per tree."""
-    last = fm.pipeline.stages[-1]
-    parts = last.models if hasattr(last, "models") else [last]
-    head = PipelineModel([s for s in fm.pipeline.stages[:-1]])
-    curves = []
-    for d in sets.values():
-        x = head.transform(d.select("id", *_raw(fm.features), "target")).select("features", "label").persist()
-        each = []
-        for i, m in enumerate(parts):  # one per class
-            y = x if len(parts) == 1 else x.withColumn(m.getLabelCol(), (F.col("label") == float(i)).cast("double"))
-            each.append(m.evaluateEachIteration(y))
-        x.unpersist()
-        curves.append([sum(v) / len(v) for v in zip(*each)])
-    return [(i + 1, *map(float, row)) for i, row in enumerate(zip(*curves))]
+    return sorted(zip(fm.features, map(float, m.featureImportances.toArray())), key=lambda t: -t[1])
+
+
+def loss_curve(fm: FittedModel, sets: dict[str, DataFrame]) -> DataFrame:
+    """``set, n_trees, loss``: multi-class log-loss of a boosted model after each round, over
+    all sets in one pass."""
+    head = PipelineModel(list(fm.pipeline.stages[:-1]))
+    out = None
+    for name, d in sets.items():
+        t = d.select("id", *_raw(fm.features), "target").withColumn("set", F.lit(name))
+        out = t if out is None else out.unionByName(t)
+    return fm.pipeline.stages[-1].evaluate_each_round(head.transform(out))
 
 
 def save_model(fm: FittedModel, root: str, model_id: str) -> str:

@@ -67,6 +67,20 @@ def under_sample(df: DataFrame, target: str = "target", id_col: str = "id", seed
     return d.where(F.col("__rank") <= F.col("__min")).drop("__rank", "__n", "__min", "__max")
 
 
+def over_sample_weights(df: DataFrame, target: str = "target", id_col: str = "id", seed=1,
+                        weight_col: str = "weight") -> DataFrame:
+    """M4 without copies: every row once, with the number of times over-sampling
+    would have it (the same draws as :func:`over_sample`)."""
+    s, top = with_class_stats(df, target)
+    d = hash_rank(s, target, id_col, f"os{seed}", max_class_rows=top)
+    return d.withColumn(weight_col, (_extra_copies() + 1).cast("double")).drop("__rank", "__n", "__min", "__max")
+
+
+def _extra_copies():
+    e = F.col("__max") - F.col("__n")
+    return F.when(F.col("__rank") <= e, F.floor((e - F.col("__rank")) / F.col("__n")) + 1).otherwise(0)
+
+
 def over_sample(df: DataFrame, target: str = "target", id_col: str = "id", seed=1,
                 copy_col: str = "copy_no") -> DataFrame:
     """M4: every class raised to the majority count by repeating rows.
@@ -79,9 +93,7 @@ def over_sample(df: DataFrame, target: str = "target", id_col: str = "id", seed=
     """
     s, top = with_class_stats(df, target)
     d = hash_rank(s, target, id_col, f"os{seed}", max_class_rows=top)
-    e = F.col("__max") - F.col("__n")
-    copies = F.when(F.col("__rank") <= e, F.floor((e - F.col("__rank")) / F.col("__n")) + 1).otherwise(0)
-    d = d.withColumn("__c", copies.cast("long")).drop("__rank", "__n", "__min", "__max")
+    d = d.withColumn("__c", _extra_copies().cast("long")).drop("__rank", "__n", "__min", "__max")
     return emit_copies(d, id_col, "__c", copy_col, 0).drop("__c")
 
 

@@ -41,6 +41,7 @@ XG_SPACE = (
 )
 SPACES = {"rf": RF_SPACE, "xg": XG_SPACE}
 
+BOOSTED = 40  # parameter sets grown together: their margins are a row's state
 CV_SCHEMA = ("replication_id int, model_name string, sampling_type string, "
              "cv_score double, hyper_parameters string")
 
@@ -121,10 +122,11 @@ def cv_scores(train: DataFrame, trials: Sequence[dict], k: int, features: Sequen
               parallelism: int = 4, seed: int = 1) -> list[tuple]:
     """K-fold CV of every trial; one row per (trial, fold) in ``CV_SCHEMA``.
 
-    Per fold, each sampling's training part is resampled, prepared and cached
-    once (:func:`models.prepare`) and the held-out fold is transformed once per
-    sampling; the trials of that sampling then fit only their classifier, from
-    a driver thread pool (each fit is a distributed Spark ML job). The sampler
+    Per fold, one sampling after the other: its training part is resampled
+    (over-sampling as weights), prepared and cached once
+    (:func:`models.prepare`), and the held-out fold is transformed once; the
+    trials then fit only their classifier: boosted ones all together, the others
+    from a driver thread pool (each fit is a distributed Spark ML job). The sampler
     never sees the held-out fold. Scores come from the collected confusion
     counts (classes^2 rows).
     """
@@ -140,36 +142,37 @@ def cv_scores(train: DataFrame, trials: Sequence[dict], k: int, features: Sequen
     for t in trials:
         by_sampling.setdefault(t["sampling_type"], []).append(t)
     out: list[tuple] = []
+
+    def score(fm, held, held_rows, labels) -> float:
+        if fm.model_name == "ovr":
+            pr = models.predict(fm, held_rows, keep=("id", "target"), with_probability=False)
+            rows = [tuple(r) for r in pr.groupBy("target", "pred").count().collect()]
+        else:
+            cm = fm.pipeline.stages[-1].transform(held).groupBy("target", "prediction").count().collect()
+            rows = [(r[0], labels[int(r[1])] if int(r[1]) < len(labels) else "<unknown>", r[2]) for r in cm]
+        return float(score_from_counts(rows, beta, accuracy))
+
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
         for f in range(k):
-            fit_part = train.where(F.col(fold_col) != f)
-            held = train.where(F.col(fold_col) == f).select("id", *models._raw(feats), "target")
-            preps = dict(zip(by_sampling, ex.map(
-                lambda s: models.prepare(fit_part, feats, s, seed), by_sampling)))
-            helds = {s: PipelineModel(stages=p.stages).transform(held).select("features", "target").persist()
-                     for s, p in preps.items()}
-
-            def run(t, f=f, preps=preps, helds=helds):
-                p = preps[t["sampling_type"]]
-                fm = models.fit_prepared(p, t["model_name"], json.loads(t["hyper_parameters"]), seed)
-                if fm.model_name == "ovr":
-                    pr = models.predict(fm, train.where(F.col(fold_col) == f), keep=("id", "target"),
-                                        with_probability=False)
-                    rows = [(r[0], r[1], r[2]) for r in
-                            pr.groupBy("target", "pred").count().collect()]
-                else:
-                    clf = fm.pipeline.stages[-1]
-                    cm = (clf.transform(helds[t["sampling_type"]])
-                          .groupBy("target", "prediction").count().collect())
-                    lab = p.labels
-                    rows = [(r[0], lab[int(r[1])] if int(r[1]) < len(lab) else "<unknown>", r[2]) for r in cm]
-                return (int(t["replication_id"]), t["model_name"], t["sampling_type"],
-                        float(score_from_counts(rows, beta, accuracy)), t["hyper_parameters"])
-
-            out += list(ex.map(run, [t for ts in by_sampling.values() for t in ts]))
-            for s in preps:
-                preps[s].release()
-                helds[s].unpersist()
+            fit_part, held_rows = train.where(F.col(fold_col) != f), train.where(F.col(fold_col) == f)
+            raw = held_rows.select("id", *models._raw(feats), "target")
+            for sampling, ts in by_sampling.items():
+                p = models.prepare(fit_part, feats, sampling, seed)
+                held = PipelineModel(stages=p.stages).transform(raw).select("features", "target").persist()
+
+                def run(batch, p=p, held=held, held_rows=held_rows):
+                    name, some = batch
+                    fms = models.fit_many(p, name, [json.loads(t["hyper_parameters"]) for t in some], seed)
+                    return [(int(t["replication_id"]), name, t["sampling_type"], score(fm, held, held_rows, p.labels),
+                             t["hyper_parameters"]) for t, fm in zip(some, fms, strict=True)]
+
+                boosted = [t for t in ts if t["model_name"] == "xg"]
+                batches = [("xg", boosted[i:i + BOOSTED]) for i in range(0, len(boosted), BOOSTED)]
+                batches += [(t["model_name"], [t]) for t in ts if t["model_name"] != "xg"]
+                for rows in ex.map(run, batches):
+                    out += rows
+                p.release()
+                held.unpersist()
     return out
 
 

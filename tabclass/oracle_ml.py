@@ -184,3 +184,72 @@ FROM b JOIN v USING (id) GROUP BY b.id, b.pred"""
 Q["smote_nulls"] = f"""
 WITH c AS (SELECT status AS target, count(*) AS n FROM ({F_NULL}) WHERE status IS NOT NULL GROUP BY status)
 SELECT target, (SELECT max(n) FROM c) AS n FROM c"""
+
+# ------------------------------------------------------ boosting, loss by round
+BOOST = {"n_estimators": 3, "max_depth": 2, "learning_rate": 0.3, "gamma": 0.05, "reg_alpha": 0.1, "reg_lambda": 2,
+         "min_child_weight": 3}
+
+
+def boost_sql(cells: str, features, n_classes: int, p: dict) -> str:
+    """Log-loss after each round of soft-max boosting over ``cells``: (set, features..., y, n), where n rows
+    share features and label y. Each round grows a tree per class: node 0 is split level by level."""
+    unit, f = "16777216.0", ", ".join(features)
+    on = " AND ".join(f"a.{x} = b.{x}" for x in features)
+    ctes = [f"cells AS MATERIALIZED ({cells})",
+            f"m0 AS MATERIALIZED (SELECT {f}, k, 0.0::DOUBLE AS margin FROM (SELECT DISTINCT {f} FROM cells), range({n_classes}) t(k))"]
+
+    def soft(m):
+        return (f"SELECT {f}, k, e / sum(e) OVER (PARTITION BY {f}) AS p FROM (SELECT *, exp(margin - max(margin) OVER "
+                f"(PARTITION BY {f})) AS e FROM {m})")
+
+    def score(g, h):
+        return f"greatest(abs({g}) - {p['reg_alpha']}, 0) ^ 2 / ({h} + {p['reg_lambda']})"
+
+    losses = []
+    for r in range(p["n_estimators"]):
+        # sums of whole-number gradients by features and class; every row is in node 0, open
+        ctes.append(f"""g{r} AS MATERIALIZED (SELECT {', '.join(f'b.{x}' for x in features)}, b.k,
+            coalesce(sum(n * round((p - CASE WHEN y = k THEN 1 ELSE 0 END) * {unit})), 0)::HUGEINT AS g,
+            coalesce(sum(n * round(greatest(2 * p * (1 - p), 1e-16) * {unit})), 0)::HUGEINT AS h
+            FROM ({soft(f'm{r}')}) b LEFT JOIN (SELECT * FROM cells WHERE "set" = 'train') a ON {on} GROUP BY ALL)""")
+        ctes.append(f"n{r}_0 AS MATERIALIZED (SELECT *, 0 AS node, true AS open FROM g{r})")
+        for d in range(p["max_depth"]):
+            at = f"{r}_{d}"
+            hist = " UNION ALL ".join(f"SELECT k, node, {i} AS feature, {x} AS v, sum(g) AS g, sum(h) AS h FROM n{at} "
+                                      f"WHERE open AND h > 0 GROUP BY ALL" for i, x in enumerate(features))
+            w = "PARTITION BY k, node, feature"
+            ctes.append(f"""s{at} AS MATERIALIZED (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k, node ORDER BY gain DESC, feature, v) AS i
+                FROM (SELECT *, {score('lg', 'lh')} + {score('ag - lg', '(ah - lh)')} - {score('ag', 'ah')} AS gain FROM (
+                  SELECT k, node, feature, v, sum(g) OVER ({w} ORDER BY v)::DOUBLE / {unit} AS lg, sum(h) OVER ({w} ORDER BY v)::DOUBLE / {unit} AS lh,
+                         sum(g) OVER ({w})::DOUBLE / {unit} AS ag, sum(h) OVER ({w})::DOUBLE / {unit} AS ah FROM ({hist})))
+                WHERE ah - lh > 0 AND lh >= {p['min_child_weight']} AND ah - lh >= {p['min_child_weight']})
+                WHERE i = 1 AND gain > 1e-6 AND gain >= {p['gamma']})""")
+            x = "CASE s.feature " + " ".join(f"WHEN {i} THEN n.{c}" for i, c in enumerate(features)) + " END"
+            ctes.append(f"""n{r}_{d + 1} AS MATERIALIZED (SELECT {', '.join(f'n.{c}' for c in features)}, n.k, n.g, n.h,
+                CASE WHEN s.k IS NULL THEN n.node WHEN {x} <= s.v THEN 2 * n.node + 1 ELSE 2 * n.node + 2 END AS node,
+                s.k IS NOT NULL AS open FROM n{at} n LEFT JOIN s{at} s ON s.k = n.k AND s.node = n.node AND n.open)""")
+        ctes.append(f"""v{r} AS MATERIALIZED (SELECT k, node, -sign(sum(g)) * greatest(abs(sum(g)::DOUBLE / {unit}) - {p['reg_alpha']}, 0)
+            / (sum(h)::DOUBLE / {unit} + {p['reg_lambda']}) * {p['learning_rate']} AS value FROM n{r}_{p['max_depth']} GROUP BY k, node)""")
+        ctes.append(f"""m{r + 1} AS MATERIALIZED (SELECT {', '.join(f'a.{x}' for x in features)}, a.k, a.margin + v.value AS margin FROM m{r} a
+            JOIN n{r}_{p['max_depth']} b ON {on} AND a.k = b.k JOIN v{r} v ON v.k = b.k AND v.node = b.node)""")
+        losses.append(f"""SELECT {r + 1} AS n_trees, a."set", -sum(n * ln(greatest(p, 1e-16))) / sum(n) AS loss
+            FROM cells a JOIN ({soft(f'm{r + 1}')}) b ON {on} AND a.y = b.k GROUP BY a."set\"""")
+    return f"WITH {', '.join(ctes)} {' UNION ALL '.join(losses)}"
+
+
+def _cells(src: str, features) -> str:
+    """Labels numbered in order; equal rows counted. ``src``: id, features, target."""
+    f = ", ".join(features)
+    return (f'SELECT split AS "set", {f}, y, count(*) AS n FROM (SELECT *, dense_rank() OVER (ORDER BY target) - 1 AS y '
+            f"FROM ({split_sql(src)})) GROUP BY ALL")
+
+
+STEP_SRC = f"SELECT event_id AS id, hr, noise, part AS target FROM ({F_STEP})"
+RARE_SRC = ("SELECT o_orderkey AS id, month(o_orderdate) AS m, o_custkey % 7 AS c, "
+            "CASE WHEN o_totalprice > 470000 THEN 'yes' ELSE 'no' END AS target FROM orders")
+Q["loss_curve"] = " UNION ALL ".join(
+    f"""SELECT '{name}' AS fixture, n_trees, round(max(CASE WHEN "set" = 'train' THEN loss END), 6) AS train_loss,
+    round(max(CASE WHEN "set" = 'validation' THEN loss END), 6) AS validation_loss FROM ({boost_sql(_cells(src, x), x, k, BOOST)})
+    GROUP BY n_trees""" for name, src, x, k in (("rare", RARE_SRC, ("m", "c"), 2), ("step", STEP_SRC, ("hr", "noise"), 3)))
+Q["fit_xg"] = Q["fit_gbt"]
+Q["cross_validator"] = f"SELECT replication_id, sampling_type, round(cv_score_mean, 6) AS cv_score_mean FROM ({SUMMARY})"

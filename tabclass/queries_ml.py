@@ -4,7 +4,8 @@ leaderboard, registry row, scoring and the model store.
 Gaussian naive Bayes is deterministic and expressible in SQL, so the search
 bookkeeping (CV scores, their summary, best trial per combo, best combo,
 leaderboard, registry row) is checked against DuckDB on NB fits over F_SEP.
-Tree learners (RF, DT, one-vs-rest GBT) get the rows-only check.
+Tree learners must reproduce the step function of F_STEP; boosting's losses are
+checked against boosting written in SQL.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ SEP_FOCUS = ("high", "low")
 SEP_BETA = 2.0            # accuracy focus 'recall'
 CV_K = 3
 NB_SAMPLINGS = ("NA", "us", "os")
+BOOST = {"n_estimators": 3, "max_depth": 2, "learning_rate": 0.3, "gamma": 0.05, "reg_alpha": 0.1, "reg_lambda": 2,
+         "min_child_weight": 3}
 
 
 def _sep(spark, sf_dir):
@@ -179,21 +182,46 @@ def q_feature_importance(spark, sf_dir):
 
 @register("loss_curve")
 def q_loss_curve(spark, sf_dir):
-    """Log-loss by number of trees on train and validation (binary GBT on
-    F_RARE, three classes on F_STEP)."""
+    """Multi-class log-loss by number of rounds on train and validation (two
+    classes on F_RARE, three on F_STEP)."""
+    rare = fx.f_rare(spark, sf_dir).select("row_id", "m", (F.col("o_custkey") % 7).alias("c"), "status")
+    d = split.stratified_split(prep.prep_columns(rare, "row_id", "status"))
+    parts = tuple(d.where(F.col("split") == s).drop("split") for s in ("train", "validation"))
     out = None
-    d = split.stratified_split(prep.prep_columns(fx.f_rare(spark, sf_dir), "row_id", "status"))
-    rare = tuple(d.where(F.col("split") == s).drop("split") for s in ("train", "validation"))
-    for name, (train, val), feats in (("rare", rare, ("o_totalprice", "o_custkey", "m")),
-                                      ("step", _step_parts(spark, sf_dir), STEP_FEATURES)):
-        fm = models.fit_model(train, feats, "xg", "NA", {"n_estimators": 5, "max_depth": 3})
-        rows = models.loss_curve(fm, {"train": train, "validation": val})  # one per tree
-        t = spark.createDataFrame(rows, "n_trees int, train_loss double, validation_loss double").withColumn(
-            "fixture", F.lit(name))
+    for name, (train, val), feats in (("rare", parts, ("m", "c")), ("step", _step_parts(spark, sf_dir), STEP_FEATURES)):
+        fm = models.fit_model(train, feats, "xg", "NA", BOOST)
+        t = models.loss_curve(fm, {"train": train, "validation": val}).groupBy("n_trees").agg(
+            *[F.round(F.max(F.when(F.col("set") == s, F.col("loss"))), 6).alias(f"{s}_loss") for s in ("train", "validation")])
+        t = t.withColumn("fixture", F.lit(name))
         out = t if out is None else out.unionByName(t)
     return out
 
 
+@register("fit_xg")
+def q_fit_xg(spark, sf_dir):
+    """T6 with every parameter of the search space set, on F_STEP."""
+    return _fit_step(spark, sf_dir, "xg", {"learning_rate": 0.01, "n_estimators": 100, "max_depth": 3, "gamma": 0.1,
+                                           "colsample_bytree": 0.7, "subsample": 0.7, "reg_alpha": 0.1,
+                                           "reg_lambda": 1, "min_child_weight": 3})
+
+
+@register("cross_validator")
+def q_cross_validator(spark, sf_dir):
+    """T2 / T3 as Spark ML classes: ``CrossValidator`` over the samplings on the fold column."""
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    from .operators.estimators import MacroFBetaEvaluator, ResampledClassifier
+    train, _ = _sep_parts(spark, sf_dir)
+    train = split.stratified_kfold(train, CV_K).withColumn("fold", F.col("fold").cast("int")).cache()
+    est = ResampledClassifier(modelName="nb", features=list(SEP_FEATURES))
+    grid = ParamGridBuilder().addGrid(est.samplingType, list(NB_SAMPLINGS)).build()
+    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=MacroFBetaEvaluator(), numFolds=CV_K,
+                        foldCol="fold", parallelism=3).fit(train)
+    train.unpersist()
+    rows = [(i + 1, s, round(float(m), 6)) for i, (s, m) in enumerate(zip(NB_SAMPLINGS, cv.avgMetrics, strict=True))]
+    return spark.createDataFrame(rows, "replication_id int, sampling_type string, cv_score_mean double")  # a row a sampling
+
+
 @register("model_roundtrip")
 def q_model_roundtrip(spark, sf_dir):
     from .session import scratch_path

@@ -66,5 +66,39 @@ def test_model_roundtrip(spark, tmp_path):
 
 
 def test_param_mapping_records_ignored():
-    kw, ignored = models.map_params("xg", {"learning_rate": 0.01, "reg_alpha": 0.1, "max_depth": 30})
-    assert kw == {"stepSize": 0.01, "maxDepth": 30} and ignored == ["reg_alpha"]
+    kw, ignored = models.map_params("rf", {"n_estimators": 10, "min_samples_split": 5, "max_depth": 30})
+    assert kw == {"numTrees": 10, "maxDepth": 30} and ignored == ["min_samples_split"]
+
+
+@pytest.mark.parametrize("model,params", [("nb", {}), ("dt", {"max_depth": 4, "min_samples_leaf": 6})])
+def test_weights_equal_copies(spark, model, params):
+    """Over-sampling as weights: the predictions of a fit on copied rows."""
+    from tabclass.operators.sampling import over_sample
+    d = prep.prep_columns(fx.f_rare(spark, SF_TINY), "row_id", "status")
+    feats = ["o_totalprice", "o_custkey", "m"]
+    weighted = models.prepare(d, feats, "os")
+    assert weighted.frame.count() == d.count()  # no row is copied
+    copied = over_sample(d).drop("copy_no")
+    assert weighted.total_weight() == copied.count()
+    a = models.predict(models.fit_prepared(weighted, model, params), d).select("id", F.col("pred").alias("a"))
+    b = models.predict(models.fit_model(copied, feats, model, "NA", params), d).select("id", F.col("pred").alias("b"))
+    assert a.join(b, "id").where("a <> b").count() == 0
+
+
+def test_estimator_and_evaluator_are_stored(spark, tmp_path):
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from tabclass.operators.estimators import MacroFBetaEvaluator, ResampledClassifier
+    train, val = _sep(spark, SF_TINY)
+    est = ResampledClassifier(modelName="xg", samplingType="os", features=["value", "hr"],
+                              hyperParameters='{"n_estimators": 2, "max_depth": 2}')
+    est.write().overwrite().save(str(tmp_path / "est"))
+    back = ResampledClassifier.load(str(tmp_path / "est"))
+    assert back.extractParamMap().keys() == est.extractParamMap().keys()
+    fitted = Pipeline(stages=[back]).fit(train)
+    fitted.write().overwrite().save(str(tmp_path / "model"))
+    ev = MacroFBetaEvaluator(beta=2.0)
+    ev.write().overwrite().save(str(tmp_path / "ev"))
+    scores = [e.evaluate(m.transform(val)) for m, e in (
+        (fitted, ev), (PipelineModel.load(str(tmp_path / "model")), MacroFBetaEvaluator.load(str(tmp_path / "ev"))))]
+    assert scores[0] == scores[1] > 0.5

@@ -20,7 +20,7 @@ FAST_KEYS = [
     "describe_features", "describe_by_split", "distribution_compare", "fit_nb",
     "percentile_breakdown_by_model", "metrics_long_train_val", "odd_names", "registry_lookup_key",
     "hp_trials_stored", "rescore_replaces", "ovr_os", "smote_nulls", "fit_rf", "fit_dt", "fit_gbt",
-    "feature_importance", "model_roundtrip", "job_report",
+    "feature_importance", "model_roundtrip", "job_report", "loss_curve", "cross_validator",
     "keyed_upsert", "replace_by_key", "csv_roundtrip", "run_log", "write_results", "score", "score_stored",
 ]
 
