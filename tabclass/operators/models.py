@@ -216,6 +216,28 @@ def predict(fm: FittedModel, df: DataFrame, keep: Sequence[str] = ("id",),
     return t.select(*cols)
 
 
+def ensemble(fitted: dict[str, FittedModel], df: DataFrame, keep: Sequence[str] = ("id",)) -> DataFrame:
+    """Every fitted combo over one scan of ``df``: (keep..., ``ens_pred``: the largest
+    encoded prediction, the mean probability of each class). The transforms are chained
+    under private column names: no join on the id."""
+    labels = sorted({c for fm in fitted.values() for c in fm.labels})
+    if any(fm.model_name == "ovr" for fm in fitted.values()):
+        raise ValueError("nearest neighbours need a join; they are not part of an ensemble")
+    d, names = df, list(df.columns)
+    preds, probs = [], {c: [] for c in labels}
+    for i, fm in enumerate(fitted.values()):
+        mine = [f"__e{i}_pred", *(f"__e{i}_{j}" for j in range(len(fm.labels)))]
+        d = predict(fm, d, keep=names).toDF(*names, *mine)  # by position: a feature may be named like a class
+        names += mine
+        preds.append(mine[0])
+        for c, n in zip(fm.labels, mine[1:], strict=True):
+            probs[c].append(F.col(n))
+    code = F.greatest(*[F.array_position(F.array(*[F.lit(c) for c in labels]), F.col(n)) for n in preds], F.lit(0))
+    mean = [(sum(p, F.lit(0.0)) / float(len(fitted))).alias(c) for c, p in probs.items()]
+    return d.select(*[F.col(f"`{c}`") for c in keep],
+                    F.element_at(F.array(*[F.lit(c) for c in labels]), code.cast("int")).alias("ens_pred"), *mean)
+
+
 def feature_importance(fm: FittedModel) -> list[tuple[str, float]]:
     """(feature, importance) from trees."""
     m = fm.pipeline.stages[-1]

@@ -5,7 +5,7 @@ leaderboard, registry row)."""
 from __future__ import annotations
 
 from .functions.hashing import sql_hash32
-from .oracle import F_NULL, F_SEP, Q, per_class_sql, report_sql, summary_sql
+from .oracle import BREAKDOWN_CUTS, F_NULL, F_SEP, Q, _cut_union, _pct_tag, per_class_sql, report_sql, summary_sql
 from .oracle_more import kfold_sql, split_sql
 
 X = ("value", "hr", "user_id")
@@ -253,3 +253,33 @@ Q["loss_curve"] = " UNION ALL ".join(
     GROUP BY n_trees""" for name, src, x, k in (("rare", RARE_SRC, ("m", "c"), 2), ("step", STEP_SRC, ("hr", "noise"), 3)))
 Q["fit_xg"] = Q["fit_gbt"]
 Q["cross_validator"] = f"SELECT replication_id, sampling_type, round(cv_score_mean, 6) AS cv_score_mean FROM ({SUMMARY})"
+
+
+# ------------------------------------------- the job's own tables, several models, groups
+def _hard(rows: str, pred: str) -> str:
+    c = "count(*) FILTER (WHERE {})"
+    a, p = "actual = 'high'", "pred = 'high'"
+    return (f"SELECT round(({c.format(f'{a} AND {p}')} / {c.format(a)} + {c.format(f'NOT {a} AND NOT {p}')} / "
+            f"{c.format(f'NOT ({a})')}) / 2, 6) AS auc_hard FROM (WITH {nb_ctes(TRAIN, rows)} {pred})")
+
+
+Q["job_auc_hard"] = (f"SELECT 'validation' AS \"set\", auc_hard FROM ({_hard(VAL, _VAL_PRED)}) UNION ALL "
+                     f"SELECT 'test', auc_hard FROM ({_hard(_ALL, _ALL_PRED)})")
+_STEP_SCORED = ("SELECT target AS actual, target AS pred, CASE WHEN target = 'night' THEN 1.0 ELSE 0.0 END::DOUBLE AS night "
+                f"FROM ({_STEP_VAL})")
+Q["job_allpos"] = report_sql(_cut_union("night", BREAKDOWN_CUTS, _pct_tag, _STEP_SCORED, all_pos="night"), ("cut",),
+                             extra_select="EXCLUDE (cut), cut AS percentile")
+Q["job_run_kinds"] = f"""SELECT 'run-7' AS run_id, 'param' AS kind, unnest(['model_id', 'best_model', 'cv_kfold', 'target']) AS name,
+unnest(['"m-sep-04"', '"nb_NA"', '3', '"band"']) AS value
+UNION ALL SELECT 'run-7', 'distribution', 'test actual ' || band, count(*)::VARCHAR FROM ({F_SEP}) GROUP BY band
+UNION ALL SELECT 'run-7', 'metric', 'rows', '30'"""
+Q["replace_key_by_nothing"] = "SELECT o_orderkey AS row_id, o_totalprice, o_orderstatus AS model_id FROM orders WHERE o_orderstatus <> 'F'"
+Q["ensemble_models"] = f"""WITH {nb_ctes(sampled_sql(TRAIN), _LB_ROWS, ('s',))},
+ex AS (SELECT s, id, target, exp(ll - max(ll) OVER (PARTITION BY s, id)) AS e FROM nbl),
+pr AS (SELECT s, id, target, e / sum(e) OVER (PARTITION BY s, id) AS p FROM ex),
+mean AS (SELECT id, target, sum(p) / 3 AS p FROM pr GROUP BY id, target),
+top AS (SELECT id, max(pred) AS ens_pred FROM nbp GROUP BY id)
+SELECT id, any_value(ens_pred) AS ens_pred, {', '.join(f"round(max(CASE WHEN target = '{c}' THEN p END), 6) AS {c}" for c in ('high', 'low', 'mid'))}
+FROM mean JOIN top USING (id) GROUP BY id"""
+Q["grouped_linear"] = """SELECT event_type, count(*) AS n_rows, round(regr_slope(value, hour(ts)), 6) AS slope,
+round(regr_intercept(value, hour(ts)), 6) AS intercept FROM events GROUP BY event_type"""

@@ -42,31 +42,54 @@ def _curve(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return c.withColumn("P", F.lit(int(t["P"] or 0))).withColumn("N", F.lit(int(t["N"] or 0)))
 
 
+def running_counts(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """``keys, score, pos, neg`` -> with ``cum_pos, cum_neg`` from the highest score down and the totals ``P, N``."""
+    return _curve(counts, keys)
+
+
+def class_counts(scored: DataFrame, classes: Sequence[str], actual: str = "actual", keys: Sequence[str] = ()) -> DataFrame:
+    """``keys, cls, score, pos, neg``: every class against the rest, by its own score, in one grouped pass."""
+    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("cls"), qcol(c).cast("double").alias("score"))
+                               for c in classes]))
+    k = list(keys)
+    long = scored.select(*k, F.col(actual).cast("string").alias("actual"), pairs)
+    return (long.groupBy(*k, "cls", "score").agg(
+        F.sum((F.col("actual") == F.col("cls")).cast("bigint")).alias("pos"),
+        F.sum((F.col("actual") != F.col("cls")).cast("bigint")).alias("neg")))
+
+
+def roc_points(c: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    return c.select(*keys, F.col("score").alias("threshold"), _ratio(F.col("cum_neg"), F.col("N")).alias("fpr"),
+                    _ratio(F.col("cum_pos"), F.col("P")).alias("tpr"),
+                    F.col("cum_pos").alias("tps"), F.col("cum_neg").alias("fps"))
+
+
+def pr_points(c: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    return c.select(*keys, F.col("score").alias("threshold"),
+                    _ratio(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"),
+                    _ratio(F.col("cum_pos"), F.col("P")).alias("recall"))
+
+
+def auc_of(c: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Area per key from running counts: negatives strictly below a score are N less those at or above it."""
+    contrib = F.col("pos") * (F.col("N") - F.col("cum_neg") + F.col("neg") / 2.0)
+    return c.groupBy(*keys).agg(_ratio(F.sum(contrib), F.max("P") * F.max("N")).alias("auc"))
+
+
 def roc_curve(scored: DataFrame, positive: str, score_col: str, actual: str = "actual",
               keys: Sequence[str] = ()) -> DataFrame:
     """One point per distinct score: threshold, fpr, tpr, tps, fps."""
-    c = _curve(score_counts(scored, positive, score_col, actual, keys), keys)
-    return c.select(*keys, F.col("score").alias("threshold"),
-                    _ratio(F.col("cum_neg"), F.col("N")).alias("fpr"),
-                    _ratio(F.col("cum_pos"), F.col("P")).alias("tpr"),
-                    F.col("cum_pos").alias("tps"), F.col("cum_neg").alias("fps"))
+    return roc_points(_curve(score_counts(scored, positive, score_col, actual, keys), keys), keys)
 
 
 def pr_curve(scored: DataFrame, positive: str, score_col: str, actual: str = "actual",
              keys: Sequence[str] = ()) -> DataFrame:
     """One point per distinct score: threshold, precision, recall."""
-    c = _curve(score_counts(scored, positive, score_col, actual, keys), keys)
-    return c.select(*keys, F.col("score").alias("threshold"),
-                    _ratio(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"),
-                    _ratio(F.col("cum_pos"), F.col("P")).alias("recall"))
+    return pr_points(_curve(score_counts(scored, positive, score_col, actual, keys), keys), keys)
 
 
 def _auc_from_counts(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    k = list(keys)
-    c = _curve(counts, k)
-    # neg strictly below this score = N - (negatives at or above it)
-    contrib = F.col("pos") * (F.col("N") - F.col("cum_neg") + F.col("neg") / 2.0)
-    return c.groupBy(*k).agg(_ratio(F.sum(contrib), F.max("P") * F.max("N")).alias("auc"))
+    return auc_of(_curve(counts, list(keys)), list(keys))
 
 
 def roc_auc(scored: DataFrame, positive: str, score_col: str, actual: str = "actual") -> DataFrame:
@@ -81,24 +104,17 @@ def roc_auc_macro(scored: DataFrame, classes: Sequence[str], actual: str = "actu
     Scores are unpivoted to (class, score, is_positive) and all
     classes are done in one grouped pass.
     """
-    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("cls"), qcol(c).cast("double").alias("score"))
-                               for c in classes]))
     k = list(keys)
-    long = scored.select(*k, F.col(actual).cast("string").alias("actual"), pairs)
-    counts = (long.groupBy(*k, "cls", "score").agg(
-        F.sum((F.col("actual") == F.col("cls")).cast("bigint")).alias("pos"),
-        F.sum((F.col("actual") != F.col("cls")).cast("bigint")).alias("neg")))
+    counts = class_counts(scored, classes, actual, k)
     per = _auc_from_counts(counts, keys=[*k, "cls"])
     return per.groupBy(*k).agg(F.avg("auc").alias("auc_macro"))
 
 
-def roc_auc_hard(cm: DataFrame, positive: str) -> DataFrame:
-    """AUC of hard labels = (TPR + TNR) / 2 from the confusion counts."""
+def roc_auc_hard(cm: DataFrame, positive: str, keys: Sequence[str] = ()) -> DataFrame:
+    """E11b (per ``keys``): AUC of hard labels = (TPR + TNR) / 2 from the confusion counts."""
     a = F.col("actual") == F.lit(positive)
     p = F.col("pred") == F.lit(positive)
-    agg = cm.agg(F.sum(F.when(a & p, F.col("n")).otherwise(0)).alias("tp"),
-                 F.sum(F.when(a, F.col("n")).otherwise(0)).alias("P"),
-                 F.sum(F.when(~a & ~p, F.col("n")).otherwise(0)).alias("tn"),
-                 F.sum(F.when(~a, F.col("n")).otherwise(0)).alias("N"))
-    return agg.select(((_ratio(F.col("tp"), F.col("P")) + _ratio(F.col("tn"), F.col("N"))) / 2)
-                      .alias("auc_hard"))
+    agg = cm.groupBy(*keys).agg(
+        F.sum(F.when(a & p, F.col("n")).otherwise(0)).alias("tp"), F.sum(F.when(a, F.col("n")).otherwise(0)).alias("P"),
+        F.sum(F.when(~a & ~p, F.col("n")).otherwise(0)).alias("tn"), F.sum(F.when(~a, F.col("n")).otherwise(0)).alias("N"))
+    return agg.select(*keys, ((_ratio(F.col("tp"), F.col("P")) + _ratio(F.col("tn"), F.col("N"))) / 2).alias("auc_hard"))

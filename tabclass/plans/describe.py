@@ -59,3 +59,13 @@ def distribution_compare(df: DataFrame, set_col: str, label_col: str) -> DataFra
     vc = df.groupBy(set_col, F.col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("count"))
     tot = vc.groupBy(set_col).agg(F.sum("count").alias("__t"))
     return vc.join(tot, set_col).withColumn("share", F.col("count") / F.col("__t")).drop("__t")
+
+
+def distribution_from_counts(cm: DataFrame, set_col: str = "set") -> DataFrame:
+    """E16 from keyed confusion counts: labels of each set, actual and predicted
+    (``<set> actual``, ``<set> predicted``), without another pass over rows."""
+    both = F.inline(F.array(*[F.struct(F.concat_ws(" ", set_col, F.lit(kind)).alias(set_col), F.col(c).alias("label"),
+                                       F.col("n").alias("n")) for kind, c in (("actual", "actual"), ("predicted", "pred"))]))
+    vc = cm.select(both).groupBy(set_col, "label").agg(F.sum("n").alias("count"))
+    tot = vc.groupBy(set_col).agg(F.sum("count").alias("__t"))
+    return vc.join(tot, set_col).withColumn("share", F.col("count") / F.col("__t")).drop("__t")

@@ -1,7 +1,8 @@
 """Evaluation of one fitted model on its train, validation and test rows.
 
-All label metrics come from one confusion aggregate over the tagged union of
-the sets; curves and areas from one grouped run per kind.
+The sets' predictions are written once; two passes read them: the confusion counts, which give
+all label metrics and distributions, and the counts by (set, class, score), whose running
+sums give areas and curves.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import staged
 from . import curves, describe, metrics
 
 # Metric name after the set's prefix -> column of the keyed summary
@@ -42,20 +44,21 @@ def evaluate(sets: dict[str, DataFrame], classes: Sequence[str], focus: Sequence
     """Tables by name: report, confusion, confusion_norm, metrics, auc_hard,
     roc, pr, distribution. Each set has ``actual``, ``pred`` and one score
     column per class."""
-    rows = tagged({k: v.select(F.col("actual").cast("string"), F.col("pred").cast("string"),
-                               *[F.col(f"`{c}`") for c in classes]) for k, v in sets.items()})
-    cm = metrics.confusion_counts(rows, keys=["set"]).persist()  # sets x classes^2 rows
-    auc = curves.roc_auc_macro(rows, classes, keys=["set"]).withColumnRenamed("auc_macro", "auc")
+    rows = staged(tagged({k: v.select(F.col("actual").cast("string"), F.col("pred").cast("string"),
+                                      *[F.col(f"`{c}`") for c in classes]) for k, v in sets.items()}), "scored-sets")
+    cm = staged(metrics.confusion_counts(rows, keys=["set"]), "confusion")  # sets x classes^2 rows
+    counts = staged(curves.class_counts(rows, classes, keys=["set"]), "score-counts")
+    running = staged(curves.running_counts(counts, ["set", "cls"]), "running-counts")
+    auc = curves.auc_of(running, ["set", "cls"]).groupBy("set").agg(F.avg("auc").alias("auc"))
     first = focus[0]
-    labels = (rows.select("set", F.lit("actual").alias("kind"), F.col("actual").alias("label"))
-              .unionByName(rows.select("set", F.lit("predicted").alias("kind"), F.col("pred").alias("label"))))
-    both = labels.withColumn("set", F.concat_ws(" ", "set", "kind"))
+    of_first = running.where(F.col("cls") == first)
     return {
         "report": metrics.classification_report(cm, keys=["set"]),
         "confusion": metrics.dense_confusion(cm, keys=["set"]),
         "confusion_norm": metrics.normalized_confusion(cm, keys=["set"]),
         "metrics": metrics_long(cm, auc, focus, beta),
-        "roc": curves.roc_curve(rows, first, first, keys=["set"]),
-        "pr": curves.pr_curve(rows, first, first, keys=["set"]),
-        "distribution": describe.distribution_compare(both, "set", "label"),
+        "auc_hard": curves.roc_auc_hard(cm, first, keys=["set"]),
+        "roc": curves.roc_points(of_first, ["set"]),
+        "pr": curves.pr_points(of_first, ["set"]),
+        "distribution": describe.distribution_from_counts(cm),
     }

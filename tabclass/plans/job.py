@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,8 +38,9 @@ class JobResult:
 
 
 def train_job(spark: SparkSession, cfg: JobConfig, history: DataFrame, to_score: DataFrame,
-              out_root: str, parallelism: int = 4) -> JobResult:
-    """Entry A. ``out_root`` is a shared folder for result tables and models."""
+              out_root: str, parallelism: int = 4, run_id: str | None = None) -> JobResult:
+    """Entry A. ``out_root`` is a shared folder for result tables and models. A job that is
+    tried again under its ``run_id`` replaces its own rows of the run log."""
     import time
     marks = [("start", time.time())]
     checkpoint_dir(spark)
@@ -143,18 +144,23 @@ def train_job(spark: SparkSession, cfg: JobConfig, history: DataFrame, to_score:
         sets["test"] = models.predict(fm, pred_in, keep=("id", actual)).withColumnRenamed(actual, "actual")
     frames = {"train": train, "validation": val, "test": pred_in}
     tables_ = evaluate.evaluate(sets, fm.labels, focus, cfg.beta)
+    tables_["breakdown_allpos"] = buckets.percentile_breakdown(vbest, focus, all_positive=True)  # E8
     tables_["describe"] = describe.describe(evaluate.tagged({k: v.select(*[F.col(f"`{c}`") for c in features])
                                                              for k, v in frames.items()}), features, by="set")
     importance = models.feature_importance(fm)  # one number per feature
     if importance:
         tables_["importance"] = spark.createDataFrame(importance, "variable_name string, importance double")
     evaluation = {name: sinks.replace_by_key(t.withColumn("model_id", F.lit(cfg.model_id)),
-                                             f"{out_root}/evaluation_{name}", "model_id")
+                                             f"{out_root}/evaluation_{name}", "model_id", [cfg.model_id])
                   .where(F.col("model_id") == cfg.model_id) for name, t in tables_.items()}
     for name in ("report", "describe"):  # S8
         sinks.export_csv(evaluation[name], f"{out_root}/export/{cfg.model_id}_{name}")
-    sinks.log_run(evaluation["metrics"], f"{out_root}/run_log", run_id=uuid.uuid4().hex, model_id=cfg.model_id,
-                  run_name=best_model, kind="metric")  # S9
+    settings = {f.name: getattr(cfg, f.name) for f in fields(cfg)} | {"best_model": best_model, **fm.params}
+    params = spark.createDataFrame([(k, json.dumps(v, default=str)) for k, v in settings.items()], "name string, value string")
+    dist = evaluation["distribution"].select(F.concat_ws(" ", "set", "label").alias("name"), F.col("count").alias("value"))
+    sinks.log_kinds({"param": params, "distribution": dist,
+                     "metric": evaluation["metrics"].select(F.col("Metric").alias("name"), F.col("Value").alias("value"))},
+                    f"{out_root}/run_log", run_id or uuid.uuid4().hex, cfg.model_id, best_model)  # S9
     marks.append(("registry_reports", time.time()))
     scored = models.predict(fm, pred_in, keep=("id", *features, actual), with_probability=cfg.show_probability)
     out = prep.tag(prep.safe_names(scored.withColumnRenamed("pred", cfg.target)), model_id=cfg.model_id)
@@ -165,7 +171,7 @@ def train_job(spark: SparkSession, cfg: JobConfig, history: DataFrame, to_score:
                                       F.current_timestamp().alias("inserted_at")),
                            f"{out_root}/{cfg.top_vars_table}", ["model_id"], partition_by="model_id")
     # the model's predictions are replaced as a whole: no rows of an earlier table stay
-    results = sinks.replace_by_key(out, f"{out_root}/{cfg.prediction_table}_results", "model_id")
+    results = sinks.replace_by_key(out, f"{out_root}/{cfg.prediction_table}_results", "model_id", [cfg.model_id])
     results = results.where(F.col("model_id") == cfg.model_id)
     for p in preds.values():
         p.unpersist()
@@ -211,5 +217,5 @@ def run(spark: SparkSession, cfg: JobConfig, out_root: str, sf_dir: str | None =
         top = spark.read.parquet(f"{out_root}/{cfg.top_vars_table}")
     out = score_with_stored_model(spark, to_score, cfg.model_location or f"{out_root}/models", cfg.model_id,
                                   cfg.id_col, cfg.target, top, cfg.show_probability)
-    res = sinks.replace_by_key(out, f"{out_root}/{cfg.prediction_table}_results", "model_id")
+    res = sinks.replace_by_key(out, f"{out_root}/{cfg.prediction_table}_results", "model_id", [cfg.model_id])
     return res.where(F.col("model_id") == cfg.model_id)

@@ -18,7 +18,7 @@ from .operators import models, prep, search, split
 from .plans import metrics
 from .queries import register
 from .sources import fixtures as fx
-from .sources import tables
+from .sources import sinks, tables
 
 SEP_FEATURES = ("value", "hr", "user_id")
 SEP_FOCUS = ("high", "low")
@@ -300,7 +300,7 @@ def q_job_report(spark, sf_dir):
 def q_job_run_log(spark, sf_dir):
     """S9 as the job writes it: the test metrics, and how many rows per set."""
     _, root = _nb_job(spark, sf_dir)
-    log = spark.read.parquet(f"{root}/run_log")
+    log = sinks.read_log(spark, f"{root}/run_log").where(F.col("kind") == "metric")
     v = F.when(F.col("name").isin("test_overall_recall", "test_accuracy"), F.col("value").cast("double"))
     return log.groupBy(F.split("name", "_")[0].alias("set")).agg(
         F.count(F.lit(1)).alias("n"), F.round(F.max(v), 3).alias("best"))
@@ -340,3 +340,91 @@ def q_smote_nulls(spark, sf_dir):
     d = prep.prep_columns(fx.f_null(spark, sf_dir).where("status is not null"), "row_id", "status")
     p = models.prepare(d, ("o_totalprice", "o_custkey", "m"), "smote", cache=False)
     return p.frame.groupBy("target").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("job_auc_hard")
+def q_job_auc_hard(spark, sf_dir):
+    """E11b from the job's own evaluation tables: validation and test."""
+    res, _ = _nb_job(spark, sf_dir)
+    t = res.extra["evaluation"]["auc_hard"].where(F.col("set") != "train")
+    return t.select("set", F.round("auc_hard", 6).alias("auc_hard"))
+
+
+@register("job_allpos")
+def q_job_allpos(spark, sf_dir):
+    """E8 from the job's own evaluation tables: a tree on F_STEP, whose scores are 0 and 1."""
+    from .config import JobConfig
+    from .plans.job import train_job
+    from .session import scratch_path
+    step = fx.f_step(spark, sf_dir)
+    cfg = JobConfig(historic_table="events", prediction_table="events_scored", target="part", id_col="event_id",
+                    model_id="m-step-02", accuracy_focus="recall", target_focus=("night", "day"), preferred_model="dt_NA",
+                    cv_kfold=CV_K)
+    t = train_job(spark, cfg, step, step, scratch_path(spark, "job")).extra["evaluation"]["breakdown_allpos"]
+    return t.select("value", "precision", "recall", "f1_score", "support", "percentile")
+
+
+@register("job_run_kinds")
+def q_job_run_kinds(spark, sf_dir):
+    """Some parameters, the target distributions and the number of metrics in the log of a job
+    that was run twice under one run id."""
+    from .config import JobConfig
+    from .plans.job import train_job
+    from .session import scratch_path
+    sep, root = fx.f_sep(spark, sf_dir), scratch_path(spark, "job")
+    cfg = JobConfig(historic_table="events", prediction_table="events_scored", target="band", id_col="event_id",
+                    model_id="m-sep-04", accuracy_focus="recall", target_focus=SEP_FOCUS, preferred_model="nb_NA",
+                    cv_kfold=CV_K)
+    for _ in range(2):
+        train_job(spark, cfg, sep, sep, root, run_id="run-7")
+    log = sinks.read_log(spark, f"{root}/run_log")
+    some = log.where("kind = 'param' AND name IN ('model_id', 'best_model', 'cv_kfold', 'target') OR kind = 'distribution' "
+                     "AND name LIKE 'test actual %'").select("run_id", "kind", "name", "value")
+    n = log.where("kind = 'metric'").groupBy("run_id").agg(F.count(F.lit(1)).cast("string").alias("value")).select(
+        "run_id", F.lit("metric").alias("kind"), F.lit("rows").alias("name"), "value")
+    return some.unionByName(n)
+
+
+@register("replace_key_by_nothing")
+def q_replace_key_by_nothing(spark, sf_dir):
+    """One model's rows are replaced by an empty table; the others stay."""
+    from .session import scratch_path
+    path = scratch_path(spark, "emptied")
+    first = fx.f_ord(spark, sf_dir).select("row_id", "o_totalprice", F.col("status").alias("model_id"))
+    sinks.replace_by_key(first, path, "model_id")
+    return sinks.replace_by_key(first.where("false"), path, "model_id", ["F"]).select("row_id", "o_totalprice", "model_id")
+
+
+@register("ensemble_models")
+def q_ensemble_models(spark, sf_dir):
+    """T16 over three fitted combos in one scan: largest encoded prediction, mean probabilities."""
+    train, val = _sep_parts(spark, sf_dir)
+    fitted = {f"nb_{s}": models.fit_model(train, SEP_FEATURES, "nb", s) for s in NB_SAMPLINGS}
+    e = models.ensemble(fitted, val)
+    return e.select("id", "ens_pred", *[F.round(c, 6).alias(c) for c in ("high", "low", "mid")])
+
+
+@register("grouped_linear")
+def q_grouped_linear(spark, sf_dir):
+    """G1: a user's linear model per event type; groups above 500 rows are fitted in shards
+    and merged from their sums."""
+    import pandas as pd
+
+    from .operators.grouped import map_groups
+    d = fx.f_sep(spark, sf_dir).join(tables.read_table(spark, "events", sf_dir).select("event_id", "event_type"), "event_id")
+    names = ["n", "sx", "sy", "sxx", "sxy"]
+
+    def fit(pdf):
+        x, y = pdf["hr"].astype(float), pdf["value"]
+        return pd.DataFrame([[pdf["event_type"].iloc[0], float(len(x)), x.sum(), y.sum(), (x * x).sum(), (x * y).sum()]],
+                            columns=["event_type", *names])
+
+    def merge(pdf):
+        n, sx, sy, sxx, sxy = (pdf[c].sum() for c in names)
+        slope = (n * sxy - sx * sy) / (n * sxx - sx * sx)
+        return pd.DataFrame([[pdf["event_type"].iloc[0], int(n), slope, (sy - slope * sx) / n]],
+                            columns=["event_type", "n_rows", "slope", "intercept"])
+
+    out = map_groups(d, "event_type", fit, "event_type string, " + ", ".join(f"{c} double" for c in names), merge,
+                     "event_type string, n_rows long, slope double, intercept double", max_rows=500)
+    return out.select("event_type", "n_rows", F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"))

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import scratch_path
 
@@ -100,19 +101,29 @@ def persist_data(df: DataFrame, path: str, keys: Sequence[str],
     return out
 
 
-def replace_by_key(df: DataFrame, path: str, key: str = "model_id") -> DataFrame:
+def replace_by_key(df: DataFrame, path: str, key: str = "model_id", values: Sequence | None = None) -> DataFrame:
     """Delete-then-insert by key as a dynamic partition overwrite: the
     ``key`` partitions present in ``df`` are replaced as a whole, others stay.
-    Staged first, so that ``df`` may read ``path`` and a failing ``df`` leaves
+    ``values`` are keys replaced in any case: one that ``df`` has no row of is left
+    without rows. Staged first, so that ``df`` may read ``path`` and a failing ``df`` leaves
     the table as it was."""
     spark = df.sparkSession
     stage = scratch_path(spark, "stage")
     df.write.parquet(stage)
-    (spark.read.schema(df.schema).parquet(stage).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path))
+    new = spark.read.schema(df.schema).parquet(stage)
+    (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path))
+    if values is not None:
+        there = {r[0] for r in new.select(F.col(key).cast("string")).distinct().collect()}  # a few keys
+        escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        for v in {str(v) for v in values} - there:
+            drop_folder(spark, f"{path.rstrip('/')}/{escape(key)}={escape(v)}")
     drop_folder(spark, stage)
     spark.catalog.refreshByPath(path)
-    return spark.read.parquet(path)
+    if not table_at(spark, path):
+        return spark.createDataFrame([], df.schema)
+    # the key keeps its type: a folder named 1 is not a number of its own accord
+    stored = spark.read.parquet(path).schema
+    return spark.read.schema(StructType([df.schema[f.name] if f.name == key else f for f in stored])).parquet(path)
 
 
 def export_csv(df: DataFrame, path: str) -> str:
@@ -131,15 +142,30 @@ RUN_SCHEMA = ("run_id string, model_id string, run_name string, kind string, nam
 
 def log_run(metrics: DataFrame, path: str, run_id: str, model_id: str, run_name: str, kind: str,
             name_col: str = "Metric", value_col: str = "Value") -> DataFrame:
-    """Append (run_id, model_id, run_name, kind, name, value, ts) rows."""
-    rows = metrics.select(F.lit(run_id).alias("run_id"), F.lit(model_id).alias("model_id"),
-                          F.lit(run_name).alias("run_name"), F.lit(kind).alias("kind"),
-                          F.col(name_col).cast("string").alias("name"),
-                          F.col(value_col).cast("string").alias("value"),
-                          F.current_timestamp().alias("ts"))
-    rows.write.mode("append").parquet(path)
-    return metrics.sparkSession.read.parquet(path)
+    """S9 for one kind: see :func:`log_kinds`."""
+    return log_kinds({kind: metrics.select(F.col(name_col).alias("name"), F.col(value_col).alias("value"))}, path, run_id,
+                     model_id, run_name)
+
+
+def log_kinds(kinds: dict[str, DataFrame], path: str, run_id: str, model_id: str, run_name: str) -> DataFrame:
+    """The run's (run_id, model_id, run_name, kind, name, value, ts) rows from frames with ``name`` and
+    ``value``, by kind. The log is partitioned by run and kind: writing a run again, as a retried job does,
+    replaces its rows of these kinds and changes no other run."""
+    out = None
+    for kind, d in kinds.items():
+        rows = d.select(F.lit(model_id).alias("model_id"), F.lit(run_name).alias("run_name"),
+                        F.col("name").cast("string").alias("name"), F.col("value").cast("string").alias("value"),
+                        F.current_timestamp().alias("ts"), F.lit(run_id).alias("run_id"), F.lit(kind).alias("kind"))
+        out = rows if out is None else out.unionByName(rows)
+    spark = out.sparkSession
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "kind").parquet(path))
+    spark.catalog.refreshByPath(path)
+    return read_log(spark, path)
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(RUN_SCHEMA).parquet(path)
 
 
-__all__ = ["write_results", "persist_data", "replace_by_key", "export_csv", "read_csv", "log_run",
+__all__ = ["write_results", "persist_data", "replace_by_key", "export_csv", "read_csv", "log_run", "log_kinds", "read_log",
            "RUN_SCHEMA"]

@@ -27,6 +27,26 @@ def test_replace_by_key_keeps_other_models(spark, tmp_path):
     assert sorted((r["model_id"], r["v"]) for r in out.collect()) == [("m1", 9.0), ("m2", 2.0)]
 
 
+def test_replace_by_an_empty_table(spark, tmp_path):
+    """The key's rows go, other models' stay; also where nothing else is left, and with odd key values."""
+    path = str(tmp_path / "reg")
+    a = spark.createDataFrame([("m/1 =x", 1.0), ("2", 2.0)], "model_id string, v double")
+    sinks.replace_by_key(a, path)
+    out = sinks.replace_by_key(a.where("false"), path, "model_id", ["m/1 =x"])
+    assert [tuple(r) for r in out.select("model_id", "v").collect()] == [("2", 2.0)]
+    assert sinks.replace_by_key(a.where("false"), path, "model_id", ["2"]).count() == 0
+
+
+def test_run_log_twice_equals_once(spark, tmp_path):
+    path = str(tmp_path / "log")
+    kinds = {k: spark.createDataFrame([(f"{k}-1", 1.5), (f"{k}-2", 2.5)], "name string, value double") for k in ("param", "metric")}
+    sinks.log_kinds(kinds, path, "0123", "m", "r")
+    sinks.log_kinds(kinds, path, "77e1", "m", "r")
+    out = sinks.log_kinds(kinds, path, "0123", "m", "r")
+    assert sorted((r.run_id, r.kind, r.name, r.value) for r in out.collect()) == sorted(
+        (i, k, f"{k}-{n}", f"{n}.5") for i in ("0123", "77e1") for k in kinds for n in (1, 2))
+
+
 def test_read_or_empty_only_for_missing(spark):
     like = fx.f_ord(spark, SF_TINY)
     assert tables.read_or_empty(spark, "nope", like, SF_TINY).count() == 0
