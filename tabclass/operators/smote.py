@@ -5,7 +5,7 @@ its rows in hash order (as :func:`over_sample`); for its j-th new row a base row
 ``a`` takes one of its ``k`` nearest same-class neighbours ``b`` (picked by
 ``md5('<seed>:nb:<id>:<j>') mod k``) and a step ``u`` in [0, 1) (from
 ``md5('<seed>:u:<id>:<j>')``) and emits ``a + u * (b - a)`` component-wise
-(``zip_with``). Neighbours come from the exact blocked kNN, never a pair table, and
+(``zip_with``). Neighbours come from the blocked kNN (exact unless asked otherwise), never a pair table, and
 travel with the seed row in one array; the copies are then made row by row.
 Features must not be null: impute first.
 """
@@ -19,14 +19,17 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import hash32, hash_unit
 from ..session import staged
-from .knn import DEFAULT_BLOCK_ROWS, knn
+from .knn import DEFAULT_BLOCK_ROWS
+from .knn_lsh import search
 from .sampling import emit_copies, hash_rank, with_class_stats
 
 
 def smote(df: DataFrame, features: Sequence[str], target: str = "target", id_col: str = "id",
-          k: int = 5, seed=1, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+          k: int = 5, seed=1, block_rows: int = DEFAULT_BLOCK_ROWS,
+          neighbours: str = "exact") -> DataFrame:
     """Original rows plus synthetic ones; columns: id, features..., target,
-    ``synthetic`` (bool), ``copy_no``, ``nb_id`` (the neighbour used), ``u``."""
+    ``synthetic`` (bool), ``copy_no``, ``nb_id`` (the neighbour used), ``u``. ``neighbours``: 'exact', or 'lsh' for the
+    approximate search of :mod:`.knn_lsh`."""
     feats = list(features)
     vec = F.array(*[F.col(f"`{c}`").cast("double") for c in feats])
     base = df.select(F.col(id_col).alias("id"), F.col(target).alias("target"), vec.alias("fv"))
@@ -44,8 +47,8 @@ def smote(df: DataFrame, features: Sequence[str], target: str = "target", id_col
     makers = d.withColumn("__c", copies.cast("long")).where(F.col("__c") > 0).select("id", "target", "fv", "__c")
     makers = staged(makers, "smote-makers")  # read by the search, its block counts and the copies
     # neighbours only for rows that make new rows, each with its vector; k per row
-    nn = knn(makers, growing, k, features="fv", part_cols=["target"], exclude_self=True,
-             block_rows=block_rows, carry=["fv"])
+    nn = search(neighbours)(makers, growing, k, features="fv", part_cols=["target"], exclude_self=True,
+                            block_rows=block_rows, carry=["fv"])
     near = nn.groupBy(F.col("qid").alias("id")).agg(F.array_sort(F.collect_list(
         F.struct("nn_rank", F.col("cid").alias("nb_id"), F.col("fv").alias("bv")))).alias("near"))
     need = emit_copies(makers.join(near, "id"), "id", "__c", "copy_no", 1)

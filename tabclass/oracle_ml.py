@@ -283,3 +283,5 @@ SELECT id, any_value(ens_pred) AS ens_pred, {', '.join(f"round(max(CASE WHEN tar
 FROM mean JOIN top USING (id) GROUP BY id"""
 Q["grouped_linear"] = """SELECT event_type, count(*) AS n_rows, round(regr_slope(value, hour(ts)), 6) AS slope,
 round(regr_intercept(value, hour(ts)), 6) AS intercept FROM events GROUP BY event_type"""
+Q["smote_lsh"] = """WITH c AS (SELECT CASE WHEN o_totalprice > 470000 THEN 'yes' ELSE 'no' END AS target, count(*) AS k FROM orders GROUP BY 1)
+SELECT target, (SELECT max(k) FROM c) AS n, (SELECT max(k) FROM c) - k AS n_new, 0::BIGINT AS n_wrong FROM c"""

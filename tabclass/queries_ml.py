@@ -428,3 +428,16 @@ def q_grouped_linear(spark, sf_dir):
     out = map_groups(d, "event_type", fit, "event_type string, " + ", ".join(f"{c} double" for c in names), merge,
                      "event_type string, n_rows long, slope double, intercept double", max_rows=500)
     return out.select("event_type", "n_rows", F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"))
+
+
+@register("smote_lsh")
+def q_smote_lsh(spark, sf_dir):
+    """M5 with approximate neighbours on F_RARE: classes are level, and every new row's neighbour
+    is another row of its class."""
+    from .operators.smote import smote
+    d = prep.prep_columns(fx.f_rare(spark, sf_dir), "row_id", "status")
+    s = smote(d, ("o_totalprice", "o_custkey", "m"), neighbours="lsh")
+    same = s.join(d.select(F.col("id").alias("nb_id"), F.col("target").alias("nt")), "nb_id", "left")
+    wrong = F.col("synthetic") & ((F.col("nt").isNull()) | (F.col("nt") != F.col("target")) | (F.col("nb_id") == F.col("id")))
+    return same.groupBy("target").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("synthetic")).alias("n_new"),
+                                      F.count_if(wrong).alias("n_wrong"))

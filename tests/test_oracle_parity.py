@@ -21,7 +21,7 @@ FAST_KEYS = [
     "percentile_breakdown_by_model", "metrics_long_train_val", "odd_names", "registry_lookup_key",
     "hp_trials_stored", "rescore_replaces", "ovr_os", "smote_nulls", "fit_rf", "fit_dt", "fit_gbt",
     "feature_importance", "model_roundtrip", "job_report", "loss_curve", "cross_validator",
-    "job_auc_hard", "job_allpos", "job_run_log", "job_run_kinds", "replace_key_by_nothing", "ensemble_models", "grouped_linear",
+    "smote_lsh", "job_auc_hard", "job_allpos", "job_run_log", "job_run_kinds", "replace_key_by_nothing", "ensemble_models", "grouped_linear",
     "keyed_upsert", "replace_by_key", "csv_roundtrip", "run_log", "write_results", "score", "score_stored",
 ]
 
