@@ -100,7 +100,8 @@ def test_spans(spark):
     assert got[3].spans == f"access:0:{len(key)},access:{len(key) + 12}:{2 * len(key) + 12}"
     assert got[4].spans == "assign:17:34,assign:36:53"
     assert got[5].spans == "assign:0:22,assign:24:38"
-    assert got[6].spans == "github:0:40,key_block:45:76"
+    assert got[6].spans == "github:0:40,hex:4:40,key_block:45:76"  # a base span stays inside another
+    assert got[6].n_hex == 1 and got[6].base_sha256 == hashlib.sha256(b"hex:4:40").hexdigest()
     assert got[7].base_sha256 == hashlib.sha256(b"").hexdigest()
     assert got[1].base_sha256 == hashlib.sha256(got[1].spans.encode()).hexdigest()
     assert got[6].n_assign == 0 and got[6].base_sha256 == hashlib.sha256(b"").hexdigest()
