@@ -13,10 +13,10 @@ number of executors changes nothing: blocks are fixed once written.
 from __future__ import annotations
 
 import uuid
-import zlib
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -25,6 +25,7 @@ from .common import text_bytes
 
 BLOB = 1 << 20
 BLOCK = 32 << 20
+BUCKETS = 1 << 16  # at most (Spark refuses 100,000); a bucket then holds several blocks, read one by one
 
 
 def to_blob(batch: pa.RecordBatch) -> bytes:
@@ -65,10 +66,11 @@ def write_blocks(docs: DataFrame, text_col: str, collect, item_type: str, name:
     item = to_arrow_schema(schema).field("items").type
 
     def run(batches):
-        held, blobs, seen = 0, [], collect()
+        held, blobs, seen, closed = 0, [], collect(), 0
 
         def close():
-            block = zlib.crc32(blobs[0]) << 16 | len(blobs)
+            nonlocal closed
+            block, closed = TaskContext.get().partitionId() << 32 | closed, closed + 1
             lists = pa.concat_arrays([pa.nulls(len(blobs) - 1, item), one_list(seen.get(), item)])
             return pa.RecordBatch.from_arrays(
                 [pa.array([block] * len(blobs), pa.int64()), pa.array(blobs, pa.binary()), lists],
@@ -87,7 +89,7 @@ def write_blocks(docs: DataFrame, text_col: str, collect, item_type: str, name:
 
     table = f"{name}_{uuid.uuid4().hex}"
     (docs.mapInArrow(run, schema).write.format("parquet").option("compression", "zstd")
-     .bucketBy(3 * n, "block").saveAsTable(table))  # three buckets a block: hardly two blocks in one
+     .bucketBy(min(3 * n, BUCKETS), "block").saveAsTable(table))  # three buckets a block: hardly two blocks in one
     return table
 
 

@@ -6,26 +6,31 @@ all its segmentations, computed by the forward recursion in log space, and the
 probability of a text is the product over its words and its end.
 
     P(end)  = (texts + 1) / (N + 2)                              N: training tokens
-    P(word) = (1 - P(end)) * (max(c - D, 0) / W + D V / W * L(word))
+    P(word) = (1 - P(end)) * L(word)
 
-W and V are the training words and distinct training words, c the word's count:
-a word of the training text is one more arc over the whole word, discounted by
-Ney's D = n1 / (n1 + 2 n2), and the freed mass goes to the segmentations L.
 Start pieces (with the word mark) and inner pieces together have probability 1,
 so L is a distribution over words, and P one over texts.
 
 The vocabulary's own scores start the pieces off (a BPE vocabulary scores by
 rank; rank r gets weight 1 / (r + 3)), and ``rounds`` rounds of forward-backward
-over the distinct training words re-estimate them. The vocabulary is read on
-the driver and sent along (its size is the bound); word counts are grouped and
-joined by word, and reach the texts as compressed blocks (see ``blocks``).
+over the training words, each as often as it occurs, update them; the prior
+counts as ``PRIOR`` uses, so every piece keeps a probability. The arcs of the
+distinct words are searched once and written as packed columns; the rounds and
+the scoring are array operations on them. The vocabulary is read on the driver
+and sent along (its size is the bound); word counts are grouped and joined by
+word, and reach the texts as compressed blocks (see ``blocks``).
+
+``word_score`` stands beside the score for comparison: a training word is one
+more arc over the whole word, max(c - D, 0) / W (W words, c the word's count,
+Ney's D = n1 / (n1 + 2 n2)), and the mass D V / W that this frees (V distinct
+words) goes to L.
 
 Words are runs of anything but ASCII white space, A-Z in lower case; a
 character without a piece is spelt by its byte pieces.
 
 Defined results: a null or wordless text is its end alone; repeated rows are
-scored alike and each trains; without training words P(word) = (1 - P(end)) L;
-an empty table gives an empty result. Other columns are not read.
+scored alike and each trains; without training words the prior is used, and
+``word_score`` is the score; an empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,15 +41,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
+from pyspark.sql.types import StructType
 
 from .blocks import from_blob, write_blocks
 from .common import staged
 
 MARK = "▁"
 ROUNDS = 3
-SMOOTH = 0.01
-BATCH = 20000
+PRIOR = 1000.0  # uses that the vocabulary's own weights stand for
+BATCH = 4096
 LONG = 64  # longer words go through the lattice in batches of their own
 
 
@@ -69,113 +75,169 @@ def read_vocabulary(path: str):
     return (ids, of_byte, {p[:k] for p in ids for k in range(1, len(p))}), np.log(weight / weight.sum())
 
 
-def arcs(words: list[str], vocab):
-    """(word, start, end, piece) of all arcs; spelt characters are arcs with
-    piece -1 - k, k an index into the second result: their byte pieces."""
-    w_, s_, e_, p_, spelt = [], [], [], [], []
-    ids, of_byte, prefixes = vocab
-    for w, word in enumerate(words):
-        t, n = MARK + word, len(word) + 1
-        for i in range(n):
-            alone = False
-            for j in range(i + 1, n + 1):
-                x = t[i:j]
-                k = ids.get(x)
-                if k is not None:
-                    w_.append(w)
-                    s_.append(i)
-                    e_.append(j)
-                    p_.append(k)
-                    alone |= j == i + 1
-                if x not in prefixes:
-                    break
-            if not alone:
-                spelt.append([of_byte[b] for b in t[i].encode("utf-8", "surrogatepass")])
-                w_.append(w)
-                s_.append(i)
-                e_.append(i + 1)
-                p_.append(-len(spelt))
-    return (np.array(x, dtype=np.int64) for x in (w_, s_, e_, p_)), spelt
-
-
-def _sums(group: np.ndarray, v: np.ndarray):
-    """(groups, log of the sum of exp(v) in each run of equal ``group``)."""
-    at = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-    top = np.maximum.reduceat(v, at)
-    size = np.diff(np.concatenate([at, [len(v)]]))
-    return group[at], top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, size)), at))
+class Lattice:
+    """The arcs of a batch of words, in the order of word, start and end, as plain
+    arrays: characters of each word with its mark (``size``), arcs from each
+    place (``n``), length and piece of each arc; a spelt character has piece -1,
+    its byte pieces follow in ``spelt``, ``n_spelt`` for each."""
+
+    FIELDS = {"size": np.int32, "n": np.uint8, "length": np.uint8, "piece": np.int32, "n_spelt": np.uint8,
+              "spelt": np.int32}
+
+    def __init__(self, **arrays):
+        self.__dict__.update(arrays)
+        self.first = np.cumsum(self.size + 1, dtype=np.int64) - self.size - 1  # nodes of all words in one row
+        places = np.arange(len(self.n)) - np.repeat(self.first - np.arange(len(self.size)), self.size)
+        s = np.repeat(places, self.n)
+        self.word = np.repeat(np.repeat(np.arange(len(self.size)), self.size), self.n)
+        self.a = self.first[self.word] + s
+        self.b = self.a + self.length
+        self.start, self.end = s, s + self.length
+        self.own = np.flatnonzero(self.piece < 0)
+
+    @classmethod
+    def of(cls, words: list[str], vocab) -> Lattice:
+        ids, of_byte, prefixes = vocab
+        n, length, piece, n_spelt, spelt = [], [], [], [], []
+        find = ids.get
+        for word in words:
+            t = MARK + word
+            stop = len(t)
+            for i in range(stop):
+                held, alone = len(piece), False
+                for j in range(i + 1, stop + 1):
+                    x = t[i:j]
+                    k = find(x)
+                    if k is not None:
+                        length.append(j - i)
+                        piece.append(k)
+                        alone = alone or j == i + 1
+                    if x not in prefixes:
+                        break
+                if not alone:
+                    of = [of_byte[c] for c in t[i].encode("utf-8", "surrogatepass")]
+                    length.append(1)
+                    piece.append(-1)
+                    n_spelt.append(len(of))
+                    spelt += of
+                n.append(len(piece) - held)
+        size = [len(w) + 1 for w in words]
+        of = dict(size=size, n=n, length=length, piece=piece, n_spelt=n_spelt, spelt=spelt)
+        return cls(**{k: np.array(of[k], dtype=t) for k, t in cls.FIELDS.items()})
+
+    def pack(self) -> list[bytes]:
+        return [getattr(self, k).tobytes() for k in self.FIELDS]
+
+    @classmethod
+    def unpack(cls, fields) -> Lattice:
+        return cls(**{k: np.frombuffer(x, dtype=t) for (k, t), x in zip(cls.FIELDS.items(), fields, strict=True)})
+
+    def forward(self, log_p: np.ndarray, expected: np.ndarray | None = None, weight=None) -> np.ndarray:
+        """Log of the sum over all segmentations, for each word. With ``expected``,
+        the expected uses of each piece, a word counting as ``weight`` (1) words,
+        are added to it (forward-backward)."""
+        lp = log_p[self.piece]
+        if len(self.own):
+            at = np.cumsum(self.n_spelt, dtype=np.int64) - self.n_spelt
+            lp[self.own] = np.add.reduceat(log_p[self.spelt], at)
+        last = self.first + self.size
+        alpha = np.full(int(last[-1]) + 1, -np.inf)
+        alpha[self.first] = 0.0
+        _sweep(alpha, self.end, self.a, self.b, lp)
+        total = alpha[last]
+        if expected is not None:
+            beta = np.full(len(alpha), -np.inf)
+            beta[last] = 0.0
+            _sweep(beta, self.start.max() - self.start, self.b, self.a, lp)
+            use = np.exp(alpha[self.a] + lp + beta[self.b] - total[self.word])
+            if weight is not None:
+                use *= weight[self.word]
+            plain = self.piece >= 0
+            expected += np.bincount(self.piece[plain], weights=use[plain], minlength=len(expected))
+            expected += np.bincount(self.spelt, weights=np.repeat(use[self.own], self.n_spelt), minlength=len(expected))
+        return total
+
+
+def _sweep(value: np.ndarray, level: np.ndarray, source: np.ndarray, target: np.ndarray, lp: np.ndarray) -> None:
+    """Fills ``value`` level by level: of each target, the log of the sum over
+    its arcs. Arcs to one target are neighbours in their level."""
+    order = np.argsort(level.astype(np.int16 if level.max() < 1 << 15 else np.int64), kind="stable")
+    source, target, lp = source[order], target[order], lp[order]
+    level = level[order]
+    cuts = [0, *(np.flatnonzero(np.diff(level)) + 1), len(level)]
+    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+        to, v = target[lo:hi], value[source[lo:hi]] + lp[lo:hi]
+        at = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]]))
+        top = np.maximum.reduceat(v, at)
+        size = np.diff(np.append(at, hi - lo))
+        value[to[at]] = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, size)), at))
 
 
-def forward(words: list[str], vocab, log_p: np.ndarray, expected: np.ndarray | None = None) -> np.ndarray:
-    """Log of the sum over all segmentations, for each word. With ``expected``,
-    the expected uses of each piece are added to it (forward-backward)."""
-    out = np.empty(len(words))
+def batches_of(words: list[str]):
+    """Places of the words in batches of like length, at most ``BATCH`` each."""
     order = sorted(range(len(words)), key=lambda i: len(words[i]))
     start = 0
     while start < len(order):
         stop = min(start + BATCH, len(order))
         while stop - start > 1 and len(words[order[stop - 1]]) > max(LONG, 2 * len(words[order[start]])):
             stop = start + (stop - start) // 2
-        pick = order[start:stop]
-        out[pick] = _forward([words[i] for i in pick], vocab, log_p, expected)
+        yield order[start:stop]
         start = stop
+
+
+def forward(words: list[str], vocab, log_p: np.ndarray, expected: np.ndarray | None = None) -> np.ndarray:
+    """Log of the sum over all segmentations of plain words, see ``Lattice``."""
+    out = np.empty(len(words))
+    for pick in batches_of(words):
+        out[pick] = Lattice.of([words[i] for i in pick], vocab).forward(log_p, expected)
     return out
 
 
-def _forward(words, vocab, log_p, expected):
-    (w, s, e, p), spelt = arcs(words, vocab)
-    lp = log_p[np.maximum(p, 0)]
-    own = np.flatnonzero(p < 0)
-    lp[own] = [sum(log_p[b] for b in spelt[-1 - k]) for k in p[own]]
-    size = np.array([len(x) + 1 for x in words])
-    first = np.concatenate([[0], np.cumsum(size + 1)])[:-1]  # nodes of all words in one row
-    a, b = first[w] + s, first[w] + e
-    alpha = np.full(int((size + 1).sum()), -np.inf)
-    alpha[first] = 0.0
-    by_end = np.lexsort((w, e))
-    cuts = np.searchsorted(e[by_end], np.arange(1, size.max() + 2))
-    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-        k = by_end[lo:hi]
-        if len(k):
-            at, v = _sums(b[k], alpha[a[k]] + lp[k])
-            alpha[at] = v
-    total = alpha[first + size]
-    if expected is not None:
-        beta = np.full(len(alpha), -np.inf)
-        beta[first + size] = 0.0
-        by_start = np.lexsort((w, -s))
-        cuts = np.searchsorted(-s[by_start], np.arange(-int(size.max()), 2))
-        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            k = by_start[lo:hi]
-            if len(k):
-                at, v = _sums(a[k], beta[b[k]] + lp[k])
-                beta[at] = v
-        use = np.exp(alpha[a] + lp + beta[b] - total[w])
-        plain = p >= 0
-        expected += np.bincount(p[plain], weights=use[plain], minlength=len(expected))
-        for k in own:
-            for x in spelt[-1 - p[k]]:
-                expected[x] += use[k]
-    return total
-
-
-def estimate(words: DataFrame, vocab, log_p: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-    """Log probabilities of the pieces from distinct training words (column
-    ``word``, bytes), each of weight 1: what unseen words are made of."""
+ARCS = "seen boolean, word array<binary>, c array<bigint>, " + ", ".join(f"`{k}` binary" for k in Lattice.FIELDS)
+
+
+def write_arcs(counts: DataFrame, vocab) -> DataFrame:
+    """A row for each batch of distinct words (``word, c``): the words, their
+    counts, and their arcs; ``seen`` tells training words from all others."""
+    v = counts.sparkSession.sparkContext.broadcast(vocab)  # bounded by the vocabulary
+    schema = to_arrow_schema(StructType.fromDDL(ARCS))
+
+    def run(batches):
+        vocab = v.value
+        for b in batches:
+            words, c = b.column(0).to_pylist(), b.column(1).to_numpy(zero_copy_only=False)
+            for seen in (True, False):
+                of = np.flatnonzero((c > 0) == seen)
+                texts = [words[i].decode("utf-8", "surrogatepass") for i in of]
+                for pick in batches_of(texts):
+                    at = of[pick]
+                    fields = Lattice.of([texts[i] for i in pick], vocab).pack()
+                    row = [seen, [words[i] for i in at], c[at].tolist(), *fields]
+                    yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, schema, strict=True)],
+                                                     schema=schema)
+
+    return staged(counts.select("word", "c").mapInArrow(run, ARCS), "lattice-arcs")
+
+
+def estimate(arcs: DataFrame, prior: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
+    """Log probabilities of the pieces, from the training words' arcs."""
+    log_p = prior
     for _ in range(rounds):
-        v = words.sparkSession.sparkContext.broadcast((vocab, log_p))  # bounded by the vocabulary
+        v = arcs.sparkSession.sparkContext.broadcast(log_p)  # one number per piece
 
         def run(batches, v=v):
-            vocab, log_p = v.value
+            log_p = v.value
             expected = np.zeros(len(log_p))
             for b in batches:
-                forward([x.decode("utf-8", "surrogatepass") for x in b.column(0).to_pylist()], vocab, log_p, expected)
+                for i in range(b.num_rows):
+                    c, *fields = (b.column(k)[i].as_py() for k in range(b.num_columns))
+                    Lattice.unpack(fields).forward(log_p, expected, np.array(c, dtype=float))
             at = np.flatnonzero(expected)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(expected[at])], ["piece", "uses"])
 
-        uses = words.select("word").mapInArrow(run, "piece long, uses double")
+        uses = arcs.where("seen").select("c", *Lattice.FIELDS).mapInArrow(run, "piece long, uses double")
         got = uses.groupBy("piece").agg(F.sum("uses").alias("uses")).collect()  # one row per piece
-        weight = np.full(len(log_p), SMOOTH)
+        weight = PRIOR * np.exp(prior)
         for r in got:
             weight[r["piece"]] += r["uses"]
         log_p = np.log(weight / weight.sum())
@@ -203,8 +265,8 @@ class Words:
 
 def score(docs: DataFrame, train: Column, vocabulary: str, id_col="doc_id", text_col="text",
           rounds: int = ROUNDS) -> DataFrame:
-    """``doc_id, train, n_tokens, n_known, train_tokens, base_score, score`` for
-    each document; ``train`` tells which documents the model learns from.
+    """``doc_id, train, n_tokens, n_known, train_tokens, base_score, score,
+    word_score`` for each document; ``train`` tells which documents the model learns from.
     ``base_score`` is the add-one unigram log10 probability of the same tokens."""
     spark = docs.sparkSession
     vocab, prior = read_vocabulary(vocabulary)
@@ -222,23 +284,27 @@ def score(docs: DataFrame, train: Column, vocabulary: str, id_col="doc_id", text
     n_all, v_all = n_words + ends, n_types + (1 if ends else 0)
     disc = n1 / (n1 + 2 * n2) if n1 else 0.75
     p_end = (ends + 1) / (n_all + 2)
-    log_p = estimate(counts.where(seen), vocab, prior, rounds)
-    v = spark.sparkContext.broadcast((vocab, log_p))  # bounded by the vocabulary
+    arcs = write_arcs(counts, vocab)
+    log_p = estimate(arcs, prior, rounds)
 
     def weigh(batches):
-        vocab, log_p = v.value
         for b in batches:
-            words, c = b.column(0), b.column(1).to_numpy(zero_copy_only=False).astype(float)
-            lat = forward([x.decode("utf-8", "surrogatepass") for x in words.to_pylist()], vocab, log_p)
-            if n_words:  # log of the mixture, without leaving log space
-                with np.errstate(divide="ignore"):
-                    whole = np.log(np.maximum(c - disc, 0.0) / n_words)
-                lat = np.logaddexp(whole, lat + math.log(disc * n_types / n_words))
-            lp = (lat + math.log1p(-p_end)) / math.log(10)
-            yield pa.RecordBatch.from_arrays([words, b.column(1), pa.array(lp)], ["word", "c", "lp"])
-
-    weighed = staged(counts.select("word", "c").mapInArrow(weigh, "word binary, c long, lp double"), "lattice-words")
-    back = pairs.select("block", "word").join(weighed.hint("merge"), "word").select(F.col("block").alias("of_block"), "word", "c", "lp")
+            for i in range(b.num_rows):
+                words, c, *fields = (b.column(k)[i] for k in range(b.num_columns))
+                lat = Lattice.unpack([x.as_py() for x in fields]).forward(log_p)
+                count, mixed = c.values.to_numpy().astype(float), lat
+                if n_words:  # log of the mixture, without leaving log space
+                    with np.errstate(divide="ignore"):
+                        whole = np.log(np.maximum(count - disc, 0.0) / n_words)
+                    mixed = np.logaddexp(whole, lat + math.log(disc * n_types / n_words))
+                lp, word_lp = ((x + math.log1p(-p_end)) / math.log(10) for x in (lat, mixed))
+                yield pa.RecordBatch.from_arrays([words.values, c.values, pa.array(lp), pa.array(word_lp)],
+                                                 ["word", "c", "lp", "word_lp"])
+
+    weighed = staged(arcs.select("word", "c", *Lattice.FIELDS)
+                     .mapInArrow(weigh, "word binary, c long, lp double, word_lp double"), "lattice-words")
+    back = pairs.select("block", "word").join(weighed.hint("merge"), "word").select(
+        F.col("block").alias("of_block"), "word", "c", "lp", "word_lp")
     floor = n_all + v_all + 1
     end_base = math.log10((ends + 1) / floor)
 
@@ -246,9 +312,10 @@ def score(docs: DataFrame, train: Column, vocabulary: str, id_col="doc_id", text
         words = right.column("word").to_pylist()
         c = right.column("c").to_numpy()
         lp = right.column("lp").to_numpy()
+        word_lp = right.column("word_lp").to_numpy()
         base = np.log10((c + 1) / floor)
         index = {w: i for i, w in enumerate(words)}
-        cols: list[list] = [[], [], [], [], [], []]
+        cols: list[list] = [[], [], [], [], [], [], []]
         for blob in left.column("blob").to_pylist():
             rows = from_blob(blob)
             cols[0] += rows.column("doc_id").to_pylist()
@@ -259,15 +326,18 @@ def score(docs: DataFrame, train: Column, vocabulary: str, id_col="doc_id", text
                 cols[3].append(int((c[at] > 0).sum()) + (ends > 0))
                 cols[4].append(float(base[at].sum()) + end_base)
                 cols[5].append(float(lp[at].sum()) + math.log10(p_end))
+                cols[6].append(float(word_lp[at].sum()) + math.log10(p_end))
         return pa.table([pa.array(x, f.type) for x, f in zip(cols, out, strict=True)], schema=out)
 
     id_type = d.schema["doc_id"].dataType
 
     out = pa.schema([("doc_id", to_arrow_type(id_type)), ("train", pa.int32()), ("n_tokens", pa.int64()),
-                     ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
-    ddl = (f"doc_id {id_type.simpleString()}, train int, n_tokens long, n_known long, base_score double, score double")
+                     ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("word_score", pa.float64())])
+    ddl = (f"doc_id {id_type.simpleString()}, train int, n_tokens long, n_known long, base_score double, "
+           "score double, word_score double")
     scored = blocks.select("block", "blob").groupBy("block").cogroup(back.groupBy("of_block")).applyInArrow(score_block, ddl)
     scored = staged(scored, "lattice-scores")
     spark.sql(f"DROP TABLE {table}")
     return scored.select("doc_id", (F.col("train") == 1).alias("train"), "n_tokens", "n_known",
-                         F.lit(n_all).cast("long").alias("train_tokens"), "base_score", "score")
+                         F.lit(n_all).cast("long").alias("train_tokens"), "base_score", "score",
+                         "word_score")

@@ -21,7 +21,7 @@ def op1_subword_lattice(spark, sf_dir):
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2
     s = lattice.score(docs, ~held_out, vocabulary("piece_bpe_32k.model"))
     return s.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
-                    "base_score", "score")
+                    "base_score", "score", "word_score")
 
 
 def op2_hilbert_packing(spark, sf_dir):

@@ -74,6 +74,74 @@ def base_scores(rows):
                for i, w in tokens]
 
 
+def whole_scores(rows, pieces, log_p, rounds):
+    """The whole score column by enumeration: forward-backward as expected uses
+    over all segmentations, weights updated, then the marginal of each text."""
+    ids, of_byte, _ = pieces
+    tokens = [(i, [w.decode() for w in (t or "").encode().lower().split()], train) for i, t, train in rows]
+    count = Counter(w for _, ws, train in tokens if train for w in ws)
+    prior = log_p
+
+    def segmentations(t, at=0):
+        if at == len(t):
+            yield ()
+            return
+        starts = [(j, (ids[t[at:j]],)) for j in range(at + 1, len(t) + 1) if t[at:j] in ids]
+        if t[at] not in ids:
+            starts.append((at + 1, tuple(of_byte[b] for b in t[at].encode())))
+        for j, used in starts:
+            for rest in segmentations(t, j):
+                yield used + rest
+
+    def marginal(w, log_p):
+        return sum(math.exp(sum(log_p[k] for k in s)) for s in segmentations(lattice.MARK + w))
+
+    for _ in range(rounds):
+        weight = lattice.PRIOR * np.exp(prior)
+        for w, c in count.items():
+            total = marginal(w, log_p)
+            for s in segmentations(lattice.MARK + w):
+                for k in s:
+                    weight[k] += c * math.exp(sum(log_p[k] for k in s)) / total
+        log_p = np.log(weight / weight.sum())
+    ends, n = sum(train for *_, train in tokens), sum(count.values())
+    p_end = (ends + 1) / (n + ends + 2)
+    return [(i, math.log10(p_end) + sum(math.log10((1 - p_end) * marginal(w, log_p)) for w in ws)) for i, ws, _ in tokens]
+
+
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_scores_are_marginals(spark, vocab, rounds):
+    from pyspark.sql import functions as F
+
+    rows = [(1, "The cat the CAT", True), (2, "hat that ñu", True), (3, "that cat 😀x", False), (4, None, True),
+            (5, "", False), (6, "the\ncat\tsat", True), (6, "the\ncat\tsat", True)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, flag boolean")
+    got = lattice.score(d, F.col("flag"), VOCAB, rounds=rounds).collect()
+    want = whole_scores(rows, *vocab, rounds)
+    assert sorted((r.doc_id, round(r.score, 9)) for r in got) == sorted((i, round(s, 9)) for i, s in want)
+
+
+def test_packed_arcs_come_back(vocab):
+    pieces, log_p = vocab
+    made = lattice.Lattice.of(["hello", "日本", "q" * 40, ""], pieces)
+    again = lattice.Lattice.unpack(made.pack())
+    a, b = np.zeros(len(log_p)), np.zeros(len(log_p))
+    weight = np.array([3.0, 1.0, 0.0, 2.0])
+    assert list(made.forward(log_p, a, weight)) == list(again.forward(log_p, b, weight))
+    assert (a == b).all()
+
+
+def test_blocks_share_few_buckets(spark, edge, monkeypatch):
+    from pyspark.sql import functions as F
+    from tabclass.llm import blocks
+
+    want = sorted(r.score for r in lattice.score(edge, F.lit(True), VOCAB, rounds=1).collect())
+    monkeypatch.setattr(blocks, "BUCKETS", 2)
+    monkeypatch.setattr(blocks, "BLOCK", 64)
+    got = sorted(r.score for r in lattice.score(edge, F.lit(True), VOCAB, rounds=1).collect())
+    assert got == pytest.approx(want)
+
+
 def test_lattice_edge_rows(edge, empty):
     from pyspark.sql import functions as F
 
