@@ -11,11 +11,16 @@ third of all pages. The table of winners has a row per host; the planner
 broadcasts it below the session's threshold and joins by shuffle above.
 
 Inside a container, menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles and reader comments are left out, by tag and by class or id.
+scripts, styles and reader comments are left out, by tag and by class or id. A
+class that tells a state ("has-sidebar", "no-ads") says nothing about its
+element's text, and a wrapper is not left out for its class where the page's
+main article, or all of its text, is inside it (``Page._settle``).
 
 Defined results: null or empty html gives the empty text; a page without a
-host uses its own best container; a page without a container that has text
-gives the empty text; repeated rows are extracted alike; an empty table gives
+host uses its own best container; a page whose text is in no container (no
+body) gives all of it that is not left out, unless most of it is in links;
+a page with nothing else gives the empty text; equal votes go to the higher
+total score, then to the greater path; repeated rows are extracted alike; an empty table gives
 an empty result. Other columns are not read.
 """
 
@@ -50,6 +55,8 @@ SKIP_WORDS = frozenset("ad ads adsense advert adverts advertisement advertising
                        "recommended comment comments disqus reply replies respond login signup form".split())
 SKIP_ROLES = frozenset("navigation banner contentinfo search complementary".split())
 HEADERS = frozenset("header masthead topbar".split())
+#: a class or id that begins with one of these tells what a layout has or lacks
+STATES = frozenset("has hide no non not with without".split())
 CONTAINERS = frozenset("article main section div body td center blockquote".split())
 
 #: a tag with its quoted values (a quote opens one after "="), or, with many, long or unclosed ones, its name: see ``_end``
@@ -69,7 +76,7 @@ class Page:
 
     def __init__(self, html: str):
         self.tags, self.labels, self.parents = ["#root"], [""], [-1]
-        self.skips, self.in_article = [False], [False]
+        self.by_class, self.by_tag, self.in_article, self.own_words = [False], [False], [False], [False]
         self.texts: list = []
         self.stack, self.open = [0], Counter()
         at, n, block, last = 0, len(html), 0, html.rfind(">")
@@ -100,6 +107,50 @@ class Page:
                         end = re.compile(rf"</{re.escape(name)}\s*[^>]*>", re.I).search(html, at)
                         at = end.end() if end else n
                         self._close(name)
+        self._settle()
+
+    def _settle(self) -> None:
+        """Which elements are left out (``skips``): those with a reason of their
+        own, by tag or by class, and all inside them. Where that leaves no
+        article with text, the ancestors of an article or main with no such
+        class itself and with most of the page's text are kept in spite of
+        theirs; where it leaves no text, the outermost elements with most of it."""
+        n = len(self.tags)
+        hard, size = self.by_tag[:], [0] * n
+        for i in range(1, n):
+            hard[i] |= hard[self.parents[i]]
+        for e, _, text in self.texts:
+            if not hard[e]:
+                size[e] += len(text.strip())
+        held = size[:]
+        for i in range(n - 1, 0, -1):
+            held[self.parents[i]] += held[i]
+        own = self.by_class[:]
+
+        def spread():
+            self.skips = hard[:]
+            for i in range(1, n):
+                self.skips[i] |= own[i] or self.skips[self.parents[i]]
+
+        spread()
+        named = [i for i in range(1, n) if self.tags[i] in ("article", "main") and held[i]]
+        if all(self.skips[i] for i in named):
+            climbed = {0}
+            for i in named:
+                if 2 * held[i] > held[0] and not self.own_words[i]:
+                    while i not in climbed:
+                        own[i] = False
+                        climbed.add(i)
+                        i = self.parents[i]
+        far = n + 1  # more than all wrappers of a page
+        wrappers = [0] * n  # around and at each element, far if one holds less than half
+        for i in range(1, n):
+            big = 2 * held[i] > held[0]
+            wrappers[i] = wrappers[self.parents[i]] + (0 if not own[i] else 1 if big else far)
+        nearest = min((wrappers[e] for e, _, text in self.texts if not hard[e] and text.strip()), default=far)
+        if nearest < far:
+            own = [o and k > nearest for o, k in zip(own, wrappers, strict=True)]
+        spread()
 
     def _end(self, html: str, at: int) -> int:
         """Place of the ">" that ends the tag whose name ends at ``at``: the first
@@ -153,18 +204,22 @@ class Page:
             value = (a[2] or a[3] or a[4] or "").lower()
             hidden |= key == "hidden" or (key == "role" and value in SKIP_ROLES)
             if key in ("class", "id"):
-                words.update(PART.findall(value))
+                for c in value.split():
+                    parts = PART.findall(c)
+                    words.update(parts if not parts or parts[0] not in STATES else ())
             if key == "class":
                 label = sorted({re.sub(r"\d+", "", c) for c in value.split()} - {""})
         parent = stack[-1]
-        skip = (name in SKIP_TAGS or name in RAW or hidden or bool(words & SKIP_WORDS)
-                or ((name == "header" or bool(words & HEADERS)) and not self.in_article[parent]))
-        if name in ("html", "body", "article", "main"):
-            skip = False  # a class of the whole page or article says nothing about its text
+        head_ok = self.in_article[parent]
+        whole = name in ("html", "body", "article", "main")  # its class says nothing about its text
+        by_class = bool(words & SKIP_WORDS) or (bool(words & HEADERS) and not head_ok)
+        by_tag = name in SKIP_TAGS or name in RAW or hidden or (name == "header" and not head_ok)
         tags.append(name)
         self.parents.append(parent)
         self.labels.append(".".join([name, *label]))
-        self.skips.append(skip or self.skips[parent])
+        self.by_tag.append(by_tag and not whole)
+        self.by_class.append(by_class and not whole)
+        self.own_words.append(bool(words & SKIP_WORDS))
         self.in_article.append(self.in_article[parent] or name in ("article", "main"))
         if name not in VOID:
             stack.append(len(tags) - 1)
@@ -181,12 +236,12 @@ class Page:
         return None
 
     def path(self, e: int) -> str:
-        """Tags and classes from the root down."""
+        """Tags and classes from the root down; no class has a space in it."""
         labels = []
         while e > 0:
             labels.append(self.labels[e])
             e = self.parents[e]
-        return "/".join(reversed(labels))
+        return " ".join(reversed(labels))
 
     def best(self) -> tuple[str | None, float]:
         """Path and score of the best container. A paragraph's text counts for
@@ -213,12 +268,27 @@ class Page:
     def text(self, path: str) -> str:
         """Text of all elements at ``path``: white space inside a block is one
         space, blocks are joined by one."""
-        want = path.split("/")
+        want = path.split(" ")
         depth, inside = [0], [False]  # labels of the path that lead here, -1 off it
         for i in range(1, len(self.tags)):
             d = depth[self.parents[i]]
             depth.append(d + 1 if 0 <= d < len(want) and self.labels[i] == want[d] else -1)
             inside.append(inside[self.parents[i]] or depth[i] == len(want))
+        return self._joined(inside)
+
+    def loose(self) -> str:
+        """All text that is not left out, of a page without a container; none
+        if most of it is in links."""
+        linked, plain = [False], 0
+        for i in range(1, len(self.tags)):
+            linked.append(self.tags[i] == "a" or linked[self.parents[i]])
+        for e, _, text in self.texts:
+            if not self.skips[e]:
+                plain += -len(text.strip()) if linked[e] else len(text.strip())
+        boxed = any(t in CONTAINERS and not s for t, s in zip(self.tags, self.skips, strict=True))
+        return self._joined([True] * len(self.tags)) if plain > 0 and not boxed else ""
+
+    def _joined(self, inside: list) -> str:
         out, last = [], None
         for e, block, text in self.texts:
             if inside[e] and not self.skips[e]:
@@ -268,7 +338,7 @@ def extract(pages: DataFrame, id_col="page_id", url_col="url", html_col="html")
                 by_host.append(bool(text))
                 if not text:
                     own = page.best()[0]
-                    text = page.text(own) if own else ""
+                    text = page.text(own) if own else page.loose()
                 texts.append(text)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()),
