@@ -12,6 +12,9 @@ bounds, the coordinates' means and deviations, and the packing all read that
 table. Equal documents have equal keys and are told apart by id, so that a
 group of copies spreads over as many parts as its size asks for.
 
+Ids are those that the tokenizer itself gives: the string of a special token in
+a text is that token.
+
 Defined results: a null or empty text is its end id alone; documents with a
 null id come first among equal keys; repeated rows are packed once each; an
 empty table gives an empty result. Other columns are not read.
@@ -109,16 +112,26 @@ class Encoder:
         self.held = worker_cache(f"tabclass_ids_{zlib.crc32(json.encode())}")
         if "known" not in self.held:
             tokenizer = Tokenizer.from_str(json)
-            tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
             self.held["known"] = Known(tokenizer, {})
+            special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+            # longer ones first; without any, what never matches
+            self.held["special"] = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))) or r"(?!)")
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         known = self.held["known"]
         if len(known) > self.remember:
             known.before = {}
             known = self.held["known"] = Known(known.tokenizer, known)
-        ids = known.__getitem__
-        return [b"".join(map(ids, segments(t))) for t in texts]
+        ids, special = known.__getitem__, self.held["special"]
+        out = []
+        for t in texts:
+            if special.search(t):  # the text between special tokens is tokenized by itself
+                cuts = [0, *(x for m in special.finditer(t) for x in m.span()), len(t)]
+                parts = [t[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                out.append(b"".join(ids(p) if k % 2 else b"".join(map(ids, segments(p))) for k, p in enumerate(parts)))
+            else:
+                out.append(b"".join(map(ids, segments(t))))
+        return out
 
 
 # ------------------------------------------------------------ vectors, curve

@@ -21,9 +21,7 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(TOKENIZER)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(TOKENIZER)
 
 
 def ids_of(tokenizer, text):
@@ -36,7 +34,8 @@ def test_encoder_equals_tokenizer(tokenizer):
     alphabet = ["a", "B", "é", "日", "😀", " ", " ", "  ", "\n", "\n\n", " \n", "\t", "\r", "\x00", "\x1c", "\x85", "\xa0",
                 " ", "'s", "'ll", ",", ".", "!!", "7", "<|endoftext|>", "the", " don't", "x,", "ß.", "́"]
     texts = ["".join(r.choice(alphabet) for _ in range(r.randrange(40))) for _ in range(3000)]
-    texts += ["", " ", "\n", " a", "a ", "\na", "a\n", "word, word. word! end."]
+    texts += ["", " ", "\n", " a", "a ", "\na", "a\n", "word, word. word! end.", "a <|endoftext|> b",
+              "<|endoftext|><|endoftext|>", "x<|endoftext|>\n <|endoftext", " <|endoftext|>"]
     got = encode(texts)
     for t, g in zip(texts, got, strict=True):
         assert list(np.frombuffer(g, dtype="<u2")) == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
@@ -138,6 +137,50 @@ def test_consensus_overrules_a_page(spark):
     assert got[8] == "" and got[10] == "" and len(got) == 11
 
 
+def read_alone(html):
+    page = html_paths.Page(html)
+    own = page.best()[0]
+    return page.text(own) if own else page.loose()
+
+
+@pytest.mark.parametrize("html,want", [
+    ('<body><div class="w-1/2"><p>Half a page.</p></div></body>', "Half a page."),
+    ('<body><div class="layout has-sidebar"><article><p>One.</p></article><aside>no</aside></div></body>', "One."),
+    ('<body><div class="content no-ads"><p>Two.</p><div class="ads">buy</div></div></body>', "Two."),
+    ('<body><div class="sidebar-layout"><div class="social-grid"><main><p>Three, a longer text.</p></main></div>'
+     '<div class="sidebar">no</div></div><div class="legal">Copyright</div></body>', "Three, a longer text."),
+    ('<body><div class="ad-free"><p>Four.</p><nav>menu</nav></div></body>', "Four."),
+    ('<body><div id="comments"><article class="comment"><p>A long comment of a reader.</p></article></div>'
+     '<div class="text"><p>Five.</p></div></body>', "Five."),
+    ('<body><div class="related"><article><p>Teaser</p></article></div><div><p>Six, the text itself.</p></div></body>',
+     "Six, the text itself."),
+    ("<p>Seven,</p><p>without a body.</p><nav>menu</nav>", "Seven, without a body."),
+    ('<a href="x">only</a> <a href="y">links</a>', ""),
+    ("<body><nav>menu</nav><footer>foot</footer></body>", ""),
+])
+def test_wrappers_keep_their_article(html, want):
+    assert read_alone(html) == want
+
+
+@pytest.mark.parametrize("bad", ['<div class="ad"><article>', '<div class="ad">', '<div class="ad"><p>x</p></div>'])
+def test_wrappers_are_linear(bad):
+    import time
+
+    start = time.time()
+    html_paths.Page("<body>" + bad * 20000 + "text")
+    assert time.time() - start < 5
+
+
+def test_tied_votes(spark):
+    page = '<body><div class="{}"><p>text of {}</p></div></body>'
+    rows = [(i, f"http://h/{i}", page.format(c, c)) for i, c in enumerate(["a/b", "z", "a/b", "z"])]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string")
+    won = html_paths.winners(html_paths.best_paths(d)).collect()
+    assert [(r.host, r.path) for r in won] == [("h", "body div.a/b")]  # a tie in votes: the longer text
+    got = {r.page_id: r.text for r in html_paths.extract(d).collect()}
+    assert got == {i: f"text of {c}" for i, c in enumerate(["a/b", "z", "a/b", "z"])}
+
+
 def test_host_paths_edges(spark):
     deep = "<div>" * 3000 + "x" + "</div>" * 3000
     rows = [(1, "http://a.b/", deep), (1, "http://a.b/", deep), (2, "", ""), (None, None, None),
