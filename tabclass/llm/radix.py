@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, text_of
+from .common import fresh, staged, text_of
 
 FIRST = 64
 FACTOR = 16
@@ -69,11 +69,15 @@ def with_kept(groups: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
-    """``docs`` without the copies; of each group the document with the largest
-    id stays (with all its rows, if its id is repeated). Rows without an id
-    can't be told apart by it and stay."""
-    gone = with_kept(radix_groups(docs, id_col, text_col)).where("not kept").select(F.col("doc_id").alias(id_col))
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    """``docs`` with one row of each text: the one with the largest id. Rows are
+    told apart by a row number of their own, so no text is lost where an id is
+    repeated or null (a null id counts as the smallest)."""
+    rid, key = fresh(docs, "rid", "row_key")
+    rows = staged(docs.withColumn(rid, F.monotonically_increasing_id()), "radix-rows")
+    keyed = rows.withColumn(key, F.struct(F.col(id_col).isNotNull().alias("has_id"), F.col(id_col).alias("doc_id"),
+                                          F.col(rid).alias("rid")))
+    gone = with_kept(radix_groups(keyed, key, text_col)).where("not kept").select(F.col("doc_id.rid").alias(rid))
+    return rows.join(gone, rid, "left_anti").select(*docs.columns)
 
 
 SQL = """

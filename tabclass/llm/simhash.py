@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import fresh, staged
 from .graph import components
 
 SHINGLE = 3
@@ -232,8 +232,13 @@ def near_groups(docs: DataFrame, id_col="doc_id", text_col="text", shingle: int
 
 
 def drop_near(docs: DataFrame, id_col="doc_id", text_col="text", **args) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest
-    id. Rows without an id can't be told apart by it and stay."""
-    g = near_groups(docs, id_col, text_col, **args)
-    gone = g.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(id_col))
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    """``docs`` with one row of each component: the one with the smallest id.
+    Rows are told apart by a row number of their own, so no component is lost
+    where an id is repeated or null (a null id counts as the largest)."""
+    rid, key = fresh(docs, "rid", "row_key")
+    rows = staged(docs.withColumn(rid, F.monotonically_increasing_id()), "simhash-rows")
+    keyed = rows.withColumn(key, F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("doc_id"),
+                                          F.col(rid).alias("rid")))
+    g = near_groups(keyed, key, text_col, **args)
+    gone = g.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id.rid").alias(rid))
+    return rows.join(gone, rid, "left_anti").select(*docs.columns)

@@ -150,6 +150,13 @@ def test_drop_copies(spark):
     assert sorted(r.doc_id for r in radix.drop_copies(d).collect()) == [2, 3]
 
 
+def test_no_text_is_lost_where_ids_repeat(spark):
+    d = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (None, "c"), (None, "c"), (None, "a"), (3, "d"), (3, "d")],
+                              "doc_id long, text string")
+    left = sorted((r.text, r.doc_id) for r in radix.drop_copies(d).collect())
+    assert left == [("a", 2), ("b", 1), ("c", None), ("d", 3)]
+
+
 # -------------------------------------------------------------- source mix
 def water_fill(sizes, weights=(5, 2, 1), share=1.5, cap=2.0):
     names = sorted(sizes, key=lambda s: (s is None, s or ""))

@@ -97,3 +97,11 @@ def test_edge_rows(edge, empty):
     assert left.columns == edge.columns
     assert {1, 4} <= {r.doc_id for r in left.collect()} and not {2, 3, 5, 6} & {r.doc_id for r in left.collect()}
     assert simhash.near_groups(empty).count() == 0 and simhash.drop_near(empty).count() == 0
+
+
+def test_no_component_is_lost_where_ids_repeat(spark):
+    d = spark.createDataFrame([(1, "a b c"), (1, "x y z"), (2, "A B C"), (None, "x y z"), (None, "p q r"),
+                               (None, "P q r"), (0, "x y z")], "doc_id long, text string")
+    left = sorted((r.text, r.doc_id) for r in simhash.drop_near(d).collect())
+    assert left[0] == ("a b c", 1) and ("x y z", 0) in left and len(left) == 3
+    assert {t.lower() for t, _ in left} == {"a b c", "x y z", "p q r"}
