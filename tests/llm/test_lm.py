@@ -262,10 +262,18 @@ def test_thresholds_by_language(spark):
     scored = spark.createDataFrame([(i, "en" if i < 200 else "xx", i / 1000) for i in range(210)],
                                    "doc_id long, lang string, log_ppl double")
     trusted = spark.createDataFrame([(i, True) for i in range(210)], "trusted_id long, held_out boolean")
-    got = {(r.lang, r.pooled): r["limit"] for r in kn.thresholds(
-        scored, trusted, "doc_id", "lang", "log_ppl", quantile=0.5, slack=1.0).collect()}
-    assert set(got) == {("en", False), (None, True)}  # xx has too few
+    rows = kn.thresholds(scored, trusted, "doc_id", "lang", "log_ppl", quantile=0.5, slack=1.0).collect()
+    got = {(r.lang, r.pooled): r["limit"] for r in rows}
+    # every language has its own quantile, whatever its size
+    assert {(r.lang, r.pooled, r.n) for r in rows} == {("en", False, 200), ("xx", False, 10), (None, True, 210)}
     assert got[("en", False)] == pytest.approx(0.0991, abs=1e-3)
+    assert got[("xx", False)] == pytest.approx(0.2041, abs=1e-3)
+
+
+def test_limits_are_drawn_to_the_pooled_one():
+    assert kn.drawn(2.0, 0, 1.0) == 1.0 and kn.drawn(2.0, kn.SHRINK, 1.0) == 1.5
+    steps = [kn.drawn(2.0, n, 1.0) for n in range(1000)]
+    assert max(b - a for a, b in zip(steps, steps[1:])) == steps[1] - steps[0] < 0.02  # no jump at any size
 
 
 def test_thresholds_use_all_trusted_documents(spark):
