@@ -18,8 +18,8 @@ main article, or all of its text, is inside it (``Page._settle``).
 
 Defined results: null or empty html gives the empty text; a page without a
 host uses its own best container; a page whose text is in no container (no
-body) gives all of it that is not left out, unless most of it is in links;
-a page with nothing else gives the empty text; equal votes go to the higher
+body) gives all of it that is not left out, unless most of it is in links or
+there is no tag at all; a page with nothing else gives the empty text; equal votes go to the higher
 total score, then to the greater path; repeated rows are extracted alike; an empty table gives
 an empty result. Other columns are not read.
 """
@@ -286,7 +286,7 @@ class Page:
             if not self.skips[e]:
                 plain += -len(text.strip()) if linked[e] else len(text.strip())
         boxed = any(t in CONTAINERS and not s for t, s in zip(self.tags, self.skips, strict=True))
-        return self._joined([True] * len(self.tags)) if plain > 0 and not boxed else ""
+        return self._joined([True] * len(self.tags)) if plain > 0 and not boxed and len(self.tags) > 1 else ""
 
     def _joined(self, inside: list) -> str:
         out, last = [], None
