@@ -239,18 +239,74 @@ def test_quotes_are_linked(spark):
     assert got[(2, 1)].depth == 3 and got[(3, 7)].depth == 3 and got[(3, 5)].depth == 0
     assert got[(1, 1)].body == "Use the curve." and got[(1, 1)].n_quoted == 2 and got[(1, 1)].n_linked == 2
     assert got[(3, 5)].body == "" and got[(None, 1)].depth == 0 and got[(4, None)].body == ""
+    assert by_sql(CONV) == {k: r.asDict() for k, r in got.items()}
+    for r in got.values():  # reply order: parents first
+        if r.parent_conv is not None:
+            assert got[(r.parent_conv, r.parent_turn)].depth == r.depth - 1
+    assert quotes.reply_threads(d.where("false")).count() == 0
+
+
+def by_sql(rows):
     import duckdb
     con = duckdb.connect()
     con.execute("CREATE TABLE conversations (conv_id BIGINT, turn INTEGER, role VARCHAR, text VARCHAR)")
-    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", CONV)
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
     cur = con.execute(quotes.SQL)
     names = [c[0] for c in cur.description]
-    want = {tuple(r[names.index(c)] for c in ("conv_id", "turn")): dict(zip(names, r, strict=True)) for r in cur.fetchall()}
-    assert want == {k: r.asDict() for k, r in got.items()}
-    for r in got.values():  # reply order: parents first
+    out = [dict(zip(names, r, strict=True)) for r in cur.fetchall()]
+    return {(r["conv_id"], r["turn"]): r for r in out}
+
+
+MANY = [f"line number {i}" for i in range(3000)]
+#: a shared greeting, quotes of one passage in parts, other conversations, ties, rings, a long text
+PASSAGES = [
+    (1, 0, "u", "Hello,\nfirst of all"), (1, 1, "u", "what else"), (1, 2, "u", "Hello,\nother"),
+    (1, 3, "u", "Hello,\n\nsee below\nbye"), (1, 4, "u", "> Hello,\n> see below\nread"),
+    (1, 5, "u", "> Hello,\nhi\n> see below\nthere\n> bye"),   # in parts: the whole is turn 3's
+    (1, 6, "u", "> Hello,\nhi\n> other\n> not written\n> see below"),  # passages, then lines
+    (3, 0, "u", "alpha\ngamma"), (5, 0, "u", "alpha\nbeta"), (6, 0, "u", "> alpha\n> beta\nok"),
+    (7, 0, "u", "alpha"), (7, 1, "u", "> gamma\n> alpha\nno such order"),
+    (3, 4, "u", "> alpha\n> beta\nlate"),                      # written elsewhere only
+    (10, 0, "u", "ring one\n> ring two"), (11, 0, "u", "ring two\n> ring one"), (11, 1, "u", "below the ring"),
+    (12, 0, "u", "> ring two\nside"), (20, 0, "u", "own\n> third"), (21, 0, "u", "second\n> own"),
+    (19, 3, "u", "third\n> second"), (19, 4, "u", "after"), (22, 0, "u", "> self\nself"),
+    (30, 0, "u", "\n".join(MANY)), (30, 1, "u", "> " + "\n> ".join(MANY[7:2900]) + "\nmany"),
+    (30, 2, "u", "> " + "\n> ".join(MANY[7:1000] + MANY[1001:1500]) + "\none line left out"), (31, 0, "u", MANY[7]),
+]
+
+
+def test_passages_rings_and_ties(spark):
+    d = spark.createDataFrame(PASSAGES, "conv_id long, turn int, role string, text string")
+    got = {(r.conv_id, r.turn): r for r in quotes.reply_threads(d).collect()}
+    link = {k: (r.parent_conv, r.parent_turn, r.n_linked) for k, r in got.items()}
+    assert link[(1, 4)] == (1, 3, 2) and link[(1, 5)] == (1, 3, 3)   # not the first to write "Hello,"
+    assert link[(1, 6)] == (1, 0, 3)          # no passage as a whole: one line each, and of equals the first turn
+    assert link[(6, 0)] == (5, 0, 2)          # not (3, 0), which has the first line only
+    assert link[(3, 4)] == (5, 0, 2)
+    assert link[(7, 1)] == (3, 0, 2)          # one line each: the smaller conversation
+    assert link[(10, 0)] == (None, None, 1) and link[(11, 0)] == (10, 0, 1) and got[(11, 1)].depth == 2
+    assert link[(19, 3)] == (None, None, 1)   # the smallest of three
+    assert [got[k].depth for k in [(19, 3), (20, 0), (21, 0), (19, 4)]] == [0, 1, 2, 1]
+    assert {got[k].thread_id for k in [(10, 0), (11, 0), (11, 1), (12, 0)]} == {10}
+    assert link[(22, 0)] == (None, None, 0)   # nobody before it, and no other conversation, wrote the line
+    assert link[(30, 1)] == (30, 0, 2893) and link[(30, 2)] == (30, 0, 1492) and link[(31, 0)] == (None, None, 0)
+    for r in got.values():
         if r.parent_conv is not None:
             assert got[(r.parent_conv, r.parent_turn)].depth == r.depth - 1
-    assert quotes.reply_threads(d.where("false")).count() == 0
+    assert by_sql(PASSAGES) == {k: r.asDict() for k, r in got.items()}
+
+
+def test_random_quotes_equal_the_sql(spark):
+    rng = random.Random(11)
+    rows = []
+    for c in range(30):
+        for t in range(rng.randint(1, 6)):
+            lines = [rng.choice(["", "> ", ">> ", "", "> "]) + rng.choice("abcde") * rng.randint(0, 2)
+                     for _ in range(rng.randint(0, 9))]
+            rows.append((c, t, "u", "\n".join(lines)))
+    d = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(3)
+    got = {(r.conv_id, r.turn): r.asDict() for r in quotes.reply_threads(d).collect()}
+    assert got == by_sql(rows)
 
 
 def test_long_conversation_and_shared_lines(spark):
