@@ -2,8 +2,9 @@
 
 Spans of every kind are found row by row. Each secret value is then hashed and
 counted over the corpus: in how many repositories and by how many owners it
-occurs. A value that many owners carry is a copied example; a value that one
-owner alone has, with enough different characters, looks live.
+occurs. A value that many owners carry in many repositories is a copied example;
+a value that one owner alone has, in few repositories and with enough different
+characters, looks live (in many of the owner's repositories it is a template).
 
 Counting goes in steps that combine on the map side, (hash, owner, repository)
 to (hash, owner) to (hash), so a value that a third of all rows carry never
@@ -44,6 +45,8 @@ ANY = (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA[A-Z0-9]
 OPEN, SHUT, MID = "\x01", "\x02", "\x03"
 SPAN = "array<struct<start:bigint,k:int,kind:string,end:bigint,secret:string>>"
 EXAMPLE_OWNERS = 3
+EXAMPLE_REPOS = 3
+LIVE_REPOS = 3
 LIVE_CHARS = 6
 
 
@@ -89,19 +92,22 @@ def ownership(candidates: DataFrame) -> DataFrame:
             .groupBy("hash").agg(F.sum("n").alias("n_seen"), F.sum("r").alias("n_repos"), n.alias("n_owners")))
 
 
-def classify(scanned: DataFrame, example_owners: int = EXAMPLE_OWNERS, live_chars: int = LIVE_CHARS) -> DataFrame:
-    """Per document with spans (by ``rid``): secrets that look live, copied
-    examples, and the most owners of one of its secrets."""
+def classify(scanned: DataFrame, example_owners: int = EXAMPLE_OWNERS, live_chars: int = LIVE_CHARS,
+             example_repos: int = EXAMPLE_REPOS, live_repos: int = LIVE_REPOS) -> DataFrame:
+    """Per document with spans (by ``rid``): secrets that look live (one owner, at
+    most ``live_repos`` repositories, ``live_chars`` different characters), copied
+    examples (at least ``example_owners`` and ``example_repos``), and the most owners
+    and repositories of one of its secrets."""
     c = scanned.where(F.size("spans") > 0).select("rid", "owner", "repo", F.explode("spans").alias("s"))
     c = c.select("rid", "owner", "repo", F.sha2(F.col("s.secret"), 256).alias("hash"),
                  F.size(F.array_distinct(F.split(F.col("s.secret"), ""))).alias("chars"))
     owners = ownership(c)
     x = c.join(owners, "hash", "left")
-    is_example = F.col("n_owners") >= example_owners
-    is_live = (F.col("n_owners") == 1) & (F.col("chars") >= live_chars)
+    is_example = (F.col("n_owners") >= example_owners) & (F.col("n_repos") >= example_repos)
+    is_live = (F.col("n_owners") == 1) & (F.col("n_repos") <= live_repos) & (F.col("chars") >= live_chars)
     return x.groupBy("rid").agg(F.count(F.when(is_live, 1)).alias("n_live"),
                                 F.count(F.when(is_example, 1)).alias("n_example"),
-                                F.max("n_owners").alias("most_owners"))
+                                F.max("n_owners").alias("most_owners"), F.max("n_repos").alias("most_repos"))
 
 
 def report(docs: DataFrame, **scan_args) -> DataFrame:
@@ -115,7 +121,8 @@ def report(docs: DataFrame, **scan_args) -> DataFrame:
     rows = s.select("rid", "doc_id", *[count(k).alias(f"n_{k}") for k in BASE],
                     F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
     none = F.lit(0).cast("long")
-    plain = rows.where("spans = ''").select("*", none.alias("n_live"), none.alias("n_example"), none.alias("most_owners"))
+    plain = rows.where("spans = ''").select("*", none.alias("n_live"), none.alias("n_example"),
+                                           none.alias("most_owners"), none.alias("most_repos"))
     hit = rows.where("spans <> ''").join(classify(s), "rid")
     return plain.unionByName(hit).drop("rid")
 
@@ -143,16 +150,19 @@ b AS (SELECT * EXCLUDE (p), i, p[i] AS piece,
 c AS (SELECT *, sum(n) OVER (PARTITION BY rid, k ORDER BY i) AS e FROM b),
 s AS (SELECT *, string_split(piece, chr(3))[2] AS secret, e - n AS s FROM c
   WHERE i % 2 = 0 AND length(string_split(piece, chr(3))[2]) >= least),
-own AS (SELECT secret, count(DISTINCT coalesce(source, chr(5))) AS owners FROM s GROUP BY secret),
-v AS (SELECT s.*, owners, length(list_distinct(string_split(secret, ''))) AS chars FROM s JOIN own USING (secret)),
+own AS (SELECT secret, count(DISTINCT coalesce(source, chr(5))) AS owners,
+  count(DISTINCT coalesce(source, chr(5)) || chr(6) || coalesce(lang, chr(5))) AS repos FROM s GROUP BY secret),
+v AS (SELECT s.*, owners, repos, length(list_distinct(string_split(secret, ''))) AS chars FROM s JOIN own USING (secret)),
 g AS (SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
-  count(*) FILTER (kind = 'hex') AS n_hex, count(*) FILTER (owners = 1 AND chars >= {LIVE_CHARS}) AS n_live,
-  count(*) FILTER (owners >= {EXAMPLE_OWNERS}) AS n_example, max(owners) AS most_owners,
+  count(*) FILTER (kind = 'hex') AS n_hex, count(*) FILTER (owners = 1 AND repos <= {LIVE_REPOS} AND chars >= {LIVE_CHARS}) AS n_live,
+  count(*) FILTER (owners >= {EXAMPLE_OWNERS} AND repos >= {EXAMPLE_REPOS}) AS n_example,
+  max(owners) AS most_owners, max(repos) AS most_repos,
   string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) AS spans,
   string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) FILTER (k < 3) AS base FROM v GROUP BY rid)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live,
-  coalesce(n_example, 0) AS n_example, coalesce(most_owners, 0) AS most_owners FROM d LEFT JOIN g USING (rid)"""
+  coalesce(n_example, 0) AS n_example, coalesce(most_owners, 0) AS most_owners,
+  coalesce(most_repos, 0) AS most_repos FROM d LEFT JOIN g USING (rid)"""
 
 
 SQL = _sql()

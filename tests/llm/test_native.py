@@ -114,6 +114,25 @@ def test_ownership(spark):
     assert got[0] == (0, 1, 5) and got[9] == (1, 0, 1)
 
 
+def test_repositories_count_beside_owners(spark):
+    """One owner's value in few repositories looks live, in many it is a template; null names are one value each."""
+    rows = [(1, "token=Zx81Qk92Lp", "s0", "a"), (2, "token=Zx81Qk92Lp", "s0", "b"),
+            *[(10 + i, "token=Yw72Rj83Mq", "s1", f"r{i}") for i in range(4)],
+            (20, "token=Xv63Ti74Nr", None, None), (21, "token=Xv63Ti74Nr", None, None), (22, "token=Xv63Ti74Nr", None, "a"),
+            *[(30 + i, "token=Wu54Sh65Os", f"s{i}", "a") for i in range(3)]]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = {r.doc_id: (r.n_live, r.n_example, r.most_owners, r.most_repos) for r in secret_scan.report(d).collect()}
+    assert got[1] == (1, 0, 1, 2) and got[10] == (0, 0, 1, 4)
+    assert got[20] == got[22] == (1, 0, 1, 2) and got[30] == (0, 1, 3, 3)
+    import duckdb
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR, lang VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?, ?)", rows)
+    cur = con.execute(secret_scan.SQL)
+    at = [[c[0] for c in cur.description].index(c) for c in ("doc_id", "n_live", "n_example", "most_owners", "most_repos")]
+    assert {r[at[0]]: tuple(r[i] for i in at[1:]) for r in cur.fetchall()} == got
+
+
 def test_secret_edge_rows(edge):
     rows = secret_scan.report(edge).collect()
     assert len(rows) == len(ROWS)
