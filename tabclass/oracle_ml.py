@@ -274,6 +274,8 @@ unnest(['"m-sep-04"', '"nb_NA"', '3', '"band"']) AS value
 UNION ALL SELECT 'run-7', 'distribution', 'test actual ' || band, count(*)::VARCHAR FROM ({F_SEP}) GROUP BY band
 UNION ALL SELECT 'run-7', 'metric', 'rows', '30'"""
 Q["replace_key_by_nothing"] = "SELECT o_orderkey AS row_id, o_totalprice, o_orderstatus AS model_id FROM orders WHERE o_orderstatus <> 'F'"
+Q["snapshot_replace"] = """SELECT o_orderkey AS row_id, CASE WHEN o_orderstatus = 'P' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+o_orderstatus AS model_id FROM orders WHERE o_orderstatus <> 'F'"""
 Q["ensemble_models"] = f"""WITH {nb_ctes(sampled_sql(TRAIN), _LB_ROWS, ('s',))},
 ex AS (SELECT s, id, target, exp(ll - max(ll) OVER (PARTITION BY s, id)) AS e FROM nbl),
 pr AS (SELECT s, id, target, e / sum(e) OVER (PARTITION BY s, id) AS p FROM ex),

@@ -395,6 +395,18 @@ def q_replace_key_by_nothing(spark, sf_dir):
     return sinks.replace_by_key(first.where("false"), path, "model_id", ["F"]).select("row_id", "o_totalprice", "model_id")
 
 
+@register("snapshot_replace")
+def q_snapshot_replace(spark, sf_dir):
+    """S6 / S7 in versions: one model's rows replaced, one model's replaced by nothing; the last version."""
+    from .session import scratch_path
+    from .sources import snapshots
+    path = scratch_path(spark, "versions")
+    first = fx.f_ord(spark, sf_dir).select("row_id", "o_totalprice", F.col("status").alias("model_id"))
+    snapshots.commit(first, path, "model_id")
+    snapshots.commit(first.where("model_id = 'P'").withColumn("o_totalprice", F.col("o_totalprice") * 2), path, "model_id")
+    return snapshots.commit(first.where("false"), path, "model_id", ["F"])
+
+
 @register("ensemble_models")
 def q_ensemble_models(spark, sf_dir):
     """T16 over three fitted combos in one scan: largest encoded prediction, mean probabilities."""
