@@ -83,6 +83,8 @@ def sampled_bounds(df: DataFrame, col: str, n_buckets: int | None = DEFAULT_BUCK
 def with_range_bucket(df: DataFrame, col: str, out: str, n_buckets: int | None = DEFAULT_BUCKETS,
                       splits: Sequence[float] | None = None) -> DataFrame:
     splits = list(splits) if splits is not None else range_splits(df, col, n_buckets)
+    if len(splits) < 3:  # no bounds (no rows, or one bucket asked for): one range
+        return df.withColumn(out, F.lit(0))
     tmp = f"__{out}_d"
     b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
     d = df.withColumn(tmp, F.col(col).cast("double"))
@@ -165,3 +167,30 @@ def running_sum(df: DataFrame, order_col: str, sum_cols: Sequence[str], part_col
     for c in sum_cols:
         d = d.withColumn(f"{prefix}{c}", F.col(f"__l_{c}") + F.col(f"__t_{c}_off"))
     return d.drop(key, bcol, *[f"__l_{c}" for c in sum_cols], *[f"__t_{c}_off" for c in sum_cols])
+
+
+def next_values(df: DataFrame, order_col: str, cols: Sequence[str], part_cols=None, descending: bool = False,
+                n_buckets: int | None = None, prefix: str = "next_") -> DataFrame:
+    """Add ``next_<c>``: the value of ``c`` in the next row in ``order_col`` order within
+    ``part_cols`` (null in the last row). Order values must be unique within a part.
+
+    Range buckets are windowed on their own; the last row of a bucket takes the first row of the
+    next bucket that has any, from a table of the buckets' first rows."""
+    part = _cols(part_cols)
+    key, bcol = "__nv_key", "__nv_b"
+    d = df.withColumn(key, (-F.col(order_col) if descending else F.col(order_col)).cast("double"))
+    d = with_range_bucket(d, key, bcol, n_buckets)
+    row = F.struct(*cols)
+    d = d.withColumn("__nv_in", F.lead(row).over(Window.partitionBy(*part, bcol).orderBy(key)))
+    first = d.groupBy(*part, bcol).agg(F.min_by(row, F.col(key)).alias("__nv_f"))
+    if part:
+        w = Window.partitionBy(*part).orderBy(bcol)
+        border = first.select(*part, bcol, F.lead("__nv_f").over(w).alias("__nv_out"))
+    else:  # at most a row per bucket: the neighbours are paired on the driver
+        rows = sorted(first.collect(), key=lambda r: (r[bcol] is None, r[bcol]))
+        after = [r["__nv_f"] for r in rows[1:]] + [None]
+        kind = first.schema["__nv_f"].dataType.simpleString()
+        border = F.broadcast(df.sparkSession.createDataFrame(
+            [(r[bcol], a) for r, a in zip(rows, after, strict=False)], f"{bcol} int, __nv_out {kind}"))
+    d = d.join(border, on=[*part, bcol], how="inner").withColumn("__nv", F.coalesce("__nv_in", "__nv_out"))
+    return d.select(*df.columns, *[F.col(f"__nv.{c}").alias(f"{prefix}{c}") for c in cols])

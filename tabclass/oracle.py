@@ -267,6 +267,18 @@ r AS (SELECT score, sum(pos) OVER (ORDER BY score DESC) AS tps, sum(neg) OVER (O
 SELECT round(score, 6) AS threshold,
        round(CASE WHEN tps + fps > 0 THEN tps / (tps + fps) ELSE 0.0 END, 6) AS precision,
        round(CASE WHEN P > 0 THEN tps / P ELSE 0.0 END, 6) AS recall FROM r"""
+Q["roc_corners"] = f"""
+WITH c AS ({_S2_COUNTS}),
+r AS (SELECT score, sum(pos) OVER (ORDER BY score DESC) AS tps, sum(neg) OVER (ORDER BY score DESC) AS fps,
+             sum(pos) OVER () AS P, sum(neg) OVER () AS N, pos, neg, lag(score) OVER (ORDER BY score DESC) AS before,
+             lead(pos) OVER (ORDER BY score DESC) AS pos1, lead(neg) OVER (ORDER BY score DESC) AS neg1 FROM c)
+SELECT round(score, 6) AS threshold, round(CASE WHEN N > 0 THEN fps / N ELSE 0.0 END, 6) AS fpr,
+       round(CASE WHEN P > 0 THEN tps / P ELSE 0.0 END, 6) AS tpr,
+       CAST(tps AS BIGINT) AS tps, CAST(fps AS BIGINT) AS fps FROM r
+WHERE before IS NULL OR pos1 IS NULL OR pos1 <> pos OR neg1 <> neg
+UNION ALL SELECT NULL, 0.0, 0.0, 0, 0 WHERE EXISTS (SELECT 1 FROM c)"""
+Q["pr_curve_closed"] = f"""SELECT * FROM ({Q["pr_curve"]})
+UNION ALL SELECT NULL, 1.0, 0.0 WHERE EXISTS (SELECT 1 FROM ({_S2_COUNTS}))"""
 Q["roc_auc"] = (f"WITH {auc_sql(f'SELECT click AS score, CASE WHEN actual = {chr(39)}click{chr(39)} THEN 1 ELSE 0 END AS y FROM ({F_SCORED2})')} "
                 "SELECT round(auc, 6) AS auc FROM au")
 Q["roc_auc_hard"] = f"""

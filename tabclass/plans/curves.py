@@ -16,8 +16,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ranking import running_sum
+from ..functions.ranking import next_values, running_sum
 from ..functions.rowwise import qcol
+from ..session import staged
 from .metrics import _ratio
 
 
@@ -88,6 +89,39 @@ def pr_curve(scored: DataFrame, positive: str, score_col: str, actual: str = "ac
     return pr_points(_curve(score_counts(scored, positive, score_col, actual, keys), keys), keys)
 
 
+def corners(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Running counts (see :func:`running_counts`) of the points a ROC curve needs: the first, the last, and
+    every one whose step in positives and negatives differs from the next point's step. Straight runs of
+    equal steps keep their ends only."""
+    c = staged(running_counts(counts, keys), "curve")
+    n = next_values(c, "score", ["pos", "neg"], keys, descending=True)
+    first = (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))
+    bend = F.col("next_pos").isNull() | (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))
+    return n.where(first | bend).drop("next_pos", "next_neg")
+
+
+def roc_corners(scored: DataFrame, positive: str, score_col: str, actual: str = "actual",
+                keys: Sequence[str] = ()) -> DataFrame:
+    """E10 without collinear points, and with the point (0, 0), where no row is called positive: its
+    threshold is null. No rows, no points."""
+    counts = staged(score_counts(scored, positive, score_col, actual, keys), "curve-counts")
+    points = roc_points(corners(counts, keys), keys)
+    none = counts.select(*keys).distinct() if keys else counts.limit(1).select()
+    start = none.select(*keys, F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"),
+                        F.lit(0.0).alias("tpr"), F.lit(0).cast("bigint").alias("tps"), F.lit(0).cast("bigint").alias("fps"))
+    return points.unionByName(start)
+
+
+def pr_curve_closed(scored: DataFrame, positive: str, score_col: str, actual: str = "actual",
+                    keys: Sequence[str] = ()) -> DataFrame:
+    """E13 with its end point: precision 1 and recall 0, without a threshold. No rows, no points."""
+    counts = staged(score_counts(scored, positive, score_col, actual, keys), "curve-counts")
+    none = counts.select(*keys).distinct() if keys else counts.limit(1).select()
+    end = none.select(*keys, F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"),
+                      F.lit(0.0).alias("recall"))
+    return pr_points(running_counts(counts, keys), keys).unionByName(end)
+
+
 def _auc_from_counts(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return auc_of(_curve(counts, list(keys)), list(keys))
 

@@ -190,6 +190,20 @@ def q_pr_curve(spark, sf_dir):
                     F.round("recall", 6).alias("recall"))
 
 
+@register("roc_corners")
+def q_roc_corners(spark, sf_dir):
+    c = curves.roc_corners(fx.f_scored2(spark, sf_dir), "click", "click")
+    return c.select(F.round("threshold", 6).alias("threshold"), F.round("fpr", 6).alias("fpr"),
+                    F.round("tpr", 6).alias("tpr"), "tps", "fps")
+
+
+@register("pr_curve_closed")
+def q_pr_curve_closed(spark, sf_dir):
+    c = curves.pr_curve_closed(fx.f_scored2(spark, sf_dir), "click", "click")
+    return c.select(F.round("threshold", 6).alias("threshold"), F.round("precision", 6).alias("precision"),
+                    F.round("recall", 6).alias("recall"))
+
+
 @register("roc_auc")
 def q_roc_auc(spark, sf_dir):
     return curves.roc_auc(fx.f_scored2(spark, sf_dir), "click", "click").select(F.round("auc", 6).alias("auc"))
