@@ -54,3 +54,10 @@ def test_pr_ends_at_precision_one(spark):
     got = sorted((r.recall, r.precision, r.threshold) for r in curves.pr_curve_closed(d, "p", "score").collect())
     assert got == [(0.0, 1.0, None), (1.0, 0.5, 0.2), (1.0, 1.0, 0.9)]
     assert curves.pr_curve_closed(d.where("false"), "p", "score").count() == 0
+
+
+def test_auc_of_many_rows(spark):
+    d = spark.range(200_000).select(F.when(F.col("id") % 2 == 0, "p").otherwise("n").alias("actual"),
+                                    (F.col("id") % 4).cast("double").alias("score"))
+    # positives score 0 or 2, negatives 1 or 3; the product of their numbers is above 2^31
+    assert curves.roc_auc(d, "p", "score").first()["auc"] == 0.25
