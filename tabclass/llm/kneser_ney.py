@@ -22,10 +22,11 @@ Documents are written once as compressed blocks (see ``blocks``); the distinct
 n-grams of each block are joined with the model, and their scores go back to
 the block.
 
-Bounds: the model is fitted on four fifths of at most ``TRAIN_ROWS`` trusted
-rows, picked by hash of the id; their ids are the only broadcast. All other
-trusted documents are held out for the thresholds. Scores and verdicts cover
-all documents.
+The model is fitted on four fifths of all trusted documents, told apart by hash
+of the id; the other fifth is held out for the thresholds. A caller may ask for fewer training
+rows (``rows``); the registered queries do not. Nothing is
+broadcast or collected by hand: the trusted ids are joined. Scores and verdicts
+cover all documents.
 
 Defined results: a null or empty text is one end symbol, and is rejected by
 its own perplexity or kept like any other; a language's quantile (null is a
@@ -53,7 +54,6 @@ SYMBOLS = 1 << BITS
 PAD, END = 0, 1
 LOWER = SYMBOLS - 1024  # lower ten bits of a wide code point
 UPPER = LOWER - (0x110000 >> 10)  # its upper bits; smaller code points are symbols
-TRAIN_ROWS = 65536
 QUANTILE = 0.99
 SLACK = 1.02
 SHRINK = 50  # held-out documents that the quantile of all languages counts as, beside a language's own
@@ -211,20 +211,24 @@ class Lookup:
         return self.lp[at]
 
 
-def trusted_ids(labels: DataFrame, id_col: str, good, rows: int = TRAIN_ROWS) -> DataFrame:
-    """``trusted_id, held_out`` of all trusted documents: ``rows`` of them are
-    picked by hash, four fifths of these are for training, all others held out."""
+def trusted_ids(labels: DataFrame, id_col: str, good, rows: int | None = None) -> DataFrame:
+    """``trusted_id, held_out`` of all trusted documents: four fifths, told apart by
+    hash, are for training. With ``rows`` that many are picked by hash before,
+    and all others are held out too."""
     h = F.xxhash64(F.col(id_col), F.lit(9))
     t = labels.where(good & F.col(id_col).isNotNull()).select(F.col(id_col).alias("trusted_id"), h.alias("h"))
     t = staged(t.groupBy("trusted_id").agg(F.first("h").alias("h")), "kn-trusted")
-    last = t.orderBy("h", "trusted_id").limit(rows).agg(F.max(F.struct("h", "trusted_id")).alias("m")).first().m
-    picked = F.lit(False) if last is None else F.struct("h", "trusted_id") <= F.struct(
-        F.lit(last.h), F.lit(last.trusted_id).cast(t.schema["trusted_id"].dataType))
-    return t.select("trusted_id", (~picked | (F.pmod("h", F.lit(5)) == 0)).alias("held_out"))
+    held = F.pmod("h", F.lit(5)) == 0
+    if rows is not None:
+        last = t.orderBy("h", "trusted_id").limit(rows).agg(F.max(F.struct("h", "trusted_id")).alias("m")).first().m
+        picked = F.lit(False) if last is None else F.struct("h", "trusted_id") <= F.struct(
+            F.lit(last.h), F.lit(last.trusted_id).cast(t.schema["trusted_id"].dataType))
+        held = ~picked | held
+    return t.select("trusted_id", held.alias("held_out"))
 
 
 def fit(docs: DataFrame, trusted: DataFrame, id_col="doc_id", text_col="text") -> Model:
-    train = F.broadcast(trusted.where("not held_out").select("trusted_id"))  # at most TRAIN_ROWS ids
+    train = trusted.where("not held_out").select("trusted_id")
     texts = docs.select(F.col(id_col).alias("trusted_id"), F.col(text_col).cast("string").alias("text"))
     return Model(count_grams(texts.join(train, "trusted_id").select("text")))
 
@@ -357,7 +361,7 @@ def drawn(limit, n, pooled):
 
 
 def classify(docs: DataFrame, labels: DataFrame, good, id_col="doc_id", text_col="text", lang_col="lang",
-             label_id="doc_id", rows: int = TRAIN_ROWS, quantile: float = QUANTILE,
+             label_id="doc_id", rows: int | None = None, quantile: float = QUANTILE,
              carry: list[str] | None = None) -> tuple[DataFrame, str, str, str]:
     """The columns ``carry`` (all) of ``docs`` with perplexity, threshold and
     verdict, and the names of these three; also ``log_passage`` and its threshold

@@ -290,6 +290,14 @@ def test_thresholds_use_all_trusted_documents(spark):
     assert kn.trusted_ids(labels.where("false"), "doc_id", labels.quality == 1).count() == 0
 
 
+def test_all_trusted_documents_train_or_are_held_out(spark):
+    n = 120_000  # more than any bound there was
+    labels = spark.range(n).selectExpr("id AS doc_id", "1 AS quality")
+    got = {r.held_out: r["count"] for r in
+           kn.trusted_ids(labels, "doc_id", labels.quality == 1).groupBy("held_out").count().collect()}
+    assert sum(got.values()) == n and abs(got[False] - 0.8 * n) < 0.01 * n
+
+
 def test_trusted_and_junk_are_told_apart(spark):
     import __spark_entry__ as E
     from tests.conftest import SF_SMALL
