@@ -44,6 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 from pyspark.sql.types import StructType
 
+from ..session import scratch_path
 from .blocks import from_blob, write_blocks
 from .common import staged
 
@@ -51,7 +52,9 @@ MARK = "▁"
 ROUNDS = 3
 PRIOR = 1000.0  # uses that the vocabulary's own weights stand for
 BATCH = 4096
+CHARS = 1 << 16  # of a batch's words together: what a lattice, or a row of arcs, holds
 LONG = 64  # longer words go through the lattice in batches of their own
+ROW_GROUP = 16 << 20  # of the table of arcs: a reader holds a row group
 
 
 def read_vocabulary(path: str):
@@ -174,11 +177,14 @@ def _sweep(value: np.ndarray, level: np.ndarray, source: np.ndarray, target: np.
 
 
 def batches_of(words: list[str]):
-    """Places of the words in batches of like length, at most ``BATCH`` each."""
+    """Places of the words in batches of like length, at most ``BATCH`` words or
+    ``CHARS`` characters each; a longer word is one alone."""
     order = sorted(range(len(words)), key=lambda i: len(words[i]))
+    upto = np.cumsum([0, *(len(words[i]) + 1 for i in order)])
     start = 0
     while start < len(order):
-        stop = min(start + BATCH, len(order))
+        most = int(np.searchsorted(upto, upto[start] + CHARS, side="right")) - 1
+        stop = min(start + BATCH, max(most, start + 1), len(order))
         while stop - start > 1 and len(words[order[stop - 1]]) > max(LONG, 2 * len(words[order[start]])):
             stop = start + (stop - start) // 2
         yield order[start:stop]
@@ -216,7 +222,10 @@ def write_arcs(counts: DataFrame, vocab) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, schema, strict=True)],
                                                      schema=schema)
 
-    return staged(counts.select("word", "c").mapInArrow(run, ARCS), "lattice-arcs")
+    path = scratch_path(counts.sparkSession, "lattice-arcs")
+    (counts.select("word", "c").mapInArrow(run, ARCS).write
+     .options(**{"compression": "zstd", "parquet.block.size": ROW_GROUP, "parquet.page.size.row.check.min": 4}).parquet(path))
+    return counts.sparkSession.read.schema(ARCS).parquet(path)
 
 
 def estimate(arcs: DataFrame, prior: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:

@@ -335,3 +335,20 @@ def test_runs_of_one_word_are_rejected(spark):
             if r.doc_id in bad and longest_run(r.text or "") >= 10]
     assert len(runs) >= 5 and sum(got[i].kept for i in runs) / len(runs) < 0.25
     assert sum(got[i].perplexity <= got[i].threshold for i in runs) / len(runs) > 0.25  # the whole text hides them
+
+
+def test_arcs_are_held_in_bounded_pieces(spark, vocab, monkeypatch):
+    """Long words are cut into batches by their characters, and a reader of the arcs holds a small row group."""
+    import pyarrow.parquet as pq
+
+    words = [chr(97 + i % 26) * 900 + str(i) for i in range(3000)]
+    got = list(lattice.batches_of([*words, "x" * 100_000]))
+    assert sorted(i for b in got for i in b) == list(range(3001))
+    assert max(sum(len(words[i]) + 1 for i in b) for b in got if 3000 not in b) <= lattice.CHARS and [3000] in got
+    monkeypatch.setattr(lattice, "ROW_GROUP", 1 << 20)
+    d = spark.createDataFrame([(w.encode(), i % 2) for i, w in enumerate(words)], "word binary, c long").coalesce(1)
+    arcs = lattice.write_arcs(d, vocab[0])
+    assert arcs.selectExpr("sum(size(word)) AS n").first().n == len(words)
+    groups = [m.row_group(i).total_byte_size for f in arcs.inputFiles()
+              for m in [pq.ParquetFile(f.removeprefix("file:").replace("//", "/")).metadata] for i in range(m.num_row_groups)]
+    assert len(groups) > 1 and max(groups) < 8 << 20
