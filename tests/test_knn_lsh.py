@@ -50,3 +50,14 @@ def test_copies_and_bad_vectors(spark):
     assert [r["cid"] for r in got] == [9, 9, 9]
     with pytest.raises(ValueError, match="neighbours"):
         search("fast")
+
+
+def test_small_buckets_share_a_group(spark):
+    """A slot compares many buckets: groups grow with the rows, not with the buckets."""
+    import pyarrow as pa
+
+    from tabclass.operators.knn_lsh import runs
+    t = pa.table({"g": ["a", None, "a", "b", None], "bucket": [1, 2, 1, 1, 2], "x": [[0.0], [1.0], [2.0], [3.0], [4.0]]})
+    rows, found = runs(t, ["g", "bucket"])
+    got = {k: sorted(v[0] for v in rows.slice(*at).column("x").to_pylist()) for k, at in found.items()}
+    assert got == {("a", 1): [0.0, 2.0], (None, 2): [1.0, 4.0], ("b", 1): [3.0]}
