@@ -102,3 +102,15 @@ def test_estimator_and_evaluator_are_stored(spark, tmp_path):
     scores = [e.evaluate(m.transform(val)) for m, e in (
         (fitted, ev), (PipelineModel.load(str(tmp_path / "model")), MacroFBetaEvaluator.load(str(tmp_path / "ev"))))]
     assert scores[0] == scores[1] > 0.5
+
+
+def test_forest_partitions_grow_with_rows_and_trees(spark, monkeypatch):
+    assert models.forest_parts(24_000_000, 266) * models.BAG_BYTES >= 24_000_000 * 266 * 4
+    d = spark.range(1000).select("id", (F.col("id") % 3).cast("string").alias("target"), (F.col("id") % 3).alias("x"))
+    p = models.prepare(d, ["x"])
+    assert models.spread(p.frame, 10).rdd.getNumPartitions() == p.frame.rdd.getNumPartitions()
+    monkeypatch.setattr(models, "BAG_BYTES", 1000)
+    wide = models.spread(p.frame, 10)
+    assert wide.rdd.getNumPartitions() == 40 and wide.count() == 1000
+    assert models.predict(models.fit_prepared(p, "rf", {"n_estimators": 10}), d, keep=("id", "target")).where("pred <> target").count() == 0
+    p.release()
