@@ -20,7 +20,9 @@ from ranges of their own (U+0000 and U+0001 enter as U+0002):
 
 Documents are written once as compressed blocks (see ``blocks``); the distinct
 n-grams of each block are joined with the model, and their scores go back to
-the block.
+the block. Training reads the same blocks: only ids and block numbers are joined
+with the trusted ids, and a block is told which of its rows to learn from, so
+that no text is shuffled at any size.
 
 The model is fitted on four fifths of all trusted documents, told apart by hash
 of the id; the other fifth is held out for the thresholds. A caller may ask for fewer training
@@ -41,6 +43,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -92,37 +95,50 @@ def texts_of(batch, at: int) -> list[str]:
     return [t or "" for t in batch.column(at).to_pylist()]
 
 
-def count_grams(texts: DataFrame) -> DataFrame:
-    """``g, c`` over one column of texts: combined in each task, then by key."""
-    def run(batches):
-        held: list = []
+class Counter:
+    """Counts of the n-grams of texts, held up to a bounded number of distinct ones."""
+
+    def __init__(self):
+        self.held, self.size = [], 0
+
+    def merge(self) -> None:
+        g = np.concatenate([a for a, _ in self.held])
+        c = np.concatenate([b for _, b in self.held])
+        u, inv = np.unique(g, return_inverse=True)
+        self.held, self.size = [(u, np.bincount(inv, weights=c).astype(np.int64))], len(u)
+
+    def add(self, texts: list[str]):
+        """Counts the texts; gives the table whenever it has outgrown its bound."""
+        for k in range(0, len(texts), 256):
+            u, c = np.unique(grams(symbols(texts[k:k + 256]))[0], return_counts=True)
+            self.held.append((u, c))
+            self.size += len(u)
+            if self.size > 2_000_000:
+                self.merge()
+                if self.size > 1_000_000:
+                    yield from self.rest()
 
-        def merged():
-            g = np.concatenate([a for a, _ in held])
-            c = np.concatenate([b for _, b in held])
-            u, inv = np.unique(g, return_inverse=True)
-            return u, np.bincount(inv, weights=c).astype(np.int64)
+    def rest(self):
+        if self.held:
+            self.merge()
+            (u, c), = self.held
+            self.held, self.size = [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(c)], ["g", "c"])
 
-        def rows(u, c):
-            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(c)], ["g", "c"])
 
-        size = 0
+def summed(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("g").agg(F.sum("c").alias("c"))
+
+
+def count_grams(texts: DataFrame) -> DataFrame:
+    """``g, c`` over one column of texts: combined in each task, then by key."""
+    def run(batches):
+        counter = Counter()
         for b in batches:
-            t = texts_of(b, 0)
-            for k in range(0, len(t), 256):
-                u, c = np.unique(grams(symbols(t[k:k + 256]))[0], return_counts=True)
-                held.append((u, c))
-                size += len(u)
-                if size > 2_000_000:
-                    held = [merged()]
-                    size = len(held[0][0])
-                    if size > 1_000_000:  # a task holds a bounded table
-                        yield rows(*held[0])
-                        held, size = [], 0
-        if held:
-            yield rows(*merged())
-
-    return texts.mapInArrow(run, "g long, c long").groupBy("g").agg(F.sum("c").alias("c"))
+            yield from counter.add(texts_of(b, 0))
+        yield from counter.rest()
+
+    return summed(texts.mapInArrow(run, "g long, c long"))
 
 
 # -------------------------------------------------------------------- model
@@ -227,10 +243,47 @@ def trusted_ids(labels: DataFrame, id_col: str, good, rows: int | None = None) -
     return t.select("trusted_id", held.alias("held_out"))
 
 
-def fit(docs: DataFrame, trusted: DataFrame, id_col="doc_id", text_col="text") -> Model:
+def written(docs: DataFrame, text_col="text") -> str:
+    """The table of blocks of ``docs`` with their distinct n-grams."""
+    at = docs.columns.index(text_col)
+    return write_blocks(docs, text_col, lambda: Seen(at), "bigint", "kn_blocks")
+
+
+def count_trusted(docs: DataFrame, table: str, train: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``g, c`` over the texts of ``docs``, written as ``table``, whose id is a ``trusted_id`` of ``train``.
+    Ids and block numbers are joined, and the blocks, which are where they are needed, get theirs."""
+    at, key = docs.columns.index(text_col), docs.columns.index(docs.select(id_col).columns[0])
+    blocks = docs.sparkSession.table(table).select("block", "blob")
+
+    def ids(batches):
+        for b in batches:
+            for block, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                own = from_blob(blob).column(key).drop_null()
+                yield pa.RecordBatch.from_arrays([own, pa.array([block] * len(own), pa.int64())], ["id", "block"])
+
+    def count(left, right):
+        counter, out = Counter(), []
+        for blob in left.column("blob").to_pylist() if right.num_rows else ():
+            batch = from_blob(blob)
+            own = batch.column(key)
+            batch = batch.filter(pc.is_in(own, value_set=right.column("id").cast(own.type), skip_nulls=True))
+            out += counter.add(texts_of(batch, at))
+        return pa.Table.from_batches([*out, *counter.rest()], pa.schema([("g", pa.int64()), ("c", pa.int64())]))
+
+    kind = StructType().add("id", docs.schema.fields[key].dataType).add("block", "long")
+    wanted = blocks.mapInArrow(ids, kind)
+    wanted = wanted.join(train, wanted["id"] == train["trusted_id"], "left_semi")
+    return summed(blocks.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(count, "g long, c long"))
+
+
+def fit(docs: DataFrame, trusted: DataFrame, id_col="doc_id", text_col="text", table: str | None = None) -> Model:
+    """The model of the documents for training; ``table`` are the blocks of ``docs``, if they are written."""
     train = trusted.where("not held_out").select("trusted_id")
-    texts = docs.select(F.col(id_col).alias("trusted_id"), F.col(text_col).cast("string").alias("text"))
-    return Model(count_grams(texts.join(train, "trusted_id").select("text")))
+    own = table or written(docs, text_col)
+    model = Model(count_trusted(docs, own, train, id_col, text_col))
+    if table is None:
+        docs.sparkSession.sql(f"DROP TABLE {own}")
+    return model
 
 
 def worst_passage(cost: np.ndarray) -> float:
@@ -269,14 +322,16 @@ class Seen:
         return pa.array(self.all())
 
 
-def perplexity(docs: DataFrame, model: Model, text_col="text", carry: list[str] | None = None) -> DataFrame:
+def perplexity(docs: DataFrame, model: Model, text_col="text", carry: list[str] | None = None,
+               table: str | None = None) -> DataFrame:
     """The columns ``carry`` (all) of ``docs``, then ``log_ppl`` (log10),
-    ``n_symbols`` and ``log_passage`` (``log_ppl`` of the worst passages)."""
+    ``n_symbols`` and ``log_passage`` (``log_ppl`` of the worst passages).
+    ``table`` are the blocks of ``docs``, if they are written; it is dropped."""
     log_ppl, n_sym, log_passage = fresh(docs, "log_ppl", "n_symbols", "log_passage")
     carry = carry or docs.columns
     at, keep = docs.columns.index(text_col), [docs.columns.index(c) for c in carry]
     spark = docs.sparkSession
-    table = write_blocks(docs, text_col, lambda: Seen(at), "bigint", "kn_blocks")
+    table = table or written(docs, text_col)
     blocks = spark.table(table)
     pairs = blocks.where("items is not null").select("block", F.explode("items").alias("g"))
     scores = staged(model.score(staged(pairs.select("g").distinct(), "kn-wanted")), "kn-scores")
@@ -367,9 +422,10 @@ def classify(docs: DataFrame, labels: DataFrame, good, id_col="doc_id", text_col
     verdict, and the names of these three; also ``log_passage`` and its threshold
     ``passage_limit``, which the verdict includes."""
     trusted = trusted_ids(labels, label_id, good, rows)
-    model = fit(docs, trusted, id_col, text_col)
+    table = written(docs, text_col)
+    model = fit(docs, trusted, id_col, text_col, table)
     log_ppl, _, log_passage = fresh(docs, "log_ppl", "n_symbols", "log_passage")
-    scored = perplexity(docs, model, text_col, carry)
+    scored = perplexity(docs, model, text_col, carry, table)
     limit, kept, key, passage_limit = fresh(scored, "limit", "kept", "limit_lang", "passage_limit")
     out, good_enough = scored, F.lit(True)
     for value, bound in ((log_ppl, limit), (log_passage, passage_limit)):

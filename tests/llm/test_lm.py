@@ -298,6 +298,37 @@ def test_all_trusted_documents_train_or_are_held_out(spark):
     assert sum(got.values()) == n and abs(got[False] - 0.8 * n) < 0.01 * n
 
 
+def test_training_shuffles_ids_and_no_texts(spark, edge, monkeypatch):
+    """With more trusted ids than Spark broadcasts, the counts are those of a plain join and no exchange carries texts or blobs."""
+    import re
+
+    from pyspark.sql import functions as F
+
+    labels = spark.createDataFrame([(i, 1) for i in (*range(12), 99)] + [(None, 1), (3, 1)], "doc_id long, quality int")
+    trusted = kn.trusted_ids(labels, "doc_id", F.col("quality") == 1)
+    train = [r.trusted_id for r in trusted.where("not held_out").collect()]
+    texts = [r for r in edge.select("doc_id", "text").collect() if r.doc_id in train]
+    assert 3 in train and len(texts) < len(ROWS)  # a repeated row counts twice
+    seen = {}
+
+    class Look(kn.Model):
+        def __init__(self, counts):
+            seen["plan"] = counts._sc._jvm.PythonSQLUtils.explainString(counts._jdf.queryExecution(), "formatted")
+            seen["counts"] = {r.g: r.c for r in counts.collect()}
+
+    monkeypatch.setattr(kn, "Model", Look)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kn.fit(edge, trusted)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    want = Counter(kn.grams(kn.symbols([r.text or "" for r in texts]))[0].tolist())
+    assert seen["counts"] == dict(want)
+    moved = re.findall(r"Exchange\s*\nInput \[\d+\]: \[(.*)\]", seen["plan"])
+    assert moved and not any("text" in m or "blob" in m for m in moved)
+
+
 def test_trusted_and_junk_are_told_apart(spark):
     import __spark_entry__ as E
     from tests.conftest import SF_SMALL
