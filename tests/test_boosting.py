@@ -131,6 +131,30 @@ def test_partitions_and_staging_change_nothing(frame):
     assert trees[0] == trees[1] and len(trees[0]) == 5 * K
 
 
+def test_equal_rows_are_routed_once(spark, monkeypatch):
+    """Rows of the same bins and label share margins, nodes and gradients in every pass; the trees are those of single rows."""
+    r = np.random.default_rng(5)
+    x, y = r.integers(0, 3, (3000, 2)), r.integers(0, K, 3000)
+    d = spark.createDataFrame([(i, Vectors.dense(v), float(c)) for i, (v, c) in enumerate(zip(x.tolist(), y.tolist()))],
+                              ["id", "features", "label"]).coalesce(1)
+    data = B.binned(d.withColumn("x", vector_to_array("features")), [np.array([1.0, 2.0])] * 2, "x").cache()
+    calls, route = spark.sparkContext.accumulator(0), B.route
+
+    def counting(bins, tree):
+        calls.add(len(bins))
+        return route(bins, tree)
+
+    monkeypatch.setattr(B, "route", counting)
+    p = [B.BoostParams.of(dict(n_estimators=2, max_depth=2, subsample=0.7))]
+    whole = B.boost(data, K, 2, p)[0]
+    # 4 passes; in each, K trees of the round and K of the round before at most, over 27 distinct rows
+    assert 0 < calls.value <= 4 * 2 * K * 27
+    monkeypatch.setattr(B, "CHUNK", 8 * K + 30)  # a row a chunk
+    single = B.boost(data, K, 2, p)[0]
+    assert [(r, c, t.feature, t.cut, t.left, t.value) for r, c, t in whole] == [
+        (r, c, t.feature, t.cut, t.left, t.value) for r, c, t in single]
+
+
 def test_every_parameter_takes_effect(frame):
     base = dict(n_estimators=2, max_depth=3, subsample=1.0)
     other = dict(learning_rate=0.01, n_estimators=1, max_depth=1, gamma=2.0, colsample_bytree=0.3, subsample=0.5, reg_alpha=3.0,
