@@ -115,6 +115,19 @@ def test_quantiles_go_deeper_for_large_cells(spark, monkeypatch):
             assert got[g] == pytest.approx(list(v))
 
 
+def test_cells_are_cut_without_a_list_walk(spark):
+    """A value finds its cell in a step per bit of the bounds, not by a function run over all of them."""
+    rows = [(i % 3, float(i * 37 % 101)) for i in range(600)] + [(0, float("inf"))] * 2 + [(1, float("-inf")), (2, float("nan"))]
+    d = spark.createDataFrame(rows, "cell long, v double")
+    cells = quantiles._cells(d, 16)
+    assert "filter(" not in cells._jdf.queryExecution().optimizedPlan().toString()
+    got = [(r["cell"], (np.isnan(r["v"]), r["v"]), r["bk"]) for r in cells.collect()]
+    assert len(got) == len(rows)
+    for c in range(3):
+        mine = sorted((v, b) for k, v, b in got if k == c)
+        assert [b for _, b in mine] == sorted(b for _, b in mine) and len({b for _, b in mine}) >= 15
+
+
 def test_unreadable_table_is_not_an_absent_one(spark, tmp_path):
     path = tmp_path / "t"
     path.mkdir()
