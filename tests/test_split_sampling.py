@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabclass.functions.hashing import hash32
 from tabclass.functions.quantiles import exact_quantiles
-from tabclass.functions.ranking import rank_within
+from tabclass.functions.ranking import rank_steps, rank_within
 from tabclass.operators import prep, sampling, smote, split
 from tabclass.sources import fixtures as fx
 from tests.conftest import SF_SMALL, SF_TINY
@@ -57,6 +57,26 @@ def test_kfold_matches_brute_force(spark, k):
     assert [r["fold"] for r in got] == list(_sklearn_like_folds(y, k))
 
 
+def test_rank_steps_equal_plain_ranks_and_sort_few_rows(spark):
+    at = F.col("id")
+    d = spark.range(0, 6000, 1, 4).select(F.floor(at / 2).alias("id"), F.concat(F.lit("c"), (at % 5 % 3).cast("string")).alias("target"))
+    n = {r["target"]: r["count"] for r in d.groupBy("target").count().collect()}
+    cuts = {t: [0, k // 7, k // 7, k // 2, k - 1, k, k + 9] for t, k in n.items()}
+    table = spark.createDataFrame(list(cuts.items()), "target string, cuts array<long>")
+    got = rank_steps(d, "target", ["id"], table, n_buckets=16)
+    rank = F.row_number().over(Window.partitionBy("target").orderBy("id"))
+    want = sorted((r["target"], r["id"], sum(c < r["r"] for c in cuts[r["target"]])) for r in d.withColumn("r", rank).collect())
+    assert sorted((r["target"], r["id"], r["step"]) for r in got.collect()) == want  # ids come twice in a class or not
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Union") and plan.count("Window [") == 1  # rows away from the cuts pass no window
+
+
+def test_split_ranks_only_the_bucket_of_the_cut(spark):
+    plan = split.stratified_split(_ord(spark))._jdf.queryExecution().optimizedPlan().toString()
+    window = plan[plan.index("Window ["):]
+    assert "____s_lo" in window and "____s_hi" in window and plan.count("Window [") == 1
+
+
 def test_rank_within_equals_plain_window(spark):
     d = _ord(spark, SF_SMALL).withColumn("h", hash32(7, F.col("id")))
     two = rank_within(d, ["target"], ["h", "id"], out="r2", n_buckets=16)
