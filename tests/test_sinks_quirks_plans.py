@@ -77,6 +77,19 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_replace_by_key_writes_its_rows_once(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    sinks.replace_by_key(spark.createDataFrame([("m1", 1.0), ("m2", 2.0)], "model_id string, v double"), path)
+    monkeypatch.setattr(sinks, "scratch_path", lambda *a: pytest.fail("written a second time"))
+    mine = spark.read.parquet(path).where("model_id = 'm1'").select(F.col("model_id"), (F.col("v") * 5).alias("v"))
+    out = sinks.replace_by_key(mine, path, "model_id", ["m1", "m3"])  # reads what it replaces
+    assert sorted(map(tuple, out.select("model_id", "v").collect())) == [("m1", 5.0), ("m2", 2.0)]
+    bad = spark.range(1).select(F.lit("m2").alias("model_id"), F.raise_error(F.lit("no")).cast("double").alias("v"))
+    with pytest.raises(Exception):  # noqa: B017
+        sinks.replace_by_key(bad, path)
+    assert spark.read.parquet(path).where("model_id = 'm2'").first()["v"] == 2.0
+
+
 def test_scan_prunes_and_pushes(spark):
     df = tables.read_table(spark, "orders", SF_TINY).where(F.col("o_totalprice") > 1000).select("o_orderkey")
     p = _plan(df)
